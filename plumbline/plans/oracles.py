@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from plumbline.operators.anomalies import REMEDIES, ROOT_CAUSES, TYPES
+from plumbline.operators.messages import ANOMALY_TASK
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
@@ -71,6 +72,136 @@ HEALTH = """daily AS (
   FROM aged
 )"""
 
+# Column names and engine type names of the tables, for the catalog queries.
+COLUMNS = {
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "pages": "page_id bigint, url string, html string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+FIELDS = {t: [tuple(c.split(" ")) for c in ddl.split(", ")] for t, ddl in COLUMNS.items()}
+
+
+def union(parts) -> str:
+    return "\nUNION ALL ".join(parts)
+
+
+def null_rates(relation: str, table: str, columns: list[str]) -> str:
+    return union(
+        f"""SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+        round(100 * CAST(count(*) - count({c}) AS DOUBLE) / count(*), 2) AS null_pct FROM {relation}"""
+        for c in columns
+    )
+
+
+def document(table: str) -> str:
+    names = [name for name, _ in FIELDS[table]]
+    return f"""SELECT '{table}' AS table_name, 'warehouse/{table}' AS table_path, count(*) AS row_count,
+      'TABLE: {table}' || chr(10) || 'DESCRIPTION: Table {table} with ' || CAST(count(*) AS VARCHAR) || ' rows and {len(names)} columns.' || chr(10)
+      || 'COLUMNS: {", ".join(names)}' || chr(10) || 'ROW COUNT: ' || format('{{:,}}', count(*)) || chr(10) || 'PATH: warehouse/{table}' AS document
+      FROM {table}"""
+
+
+def described(table: str, version: int) -> str:
+    text = f"'Table {table} with ' || CAST(count(*) AS VARCHAR) || ' rows and {len(FIELDS[table])} columns.'"
+    if table == "orders":
+        text = "'One row per order.'"
+    return f"SELECT '{table}' AS table_name, count(*) AS row_count, {text} AS description, CAST({version} AS BIGINT) AS version FROM {table}"
+
+
+ENRICHED = """points AS (
+  SELECT *, TRY_CAST(regexp_extract(product_id, '^PRD-([0-9]+)$', 1) AS INT) AS k,
+    (country, currency) NOT IN (('US', 'USD'), ('UK', 'GBP'), ('DE', 'EUR'), ('FR', 'EUR'), ('CA', 'USD')) AS geo_risk_flag
+  FROM txn
+), enriched AS (
+  SELECT *,
+    CASE WHEN amount IS NULL THEN 'unknown' WHEN pts >= 4 THEN 'high' WHEN pts >= 2 THEN 'medium' ELSE 'low' END AS fraud_risk,
+    CASE WHEN event_type IS NULL THEN 'unknown' WHEN event_type = 'refund' THEN 'refund_request'
+      WHEN event_type = 'purchase' AND k BETWEEN 90 AND 99 THEN 'subscription'
+      WHEN event_type = 'purchase' AND amount < 20 THEN 'impulse_buy' ELSE 'planned_purchase' END AS customer_intent,
+    CASE WHEN k BETWEEN 0 AND 24 THEN 'electronics' WHEN k BETWEEN 25 AND 49 THEN 'clothing' WHEN k BETWEEN 50 AND 74 THEN 'home'
+      WHEN k BETWEEN 75 AND 99 THEN 'grocery' ELSE 'unknown' END AS product_category,
+    CAST((amount IS NOT NULL)::INT + (country IS NOT NULL)::INT + (payment_method IS NOT NULL)::INT + (product_id IS NOT NULL)::INT AS DOUBLE) / 4 AS enrichment_confidence,
+    concat_ws('; ', CASE WHEN amount > 200 THEN 'amount above 200' WHEN amount > 100 THEN 'amount above 100' END,
+      CASE WHEN payment_method = 'crypto' THEN 'paid with crypto' WHEN payment_method IS NULL THEN 'no payment method' END,
+      CASE WHEN geo_risk_flag THEN 'unusual country and currency' END) AS enrichment_reasoning
+  FROM (SELECT *, CASE WHEN amount > 200 THEN 2 WHEN amount > 100 THEN 1 ELSE 0 END
+      + CASE WHEN payment_method = 'crypto' THEN 2 WHEN payment_method IS NULL THEN 1 ELSE 0 END + geo_risk_flag::INT AS pts FROM points)
+)"""
+ENRICHED_COLUMNS = "event_id, fraud_risk, customer_intent, product_category, geo_risk_flag, enrichment_confidence, enrichment_reasoning"
+ENRICH_SQL = f"WITH {TXN}, {ENRICHED} SELECT {ENRICHED_COLUMNS} FROM enriched"
+
+CENTROIDS = """dims AS (
+  SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS d, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings
+), centers AS (
+  SELECT label, list(m ORDER BY d) AS c FROM (SELECT label, d, avg(x) AS m FROM dims GROUP BY label, d) GROUP BY label
+)"""
+
+
+def vector_top(score: str, shown: str) -> str:
+    return f"""WITH {CENTROIDS}, pairs AS (
+          SELECT centers.label AS question_id, vec_id AS document_id, {score} AS score FROM centers, embeddings
+        ), r AS (
+          SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 9) DESC, document_id) AS rank FROM pairs)
+        SELECT question_id, document_id, CAST(rank AS INT) AS rank, {shown} FROM r WHERE rank <= 5"""
+
+
+PAYLOADS = """payloads AS (
+  SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 4) AS BIGINT) + 1 AS version,
+    CASE user_id % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'UK' WHEN 2 THEN 'DE' WHEN 3 THEN 'FR' ELSE 'CA' END AS country FROM events
+), texts AS (
+  SELECT version, ts, '{"event_id":"' || event_id || '"'
+    || CASE WHEN version < 7 THEN ',"user_id":' || user_id ELSE '' END
+    || ',"amount":' || CASE WHEN version < 5 THEN CAST(value AS VARCHAR) ELSE '"' || value || '"' END
+    || ',"currency":' || CASE WHEN version >= 6 AND event_type = 'view' THEN 'null' ELSE '"EUR"' END
+    || ',"quantity":' || json_extract_string(props, '$.k') || CASE WHEN version < 4 THEN '' ELSE '.5' END
+    || CASE WHEN version >= 3 THEN ',"channel":"' || event_type || '"' ELSE '' END
+    || CASE WHEN version < 8 THEN ',"country":"' ELSE ',"region":"' END || country || '"}' AS value
+  FROM payloads
+), cells AS (
+  SELECT version, j.key AS name, CASE j.type WHEN 'UBIGINT' THEN 'bigint' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN NULL ELSE lower(j.type) END AS kind
+  FROM texts, json_each(CAST(texts.value AS JSON)) AS j
+), totals AS (
+  SELECT version, count(*) AS record_count, max(CAST(ts AS TIMESTAMP)) AS committed_at FROM texts GROUP BY version
+), cols AS (
+  SELECT version, name AS column_name, record_count, committed_at,
+    CASE WHEN count(kind) = 0 THEN 'void' WHEN count(DISTINCT kind) = 1 THEN min(kind)
+      WHEN count(*) FILTER (WHERE kind NOT IN ('bigint', 'double')) = 0 THEN 'double' ELSE 'string' END AS type,
+    count(kind) < record_count AS nullable
+  FROM cells JOIN totals USING (version) GROUP BY version, name, record_count, committed_at
+), ordinals AS (
+  SELECT version, row_number() OVER (ORDER BY version) AS o, lag(version) OVER (ORDER BY version) AS before FROM totals
+), changed AS (
+  SELECT o.before AS from_version, o.version AS to_version, coalesce(c.column_name, p.column_name) AS column_name,
+    p.type AS p_type, c.type AS c_type, p.nullable AS p_null, c.nullable AS c_null
+  FROM ordinals o
+  JOIN (SELECT DISTINCT column_name FROM cols) n ON o.before IS NOT NULL
+  LEFT JOIN cols c ON c.version = o.version AND c.column_name = n.column_name
+  LEFT JOIN cols p ON p.version = o.before AND p.column_name = n.column_name
+  WHERE c.column_name IS NOT NULL OR p.column_name IS NOT NULL
+), changes AS (
+  SELECT from_version, to_version, 'added' AS change, column_name, CAST(NULL AS VARCHAR) AS from_type, CAST(NULL AS VARCHAR) AS to_type FROM changed WHERE p_type IS NULL
+  UNION ALL SELECT from_version, to_version, 'removed', column_name, NULL, NULL FROM changed WHERE c_type IS NULL
+  UNION ALL SELECT from_version, to_version, 'type', column_name, p_type, c_type FROM changed WHERE p_type <> c_type
+  UNION ALL SELECT from_version, to_version, 'nullability', column_name, NULL, NULL FROM changed WHERE p_null <> c_null
+)"""
+
+SNAPSHOT = """SELECT CAST({v} AS INT) AS version, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
+        FROM orders {where} GROUP BY o_orderstatus"""
+OLD_ORDERS = "WHERE o_orderdate < TIMESTAMP '2000-01-01'"
+
 ORACLES: dict[str, str] = {
     "decode_events": f"""WITH {TXN}
         SELECT event_id, user_id, product_id, amount, currency, event_type, event_ts, country, payment_method, date_part FROM flagged""",
@@ -188,4 +319,101 @@ ORACLES: dict[str, str] = {
           CASE WHEN pipeline_health <> 'healthy' THEN '[' || upper(pipeline_health) || '] ' || CAST(date_part AS VARCHAR) || ': '
             || CAST(anomaly_count AS VARCHAR) || ' anomalies' END AS alert_text
         FROM health""",
+    "stream_split": f"""WITH {TXN}
+        SELECT CASE WHEN is_anomaly THEN 'anomalies' ELSE 'clean' END AS side, date_part, count(*) AS n FROM flagged GROUP BY ALL""",
+    "enrich_transactions": ENRICH_SQL,
+    "enrich_partitioned": ENRICH_SQL,
+    "enrich_merge": f"""WITH {TXN}, {ENRICHED}
+        SELECT event_id, amount, event_type,
+          CASE WHEN known THEN fraud_risk ELSE 'unknown' END AS fraud_risk,
+          CASE WHEN known THEN customer_intent ELSE 'unknown' END AS customer_intent,
+          CASE WHEN known THEN product_category ELSE 'unknown' END AS product_category,
+          known AND geo_risk_flag AS geo_risk_flag,
+          CASE WHEN known THEN enrichment_confidence ELSE 0.0::DOUBLE END AS enrichment_confidence,
+          CASE WHEN again THEN 'second round' WHEN known THEN enrichment_reasoning ELSE '' END AS enrichment_reasoning
+        FROM (SELECT *, coalesce(payment_method = 'crypto', false) AS again, event_type = 'purchase' OR coalesce(payment_method = 'crypto', false) AS known FROM enriched)""",
+    "null_rates": f"WITH {TXN} " + union([
+        null_rates("txn", "transactions", ["event_id", "user_id", "product_id", "amount", "currency", "event_type", "event_ts", "country", "payment_method"]),
+        null_rates("documents", "documents", [c for c, _ in FIELDS["documents"]]),
+        null_rates("orders", "orders", [c for c, _ in FIELDS["orders"]]),
+    ]),
+    "numeric_profile": union(
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 4) AS avg FROM {t}"""
+        for t in ("orders", "lineitem", "events", "part") for c, kind in FIELDS[t] if kind in ("int", "bigint", "double")
+    ),
+    "sample_values": union(
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, string_agg(CAST({c} AS VARCHAR), ',' ORDER BY {key}) AS samples
+        FROM (SELECT * FROM {t} ORDER BY {key} LIMIT 3)"""
+        for t, key in [("part", "p_partkey"), ("nation", "n_nationkey")] for c, _ in FIELDS[t]
+    ),
+    "catalog_tables": union(
+        f"SELECT '{t}' AS table_name, 'warehouse/{t}' AS table_path, count(*) AS row_count, CAST({len(FIELDS[t])} AS INT) AS column_count FROM {t}" for t in FIELDS
+    ),
+    "catalog_columns": union(
+        f"""SELECT '{t}' AS table_name, count(*) AS row_count, CAST({i} AS INT) AS position, '{c}' AS column_name, '{kind}' AS data_type, count({c}) AS non_null FROM {t}"""
+        for t in FIELDS for i, (c, kind) in enumerate(FIELDS[t])
+    ),
+    "catalog_documents": f"SELECT table_name, document FROM ({union(document(t) for t in FIELDS)})",
+    "catalog_describe": f"""SELECT table_name, table_path, row_count, '{",".join(c for c, _ in FIELDS["orders"])}' AS column_names,
+        document AS description FROM ({document("orders")})""",
+    "catalog_upsert": union(described(t, 1 if t in ("nation", "region") else 2) for t in FIELDS),
+    "vector_topk_cosine": vector_top("list_cosine_similarity(CAST(embedding AS DOUBLE[]), c)", "round(score, 4) AS relevance"),
+    "vector_topk_l2": vector_top("-list_distance(CAST(embedding AS DOUBLE[]), c)", "round(-score, 4) AS distance"),
+    "text_topk_tfidf": r"""WITH dt AS (
+          SELECT doc_id, t AS term, count(*) AS tf FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS t FROM documents)
+          WHERE t <> '' GROUP BY doc_id, t
+        ), qt AS (
+          SELECT item_id, t AS term, count(*) AS tf FROM (SELECT item_id, unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS t FROM benchmark)
+          WHERE t <> '' GROUP BY item_id, t
+        ), idf AS (
+          SELECT term, ln((SELECT count(*) FROM documents) / CAST(count(*) AS DOUBLE)) AS idf FROM dt GROUP BY term
+        ), dw AS (SELECT doc_id, term, tf * idf AS w FROM dt JOIN idf USING (term)
+        ), qw AS (SELECT item_id, term, tf * idf AS w FROM qt JOIN idf USING (term)
+        ), dn AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM dw GROUP BY doc_id
+        ), qn AS (SELECT item_id, sqrt(sum(w * w)) AS norm FROM qw GROUP BY item_id
+        ), dots AS (
+          SELECT item_id, doc_id, sum(dw.w * qw.w) AS dot FROM dw JOIN qw USING (term) WHERE dw.w > 0 AND qw.w > 0 GROUP BY item_id, doc_id
+        ), scored AS (
+          SELECT item_id, doc_id, dot / (dn.norm * qn.norm) AS score FROM dots JOIN dn USING (doc_id) JOIN qn USING (item_id)
+        ), r AS (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scored)
+        SELECT item_id AS question_id, doc_id AS document_id, CAST(rank AS INT) AS rank, round(score, 4) AS relevance FROM r WHERE rank <= 5""",
+    "schema_history": f"""WITH {PAYLOADS}
+        SELECT version, committed_at, record_count, column_name, type, nullable FROM cols WHERE version > (SELECT max(version) FROM totals) - 7""",
+    "schema_drift_pair": f"WITH {PAYLOADS} SELECT * FROM changes WHERE to_version = (SELECT max(version) FROM totals)",
+    "schema_drift_history": f"WITH {PAYLOADS} SELECT * FROM changes",
+    "schema_drift_severity": f"""WITH {PAYLOADS}, v AS (
+          SELECT from_version, to_version,
+            string_agg(column_name, ', ' ORDER BY column_name) FILTER (WHERE change = 'added') AS added,
+            string_agg(column_name, ', ' ORDER BY column_name) FILTER (WHERE change = 'removed') AS removed,
+            string_agg(column_name, ', ' ORDER BY column_name) FILTER (WHERE change = 'type' AND NOT (from_type = 'bigint' AND to_type = 'double')) AS narrowed,
+            count(*) FILTER (WHERE change = 'type') AS retyped,
+            count(*) FILTER (WHERE change IN ('removed', 'type') AND column_name IN ('event_id', 'user_id')) AS on_key
+          FROM changes GROUP BY from_version, to_version HAVING count(*) FILTER (WHERE change <> 'nullability') > 0)
+        SELECT from_version, to_version, removed IS NOT NULL OR narrowed IS NOT NULL AS is_breaking_change,
+          CASE WHEN (removed IS NOT NULL OR narrowed IS NOT NULL) AND on_key > 0 THEN 'critical' WHEN removed IS NOT NULL OR narrowed IS NOT NULL THEN 'high'
+            WHEN retyped > 0 THEN 'medium' ELSE 'low' END AS severity,
+          CASE WHEN removed IS NOT NULL THEN 'a producer stopped sending columns' WHEN retyped > 0 THEN 'a producer changed the type of values'
+            ELSE 'a producer started sending new columns' END AS root_cause_hypothesis,
+          concat_ws('; ', 'restore or replace: ' || removed, 'check readers of: ' || narrowed, 'document: ' || added) AS recommended_actions,
+          CASE WHEN removed IS NOT NULL OR narrowed IS NOT NULL THEN 'SELECT * FROM payloads VERSION AS OF ' || from_version END AS rollback_sql
+        FROM v""",
+    "schema_merge": f"""WITH {TXN}
+        SELECT event_id, amount, date_part, CASE WHEN date_part < DATE '2024-01-15' THEN NULL ELSE payment_method END AS payment_method FROM flagged""",
+    "snapshot_as_of": union([SNAPSHOT.format(v=1, where=OLD_ORDERS), SNAPSHOT.format(v=2, where="")]),
+    "snapshot_rollback": SNAPSHOT.format(v=3, where=OLD_ORDERS),
+    "prompt_batches": f"""WITH {TXN}, {RANKED}, rec AS (
+          SELECT date_part, CAST(floor((rank - 1) / 20) AS INT) AS batch, rank, CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'product_id': product_id,
+            'amount': amount, 'currency': currency, 'event_type': event_type, 'timestamp': strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'),
+            'country': country, 'payment_method': payment_method, 'anomaly_type': concat_ws(',', {", ".join(f"CASE WHEN flag_{t} THEN '{t}' END" for t in TYPES)})}}) AS VARCHAR) AS record
+          FROM ranked
+        ), p AS (
+          SELECT date_part, batch, count(*) AS n, '{ANOMALY_TASK}' || chr(10) || chr(10) || CAST(count(*) AS VARCHAR) || ' records:' || chr(10) || chr(10)
+            || string_agg(record, chr(10) ORDER BY rank) AS prompt FROM rec GROUP BY date_part, batch)
+        SELECT date_part, batch, n, length(prompt) AS prompt_chars, md5(prompt) AS prompt_md5, n + 1 AS parts FROM p""",
+    "parse_responses": f"""WITH {TXN}, {ENRICHED}
+        SELECT event_id AS answer_id, ok AS parse_ok, CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN fraud_risk END AS fraud_risk,
+          CASE WHEN ok THEN geo_risk_flag END AS geo_risk_flag, CASE WHEN ok THEN enrichment_confidence END AS enrichment_confidence,
+          CASE WHEN ok THEN 'fits {{usual}} values' END AS reasoning
+        FROM (SELECT *, currency <> 'XYZ' AND payment_method IS NOT NULL AS ok FROM enriched)""",
 }

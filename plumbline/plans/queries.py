@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import anomalies as an
+from plumbline.operators import catalog as ca
+from plumbline.operators import drift as dr
+from plumbline.operators import enrich as en
 from plumbline.operators import health as he
+from plumbline.operators import messages as me
+from plumbline.operators import profile as pr
+from plumbline.operators import search as se
 from plumbline.operators.remediate import remediate
 from plumbline.operators.rules import Rule, anomalous, apply_rules, clean
-from plumbline.plans.transactions import AS_OF, load_decoded, load_flagged
-from plumbline.sources.tables import read_table
+from plumbline.plans.examples import enrich_frame, evolving_messages, service_answers
+from plumbline.plans.transactions import AS_OF, load_decoded, load_flagged, load_transactions, messages, project
+from plumbline.session import new_work_path
+from plumbline.sources import snapshots as sn
+from plumbline.sources.tables import merge_rows, read_table
+from plumbline.streaming import split
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,12 +147,197 @@ def alert_routing(spark: SparkSession, sf: str) -> DataFrame:
     return he.alerts(health_daily(spark, sf))
 
 
+def stream_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The events file as a stream, split into both sides; rows per side and date of the tables written."""
+    schema = read_table(spark, sf, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    target = new_work_path(spark, "stream-split")
+    flagged = split.flagged_stream(messages(project(source)), as_of=AS_OF)
+    query = split.split_once(flagged, f"{target}/table", f"{target}/checkpoint", trigger=None)
+    query.awaitTermination()
+    sides = [split.read_side(spark, f"{target}/table", side).select(F.lit(side).alias("side"), "date_part") for side in (split.CLEAN, split.ANOMALIES)]
+    return sides[0].unionByName(sides[1]).groupBy("side", "date_part").agg(F.count(F.lit(1)).alias("n"))
+
+
+ENRICHED = ["event_id", *[name for name, _, _ in en.ENRICHMENT_DEFAULTS]]
+
+
+def enrich_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    return en.enrich(load_transactions(spark, sf)).select(*ENRICHED)
+
+
+def enrich_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    inputs = load_transactions(spark, sf).select("event_id", "product_id", "amount", "currency", "event_type", "country", "payment_method")
+    return en.enrich_partitions(inputs, enrich_frame, on_error="raise").select(*ENRICHED)
+
+
+def enrich_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rounds of enrichments for overlapping parts of the events; the second round wins, the rest gets defaults."""
+    records = load_transactions(spark, sf).select("event_id", "amount", "event_type")
+    given = en.enrich(load_transactions(spark, sf))
+    first = given.filter(F.col("event_type") == "purchase").select(*ENRICHED, F.lit(1).alias("round"))
+    second = given.filter(F.col("payment_method") == "crypto").withColumn("enrichment_reasoning", F.lit("second round"))
+    return en.merge_enrichments(records, first.unionByName(second.select(*ENRICHED, F.lit(2).alias("round"))), "round")
+
+
+def null_rates(spark: SparkSession, sf: str) -> DataFrame:
+    transactions = load_transactions(spark, sf).drop("drifted")
+    tables = {"transactions": transactions, "documents": read_table(spark, sf, "documents"), "orders": read_table(spark, sf, "orders")}
+    return pr.over_tables(pr.null_rates, tables)
+
+
+def numeric_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return pr.over_tables(pr.numeric_profile, {t: read_table(spark, sf, t) for t in ("orders", "lineitem", "events", "part")})
+
+
+def sample_values(spark: SparkSession, sf: str) -> DataFrame:
+    keys = {"part": "p_partkey", "nation": "n_nationkey"}
+    samples = pr.over_tables(lambda df, t: pr.sample_values(df, t, keys[t]), {t: read_table(spark, sf, t) for t in keys})
+    return samples.withColumn("samples", F.array_join("samples", ","))
+
+
+TABLES = [
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages",
+    "part", "region", "supplier",
+]
+
+
+def _catalog(spark: SparkSession, sf: str, tables: list[str] = TABLES, **options) -> DataFrame:
+    return ca.entries({t: read_table(spark, sf, t) for t in tables}, {t: f"warehouse/{t}" for t in tables}, **options)
+
+
+def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
+    return ca.list_tables(_catalog(spark, sf))
+
+
+def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return pr.over_tables(pr.described_columns, {t: read_table(spark, sf, t) for t in TABLES})
+
+
+def catalog_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return _catalog(spark, sf).select("table_name", "document")
+
+
+def catalog_describe(spark: SparkSession, sf: str) -> DataFrame:
+    found = ca.describe(_catalog(spark, sf), "orders")
+    return found.select("table_name", "table_path", "row_count", F.array_join("columns.name", ",").alias("column_names"), "description")
+
+
+def catalog_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A first catalog of the business tables, then a later run over all tables that share a name with it and the others."""
+    old = _catalog(spark, sf, ["customer", "lineitem", "nation", "orders", "part", "region", "supplier"])
+    later = [t for t in TABLES if t not in ("nation", "region")]
+    new = _catalog(spark, sf, later, version=2, descriptions={"orders": "One row per order."})
+    return ca.upsert(old, new).select("table_name", "row_count", "description", "version")
+
+
+def _vector_questions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    vectors = read_table(spark, sf, "embeddings")
+    return se.centroids(vectors, "label", "embedding"), vectors
+
+
+def vector_topk_cosine(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors nearest to the mean vector of each label."""
+    questions, vectors = _vector_questions(spark, sf)
+    hits = se.nearest(questions, vectors, question_id="label", document_id="vec_id", vector="embedding")
+    return hits.select("question_id", "document_id", "rank", F.round("score", 4).alias("relevance"))
+
+
+def vector_topk_l2(spark: SparkSession, sf: str) -> DataFrame:
+    questions, vectors = _vector_questions(spark, sf)
+    hits = se.nearest(questions, vectors, metric="l2", question_id="label", document_id="vec_id", vector="embedding")
+    return hits.select("question_id", "document_id", "rank", F.round(-F.col("score"), 4).alias("distance"))
+
+
+def text_topk_tfidf(spark: SparkSession, sf: str) -> DataFrame:
+    hits = se.tfidf_top_k(
+        read_table(spark, sf, "benchmark"), read_table(spark, sf, "documents"), question_id="item_id", document_id="doc_id",
+    )
+    return hits.select("question_id", "document_id", "rank", F.round("score", 4).alias("relevance"))
+
+
+def _versions(spark: SparkSession, sf: str) -> DataFrame:
+    return dr.observed_versions(evolving_messages(read_table(spark, sf, "events")), "payloads")
+
+
+def schema_history(spark: SparkSession, sf: str) -> DataFrame:
+    versions = dr.history(_versions(spark, sf))
+    return versions.select("version", "committed_at", "record_count", F.inline("columns")).withColumnRenamed("name", "column_name")
+
+
+def schema_drift_pair(spark: SparkSession, sf: str) -> DataFrame:
+    return dr.change_rows(dr.newest_drift(_versions(spark, sf))).drop("table_name")
+
+
+def schema_drift_history(spark: SparkSession, sf: str) -> DataFrame:
+    return dr.change_rows(dr.changes(_versions(spark, sf))).drop("table_name")
+
+
+def schema_drift_severity(spark: SparkSession, sf: str) -> DataFrame:
+    found = dr.verdicts(dr.drift(_versions(spark, sf)), key_columns=["event_id", "user_id"])
+    return found.select(
+        "from_version", "to_version", "is_breaking_change", "severity", "root_cause_hypothesis",
+        F.array_join("recommended_actions", "; ").alias("recommended_actions"), "rollback_sql",
+    )
+
+
+def schema_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Events before mid-month as an older generation without `payment_method`, later ones with it."""
+    rows = load_transactions(spark, sf).select("event_id", "amount", "payment_method", F.to_date("event_ts").alias("date_part"))
+    split_day = F.to_date(F.lit(RUN_DATE))
+    old = rows.filter(F.col("date_part") < split_day).drop("payment_method")
+    return merge_rows(old, rows.filter(F.col("date_part") >= split_day))
+
+
+def _snapshots(spark: SparkSession, sf: str) -> str:
+    """Orders published twice: those before 2000, then all."""
+    path = new_work_path(spark, "snapshots")
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    sn.publish(orders.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")), path, 1, committed_at="2024-01-01 00:00:00")
+    sn.publish(orders, path, 2, committed_at="2024-01-02 00:00:00")
+    return path
+
+
+def _totals(snapshot: DataFrame, version: int) -> DataFrame:
+    totals = snapshot.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return totals.select(F.lit(version).alias("version"), "o_orderstatus", "n", "total")
+
+
+def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    path = _snapshots(spark, sf)
+    earlier = sn.read_as_of(spark, path, at="2024-01-01 12:00:00")
+    return _totals(earlier, 1).unionByName(_totals(sn.read_as_of(spark, path, 2), 2))
+
+
+def snapshot_rollback(spark: SparkSession, sf: str) -> DataFrame:
+    path = _snapshots(spark, sf)
+    version = sn.rollback(spark, path, 1, committed_at="2024-01-03 00:00:00")
+    return _totals(sn.read_as_of(spark, path), version)
+
+
+def prompt_batches(spark: SparkSession, sf: str) -> DataFrame:
+    prompts = me.anomaly_prompts(load_flagged(spark, sf))
+    return prompts.select(
+        "date_part", "batch", "n", F.length("prompt").cast("bigint").alias("prompt_chars"), F.md5("prompt").alias("prompt_md5"),
+        F.size(F.split("prompt", '"event_id":"EVT-')).cast("bigint").alias("parts"),
+    )
+
+
+def parse_responses(spark: SparkSession, sf: str) -> DataFrame:
+    answers = service_answers(en.enrich(load_transactions(spark, sf)))
+    return me.parse_objects(answers, me.ENRICHMENT_ANSWER_DDL).select("answer_id", "parse_ok", "event_id", "fraud_risk", "geo_risk_flag", "enrichment_confidence", "reasoning")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
         decode_events, payload_key_drift, quality_flags, clean_events, anomaly_events, rules_on_customer, rules_on_orders,
         remediated_events, anomaly_summary_day, anomaly_summary_by_type, top_anomalies, unanalyzed_anomalies,
         anomaly_batches, anomaly_groups, anomaly_patterns, anomaly_report_daily,
-        freshness, health_daily, incidents, dq_actions, alert_routing,
+        stream_split, enrich_transactions, enrich_partitioned, enrich_merge,
+        null_rates, numeric_profile, sample_values, catalog_tables, catalog_columns, catalog_documents, catalog_describe, catalog_upsert,
+        vector_topk_cosine, vector_topk_l2, text_topk_tfidf,
+        schema_history, schema_drift_pair, schema_drift_history, schema_drift_severity, schema_merge, snapshot_as_of, snapshot_rollback,
+        freshness, health_daily, incidents, dq_actions, alert_routing, prompt_batches, parse_responses,
     ]
 }
