@@ -18,7 +18,8 @@ def term_counts(documents: DataFrame, document_id: str, text: str) -> DataFrame:
         F.sequence(F.lit(1), F.size("t")),
         lambda i: (i == 1) | (F.element_at("t", i) != F.element_at("t", i - 1)),
     )
-    cut = ordered.filter(F.size("t") > 0).select(document_id, "t", starts.alias("s"))
+    cut = ordered.select(document_id, "t", F.when(F.size("t") > 0, starts).alias("s"))
     ends = F.concat(F.slice("s", F.lit(2), F.size("s")), F.array(F.size("t") + 1))
     runs = F.zip_with("s", ends, lambda a, b: F.struct(F.element_at("t", a).alias("term"), (b - a).alias("tf")))
-    return cut.select(document_id, F.inline(runs))
+    # The outer form keeps Spark from adding a filter that would count the terms a second time.
+    return cut.select(document_id, F.inline_outer(runs)).filter(F.col("term").isNotNull())

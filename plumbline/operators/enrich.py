@@ -88,15 +88,15 @@ def enrich(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _chunks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """Rows of a partition in chunks of exactly `size`, with one shorter chunk at the end."""
+def _whole_chunks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """The rows of a partition in frames whose length is a multiple of `size`, the last one excepted."""
     rest: pd.DataFrame | None = None
     for frame in frames:
         if rest is not None and len(rest):
             frame = pd.concat([rest, frame], ignore_index=True)
         whole = len(frame) - len(frame) % size
-        for start in range(0, whole, size):
-            yield frame.iloc[start:start + size].reset_index(drop=True)
+        if whole:
+            yield frame.iloc[:whole]
         rest = frame.iloc[whole:]
     if rest is not None and len(rest):
         yield rest.reset_index(drop=True)
@@ -106,29 +106,36 @@ def enrich_partitions(records: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFr
                       on_error: str = "default") -> DataFrame:
     """Call a user's function on chunks of a partition and append the enrichment columns it returns.
 
-    `fn` gets a chunk and returns a frame with the enrichment columns, row by row in the same order; columns it leaves out
-    and nulls get the defaults. A failing call gives its chunk the defaults, or ends the job with `on_error="raise"`.
+    `fn` gets at most `batch_size` rows and returns a frame with the enrichment columns, row by row in the same order; columns
+    it leaves out and nulls get the defaults. A failing call gives its chunk the defaults, or ends the job with
+    `on_error="raise"`.
     """
     kinds = {"string": object, "boolean": bool, "double": float}
     names = [name for name, _, _ in ENRICHMENT_DEFAULTS]
     base = records.select(*[c for c in records.columns if c not in names])
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields), ENRICHMENT_DDL])
 
+    def call(chunk: pd.DataFrame) -> pd.DataFrame:
+        try:
+            found = fn(chunk)
+            if len(found) != len(chunk):
+                raise ValueError(f"got {len(found)} rows for {len(chunk)}")
+            return found
+        except Exception:
+            if on_error == "raise":
+                raise
+            logger.exception("enrichment of a chunk failed; its rows get the defaults")
+            return pd.DataFrame(index=chunk.index)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in _chunks(frames, batch_size):
-            try:
-                found = fn(chunk).reset_index(drop=True)
-                if len(found) != len(chunk):
-                    raise ValueError(f"got {len(found)} rows for {len(chunk)}")
-            except Exception:
-                if on_error == "raise":
-                    raise
-                logger.exception("enrichment of a chunk failed; its rows get the defaults")
-                found = pd.DataFrame(index=chunk.index)
+        for frame in _whole_chunks(frames, batch_size):
+            parts = [call(frame.iloc[start:start + batch_size].reset_index(drop=True)) for start in range(0, len(frame), batch_size)]
+            found = pd.concat(parts, ignore_index=True)
+            frame = frame.copy()
             for name, kind, default in ENRICHMENT_DEFAULTS:
-                values = found[name].astype(object) if name in found else pd.Series(None, index=chunk.index, dtype=object)
-                chunk[name] = values.where(values.notna(), default).astype(kinds[kind])
-            yield chunk
+                values = found[name].astype(object) if name in found else pd.Series(None, index=found.index, dtype=object)
+                frame[name] = values.where(values.notna(), default).astype(kinds[kind]).to_numpy()
+            yield frame
 
     return base.mapInPandas(run, out)
 

@@ -76,12 +76,13 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
             document_id: str = "document_id", vector: str = "vector", max_sent: int = MAX_SENT_NUMBERS) -> DataFrame:
     """(question_id, document_id, rank, score): the k documents nearest to each question, or all if there are fewer.
 
-    `metric` is `cosine` (score = similarity) or `l2` (score = negative distance). Rows without a vector take no part.
+    `metric` is `cosine` (score = similarity) or `l2` (score = negative distance). Rows without an id or a vector take no part.
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric {metric!r}")
     asked = questions.select(F.col(question_id).alias("question_id"), F.col(vector).alias("vector")).filter("vector IS NOT NULL")
-    searched = documents.select(F.col(document_id).alias("document_id"), F.col(vector).alias("vector")).filter("vector IS NOT NULL")
+    searched = documents.select(F.col(document_id).alias("document_id"), F.col(vector).alias("vector"))
+    searched = searched.filter("document_id IS NOT NULL AND vector IS NOT NULL")
     size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("numbers")).first()
     ddl = _best_ddl(asked, searched)
     if size["numbers"] > max_sent:
@@ -133,12 +134,12 @@ def _with_idf(postings: DataFrame, idf: DataFrame, n_postings: int, max_hot: int
     the cut, so the shuffle by term is even.
     """
     cut = n_postings // max_hot + 1
-    hot = F.broadcast(idf.filter(F.col("df") >= cut).select("term", "idf"))
+    hot = idf.filter(F.col("df") >= cut).select("term", "idf")
     cold = idf.filter(F.col("df") < cut).select("term", "idf")
-    frequent = postings.join(hot, "term")
+    frequent = postings.join(F.broadcast(hot), "term")
     if cut == 1:  # every term is hot
         return frequent
-    return frequent.unionByName(postings.join(hot.select("term"), "term", "left_anti").join(cold, "term"))
+    return frequent.unionByName(postings.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term"))
 
 
 def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, question_id: str = "question_id",
@@ -146,15 +147,16 @@ def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, q
                 max_sent: int = MAX_SENT_NUMBERS, max_hot_terms: int = MAX_HOT_TERMS) -> DataFrame:
     """(question_id, document_id, rank, score): the k documents with the highest TF-IDF cosine per question.
 
-    Weight is tf × ln(N / df) over the documents; a document sharing no weighted term with a question is no hit.
+    Weight is tf × ln(N / df) over the documents with an id, whose ids must be unique; a document sharing no weighted term with
+    a question is no hit.
     """
     asked = questions.select(F.col(question_id).alias("question_id"), F.col(question_text).alias("text"))
-    searched = documents.select(F.col(document_id).alias("document_id"), F.col(document_text).alias("text"))
+    searched = documents.select(F.col(document_id).alias("document_id"), F.col(document_text).alias("text")).filter("document_id IS NOT NULL")
     n_documents = searched.count()
     postings = materialize(term_counts(searched, "document_id", "text"), "postings")
     n_postings = postings.count()
     frequencies = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = frequencies.select("term", "df", F.log(F.lit(float(n_documents)) / F.col("df")).alias("idf"))
+    idf = materialize(frequencies.select("term", "df", F.log(F.lit(float(n_documents)) / F.col("df")).alias("idf")), "idf")
     weight = F.col("tf") * F.col("idf")
 
     asked_terms = term_counts(asked, "question_id", "text").join(idf, "term").select("question_id", "term", weight.alias("w")).filter("w > 0")

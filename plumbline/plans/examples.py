@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.enrich import CATEGORIES, CONFIDENCE_INPUTS, USUAL_PAIRS
+from plumbline.operators.enrich import CATEGORIES, USUAL_PAIRS
+from plumbline.schemas import ENRICHMENT_DEFAULTS
 
 DAYS_PER_VERSION = 4
 
@@ -45,30 +45,37 @@ def evolving_messages(events: DataFrame) -> DataFrame:
     return rows.select("version", "event_ts", F.concat(F.lit("{"), parts, F.lit("}")).alias("value"))
 
 
+def _judge(amount, payment, kind, country, currency, product) -> tuple:
+    number = int(product[4:]) if isinstance(product, str) and product[:4] == "PRD-" and product[4:].isdigit() else -1
+    risky = (country, currency) not in USUAL_PAIRS
+    known = amount == amount and amount is not None
+    reasons = []
+    if known and amount > 100:
+        reasons.append("amount above 200" if amount > 200 else "amount above 100")
+    if payment is None or payment == "crypto":
+        reasons.append("no payment method" if payment is None else "paid with crypto")
+    if risky:
+        reasons.append("unusual country and currency")
+    points = (known and amount > 100) + (known and amount > 200) + 2 * (payment == "crypto") + (payment is None) + risky
+    risk = "unknown" if not known else "high" if points >= 4 else "medium" if points >= 2 else "low"
+    intent = "planned_purchase"
+    if kind is None:
+        intent = "unknown"
+    elif kind == "refund":
+        intent = "refund_request"
+    elif kind == "purchase" and 90 <= number <= 99:
+        intent = "subscription"
+    elif kind == "purchase" and known and amount < 20:
+        intent = "impulse_buy"
+    category = next((name for low, high, name in CATEGORIES if low <= number <= high), "unknown")
+    present = known + (country is not None) + (payment is not None) + (product is not None)
+    return risk, intent, category, risky, present / 4, "; ".join(reasons)
+
+
 def enrich_frame(rows: pd.DataFrame) -> pd.DataFrame:
-    """The enrichment rules on a pandas chunk, as an example of a partition function."""
-    amount, payment, kind = rows["amount"], rows["payment_method"], rows["event_type"]
-    usual = pd.MultiIndex.from_frame(rows[["country", "currency"]]).isin(USUAL_PAIRS)
-    number = pd.to_numeric(rows["product_id"].str.extract(r"^PRD-([0-9]+)$")[0])
-    points = (amount > 100).astype(int) + (amount > 200) + 2 * (payment == "crypto") + payment.isna() + ~usual
-    category = np.select([number.between(low, high) for low, high, _ in CATEGORIES], [name for *_, name in CATEGORIES], "unknown")
-    bought = kind == "purchase"
-    reasons = pd.DataFrame({
-        "a": np.select([amount > 200, amount > 100], ["amount above 200", "amount above 100"], ""),
-        "b": np.select([payment == "crypto", payment.isna()], ["paid with crypto", "no payment method"], ""),
-        "c": np.where(usual, "", "unusual country and currency"),
-    })
-    return pd.DataFrame({
-        "fraud_risk": np.select([amount.isna(), points >= 4, points >= 2], ["unknown", "high", "medium"], "low"),
-        "customer_intent": np.select(
-            [kind.isna(), kind == "refund", bought & number.between(90, 99), bought & (amount < 20)],
-            ["unknown", "refund_request", "subscription", "impulse_buy"], "planned_purchase",
-        ),
-        "product_category": category,
-        "geo_risk_flag": ~usual,
-        "enrichment_confidence": rows[CONFIDENCE_INPUTS].notna().sum(axis=1) / len(CONFIDENCE_INPUTS),
-        "enrichment_reasoning": ["; ".join(filter(None, parts)) for parts in reasons.itertuples(index=False)],
-    })
+    """The enrichment rules on a chunk of at most a few dozen rows, standing in for a user's partition function."""
+    inputs = (rows[c].tolist() for c in ["amount", "payment_method", "event_type", "country", "currency", "product_id"])
+    return pd.DataFrame([_judge(*row) for row in zip(*inputs, strict=True)], columns=[name for name, _, _ in ENRICHMENT_DEFAULTS])
 
 
 def service_answers(enriched: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from plumbline.plans.examples import enrich_frame, evolving_messages, service_an
 from plumbline.plans.transactions import AS_OF, load_decoded, load_flagged, load_transactions, messages, project
 from plumbline.session import new_work_path
 from plumbline.sources import snapshots as sn
-from plumbline.sources.tables import merge_rows, read_table
+from plumbline.sources.tables import merge_rows, read_table, spread
 from plumbline.streaming import split
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,13 +251,13 @@ def vector_topk_l2(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_topk_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     hits = se.tfidf_top_k(
-        read_table(spark, sf, "benchmark"), read_table(spark, sf, "documents"), question_id="item_id", document_id="doc_id",
+        read_table(spark, sf, "benchmark"), spread(read_table(spark, sf, "documents"), "doc_id"), question_id="item_id", document_id="doc_id",
     )
     return hits.select("question_id", "document_id", "rank", F.round("score", 4).alias("relevance"))
 
 
 def _versions(spark: SparkSession, sf: str) -> DataFrame:
-    return dr.observed_versions(evolving_messages(read_table(spark, sf, "events")), "payloads")
+    return dr.observed_versions(evolving_messages(spread(read_table(spark, sf, "events"), "event_id")), "payloads")
 
 
 def schema_history(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.scalars import iso_utc
 from plumbline.operators.rules import flag_transactions
 from plumbline.sources.events import decode
-from plumbline.sources.tables import read_table
+from plumbline.sources.tables import read_table, spread
 
 AS_OF = "2024-01-31 00:00:00"
 MESSAGE_FIELDS = ["event_id", "user_id", "product_id", "amount", "currency", "event_type", "timestamp", "country"]
@@ -53,7 +53,7 @@ def messages(transactions: DataFrame) -> DataFrame:
 
 
 def load_transactions(spark: SparkSession, directory: str) -> DataFrame:
-    return project(read_table(spark, directory, "events"))
+    return project(spread(read_table(spark, directory, "events"), "event_id"))
 
 
 def load_decoded(spark: SparkSession, directory: str) -> DataFrame:

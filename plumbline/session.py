@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -22,6 +24,7 @@ CLUSTER_CONF = {
 }
 
 _local_base: str | None = None
+_shipped_to: set[str] = set()
 
 
 def build_session(app: str = "plumbline", master: str | None = None, conf: Mapping[str, str] | None = None) -> SparkSession:
@@ -31,7 +34,20 @@ def build_session(app: str = "plumbline", master: str | None = None, conf: Mappi
         builder = builder.master(master)
     for key, value in {**CLUSTER_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application, for the functions that run in them."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped_to:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="plumbline-code-"), "plumbline")
+    spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped_to.add(application)
 
 
 def shared_base(spark: SparkSession) -> str:

@@ -49,15 +49,20 @@ def decode(messages: DataFrame, *, value: str = "value", ingest_ts: str | dateti
     read from the text itself: a fixed schema would silently drop the ones it does not know.
     """
     text = F.col(value).cast("string")
-    parsed = messages.select(F.from_json(text, EVENT_DDL).alias("d"), payload_keys(text).alias("keys"))
+    keys = payload_keys(text)
+    record = F.struct(
+        F.from_json(text, EVENT_DDL).alias("d"), unexpected_keys(keys).alias("unexpected_keys"), missing_keys(keys).alias("missing_keys"),
+    )
+    # As a one-row generator the parsing is not merged into later filters, which would repeat it for every field they use.
+    parsed = messages.select(F.inline_outer(F.array(record)))
     event_ts = F.try_to_timestamp(F.col("timestamp"))
-    return parsed.select("d.*", "keys").select(
+    return parsed.select("d.*", "unexpected_keys", "missing_keys").select(
         *[F.col(name) for name in ALLOWED_KEYS],
         event_ts.alias("event_ts"),
         as_timestamp(ingest_ts).alias("ingest_ts"),
         F.to_date(event_ts).alias("date_part"),
-        unexpected_keys(F.col("keys")).alias("unexpected_keys"),
-        missing_keys(F.col("keys")).alias("missing_keys"),
+        "unexpected_keys",
+        "missing_keys",
     )
 
 

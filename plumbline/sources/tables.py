@@ -13,6 +13,15 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Shuffle by key only if the input has fewer splits than the session has cores, as with one small file.
+
+    A large table has more splits than cores and is returned as it is. Use before CPU-heavy row work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def append(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Append a batch. For a partitioned target AQE sizes the output files and splits a hot partition."""
     if partition_by:
