@@ -53,3 +53,10 @@ def suffix_number(text: Column, prefix: str) -> Column:
     """The integer after `prefix`; NULL if the text has another form."""
     digits = F.regexp_extract(text, f"^{prefix}([0-9]+)$", 1)
     return digits.try_cast("int")
+
+
+def is_json(text: Column) -> Column:
+    """Whether a text is exactly one JSON value. The parser alone would accept a value followed by anything."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    one = F.try_variant_get(wrapped, "$[0]", "variant").isNotNull() & F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    return F.coalesce(one, F.lit(False))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.scalars import embedded_json, iso_utc
+from plumbline.functions.scalars import embedded_json, is_json, iso_utc
 from plumbline.operators.anomalies import batch_number, ranked_by_day, type_names
 from plumbline.schemas import ANALYSIS_BATCH, ANALYSIS_CAP, ENRICHMENT_BATCH, GROUP_DDL
 
@@ -103,10 +103,10 @@ def parse_objects(answers: DataFrame, ddl: str, *, text: str = "text") -> DataFr
     """The JSON object inside each answer as typed columns; `parse_ok` is false and the columns NULL if there is none."""
     inner = embedded_json(F.col(text), "object")
     kept = [c for c in answers.columns if c != text]
-    valid = F.try_parse_json(F.col("_json")).isNotNull()
     return (
         answers.select(*kept, inner.alias("_json"))
-        .select(*kept, valid.alias("parse_ok"), F.when(valid, F.from_json("_json", ddl)).alias("_answer"))
+        .select(*kept, "_json", is_json(F.col("_json")).alias("parse_ok"))
+        .select(*kept, "parse_ok", F.when(F.col("parse_ok"), F.from_json("_json", ddl)).alias("_answer"))
         .select(*kept, "parse_ok", "_answer.*")
     )
 
@@ -124,13 +124,13 @@ def parse_enrichments(answers: DataFrame, *, text: str = "text") -> DataFrame:
     inner = embedded_json(F.col(text), "array")
     kept = [c for c in answers.columns if c != text]
     item = f"array<struct<{', '.join(part.replace(' ', ': ', 1) for part in ENRICHMENT_ANSWER_DDL.split(', '))}>>"
-    parsed = answers.select(*kept, inner.alias("_json")).filter(F.try_parse_json("_json").isNotNull())
+    parsed = answers.select(*kept, inner.alias("_json")).filter(is_json(F.col("_json")))
     rows = parsed.select(*kept, F.inline(F.from_json("_json", item)))
     return rows.withColumnRenamed("reasoning", "enrichment_reasoning")
 
 
 def unreadable(answers: DataFrame, kind: str = "array", *, text: str = "text") -> DataFrame:
     """Answers without a readable JSON part of the given kind."""
-    return answers.filter(F.try_parse_json(embedded_json(F.col(text), kind)).isNull())
+    return answers.filter(~is_json(embedded_json(F.col(text), kind)))
 
 

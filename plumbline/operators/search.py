@@ -108,13 +108,14 @@ def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: in
     """
     rows = max(1, -(-n_asked // CELL_DOCUMENTS))
     columns = max(1, -(-searched.count() // CELL_DOCUMENTS))
+    def numbers(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
     left = asked.select(
-        F.pmod(F.xxhash64("question_id"), F.lit(rows)).alias("i"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).cast("bigint").alias("j"),
-        "question_id", "vector",
+        F.pmod(F.xxhash64("question_id"), F.lit(rows)).alias("i"), numbers(columns).alias("j"), "question_id", "vector",
     )
     right = searched.select(
-        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).cast("bigint").alias("i"), F.pmod(F.xxhash64("document_id"), F.lit(columns)).alias("j"),
-        "document_id", "vector",
+        numbers(rows).alias("i"), F.pmod(F.xxhash64("document_id"), F.lit(columns)).alias("j"), "document_id", "vector",
     )
 
     def cell(questions: pd.DataFrame, documents: pd.DataFrame) -> pd.DataFrame:

@@ -32,7 +32,7 @@ class BreakingSchemaChange(ValueError):
 def _replace_run(df: DataFrame, path: str, run_date: str | date) -> DataFrame:
     rows = df if "run_date" in df.columns else df.select(as_date(run_date).alias("run_date"), "*")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)
-    return df.sparkSession.read.parquet(path).filter(F.col("run_date") == as_date(run_date))
+    return df.sparkSession.read.schema(rows.schema).parquet(path).filter(F.col("run_date") == as_date(run_date))
 
 
 def analyze_anomalies(flagged: DataFrame, run_date: str | date, reports_path: str, *, ledger: DataFrame | None = None,
