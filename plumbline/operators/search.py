@@ -10,11 +10,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.functions.text import term_counts
 from plumbline.functions.topk import BestK
@@ -42,14 +45,17 @@ def _rank(best: DataFrame, k: int) -> DataFrame:
     return best.select("*", F.row_number().over(order).alias("rank")).filter(F.col("rank") <= k)
 
 
-def _best_ddl(questions: DataFrame, documents: DataFrame) -> str:
-    types = [questions.schema["question_id"].dataType.simpleString(), documents.schema["document_id"].dataType.simpleString()]
-    return f"question_id {types[0]}, document_id {types[1]}, score double"
+def _best_schema(questions: DataFrame, documents: DataFrame) -> T.StructType:
+    return T.StructType([
+        T.StructField("question_id", questions.schema["question_id"].dataType),
+        T.StructField("document_id", documents.schema["document_id"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
 
 
-def _frame(best: BestK, question_ids: list) -> pd.DataFrame:
-    questions, documents, scores = best.rows(question_ids)
-    return pd.DataFrame({"question_id": questions, "document_id": documents, "score": scores})
+def _best_batch(best: BestK, question_ids: list, schema: pa.Schema) -> pa.RecordBatch:
+    columns = best.rows(question_ids)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -57,14 +63,21 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(norms == 0, 1.0, norms)
 
 
-def _score_vectors(best: BestK, questions: np.ndarray, frame: pd.DataFrame, metric: str) -> None:
-    """Add the scores of a frame of documents, block by block. `l2` scores are negative distances."""
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """An Arrow column of equally long lists as a matrix."""
+    lengths = pc.min_max(pc.list_value_length(vectors)).as_py()
+    if lengths["min"] != lengths["max"]:
+        raise ValueError(f"vectors differ in length: {lengths}")
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), lengths["min"] or 0)
+
+
+def _score_vectors(best: BestK, questions: np.ndarray, ids: np.ndarray, documents: np.ndarray, metric: str) -> None:
+    """Add the scores of some documents, block by block. `l2` scores are negative distances."""
     if metric == "cosine":
         questions = _unit(questions)
     step = max(1, BLOCK_NUMBERS // max(1, len(questions) + questions.shape[1]))
-    ids = frame["document_id"].to_numpy()
-    for start in range(0, len(frame), step):
-        block = np.stack(frame["vector"].iloc[start:start + step].to_numpy()).astype(np.float64)
+    for start in range(0, len(ids), step):
+        block = documents[start:start + step]
         if metric == "cosine":
             scores = _unit(block) @ questions.T
         else:
@@ -84,24 +97,25 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
     searched = documents.select(F.col(document_id).alias("document_id"), F.col(vector).alias("vector"))
     searched = searched.filter("document_id IS NOT NULL AND vector IS NOT NULL")
     size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("numbers")).first()
-    ddl = _best_ddl(asked, searched)
+    out = _best_schema(asked, searched)
     if size["numbers"] > max_sent:
-        return _rank(_nearest_shuffled(asked, searched, size["n"], k, metric, ddl), k)
+        return _rank(_nearest_shuffled(asked, searched, size["n"], k, metric, out), k)
+    arrow = to_arrow_schema(out)
     sent = asked.collect()  # at most max_sent numbers
     ids = [row["question_id"] for row in sent]
     matrix = np.array([row["vector"] for row in sent], dtype=np.float64)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestK(len(ids), k)
-        for frame in frames:
-            if len(frame) and len(ids):
-                _score_vectors(best, matrix, frame, metric)
-        yield _frame(best, ids)
+        for batch in batches:
+            if len(batch) and len(ids):
+                _score_vectors(best, matrix, batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)), metric)
+        yield _best_batch(best, ids, arrow)
 
-    return _rank(searched.mapInPandas(run, ddl), k)
+    return _rank(searched.mapInArrow(run, out), k)
 
 
-def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: int, metric: str, ddl: str) -> DataFrame:
+def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: int, metric: str, out: T.StructType) -> DataFrame:
     """Questions and documents are hashed to the rows and columns of a grid; each cell scores its share of both.
 
     Hashing is by id, so cells are even whatever the vectors; a cell sends on k rows per question.
@@ -118,14 +132,18 @@ def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: in
         numbers(rows).alias("i"), F.pmod(F.xxhash64("document_id"), F.lit(columns)).alias("j"), "document_id", "vector",
     )
 
-    def cell(questions: pd.DataFrame, documents: pd.DataFrame) -> pd.DataFrame:
-        ids = questions["question_id"].tolist()
+    arrow = to_arrow_schema(out)
+
+    def cell(questions: pa.Table, documents: pa.Table) -> pa.Table:
+        ids = questions.column("question_id").to_pylist()
         best = BestK(len(ids), k)
         if len(questions) and len(documents):
-            _score_vectors(best, np.stack(questions["vector"].to_numpy()).astype(np.float64), documents, metric)
-        return _frame(best, ids)
+            asked_rows = _matrix(questions.column("vector").combine_chunks())
+            names = documents.column("document_id").to_numpy(zero_copy_only=False)
+            _score_vectors(best, asked_rows, names, _matrix(documents.column("vector").combine_chunks()), metric)
+        return pa.Table.from_batches([_best_batch(best, ids, arrow)])
 
-    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(cell, ddl)
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(cell, out)
 
 
 def _with_idf(postings: DataFrame, idf: DataFrame, n_postings: int, max_hot: int) -> DataFrame:
@@ -166,11 +184,11 @@ def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, q
         asked_terms.join(lengths, "question_id").select("question_id", "term", (F.col("w") / F.col("length")).alias("w")), "questions",
     )
     weighted = _with_idf(postings, idf, n_postings, max_hot_terms).select("document_id", "term", weight.alias("w"))
-    ddl = _best_ddl(asked, searched)
+    out = _best_schema(asked, searched)
     size = asked_units.agg(F.count_distinct("term").alias("terms"), F.count_distinct("question_id").alias("questions")).first()
     if size["terms"] * size["questions"] > max_sent:
         return _rank(_tfidf_joined(asked_units, weighted), k)
-    return _rank(_tfidf_sent(asked_units, weighted, k, ddl), k)
+    return _rank(_tfidf_sent(asked_units, weighted, k, out), k)
 
 
 def _tfidf_joined(asked_units: DataFrame, weighted: DataFrame) -> DataFrame:
@@ -182,13 +200,13 @@ def _tfidf_joined(asked_units: DataFrame, weighted: DataFrame) -> DataFrame:
     return dots.join(norms, "document_id").select("question_id", "document_id", score.alias("score"))
 
 
-def _tfidf_sent(asked_units: DataFrame, weighted: DataFrame, k: int, ddl: str) -> DataFrame:
+def _tfidf_sent(asked_units: DataFrame, weighted: DataFrame, k: int, out: T.StructType) -> DataFrame:
     """Questions as a (term × question) matrix in every task; a document is one row with its question terms and its norm."""
     sent = asked_units.collect()  # at most as many rows as the matrix has cells
     vocabulary = sorted({row["term"] for row in sent})
     ids = sorted({row["question_id"] for row in sent})
     if not ids:
-        return asked_units.sparkSession.createDataFrame([], ddl)
+        return asked_units.sparkSession.createDataFrame([], out)
     position = {term: i for i, term in enumerate(vocabulary)}
     column = {question: i for i, question in enumerate(ids)}
     matrix = np.zeros((len(vocabulary), len(ids)))
@@ -201,25 +219,26 @@ def _tfidf_sent(asked_units: DataFrame, weighted: DataFrame, k: int, ddl: str) -
     rows = marked.groupBy("document_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), shared.alias("s"))
     rows = rows.filter(F.size("s") > 0).select("document_id", "norm", F.col("s.slot").alias("slots"), F.col("s.w").alias("weights"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestK(len(ids), k)
-        for frame in frames:
-            sizes = frame["slots"].map(len).to_numpy()
-            if not len(sizes):
+        for batch in batches:
+            if not len(batch):
                 continue
-            step = max(1, BLOCK_NUMBERS // (len(ids) * int(sizes.max())))
-            names, norms = frame["document_id"].to_numpy(), frame["norm"].to_numpy()
-            for start in range(0, len(frame), step):
-                part = slice(start, start + step)
-                slot = np.concatenate(frame["slots"].iloc[part].to_numpy())
-                w = np.concatenate(frame["weights"].iloc[part].to_numpy())
-                heads = np.concatenate([[0], np.cumsum(sizes[part])[:-1]])
-                dots = np.add.reduceat(matrix[slot] * w[:, None], heads, axis=0)
-                scores = np.where(dots > 0, dots / norms[part][:, None], -np.inf)
-                best.add(scores, names[part])
-        yield _frame(best, ids)
-
-    return rows.mapInPandas(run, ddl)
+            names, norms = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+            starts = np.concatenate([[0], ends[:-1]])
+            slots, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (2, 3))
+            step = max(1, BLOCK_NUMBERS // (len(ids) * int((ends - starts).max())))
+            for a in range(0, len(names), step):
+                b = min(a + step, len(names))
+                cut = slice(starts[a], ends[b - 1])
+                dots = np.add.reduceat(matrix[slots[cut]] * weights[cut, None], starts[a:b] - starts[a], axis=0)
+                best.add(np.where(dots > 0, dots / norms[a:b, None], -np.inf), names[a:b])
+        yield _best_batch(best, ids, arrow)
+
+    return rows.mapInArrow(run, out)
 
 
 def relevance(score: Column, digits: int = 3) -> Column:

@@ -157,6 +157,35 @@ def vector_top(score: str, shown: str) -> str:
         SELECT question_id, document_id, CAST(rank AS INT) AS rank, {shown} FROM r WHERE rank <= 5"""
 
 
+def tfidf(documents: str, questions: str) -> str:
+    """The five best documents (doc_id, text) per question (item_id, text) as relation `r`."""
+    split = r"unnest(string_split_regex(lower(text), '[^\p{L}]+'))"
+    return f"""docs AS ({documents}), dt AS (
+          SELECT doc_id, t AS term, count(*) AS tf FROM (SELECT doc_id, {split} AS t FROM docs) WHERE t <> '' GROUP BY doc_id, t
+        ), qt AS (
+          SELECT item_id, t AS term, count(*) AS tf FROM (SELECT item_id, {split} AS t FROM ({questions})) WHERE t <> '' GROUP BY item_id, t
+        ), idf AS (
+          SELECT term, ln((SELECT count(*) FROM docs) / CAST(count(*) AS DOUBLE)) AS idf FROM dt GROUP BY term
+        ), dw AS (SELECT doc_id, term, tf * idf AS w FROM dt JOIN idf USING (term)
+        ), qw AS (SELECT item_id, term, tf * idf AS w FROM qt JOIN idf USING (term)
+        ), dn AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM dw GROUP BY doc_id
+        ), qn AS (SELECT item_id, sqrt(sum(w * w)) AS norm FROM qw GROUP BY item_id
+        ), dots AS (
+          SELECT item_id, doc_id, sum(dw.w * qw.w) AS dot FROM dw JOIN qw USING (term) WHERE dw.w > 0 AND qw.w > 0 GROUP BY item_id, doc_id
+        ), scored AS (
+          SELECT item_id, doc_id, dot / (dn.norm * qn.norm) AS score FROM dots JOIN dn USING (doc_id) JOIN qn USING (item_id)
+        ), r AS (
+          SELECT item_id, doc_id, score, CAST(rank AS INT) AS rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scored) WHERE rank <= 5)"""
+
+
+QUESTIONS = [
+    (1, "Which table holds the price of an order?"),
+    (2, "customer name, nation key and account balance"),
+    (3, "Where are the embedding vectors and their label?"),
+    (4, "tables with text of documents, pages or conversations"),
+]
+
 PAYLOADS = """payloads AS (
   SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 4) AS BIGINT) + 1 AS version,
     CASE user_id % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'UK' WHEN 2 THEN 'DE' WHEN 3 THEN 'FR' ELSE 'CA' END AS country FROM events
@@ -359,25 +388,12 @@ ORACLES: dict[str, str] = {
     "catalog_upsert": union(described(t, 1 if t in ("nation", "region") else 2) for t in FIELDS),
     "vector_topk_cosine": vector_top("list_cosine_similarity(CAST(embedding AS DOUBLE[]), c)", "round(score, 4) AS relevance"),
     "vector_topk_l2": vector_top("-list_distance(CAST(embedding AS DOUBLE[]), c)", "round(-score, 4) AS distance"),
-    "text_topk_tfidf": r"""WITH dt AS (
-          SELECT doc_id, t AS term, count(*) AS tf FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS t FROM documents)
-          WHERE t <> '' GROUP BY doc_id, t
-        ), qt AS (
-          SELECT item_id, t AS term, count(*) AS tf FROM (SELECT item_id, unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS t FROM benchmark)
-          WHERE t <> '' GROUP BY item_id, t
-        ), idf AS (
-          SELECT term, ln((SELECT count(*) FROM documents) / CAST(count(*) AS DOUBLE)) AS idf FROM dt GROUP BY term
-        ), dw AS (SELECT doc_id, term, tf * idf AS w FROM dt JOIN idf USING (term)
-        ), qw AS (SELECT item_id, term, tf * idf AS w FROM qt JOIN idf USING (term)
-        ), dn AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM dw GROUP BY doc_id
-        ), qn AS (SELECT item_id, sqrt(sum(w * w)) AS norm FROM qw GROUP BY item_id
-        ), dots AS (
-          SELECT item_id, doc_id, sum(dw.w * qw.w) AS dot FROM dw JOIN qw USING (term) WHERE dw.w > 0 AND qw.w > 0 GROUP BY item_id, doc_id
-        ), scored AS (
-          SELECT item_id, doc_id, dot / (dn.norm * qn.norm) AS score FROM dots JOIN dn USING (doc_id) JOIN qn USING (item_id)
-        ), r AS (
-          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scored)
-        SELECT item_id AS question_id, doc_id AS document_id, CAST(rank AS INT) AS rank, round(score, 4) AS relevance FROM r WHERE rank <= 5""",
+    "text_topk_tfidf": f"""WITH {tfidf("SELECT doc_id, text FROM documents", "SELECT item_id, text FROM benchmark")}
+        SELECT item_id AS question_id, doc_id AS document_id, rank, round(score, 4) AS relevance FROM r""",
+    "catalog_search": f"""WITH catalog AS ({union(document(t) for t in FIELDS)}),
+        asked(item_id, text) AS (VALUES {", ".join(f"(CAST({i} AS INT), '{q}')" for i, q in QUESTIONS)}),
+        {tfidf("SELECT table_name AS doc_id, document AS text FROM catalog", "SELECT item_id, text FROM asked")}
+        SELECT item_id AS question_id, rank, table_name, table_path, row_count, round(score, 3) AS relevance_score FROM r JOIN catalog ON table_name = doc_id""",
     "schema_history": f"""WITH {PAYLOADS}
         SELECT version, committed_at, record_count, column_name, type, nullable FROM cols WHERE version > (SELECT max(version) FROM totals) - 7""",
     "schema_drift_pair": f"WITH {PAYLOADS} SELECT * FROM changes WHERE to_version = (SELECT max(version) FROM totals)",

@@ -21,7 +21,7 @@ from plumbline.plans.examples import enrich_frame, evolving_messages, service_an
 from plumbline.plans.transactions import AS_OF, load_decoded, load_flagged, load_transactions, messages, project
 from plumbline.session import new_work_path
 from plumbline.sources import snapshots as sn
-from plumbline.sources.tables import merge_rows, read_table, spread
+from plumbline.sources.tables import materialize, merge_rows, read_table, spread
 from plumbline.streaming import split
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ FLAGS = [f"flag_{name}" for name in an.TYPES]
 HEALTH_LIMITS = {"limit": 20, "stale_minutes": 10}
 
 
+def _stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The analysis columns of the flagged events as a table, for queries that read them more than once."""
+    columns = ["event_id", "date_part", "country", "event_ts", *FLAGS, "is_anomaly", "anomaly_score"]
+    return materialize(load_flagged(spark, sf).select(*columns), "flagged")
+
+
 def decode_events(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["event_id", "user_id", "product_id", "amount", "currency", "event_type", "event_ts", "country", "payment_method", "date_part"]
     return load_decoded(spark, sf).select(*columns)
@@ -100,7 +106,7 @@ def top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 
 def unanalyzed_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     """The ledger holds what the daily runs up to RUN_DATE took: the worst of each date up to the cap."""
-    found = anomalous(load_flagged(spark, sf))
+    found = materialize(anomalous(load_flagged(spark, sf)).select("event_id", "date_part", "anomaly_score", "is_anomaly"), "anomalies")
     ledger = an.ranked_by_day(found).filter(F.col("date_part") <= F.to_date(F.lit(RUN_DATE))).select("event_id")
     return an.not_analyzed(found, ledger).select("event_id", "date_part", "anomaly_score")
 
@@ -110,7 +116,7 @@ def anomaly_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anomaly_groups(spark: SparkSession, sf: str) -> DataFrame:
-    groups = an.anomaly_groups(load_flagged(spark, sf))
+    groups = an.anomaly_groups(_stored(spark, sf))
     return groups.withColumn("example_event_ids", F.array_join("example_event_ids", ","))
 
 
@@ -119,7 +125,7 @@ def anomaly_patterns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anomaly_report_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return an.daily_report(load_flagged(spark, sf), analyzed_at=AS_OF)
+    return an.daily_report(_stored(spark, sf), analyzed_at=AS_OF)
 
 
 def freshness(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,6 +237,21 @@ def catalog_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return ca.upsert(old, new).select("table_name", "row_count", "description", "version")
 
 
+QUESTIONS = [
+    (1, "Which table holds the price of an order?"),
+    (2, "customer name, nation key and account balance"),
+    (3, "Where are the embedding vectors and their label?"),
+    (4, "tables with text of documents, pages or conversations"),
+]
+
+
+def catalog_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Questions answered from the catalog of all tables."""
+    questions = spark.createDataFrame(QUESTIONS, "question_id int, text string")
+    found = se.search_catalog(materialize(_catalog(spark, sf), "catalog"), questions)
+    return found.select("question_id", "rank", "table_name", "table_path", "row_count", "relevance_score")
+
+
 def _vector_questions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     vectors = read_table(spark, sf, "embeddings")
     return se.centroids(vectors, "label", "embedding"), vectors
@@ -335,7 +356,7 @@ QUERIES: dict[str, Query] = {
         remediated_events, anomaly_summary_day, anomaly_summary_by_type, top_anomalies, unanalyzed_anomalies,
         anomaly_batches, anomaly_groups, anomaly_patterns, anomaly_report_daily,
         stream_split, enrich_transactions, enrich_partitioned, enrich_merge,
-        null_rates, numeric_profile, sample_values, catalog_tables, catalog_columns, catalog_documents, catalog_describe, catalog_upsert,
+        null_rates, numeric_profile, sample_values, catalog_tables, catalog_columns, catalog_documents, catalog_describe, catalog_upsert, catalog_search,
         vector_topk_cosine, vector_topk_l2, text_topk_tfidf,
         schema_history, schema_drift_pair, schema_drift_history, schema_drift_severity, schema_merge, snapshot_as_of, snapshot_rollback,
         freshness, health_daily, incidents, dq_actions, alert_routing, prompt_batches, parse_responses,

@@ -66,9 +66,20 @@ def shared_base(spark: SparkSession) -> str:
     return _local_base
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_base(spark)}/plumbline/{spark.sparkContext.applicationId}"
+
+
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_base(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_work(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application, once no result that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def as_timestamp(as_of: str | datetime | Column | None) -> Column:

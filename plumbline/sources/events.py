@@ -34,12 +34,21 @@ def payload_keys(value: Column) -> Column:
     return F.json_object_keys(value)
 
 
+def _texts(names: list[str]) -> Column:
+    return F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
+
+
+def _if_unusual(keys: Column, found: Column) -> Column:
+    """Most payloads hold exactly the required keys in order; those need no set difference."""
+    return F.when(keys == _texts(REQUIRED_KEYS), _texts([])).otherwise(F.array_sort(found))
+
+
 def unexpected_keys(keys: Column) -> Column:
-    return F.array_sort(F.array_except(keys, F.array(*map(F.lit, ALLOWED_KEYS))))
+    return _if_unusual(keys, F.array_except(keys, _texts(ALLOWED_KEYS)))
 
 
 def missing_keys(keys: Column) -> Column:
-    return F.array_sort(F.array_except(F.array(*map(F.lit, REQUIRED_KEYS)), keys))
+    return _if_unusual(keys, F.array_except(_texts(REQUIRED_KEYS), keys))
 
 
 def decode(messages: DataFrame, *, value: str = "value", ingest_ts: str | datetime | Column | None = None) -> DataFrame:
@@ -49,20 +58,17 @@ def decode(messages: DataFrame, *, value: str = "value", ingest_ts: str | dateti
     read from the text itself: a fixed schema would silently drop the ones it does not know.
     """
     text = F.col(value).cast("string")
-    keys = payload_keys(text)
-    record = F.struct(
-        F.from_json(text, EVENT_DDL).alias("d"), unexpected_keys(keys).alias("unexpected_keys"), missing_keys(keys).alias("missing_keys"),
-    )
     # As a one-row generator the parsing is not merged into later filters, which would repeat it for every field they use.
-    parsed = messages.select(F.inline_outer(F.array(record)))
+    record = F.struct(F.from_json(text, EVENT_DDL).alias("d"), payload_keys(text).alias("keys"))
+    parsed = messages.select(F.inline_outer(F.array(record))).select("d.*", "keys")
     event_ts = F.try_to_timestamp(F.col("timestamp"))
-    return parsed.select("d.*", "unexpected_keys", "missing_keys").select(
+    return parsed.select(
         *[F.col(name) for name in ALLOWED_KEYS],
         event_ts.alias("event_ts"),
         as_timestamp(ingest_ts).alias("ingest_ts"),
         F.to_date(event_ts).alias("date_part"),
-        "unexpected_keys",
-        "missing_keys",
+        unexpected_keys(F.col("keys")).alias("unexpected_keys"),
+        missing_keys(F.col("keys")).alias("missing_keys"),
     )
 
 
