@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import thousands
-from plumbline.operators.profile import over_tables
 
 CATALOG_DDL = (
     "table_name string, table_path string, row_count bigint, column_count int, columns_json string, description string, "
@@ -16,41 +17,36 @@ CATALOG_DDL = (
 )
 
 
-def _columns_json(df: DataFrame):
-    entries = [
-        F.struct(
-            F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.nullable).alias("nullable"),
-        )
-        for f in df.schema.fields
-    ]
-    return F.to_json(F.array(*entries))
+def _columns_json(df: DataFrame) -> str:
+    columns = [{"name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable} for f in df.schema.fields]
+    return json.dumps(columns, separators=(",", ":"))
+
+
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, row_count) of the tables that have rows. No column is read; counts are combined in the map tasks."""
+    names = [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, names).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def entries(tables: Mapping[str, DataFrame], paths: Mapping[str, str], *, descriptions: Mapping[str, str] | None = None,
             version: int = 1) -> DataFrame:
     """Catalog rows for some tables. A table without a given description gets one from a template."""
     given = descriptions or {}
-
-    def one(df: DataFrame, name: str) -> DataFrame:
-        template = F.concat(
-            F.lit(f"Table {name} with "), F.col("row_count").cast("string"), F.lit(f" rows and {len(df.columns)} columns."),
-        )
-        rows = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), F.lit(paths[name]).alias("table_path"), "row_count",
-            F.lit(len(df.columns)).alias("column_count"), _columns_json(df).alias("columns_json"),
-            (F.lit(given[name]) if name in given else template).alias("description"),
-        )
-        text = F.concat_ws(
-            "\n",
-            F.concat(F.lit("TABLE: "), F.col("table_name")),
-            F.concat(F.lit("DESCRIPTION: "), F.trim("description")),
-            F.lit("COLUMNS: " + ", ".join(df.columns)),
-            F.concat(F.lit("ROW COUNT: "), thousands(F.col("row_count"))),
-            F.concat(F.lit("PATH: "), F.col("table_path")),
-        )
-        return rows.select("*", text.alias("document"), F.lit(version).cast("bigint").alias("version"))
-
-    return over_tables(one, tables)
+    known = next(iter(tables.values())).sparkSession.createDataFrame(
+        [(n, paths[n], len(df.columns), _columns_json(df), ", ".join(df.columns), given.get(n)) for n, df in tables.items()],
+        "table_name string, table_path string, column_count int, columns_json string, column_names string, given string",
+    )
+    rows = known.join(row_counts(tables), "table_name", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
+    template = F.format_string("Table %s with %d rows and %d columns.", "table_name", "row_count", "column_count")
+    described = rows.select("*", F.trim(F.coalesce("given", template)).alias("description"))
+    text = F.format_string(
+        "TABLE: %s\nDESCRIPTION: %s\nCOLUMNS: %s\nROW COUNT: %s\nPATH: %s",
+        "table_name", "description", "column_names", thousands(F.col("row_count")), "table_path",
+    )
+    return described.select(
+        "table_name", "table_path", "row_count", "column_count", "columns_json", "description", text.alias("document"),
+        F.lit(version).cast("bigint").alias("version"),
+    )
 
 
 def empty_catalog(spark: SparkSession) -> DataFrame:
