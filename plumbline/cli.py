@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import catalog as ca
-from plumbline.operators import search as se
 from plumbline.plans import jobs
 from plumbline.schemas import TOP_K, TRIGGER
 from plumbline.session import build_session
@@ -89,11 +88,11 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
         paths = _pairs(args.table)
         frames = {name: spark.read.parquet(path) for name, path in paths.items()}
         return ca.list_tables(jobs.refresh_catalog(frames, paths, args.catalog, args.version))
-    catalog = sn.read_as_of(spark, args.catalog)
     if args.command == "tables":
+        catalog = sn.read_as_of(spark, args.catalog)
         return ca.describe(catalog, args.name) if args.name else ca.list_tables(catalog)
     questions = spark.createDataFrame(list(enumerate(args.question, 1)), "question_id int, text string")
-    return se.search_catalog(catalog, questions, k=args.top_k).drop("document").orderBy("question_id", F.col("rank"))
+    return jobs.ask_catalog(spark, args.catalog, questions, k=args.top_k).drop("document").orderBy("question_id", F.col("rank"))
 
 
 def main() -> None:

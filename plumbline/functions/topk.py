@@ -15,12 +15,12 @@ class BestK:
         self.k = k
         self.kept: list[tuple[np.ndarray, np.ndarray] | None] = [None] * questions
 
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """`scores` has one row per document and one column per question; -inf means no match."""
+    def add(self, scores: np.ndarray, ids: np.ndarray, first: int = 0) -> None:
+        """`scores` has one row per document and one column per question, from question `first` on; -inf means no match."""
         scores = np.round(scores, SCORE_DIGITS)
         n = len(ids)
-        for q in range(scores.shape[1]):
-            column = scores[:, q]
+        for q in range(first, first + scores.shape[1]):
+            column = scores[:, q - first]
             found = np.flatnonzero(column > -np.inf)
             if n > self.k and len(found) > self.k:
                 floor = np.partition(column, n - self.k)[n - self.k]

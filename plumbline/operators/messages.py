@@ -1,18 +1,25 @@
 """Texts for and from an external text service: one prompt per batch of rows, and typed rows from its answers.
 
-The service itself is not part of the library; a user calls it with a partition function over these rows.
+The service itself is not part of the library; a user passes a function that calls it to `answer`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.scalars import embedded_json, is_json, iso_utc
 from plumbline.operators.anomalies import batch_number, ranked_by_day, type_names
 from plumbline.schemas import ANALYSIS_BATCH, ANALYSIS_CAP, ENRICHMENT_BATCH, GROUP_DDL
+from plumbline.session import as_timestamp
+
+logger = logging.getLogger(__name__)
 
 ANOMALY_TASK = (
     "Explain the data-quality anomalies below. Group them by anomaly_type. Give for every group the ROOT CAUSE, the BUSINESS IMPACT "
@@ -99,6 +106,61 @@ def question_prompts(found: DataFrame) -> DataFrame:
     )
 
 
+def answer(prompts: DataFrame, fn: Callable[[list[str]], list[str | None]], *, size: int = 1, prompt: str = "prompt") -> DataFrame:
+    """Replace each prompt by the answer (`text`) of a user's function, called in the tasks with at most `size` prompts.
+
+    A failing call gives its prompts a NULL answer, so one bad call does not end the job.
+    """
+    kept = [c for c in prompts.columns if c != prompt]
+    out = T.StructType([*[prompts.schema[c] for c in kept], T.StructField("text", T.StringType())])
+
+    def call(texts: list[str]) -> list[str | None]:
+        try:
+            answers = fn(texts)
+            if len(answers) != len(texts):
+                raise ValueError(f"got {len(answers)} answers for {len(texts)} prompts")
+            return answers
+        except Exception:
+            logger.exception("no answer to %d prompts", len(texts))
+            return [None] * len(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(len(kept)).to_pylist()
+            answers = [a for start in range(0, len(texts), size) for a in call(texts[start:start + size])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(answers, pa.string())], names=out.names)
+
+    return prompts.select(*kept, prompt).mapInArrow(run, out)
+
+
+def combine_reports(answers: DataFrame, analyzed_at: str | datetime | Column | None = None) -> DataFrame:
+    """One report row per date from the parsed answers (date_part, batch, n, and the columns of `parse_reports`).
+
+    All readable batches count: groups of one type are added up, and the worst health of a batch is the health of the date.
+    """
+    worst = F.create_map(*[F.lit(x) for pair in [("healthy", 0), ("degraded", 1), ("critical", 2)] for x in pair])
+    readable = answers.filter("parse_ok")
+    first = F.min_by(F.struct("root_cause", "business_impact", "remediation", "example_event_ids", "pattern_insight"), "batch")
+    groups = (
+        readable.select("date_part", "batch", F.inline("anomaly_groups"))
+        .groupBy("date_part", "anomaly_type").agg(F.sum("count").alias("count"), first.alias("g"))
+        .select("date_part", F.struct("anomaly_type", "count", "g.*").alias("g"))
+        .groupBy("date_part").agg(F.array_sort(F.collect_list("g")).alias("anomaly_groups"))
+    )
+    days = readable.groupBy("date_part").agg(
+        F.sum("n").alias("anomaly_count"),
+        F.max_by("overall_pipeline_health", F.try_element_at(worst, F.col("overall_pipeline_health"))).alias("pipeline_health"),
+        F.min_by("executive_summary", "batch").alias("executive_summary"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("recommended_actions")))).alias("recommended_actions"),
+    )
+    joined = days.join(groups, "date_part", "left").withColumnRenamed("pipeline_health", "overall_pipeline_health")
+    document = _record(["anomaly_groups", "overall_pipeline_health", "executive_summary", "recommended_actions"])
+    return joined.select(
+        F.col("date_part").alias("run_date"), iso_utc(as_timestamp(analyzed_at)).alias("analyzed_at"), "anomaly_count",
+        F.col("overall_pipeline_health").alias("pipeline_health"), "executive_summary", document.alias("full_report"),
+    )
+
+
 def parse_objects(answers: DataFrame, ddl: str, *, text: str = "text") -> DataFrame:
     """The JSON object inside each answer as typed columns; `parse_ok` is false and the columns NULL if there is none."""
     inner = embedded_json(F.col(text), "object")

@@ -8,13 +8,14 @@ same result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -22,6 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plumbline.functions.text import term_counts
 from plumbline.functions.topk import BestK
 from plumbline.schemas import TOP_K
+from plumbline.session import new_work_path
 from plumbline.sources.tables import materialize
 
 # Questions sent to every task: at most this many numbers (8 bytes each).
@@ -30,8 +32,11 @@ MAX_SENT_NUMBERS = 4_000_000
 MAX_HOT_TERMS = 100_000
 # Numbers in one block of scores or products inside a task.
 BLOCK_NUMBERS = 4_000_000
-# Documents that one cell of the shuffled form holds.
-CELL_DOCUMENTS = 50_000
+# Rows of either side that one cell of the shuffled form holds, and texts of questions that it scores at a time.
+CELL_ROWS = 50_000
+CELL_QUESTIONS = 64
+# With at most this many question terms the scan of the postings filters by them.
+MAX_PUSHED_TERMS = 1_000
 
 
 def centroids(vectors: DataFrame, by: str, vector: str) -> DataFrame:
@@ -115,24 +120,24 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
     return _rank(searched.mapInArrow(run, out), k)
 
 
-def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: int, metric: str, out: T.StructType) -> DataFrame:
-    """Questions and documents are hashed to the rows and columns of a grid; each cell scores its share of both.
+def _grid(asked: DataFrame, searched: DataFrame, n_asked: int, n_searched: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides keyed by (i, j): questions are hashed to rows and documents to columns of a grid, so every pair meets in one
+    cell. Hashing is by id, so cells are even whatever the content; a cell holds at most about CELL_ROWS of each side."""
+    rows = max(1, -(-n_asked // CELL_ROWS))
+    columns = max(1, -(-n_searched // CELL_ROWS))
 
-    Hashing is by id, so cells are even whatever the vectors; a cell sends on k rows per question.
-    """
-    rows = max(1, -(-n_asked // CELL_DOCUMENTS))
-    columns = max(1, -(-searched.count() // CELL_DOCUMENTS))
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
 
-    left = asked.select(
-        F.pmod(F.xxhash64("question_id"), F.lit(rows)).alias("i"), numbers(columns).alias("j"), "question_id", "vector",
-    )
-    right = searched.select(
-        numbers(rows).alias("i"), F.pmod(F.xxhash64("document_id"), F.lit(columns)).alias("j"), "document_id", "vector",
-    )
+    left = asked.select(F.pmod(F.xxhash64("question_id"), F.lit(rows)).alias("i"), numbers(columns).alias("j"), "*")
+    right = searched.select(numbers(rows).alias("i"), F.pmod(F.xxhash64("document_id"), F.lit(columns)).alias("j"), "*")
+    return left, right
+
 
+def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: int, metric: str, out: T.StructType) -> DataFrame:
+    """Each cell of the grid scores its share of both sides and sends on k rows per question."""
     arrow = to_arrow_schema(out)
+    left, right = _grid(asked, searched, n_asked, searched.count())
 
     def cell(questions: pa.Table, documents: pa.Table) -> pa.Table:
         ids = questions.column("question_id").to_pylist()
@@ -146,111 +151,202 @@ def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: in
     return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(cell, out)
 
 
-def _with_idf(postings: DataFrame, idf: DataFrame, n_postings: int, max_hot: int) -> DataFrame:
-    """Join postings with the weight of their term without a hot key in the shuffle.
+@dataclass(frozen=True)
+class TextIndex:
+    """Term statistics of a set of documents: postings (document_id, term, tf), terms (term, df, idf), norms (document_id, norm).
+
+    Weight is tf × ln(N / df); the norm is the length of a document's weight vector.
+    """
+
+    postings: DataFrame
+    terms: DataFrame
+    norms: DataFrame
+
+
+def _weigh(postings: DataFrame, terms: DataFrame, n_postings: int, max_hot: int) -> DataFrame:
+    """Join postings with (term, df, idf) without a hot key in the shuffle; a term that `terms` lacks is left out.
 
     Terms at or above the cut are few by construction and are sent to the tasks; each remaining term has fewer postings than
     the cut, so the shuffle by term is even.
     """
     cut = n_postings // max_hot + 1
-    hot = idf.filter(F.col("df") >= cut).select("term", "idf")
-    cold = idf.filter(F.col("df") < cut).select("term", "idf")
-    frequent = postings.join(F.broadcast(hot), "term")
-    if cut == 1:  # every term is hot
-        return frequent
-    return frequent.unionByName(postings.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term"))
+    hot = terms.filter(F.col("df") >= cut).drop("df")
+    cold = terms.filter(F.col("df") < cut).drop("df")
+    joined = postings.join(F.broadcast(hot), "term")
+    if cut > 1:
+        joined = joined.unionByName(postings.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term"))
+    return joined.withColumn("w", F.col("tf") * F.col("idf")).drop("tf", "idf")
 
 
-def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, question_id: str = "question_id",
-                document_id: str = "document_id", question_text: str = "text", document_text: str = "text",
-                max_sent: int = MAX_SENT_NUMBERS, max_hot_terms: int = MAX_HOT_TERMS) -> DataFrame:
-    """(question_id, document_id, rank, score): the k documents with the highest TF-IDF cosine per question.
+def open_index(spark: SparkSession, path: str) -> TextIndex:
+    return TextIndex(*(spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "norms")))
+
 
-    Weight is tf × ln(N / df) over the documents with an id, whose ids must be unique; a document sharing no weighted term with
-    a question is no hit.
+def index_texts(documents: DataFrame, path: str, *, document_id: str = "document_id", text: str = "text", by_term: bool = True,
+                max_hot_terms: int = MAX_HOT_TERMS) -> TextIndex:
+    """Count the terms of all documents that have an id (ids must be unique) and write the index to a folder, replacing what is there.
+
+    With `by_term` the postings are laid out by term, so that a search reads only the parts that hold its terms; a range of one
+    hot term is spread over several files. Leave it out for an index that is used once.
     """
-    asked = questions.select(F.col(question_id).alias("question_id"), F.col(question_text).alias("text"))
-    searched = documents.select(F.col(document_id).alias("document_id"), F.col(document_text).alias("text")).filter("document_id IS NOT NULL")
-    n_documents = searched.count()
-    postings = materialize(term_counts(searched, "document_id", "text"), "postings")
-    n_postings = postings.count()
+    spark = documents.sparkSession
+    searched = documents.select(F.col(document_id).alias("document_id"), F.col(text).alias("text")).filter("document_id IS NOT NULL")
+    counted = term_counts(searched, "document_id", "text")
+    if by_term:
+        counted = materialize(counted, "postings").repartitionByRange("term", "document_id").sortWithinPartitions("term")
+    counted.write.mode("overwrite").parquet(f"{path}/postings")
+    postings = spark.read.parquet(f"{path}/postings")
+
     frequencies = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = materialize(frequencies.select("term", "df", F.log(F.lit(float(n_documents)) / F.col("df")).alias("idf")), "idf")
-    weight = F.col("tf") * F.col("idf")
+    idf = F.log(F.lit(float(searched.count())) / F.col("df"))
+    frequencies.select("term", "df", idf.alias("idf")).write.mode("overwrite").parquet(f"{path}/terms")
+    terms = spark.read.parquet(f"{path}/terms")
 
-    asked_terms = term_counts(asked, "question_id", "text").join(idf, "term").select("question_id", "term", weight.alias("w")).filter("w > 0")
-    lengths = asked_terms.groupBy("question_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    asked_units = materialize(
-        asked_terms.join(lengths, "question_id").select("question_id", "term", (F.col("w") / F.col("length")).alias("w")), "questions",
-    )
-    weighted = _with_idf(postings, idf, n_postings, max_hot_terms).select("document_id", "term", weight.alias("w"))
-    out = _best_schema(asked, searched)
-    size = asked_units.agg(F.count_distinct("term").alias("terms"), F.count_distinct("question_id").alias("questions")).first()
-    if size["terms"] * size["questions"] > max_sent:
-        return _rank(_tfidf_joined(asked_units, weighted), k)
-    return _rank(_tfidf_sent(asked_units, weighted, k, out), k)
+    n_postings = terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    weighted = _weigh(postings, terms, n_postings, max_hot_terms)
+    weighted.groupBy("document_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).write.mode("overwrite").parquet(f"{path}/norms")
+    return open_index(spark, path)
 
 
-def _tfidf_joined(asked_units: DataFrame, weighted: DataFrame) -> DataFrame:
-    """Products by an equi-join on the term, summed per pair; for question sets too large to send."""
-    norms = weighted.groupBy("document_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    products = weighted.join(asked_units.withColumnRenamed("w", "u"), "term").filter("w > 0")
-    dots = products.groupBy("question_id", "document_id").agg(F.sum(F.col("w") * F.col("u")).alias("dot"))
-    score = F.round(F.col("dot") / F.col("norm"), 9)
-    return dots.join(norms, "document_id").select("question_id", "document_id", score.alias("score"))
+def search_texts(index: TextIndex, questions: DataFrame, *, k: int = TOP_K, question_id: str = "question_id", text: str = "text",
+                 max_sent: int = MAX_SENT_NUMBERS, max_hot_terms: int = MAX_HOT_TERMS) -> DataFrame:
+    """(question_id, document_id, rank, score): the k documents with the highest TF-IDF cosine per question.
 
+    A document sharing no weighted term with a question is no hit. Only postings of the questions' terms are shuffled.
+    """
+    asked = questions.select(F.col(question_id).alias("question_id"), F.col(text).alias("text"))
+    weighted = term_counts(asked, "question_id", "text").join(index.terms, "term").filter("idf > 0")
+    weighted = weighted.select("question_id", "term", "df", "idf", (F.col("tf") * F.col("idf")).alias("w"))
+    lengths = weighted.groupBy("question_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    units = materialize(weighted.join(lengths, "question_id").withColumn("u", F.col("w") / F.col("length")).drop("w", "length"), "questions")
+
+    wanted = units.select("term", "df", "idf").distinct()
+    size = units.agg(
+        F.count_distinct("term").alias("terms"), F.count_distinct("question_id").alias("questions"), F.count(F.lit(1)).alias("entries"),
+    ).first()
+    out = _best_schema(asked, index.norms)
+    n_postings = index.terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    if size["terms"] * size["questions"] > max_sent:
+        hits = _weigh(index.postings, wanted, n_postings, max_hot_terms)
+        rows = _document_rows(hits, index.norms, "term")
+        return _rank(_texts_shuffled(units, rows, size["questions"], k, out), k)
+    return _rank(_texts_sent(units, index, n_postings, max_hot_terms, k, out), k)
 
-def _tfidf_sent(asked_units: DataFrame, weighted: DataFrame, k: int, out: T.StructType) -> DataFrame:
-    """Questions as a (term × question) matrix in every task; a document is one row with its question terms and its norm."""
-    sent = asked_units.collect()  # at most as many rows as the matrix has cells
-    vocabulary = sorted({row["term"] for row in sent})
+
+def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, question_id: str = "question_id",
+                document_id: str = "document_id", question_text: str = "text", document_text: str = "text",
+                max_sent: int = MAX_SENT_NUMBERS, max_hot_terms: int = MAX_HOT_TERMS) -> DataFrame:
+    """Index and search in one go, for documents that are asked once: see `index_texts` and `search_texts`."""
+    path = new_work_path(documents.sparkSession, "index")
+    index = index_texts(documents, path, document_id=document_id, text=document_text, by_term=False, max_hot_terms=max_hot_terms)
+    return search_texts(index, questions, k=k, question_id=question_id, text=question_text, max_sent=max_sent, max_hot_terms=max_hot_terms)
+
+
+def _document_rows(hits: DataFrame, norms: DataFrame, key: str) -> DataFrame:
+    """One row per document: its norm and the weights of the terms that the questions share with it."""
+    shared = hits.groupBy("document_id").agg(F.collect_list(F.struct(key, "w")).alias("s"))
+    return shared.join(norms, "document_id").select("document_id", "norm", F.col(f"s.{key}").alias("keys"), F.col("s.w").alias("weights"))
+
+
+def _score_texts(best: BestK, matrix: np.ndarray, names: np.ndarray, norms: np.ndarray, sizes: np.ndarray, slots: np.ndarray,
+                 weights: np.ndarray, first: int = 0) -> None:
+    """Add the scores of documents given as runs of (slot, weight); `matrix` holds one row per slot, one column per question."""
+    some = sizes > 0
+    names, norms, ends = names[some], norms[some], np.cumsum(sizes[some])
+    if not len(names):
+        return
+    starts = ends - sizes[some]
+    step = max(1, BLOCK_NUMBERS // (matrix.shape[1] * int(sizes.max())))
+    for a in range(0, len(names), step):
+        b = min(a + step, len(names))
+        cut = slice(starts[a], ends[b - 1])
+        dots = np.add.reduceat(matrix[slots[cut]] * weights[cut, None], starts[a:b] - starts[a], axis=0)
+        best.add(np.where(dots > 0, dots / norms[a:b, None], -np.inf), names[a:b], first)
+
+
+def _texts_sent(units: DataFrame, index: TextIndex, n_postings: int, max_hot: int, k: int, out: T.StructType) -> DataFrame:
+    """Questions as a (term × question) matrix in every task."""
+    spark = units.sparkSession
+    sent = units.collect()  # at most as many rows as the matrix has cells
+    if not sent:
+        return spark.createDataFrame([], out)
+    wanted = sorted({(row["term"], row["df"], row["idf"]) for row in sent})
     ids = sorted({row["question_id"] for row in sent})
-    if not ids:
-        return asked_units.sparkSession.createDataFrame([], out)
-    position = {term: i for i, term in enumerate(vocabulary)}
+    slot = {term: i for i, (term, _, _) in enumerate(wanted)}
     column = {question: i for i, question in enumerate(ids)}
-    matrix = np.zeros((len(vocabulary), len(ids)))
+    matrix = np.zeros((len(wanted), len(ids)))
     for row in sent:
-        matrix[position[row["term"]], column[row["question_id"]]] = row["w"]
-
-    slots = F.broadcast(asked_units.sparkSession.createDataFrame(list(position.items()), "term string, slot int"))
-    marked = weighted.join(slots, "term", "left")
-    shared = F.collect_list(F.when(F.col("slot").isNotNull() & (F.col("w") > 0), F.struct("slot", "w")))
-    rows = marked.groupBy("document_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), shared.alias("s"))
-    rows = rows.filter(F.size("s") > 0).select("document_id", "norm", F.col("s.slot").alias("slots"), F.col("s.w").alias("weights"))
+        matrix[slot[row["term"]], column[row["question_id"]]] = row["u"]
 
+    postings = index.postings
+    if len(wanted) <= MAX_PUSHED_TERMS:
+        postings = postings.filter(F.col("term").isin([term for term, _, _ in wanted]))
+    slots = spark.createDataFrame([(*w, i) for i, w in enumerate(wanted)], "term string, df bigint, idf double, slot int")
+    hits = _weigh(postings, slots, n_postings if len(wanted) > max_hot else 0, max_hot)
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestK(len(ids), k)
         for batch in batches:
-            if not len(batch):
-                continue
-            names, norms = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
-            starts = np.concatenate([[0], ends[:-1]])
-            slots, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (2, 3))
-            step = max(1, BLOCK_NUMBERS // (len(ids) * int((ends - starts).max())))
-            for a in range(0, len(names), step):
-                b = min(a + step, len(names))
-                cut = slice(starts[a], ends[b - 1])
-                dots = np.add.reduceat(matrix[slots[cut]] * weights[cut, None], starts[a:b] - starts[a], axis=0)
-                best.add(np.where(dots > 0, dots / norms[a:b, None], -np.inf), names[a:b])
+            if len(batch):
+                names, norms = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+                sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+                keys, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (2, 3))
+                _score_texts(best, matrix, names, norms, sizes, keys, weights)
         yield _best_batch(best, ids, arrow)
 
-    return rows.mapInArrow(run, out)
+    return _document_rows(hits, index.norms, "slot").mapInArrow(run, out)
+
+
+def _texts_shuffled(units: DataFrame, rows: DataFrame, n_asked: int, k: int, out: T.StructType) -> DataFrame:
+    """Each cell of the grid scores its share of questions and documents, some questions at a time."""
+    arrow = to_arrow_schema(out)
+    asked = units.groupBy("question_id").agg(F.collect_list(F.struct("term", "u")).alias("s"))
+    asked = asked.select("question_id", F.col("s.term").alias("keys"), F.col("s.u").alias("units"))
+    left, right = _grid(asked, rows, n_asked, rows.count())
+
+    def cell(questions: pa.Table, documents: pa.Table) -> pa.Table:
+        ids = questions.column("question_id").to_pylist()
+        best = BestK(len(ids), k)
+        if not len(questions) or not len(documents):
+            return pa.Table.from_batches([_best_batch(best, ids, arrow)])
+        names, norms = (documents.column(c).to_numpy(zero_copy_only=False) for c in ("document_id", "norm"))
+        lists = documents.column("keys").combine_chunks()
+        terms, weights = lists.flatten(), documents.column("weights").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(names)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        for first in range(0, len(ids), CELL_QUESTIONS):
+            part = questions.slice(first, CELL_QUESTIONS)
+            asked_lists = part.column("keys").combine_chunks()
+            vocabulary = pc.unique(asked_lists.flatten())
+            matrix = np.zeros((len(vocabulary), len(part)))
+            columns = np.repeat(np.arange(len(part)), pc.list_value_length(asked_lists).to_numpy(zero_copy_only=False))
+            slots = pc.index_in(asked_lists.flatten(), vocabulary).to_numpy(zero_copy_only=False)
+            matrix[slots, columns] = part.column("units").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            found = pc.fill_null(pc.index_in(terms, vocabulary), -1).to_numpy(zero_copy_only=False)
+            kept = found >= 0
+            sizes = np.bincount(owner[kept], minlength=len(names))
+            _score_texts(best, matrix, names, norms, sizes, found[kept], weights[kept], first)
+        return pa.Table.from_batches([_best_batch(best, ids, arrow)])
+
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(cell, out)
 
 
 def relevance(score: Column, digits: int = 3) -> Column:
     return F.round(score, digits)
 
 
-def search_catalog(catalog: DataFrame, questions: DataFrame, *, k: int = TOP_K) -> DataFrame:
-    """Catalog tables that answer each question (question_id, text), best first, with their relevance."""
-    hits = tfidf_top_k(questions, catalog, k=k, document_id="table_name", document_text="document")
+def search_catalog(catalog: DataFrame, questions: DataFrame, *, k: int = TOP_K, index: TextIndex | None = None) -> DataFrame:
+    """Catalog tables that answer each question (question_id, text), best first, with their relevance.
+
+    Pass the index of the catalog's documents if there is one; without it the documents are indexed for this call.
+    """
+    if index is None:
+        path = new_work_path(catalog.sparkSession, "index")
+        index = index_texts(catalog, path, document_id="table_name", text="document", by_term=False)
+    hits = search_texts(index, questions, k=k).withColumnRenamed("document_id", "table_name")
     sources = catalog.select("table_name", "table_path", "row_count", "document")
     asked = questions.select("question_id", F.col("text").alias("question"))
-    return (
-        hits.withColumnRenamed("document_id", "table_name").join(sources, "table_name").join(asked, "question_id")
-        .select("question_id", "question", "rank", "table_name", "table_path", "row_count", "document", relevance(F.col("score")).alias("relevance_score"))
+    return hits.join(sources, "table_name").join(asked, "question_id").select(
+        "question_id", "question", "rank", "table_name", "table_path", "row_count", "document",
+        relevance(F.col("score")).alias("relevance_score"),
     )

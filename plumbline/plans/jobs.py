@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import anomalies as an
@@ -18,11 +18,13 @@ from plumbline.operators import catalog as ca
 from plumbline.operators import drift as dr
 from plumbline.operators import health as he
 from plumbline.operators import profile as pr
+from plumbline.operators import search as se
 from plumbline.operators.remediate import remediate
 from plumbline.operators.rules import anomalous
-from plumbline.schemas import ANALYSIS_CAP, ANOMALY_LIMIT, STALE_MINUTES
+from plumbline.schemas import ANALYSIS_CAP, ANOMALY_LIMIT, STALE_MINUTES, TOP_K
 from plumbline.session import as_date
 from plumbline.sources import snapshots as sn
+from plumbline.sources.tables import materialize
 
 
 class BreakingSchemaChange(ValueError):
@@ -97,11 +99,27 @@ def check_quality(flagged: DataFrame, run_date: str | date, pipeline: str, *, in
     )
 
 
+def catalog_index_path(catalog_path: str, version: int) -> str:
+    return f"{catalog_path}/index/version={version}"
+
+
 def refresh_catalog(tables: Mapping[str, DataFrame], paths: Mapping[str, str], catalog_path: str, version: int, *,
                     descriptions: Mapping[str, str] | None = None, committed_at: str | datetime | Column | None = None) -> DataFrame:
-    """Profile tables, merge them into the catalog published before, and publish the result as `version`."""
+    """Profile tables, merge them into the catalog published before, index the documents, and publish the result as `version`.
+
+    The snapshot is published last, so a version that can be read has its index.
+    """
     new = ca.entries(tables, paths, descriptions=descriptions, version=version)
     spark = new.sparkSession
     old = sn.read_as_of(spark, catalog_path, version - 1) if version > 1 else ca.empty_catalog(spark)
-    sn.publish(ca.upsert(old, new), catalog_path, version, committed_at=committed_at, operation="refresh")
+    merged = materialize(ca.upsert(old, new), "catalog")
+    se.index_texts(merged, catalog_index_path(catalog_path, version), document_id="table_name", text="document")
+    sn.publish(merged, catalog_path, version, committed_at=committed_at, operation="refresh")
     return sn.read_as_of(spark, catalog_path, version)
+
+
+def ask_catalog(spark: SparkSession, catalog_path: str, questions: DataFrame, *, k: int = TOP_K) -> DataFrame:
+    """Tables of the newest catalog version that answer each question (question_id, text), found through its index."""
+    version = sn.history(spark, catalog_path, 1).first()["version"]
+    index = se.open_index(spark, catalog_index_path(catalog_path, version))
+    return se.search_catalog(sn.read_as_of(spark, catalog_path, version), questions, k=k, index=index)

@@ -78,3 +78,39 @@ def test_reports(spark):
     assert row["anomaly_groups"][0]["count"] == 2
     assert row["anomaly_groups"][0]["example_event_ids"] == ["a", "b"]
     assert row["overall_pipeline_health"] == "healthy"
+
+
+def test_report_through_a_service(flagged):
+    def service(prompts):
+        records = [json.loads(line) for line in prompts[0].splitlines() if line.startswith("{")]
+        if any(r["currency"] == "XYZ" and r["amount"] < 0 for r in records):
+            raise RuntimeError("down")
+        group = {"anomaly_type": "any", "count": len(records), "example_event_ids": [records[0]["event_id"]]}
+        health = "critical" if len(records) > 10 else "healthy"
+        return ["Report: " + json.dumps({"anomaly_groups": [group], "overall_pipeline_health": health, "executive_summary": "s", "recommended_actions": ["b", "a"]})]
+
+    prompts = me.anomaly_prompts(flagged, size=4)
+    answers = me.answer(prompts, service)
+    assert answers.columns == ["date_part", "batch", "n", "text"]
+    parsed = me.parse_reports(answers).cache()
+    readable = {r["date_part"]: r["n"] for r in parsed.filter("parse_ok").groupBy("date_part").agg(F.sum("n").alias("n")).collect()}
+    reports = {r["run_date"]: r for r in me.combine_reports(parsed, "2024-01-31 00:00:00").collect()}
+    assert {d: r["anomaly_count"] for d, r in reports.items()} == readable
+    for day, row in reports.items():
+        report = json.loads(row["full_report"])
+        assert [g["count"] for g in report["anomaly_groups"]] == [readable[day]]
+        assert report["recommended_actions"] == ["a", "b"]
+
+
+def test_worst_health_wins_and_failed_calls_are_null(spark):
+    def service(prompts):
+        if "fail" in prompts:
+            raise RuntimeError("down")
+        return ['{"overall_pipeline_health": "%s", "anomaly_groups": [{"anomaly_type": "t", "count": 2}]}' % p for p in prompts]
+
+    prompts = spark.createDataFrame([("2024-01-01", 0, 20, "healthy"), ("2024-01-01", 1, 20, "degraded"), ("2024-01-01", 2, 5, "fail")], "date_part string, batch int, n int, prompt string")
+    parsed = me.parse_reports(me.answer(prompts, service))
+    assert parsed.filter("NOT parse_ok").count() == 1
+    row = me.combine_reports(parsed).first()
+    assert (row["pipeline_health"], row["anomaly_count"]) == ("degraded", 40)
+    assert json.loads(row["full_report"])["anomaly_groups"][0]["count"] == 4

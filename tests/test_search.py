@@ -38,7 +38,7 @@ def brute(questions, documents, k, metric):
 @pytest.mark.parametrize("max_sent", [10**6, 0])
 @pytest.mark.parametrize("k", [3, 100])
 def test_nearest_equals_brute_force(spark, monkeypatch, metric, max_sent, k):
-    monkeypatch.setattr(se, "CELL_DOCUMENTS", 7)
+    monkeypatch.setattr(se, "CELL_ROWS", 7)
     (questions, qs), (documents, ds) = vectors(spark, 10, 1), vectors(spark, 40, 2)
     hits = se.nearest(questions, documents, k=k, metric=metric, question_id="id", document_id="id", max_sent=max_sent)
     got = sorted((r["question_id"], r["document_id"], r["rank"], round(r["score"], 6)) for r in hits.collect())
@@ -101,7 +101,9 @@ def test_term_counts(spark):
 
 @pytest.mark.parametrize("max_sent", [10**6, 0])
 @pytest.mark.parametrize("max_hot_terms", [10**6, 3])
-def test_tfidf_equals_brute_force(spark, max_sent, max_hot_terms):
+def test_tfidf_equals_brute_force(spark, monkeypatch, max_sent, max_hot_terms):
+    monkeypatch.setattr(se, "CELL_ROWS", 7)
+    monkeypatch.setattr(se, "CELL_QUESTIONS", 2)
     documents, rows = texts(spark, 25, 5)
     questions, asked = texts(spark, 6, 6, words=8)
     counts = {i: Counter(tokens(t)) for i, t in rows}
@@ -123,6 +125,22 @@ def test_tfidf_equals_brute_force(spark, max_sent, max_hot_terms):
     assert sorted(got) == sorted(expected)
 
 
+def test_stored_index_gives_the_same_hits(spark, tmp_path):
+    documents, _ = texts(spark, 25, 5)
+    questions, _ = texts(spark, 6, 6, words=8)
+    se.index_texts(documents, f"{tmp_path}/index", document_id="id")
+    hits = se.search_texts(se.open_index(spark, f"{tmp_path}/index"), questions, question_id="id")
+    once = se.tfidf_top_k(questions, documents, question_id="id", document_id="id")
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_search_reads_only_its_terms(spark, tmp_path):
+    documents, _ = texts(spark, 5, 5)
+    index = se.index_texts(documents, f"{tmp_path}/index", document_id="id")
+    hits = se.search_texts(index, spark.createDataFrame([(1, "common two")], "question_id int, text string"))
+    assert "PushedFilters: [In(term, [common,two])" in hits._jdf.queryExecution().executedPlan().toString()
+
+
 def test_centroids(spark):
     rows = spark.createDataFrame([(1, [1.0, 3.0]), (1, [3.0, 5.0]), (2, [0.0, 1.0])], "label int, v array<float>")
     assert sorted(map(tuple, se.centroids(rows, "label", "v").collect())) == [(1, [2.0, 4.0]), (2, [0.0, 1.0])]

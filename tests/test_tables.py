@@ -83,7 +83,8 @@ def test_catalog_refresh_and_search(spark, table, tmp_path):
     catalog = jobs.refresh_catalog({"people": people}, {"people": "/w/p"}, path, 2, descriptions={"people": "Contact data of persons."})
     assert sorted(r["table_name"] for r in ca.list_tables(catalog).collect()) == ["people", "t"]
     questions = spark.createDataFrame([(1, "Which table has contact persons?"), (2, "unknown words only")], "question_id int, text string")
-    hits = se.search_catalog(catalog, questions).collect()
+    hits = jobs.ask_catalog(spark, path, questions).collect()
+    assert hits == se.search_catalog(catalog, questions).collect()
     assert [(r["question_id"], r["rank"], r["table_name"], r["table_path"]) for r in hits] == [(1, 1, "people", "/w/p")]
     assert 0 < hits[0]["relevance_score"] <= 1
     assert se.search_catalog(ca.empty_catalog(spark), questions).isEmpty()
