@@ -52,13 +52,24 @@ def numeric_profile(df: DataFrame, table: str) -> DataFrame:
     return stats.select(F.lit(table).alias("table_name"), F.inline(rows))
 
 
+def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows with the smallest keys, NULL keys last.
+
+    The n-th key is found by reading the key column alone; the filter on it then reaches the scan, so other columns are read
+    only where such keys lie.
+    """
+    k = F.col(f"`{key}`")
+    last = df.select(k.alias("k")).orderBy(F.col("k").asc_nulls_last()).limit(n).agg(F.max("k")).first()[0]
+    near = k.isNull() if last is None else (k <= F.lit(last)) | k.isNull()
+    return df.filter(near).orderBy(k.asc_nulls_last()).limit(n)
+
+
 def sample_values(df: DataFrame, table: str, key: str, n: int = 5, shown: int = 3) -> DataFrame:
     """The first values of each column by key order: `n` rows are taken, `shown` values are listed."""
-    first = df.orderBy(key).limit(n)
     cells = F.array(*[
         F.struct(F.lit(name).alias("column_name"), F.col(f"`{name}`").cast("string").alias("value")) for name in df.columns
     ])
-    rows = first.select(F.col(f"`{key}`").alias("_key"), F.inline(cells))
+    rows = first_rows(df, key, n).select(F.col(f"`{key}`").alias("_key"), F.inline(cells))
     ordered = F.array_sort(F.collect_list(F.struct("_key", "value")))  # at most n entries
     return rows.groupBy("column_name").agg(F.slice(ordered, 1, shown).alias("cells")).select(
         F.lit(table).alias("table_name"), "column_name", F.col("cells.value").alias("samples"),

@@ -28,6 +28,8 @@ from plumbline.sources.tables import materialize
 
 # Questions sent to every task: at most this many numbers (8 bytes each).
 MAX_SENT_NUMBERS = 4_000_000
+# A collected row of a question counts as this many numbers.
+ROW_NUMBERS = 20
 # Terms sent to every task. Document frequencies add up to the number of postings, so at most this many terms reach the cut.
 MAX_HOT_TERMS = 100_000
 # Numbers in one block of scores or products inside a task.
@@ -99,6 +101,7 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric {metric!r}")
     asked = questions.select(F.col(question_id).alias("question_id"), F.col(vector).alias("vector")).filter("vector IS NOT NULL")
+    asked = materialize(asked, "questions")  # measured first, then sent or shuffled: computed once
     searched = documents.select(F.col(document_id).alias("document_id"), F.col(vector).alias("vector"))
     searched = searched.filter("document_id IS NOT NULL AND vector IS NOT NULL")
     size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("numbers")).first()
@@ -106,9 +109,9 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
     if size["numbers"] > max_sent:
         return _rank(_nearest_shuffled(asked, searched, size["n"], k, metric, out), k)
     arrow = to_arrow_schema(out)
-    sent = asked.collect()  # at most max_sent numbers
-    ids = [row["question_id"] for row in sent]
-    matrix = np.array([row["vector"] for row in sent], dtype=np.float64)
+    sent = asked.toArrow()  # at most max_sent numbers
+    ids = sent.column("question_id").to_pylist()
+    matrix = _matrix(sent.column("vector").combine_chunks()) if ids else np.zeros((0, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestK(len(ids), k)
@@ -226,7 +229,7 @@ def search_texts(index: TextIndex, questions: DataFrame, *, k: int = TOP_K, ques
     ).first()
     out = _best_schema(asked, index.norms)
     n_postings = index.terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-    if size["terms"] * size["questions"] > max_sent:
+    if max(size["terms"] * size["questions"], ROW_NUMBERS * size["entries"]) > max_sent:
         hits = _weigh(index.postings, wanted, n_postings, max_hot_terms)
         rows = _document_rows(hits, index.norms, "term")
         return _rank(_texts_shuffled(units, rows, size["questions"], k, out), k)
@@ -267,7 +270,7 @@ def _score_texts(best: BestK, matrix: np.ndarray, names: np.ndarray, norms: np.n
 def _texts_sent(units: DataFrame, index: TextIndex, n_postings: int, max_hot: int, k: int, out: T.StructType) -> DataFrame:
     """Questions as a (term × question) matrix in every task."""
     spark = units.sparkSession
-    sent = units.collect()  # at most as many rows as the matrix has cells
+    sent = units.collect()  # bounded by the caller's check
     if not sent:
         return spark.createDataFrame([], out)
     wanted = sorted({(row["term"], row["df"], row["idf"]) for row in sent})

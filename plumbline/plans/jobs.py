@@ -80,7 +80,7 @@ def check_quality(flagged: DataFrame, run_date: str | date, pipeline: str, *, in
                   stale_minutes: int = STALE_MINUTES) -> QualityCheck:
     """Freshness and anomaly summary of a day; stats and remediation if it has too many anomalies, an incident if stale."""
     day = an.of_day(flagged, run_date)
-    daily = he.health_daily(day, limit=limit, stale_minutes=stale_minutes)
+    daily = materialize(he.health_daily(day, limit=limit, stale_minutes=stale_minutes), "health")
     verdict = daily.first()  # one row per date
     over, stale = (False, True) if verdict is None else (verdict["is_over"], verdict["is_stale"])
     incidents = None

@@ -20,21 +20,20 @@ def _data(path: str, version: int) -> str:
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/manifest")
+    return spark.read.parquet(f"{path}/manifest").withColumn("version", F.col("version").cast("bigint"))
 
 
 def publish(df: DataFrame, path: str, version: int, *, committed_at: str | datetime | Column | None = None, operation: str = "write") -> None:
-    """Write one version and record it. The row count is observed during the write."""
+    """Write one version and record it; a repeated call replaces both. The row count is observed during the write."""
     observed = Observation()
     df.observe(observed, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite").parquet(_data(path, version))
     row = df.sparkSession.range(1).select(
-        F.lit(version).cast("bigint").alias("version"),
         as_timestamp(committed_at).alias("committed_at"),
         F.lit(operation).alias("operation"),
         F.lit(observed.get["row_count"]).cast("bigint").alias("row_count"),
         declared_columns(df).alias("columns"),
     )
-    row.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/version={version}")
 
 
 def history(spark: SparkSession, path: str, n: int = HISTORY_VERSIONS) -> DataFrame:

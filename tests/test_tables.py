@@ -46,6 +46,13 @@ def test_samples_follow_the_key(table):
     assert rows["s"] == ["a", None]
 
 
+def test_first_rows(spark):
+    rows = spark.createDataFrame([(3, "c"), (None, "n"), (1, "a"), (2, "b"), (None, "m")], "k int, v string")
+    assert [r["k"] for r in pr.first_rows(rows, "k", 2).collect()] == [1, 2]
+    assert [r["k"] for r in pr.first_rows(rows, "k", 4).collect()] == [1, 2, 3, None]
+    assert pr.first_rows(rows.filter("k IS NULL"), "k", 4).count() == 2
+
+
 def test_profile_is_one_scan(table):
     plan = pr.null_rates(table, "t")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") == 1
@@ -114,6 +121,7 @@ def test_snapshots(spark, table, tmp_path):
     path = f"{tmp_path}/s"
     sn.publish(table.limit(1), path, 1, committed_at="2024-01-01 00:00:00")
     sn.publish(table, path, 2, committed_at="2024-01-02 00:00:00")
+    sn.publish(table, path, 2, committed_at="2024-01-02 00:00:00")  # repeated after a failure
     assert sn.read_as_of(spark, path, 1).count() == 1
     assert sn.read_as_of(spark, path).count() == 4
     assert sn.read_as_of(spark, path, at="2024-01-01 23:00:00").count() == 1
