@@ -17,6 +17,7 @@ from plumbline.operators.rules import anomalous
 from plumbline.schemas import ANALYSIS_BATCH, ANALYSIS_CAP, ANOMALY_LIMIT, STALE_MINUTES
 from plumbline.session import as_date, as_timestamp
 
+# The rules of `transaction_rules`, in their order.
 TYPES = ["null_user", "extreme_amount", "negative_amount", "invalid_currency", "future_ts", "schema_drift"]
 
 ROOT_CAUSES = {

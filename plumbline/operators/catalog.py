@@ -39,6 +39,7 @@ def entries(tables: Mapping[str, DataFrame], paths: Mapping[str, str], *, descri
     rows = known.join(row_counts(tables), "table_name", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
     template = F.format_string("Table %s with %d rows and %d columns.", "table_name", "row_count", "column_count")
     described = rows.select("*", F.trim(F.coalesce("given", template)).alias("description"))
+    # Fixed format of a catalog document.
     text = F.format_string(
         "TABLE: %s\nDESCRIPTION: %s\nCOLUMNS: %s\nROW COUNT: %s\nPATH: %s",
         "table_name", "description", "column_names", thousands(F.col("row_count")), "table_path",

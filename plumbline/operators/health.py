@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import iso_utc, minutes_between
-from plumbline.operators.anomalies import health, is_stale, last_regular_time, minutes_to_day_end
+from plumbline.operators.anomalies import health, is_stale, last_regular_time, minutes_to_day_end, of_day
 from plumbline.schemas import (
     ANOMALY_LIMIT,
     INCIDENT_ASSIGNEE,
@@ -18,8 +18,9 @@ from plumbline.schemas import (
     INCIDENT_STATUS,
     STALE_MINUTES,
 )
-from plumbline.session import as_timestamp
+from plumbline.session import as_date, as_timestamp
 
+# Names of the alert branches.
 ROUTES = {"critical": "send_critical_alert", "degraded": "send_degraded_alert"}
 ROUTE_HEALTHY = "pipeline_healthy"
 
@@ -37,9 +38,11 @@ def freshness(tables: Mapping[str, tuple[DataFrame, str]], as_of: str | datetime
     return aged.select("*", status.alias("freshness_status"))
 
 
-def health_daily(flagged: DataFrame, *, limit: int = ANOMALY_LIMIT, stale_minutes: int = STALE_MINUTES) -> DataFrame:
-    """Per date: anomalies, time of the last regular event, minutes from it to the end of the day, and the verdict."""
-    days = flagged.groupBy("date_part").agg(F.count_if("is_anomaly").alias("anomaly_count"), last_regular_time())
+def _measures() -> list[Column]:
+    return [F.count_if("is_anomaly").alias("anomaly_count"), last_regular_time()]
+
+
+def _judge(days: DataFrame, limit: int, stale_minutes: int) -> DataFrame:
     aged = days.select("*", minutes_to_day_end(F.col("last_event_ts")).alias("age_minutes"))
     return aged.select(
         "*",
@@ -49,6 +52,17 @@ def health_daily(flagged: DataFrame, *, limit: int = ANOMALY_LIMIT, stale_minute
     )
 
 
+def health_daily(flagged: DataFrame, *, limit: int = ANOMALY_LIMIT, stale_minutes: int = STALE_MINUTES) -> DataFrame:
+    """Per date: anomalies, time of the last regular event, minutes from it to the end of the day, and the verdict."""
+    return _judge(flagged.groupBy("date_part").agg(*_measures()), limit, stale_minutes)
+
+
+def health_of_day(flagged: DataFrame, run_date: str | date, *, limit: int = ANOMALY_LIMIT, stale_minutes: int = STALE_MINUTES) -> DataFrame:
+    """The same for one date; always one row, so that a date without any event shows as stale."""
+    measured = of_day(flagged, run_date).agg(*_measures())
+    return _judge(measured.select(as_date(run_date).alias("date_part"), "*"), limit, stale_minutes)
+
+
 def incidents(daily: DataFrame, pipeline: str, created_at: str | datetime | Column | None = None) -> DataFrame:
     """One open incident per stale date. The date is part of the id, so ids of one second do not collide."""
     created = as_timestamp(created_at)

@@ -37,7 +37,7 @@ SCHEMA_TASK = (
 TABLE_TASK = "Describe the table below for a data catalog in three to five sentences: content, key columns, place in the pipeline, readers."
 QUESTION_TASK = "Answer the question from the catalog entries below, naming tables and their paths. Say so if they do not contain the answer."
 
-REPORT_DDL = (
+REPORT_ANSWER_DDL = (
     f"anomaly_groups ARRAY<STRUCT<{', '.join(part.replace(' ', ': ', 1) for part in GROUP_DDL.split(', '))}>>, "
     "overall_pipeline_health STRING, executive_summary STRING, recommended_actions ARRAY<STRING>"
 )
@@ -174,7 +174,7 @@ def parse_objects(answers: DataFrame, ddl: str, *, text: str = "text") -> DataFr
 
 
 def parse_reports(answers: DataFrame, *, text: str = "text") -> DataFrame:
-    return parse_objects(answers, REPORT_DDL, text=text)
+    return parse_objects(answers, REPORT_ANSWER_DDL, text=text)
 
 
 def parse_verdicts(answers: DataFrame, *, text: str = "text") -> DataFrame:

@@ -80,11 +80,11 @@ def check_quality(flagged: DataFrame, run_date: str | date, pipeline: str, *, in
                   stale_minutes: int = STALE_MINUTES) -> QualityCheck:
     """Freshness and anomaly summary of a day; stats and remediation if it has too many anomalies, an incident if stale."""
     day = an.of_day(flagged, run_date)
-    daily = materialize(he.health_daily(day, limit=limit, stale_minutes=stale_minutes), "health")
-    verdict = daily.first()  # one row per date
-    over, stale = (False, True) if verdict is None else (verdict["is_over"], verdict["is_stale"])
+    daily = materialize(he.health_of_day(flagged, run_date, limit=limit, stale_minutes=stale_minutes), "health")
+    verdict = daily.first()  # the one row
+    over = verdict["is_over"]
     incidents = None
-    if stale and verdict is not None:
+    if verdict["is_stale"]:
         incidents = he.incidents(daily, pipeline, as_of)
         if incidents_path is not None:
             incidents = _replace_run(incidents, incidents_path, run_date)

@@ -156,7 +156,7 @@ def alert_routing(spark: SparkSession, sf: str) -> DataFrame:
 def stream_split(spark: SparkSession, sf: str) -> DataFrame:
     """The events file as a stream, split into both sides; rows per side and date of the tables written."""
     schema = read_table(spark, sf, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    source = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")  # one file or a folder of files
     target = new_work_path(spark, "stream-split")
     flagged = split.flagged_stream(messages(project(source)), as_of=AS_OF)
     query = split.split_once(flagged, f"{target}/table", f"{target}/checkpoint", trigger=None)

@@ -52,7 +52,7 @@ REPORT_DDL = (
     "executive_summary STRING, full_report STRING"
 )
 
-# Enrichment columns with the value a record gets when nothing is known about it.
+# Enrichment columns with the value a record gets when nothing is known about it.
 ENRICHMENT_DEFAULTS = [
     ("fraud_risk", "string", "unknown"),
     ("customer_intent", "string", "unknown"),

@@ -11,6 +11,7 @@ from plumbline.operators import health as he
 from plumbline.operators.remediate import remediate, remediation_sql
 from plumbline.operators.rules import anomalous
 from plumbline.plans import jobs
+from plumbline.schemas import REPORT_DDL
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -136,3 +137,14 @@ def test_quality_check(flagged, tmp_path):
     assert calm.table_stats is None
     assert calm.incidents is None
     assert calm.health.first()["pipeline_health"] == "healthy"
+
+
+def test_a_day_without_events_is_stale(flagged):
+    check = jobs.check_quality(flagged, "2031-05-05", "transactions", as_of=AS_OF)
+    assert check.health.first()["pipeline_health"] == "degraded"
+    assert check.incidents.first()["summary"] == "no regular event for an unknown time before the end of 2031-05-05"
+
+
+def test_report_columns(spark, flagged):
+    wanted = [(f.name, f.dataType) for f in spark.createDataFrame([], REPORT_DDL).schema]
+    assert [(f.name, f.dataType) for f in an.daily_report(flagged).schema] == wanted
