@@ -93,8 +93,10 @@ def schema_prompts(drifts: DataFrame, versions: DataFrame) -> DataFrame:
     )
 
 
-def table_prompts(catalog: DataFrame) -> DataFrame:
-    return catalog.select("table_name", _prompt(TABLE_TASK, F.col("document")).alias("prompt"))
+def table_prompts(profiles: DataFrame) -> DataFrame:
+    """One prompt per table profile (see `profile.table_profile`)."""
+    facts = _record(["table_name", "table_path", "row_count", "column_count", "columns", "sample_values", "stats"])
+    return profiles.select("table_name", _prompt(TABLE_TASK, facts).alias("prompt"))
 
 
 def question_prompts(found: DataFrame) -> DataFrame:

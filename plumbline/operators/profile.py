@@ -106,3 +106,35 @@ def known_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     if name not in tables:
         raise ValueError(f"unknown table {name!r}; known tables: {sorted(tables)}")
     return tables[name]
+
+
+def table_stats(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """Row count and null rates of one table by name."""
+    return null_rates(known_table(tables, name), name)
+
+
+def table_profile(df: DataFrame, table: str, path: str, key: str) -> DataFrame:
+    """One row about a table: counts, columns, sample values by column, and min, max and avg by numeric column.
+
+    The parts have one row each and are joined on the table's name.
+    """
+    columns = F.array(*[
+        F.struct(
+            F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.nullable).alias("nullable"),
+        )
+        for f in df.schema.fields
+    ])
+    base = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(table).alias("table_name"), F.lit(path).alias("table_path"), "row_count", F.lit(len(df.columns)).alias("column_count"),
+        columns.alias("columns"),
+    )
+    samples = sample_values(df, table, key).groupBy("table_name").agg(
+        F.map_from_entries(F.collect_list(F.struct("column_name", "samples"))).alias("sample_values"),
+    )
+    named = F.explode(F.array(*[
+        F.struct(F.concat_ws("_", "column_name", F.lit(kind)).alias("name"), F.col(kind).alias("value")) for kind in ("min", "max", "avg")
+    ]))
+    stats = numeric_profile(df, table).select("table_name", named.alias("stat")).groupBy("table_name").agg(
+        F.map_from_entries(F.collect_list("stat")).alias("stats"),
+    )
+    return base.join(samples, "table_name", "left").join(stats, "table_name", "left")

@@ -220,8 +220,8 @@ def search_texts(index: TextIndex, questions: DataFrame, *, k: int = TOP_K, ques
     asked = questions.select(F.col(question_id).alias("question_id"), F.col(text).alias("text"))
     weighted = term_counts(asked, "question_id", "text").join(index.terms, "term").filter("idf > 0")
     weighted = weighted.select("question_id", "term", "df", "idf", (F.col("tf") * F.col("idf")).alias("w"))
-    lengths = weighted.groupBy("question_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    units = materialize(weighted.join(lengths, "question_id").withColumn("u", F.col("w") / F.col("length")).drop("w", "length"), "questions")
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("question_id")))
+    units = materialize(weighted.withColumn("u", F.col("w") / length).drop("w"), "questions")
 
     wanted = units.select("term", "df", "idf").distinct()
     size = units.agg(

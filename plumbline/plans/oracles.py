@@ -432,4 +432,12 @@ ORACLES: dict[str, str] = {
           CASE WHEN ok THEN geo_risk_flag END AS geo_risk_flag, CASE WHEN ok THEN enrichment_confidence END AS enrichment_confidence,
           CASE WHEN ok THEN 'fits {{usual}} values' END AS reasoning
         FROM (SELECT *, currency <> 'XYZ' AND payment_method IS NOT NULL AS ok FROM enriched)""",
+    "anomaly_summary_by_label": f"""WITH {TXN}
+        SELECT CASE {" ".join(f"WHEN flag_{t} THEN '{t}'" for t in TYPES)} END AS anomaly_type, count(*) AS anomaly_count
+        FROM flagged WHERE is_anomaly AND date_part = DATE '2024-01-15' GROUP BY ALL""",
+    "distinct_events": f"WITH {TXN} SELECT event_id, event_type, amount FROM txn",
+    "table_history": f"""SELECT * FROM (VALUES (CAST(1 AS BIGINT), TIMESTAMP '2024-01-01', 'write'), (2, TIMESTAMP '2024-01-02', 'write'),
+          (3, TIMESTAMP '2024-01-03', 'rollback to 1')) v(version, committed_at, operation),
+        LATERAL (SELECT count(*) FILTER (WHERE v.version = 2 OR o_orderdate < TIMESTAMP '2000-01-01') AS row_count, CAST(4 AS INT) AS column_count FROM orders) c""",
 }
+ORACLES["stream_two_tables"] = ORACLES["stream_split"]

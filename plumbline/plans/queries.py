@@ -21,6 +21,7 @@ from plumbline.plans.examples import enrich_frame, evolving_messages, service_an
 from plumbline.plans.transactions import AS_OF, load_decoded, load_flagged, load_transactions, messages, project
 from plumbline.session import new_work_path
 from plumbline.sources import snapshots as sn
+from plumbline.sources.events import decode, drop_repeats
 from plumbline.sources.tables import materialize, merge_rows, read_table, spread
 from plumbline.streaming import split
 
@@ -100,6 +101,20 @@ def anomaly_summary_by_type(spark: SparkSession, sf: str) -> DataFrame:
     return an.summary_by_type(load_flagged(spark, sf))
 
 
+def anomaly_summary_by_label(spark: SparkSession, sf: str) -> DataFrame:
+    """Breakdown of a day by producer label; the label of a record is the first rule it breaks."""
+    label = F.element_at(F.concat(an.type_names(), F.array(F.lit("none"))), 1)
+    labelled = anomalous(load_flagged(spark, sf)).withColumn("_anomaly_type", label)
+    return an.summary_by_label(labelled, RUN_DATE)
+
+
+def distinct_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of which the refunds were delivered twice, each event kept once."""
+    transactions = load_transactions(spark, sf)
+    delivered = messages(transactions).unionByName(messages(transactions.filter(F.col("event_type") == "refund")))
+    return drop_repeats(decode(delivered, ingest_ts=AS_OF)).select("event_id", "event_type", "amount")
+
+
 def top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return an.top_anomalies(load_flagged(spark, sf)).select("event_id", "anomaly_score", "date_part")
 
@@ -165,6 +180,18 @@ def stream_split(spark: SparkSession, sf: str) -> DataFrame:
     return sides[0].unionByName(sides[1]).groupBy("side", "date_part").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_two_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The same split as two queries with a table and a checkpoint each."""
+    schema = read_table(spark, sf, "events").schema
+    source = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
+    target = new_work_path(spark, "stream-two-tables")
+    flagged = split.flagged_stream(messages(project(source)), as_of=AS_OF)
+    for query in split.split_in_two(flagged, f"{target}/clean", f"{target}/anomalies", f"{target}/checkpoint", trigger=None):
+        query.awaitTermination()
+    sides = [spark.read.parquet(f"{target}/{side}").select(F.lit(side).alias("side"), "date_part") for side in (split.CLEAN, split.ANOMALIES)]
+    return sides[0].unionByName(sides[1]).groupBy("side", "date_part").agg(F.count(F.lit(1)).alias("n"))
+
+
 ENRICHED = ["event_id", *[name for name, _, _ in en.ENRICHMENT_DEFAULTS]]
 
 
@@ -336,6 +363,12 @@ def snapshot_rollback(spark: SparkSession, sf: str) -> DataFrame:
     return _totals(sn.read_as_of(spark, path), version)
 
 
+def table_history(spark: SparkSession, sf: str) -> DataFrame:
+    path = _snapshots(spark, sf)
+    sn.rollback(spark, path, 1, committed_at="2024-01-03 00:00:00")
+    return sn.history(spark, path).select("version", "committed_at", "operation", "row_count", F.size("columns").alias("column_count"))
+
+
 def prompt_batches(spark: SparkSession, sf: str) -> DataFrame:
     prompts = me.anomaly_prompts(load_flagged(spark, sf))
     return prompts.select(
@@ -353,12 +386,13 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
         decode_events, payload_key_drift, quality_flags, clean_events, anomaly_events, rules_on_customer, rules_on_orders,
-        remediated_events, anomaly_summary_day, anomaly_summary_by_type, top_anomalies, unanalyzed_anomalies,
+        remediated_events, anomaly_summary_day, anomaly_summary_by_type, anomaly_summary_by_label, distinct_events, top_anomalies, unanalyzed_anomalies,
         anomaly_batches, anomaly_groups, anomaly_patterns, anomaly_report_daily,
-        stream_split, enrich_transactions, enrich_partitioned, enrich_merge,
+        stream_split, stream_two_tables, enrich_transactions, enrich_partitioned, enrich_merge,
         null_rates, numeric_profile, sample_values, catalog_tables, catalog_columns, catalog_documents, catalog_describe, catalog_upsert, catalog_search,
         vector_topk_cosine, vector_topk_l2, text_topk_tfidf,
         schema_history, schema_drift_pair, schema_drift_history, schema_drift_severity, schema_merge, snapshot_as_of, snapshot_rollback,
+        table_history,
         freshness, health_daily, incidents, dq_actions, alert_routing, prompt_batches, parse_responses,
     ]
 }

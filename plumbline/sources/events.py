@@ -73,13 +73,12 @@ def decode(messages: DataFrame, *, value: str = "value", ingest_ts: str | dateti
 
 
 def drop_repeats(events: DataFrame, *, watermark: str | None = None) -> DataFrame:
-    """Optional de-duplication by event id. Records without an id are kept, outside the shuffle.
+    """Optional de-duplication by event id. Records without an id are kept; each gets a key of its own, so that they do not
+    meet in one task.
 
     On a stream pass a watermark delay: the ids seen are then forgotten once it has passed.
     """
-    without_id = events.filter(F.col("event_id").isNull())
-    with_id = events.filter(F.col("event_id").isNotNull())
+    keyed = events.withColumn("_key", F.coalesce(F.col("event_id"), F.uuid()))
     if watermark is None:
-        return with_id.dropDuplicates(["event_id"]).unionByName(without_id)
-    distinct = with_id.withWatermark("ingest_ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
-    return distinct.unionByName(without_id)
+        return keyed.dropDuplicates(["_key"]).drop("_key")
+    return keyed.withWatermark("ingest_ts", watermark).dropDuplicatesWithinWatermark(["_key"]).drop("_key")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import catalog as ca
 from plumbline.operators import drift as dr
 from plumbline.operators import messages as me
+from plumbline.operators import profile as pr
 from tests.test_drift import VERSIONS, frame
 
 
@@ -40,7 +41,10 @@ def test_enrichment_prompts(spark):
 
 def test_catalog_prompts(spark):
     catalog = ca.entries({"clean": spark.range(3)}, {"clean": "/w/clean"})
-    assert "ROW COUNT: 3" in me.table_prompts(catalog).first()["prompt"]
+    profile = pr.table_profile(spark.range(3).selectExpr("id", "'x' AS s"), "clean", "/w/clean", "id")
+    prompt = me.table_prompts(profile).first()["prompt"]
+    assert '"row_count":3' in prompt
+    assert '"id":["0","1","2"]' in prompt
     found = catalog.select(F.lit(1).alias("question_id"), F.lit("Which table has amounts?").alias("question"), F.lit(1).alias("rank"), "document")
     prompt = me.question_prompts(found).first()["prompt"]
     assert "Which table has amounts?" in prompt

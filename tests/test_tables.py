@@ -64,6 +64,18 @@ def test_columns_and_unknown_table(table):
         pr.known_table({"t": table}, "u")
 
 
+def test_table_profile(spark, table):
+    row = pr.table_profile(table, "t", "/w/t", "id").first()
+    assert (row["table_name"], row["table_path"], row["row_count"], row["column_count"]) == ("t", "/w/t", 4, 4)
+    assert row["stats"] == {
+        "id_min": 1.0, "id_max": 4.0, "id_avg": 2.5, "x_min": -4.0, "x_max": 2.5, "x_avg": 0.0, "n_min": 5.0, "n_max": 20.0, "n_avg": 11.6667}
+    assert row["sample_values"]["s"] == ["a", None, None]
+    assert [c["type"] for c in row["columns"]] == ["bigint", "double", "int", "string"]
+    empty = pr.table_profile(spark.createDataFrame([], "s string"), "e", "/w/e", "s").first()
+    assert (empty["row_count"], empty["sample_values"], empty["stats"]) == (0, None, None)
+    assert pr.table_stats({"t": table}, "t").count() == 4
+
+
 def test_catalog_entry_and_lookup(table):
     catalog = ca.entries({"t": table}, {"t": "/w/t"})
     row = catalog.first()
