@@ -195,10 +195,14 @@ def index_texts(documents: DataFrame, path: str, *, document_id: str = "document
     spark = documents.sparkSession
     searched = documents.select(F.col(document_id).alias("document_id"), F.col(text).alias("text")).filter("document_id IS NOT NULL")
     counted = term_counts(searched, "document_id", "text")
+    stored = f"{path}/postings"
     if by_term:
-        counted = materialize(counted, "postings").repartitionByRange("term", "document_id").sortWithinPartitions("term")
-    counted.write.mode("overwrite").parquet(f"{path}/postings")
-    postings = spark.read.parquet(f"{path}/postings")
+        postings = materialize(counted, "postings")
+        postings.repartitionByRange("term", "document_id").sortWithinPartitions("term").write.mode("overwrite").parquet(stored)
+    else:
+        counted.write.mode("overwrite").parquet(stored)
+        postings = spark.read.parquet(stored)
+    # `postings` lie by document here, so the sums per document below are combined in the map tasks.
 
     frequencies = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(float(searched.count())) / F.col("df"))
@@ -228,7 +232,8 @@ def search_texts(index: TextIndex, questions: DataFrame, *, k: int = TOP_K, ques
         F.count_distinct("term").alias("terms"), F.count_distinct("question_id").alias("questions"), F.count(F.lit(1)).alias("entries"),
     ).first()
     out = _best_schema(asked, index.norms)
-    n_postings = index.terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    # Up to the limit all terms are sent; only beyond it the number of postings matters.
+    n_postings = index.terms.agg(F.sum("df")).first()[0] if size["terms"] > max_hot_terms else 0
     if max(size["terms"] * size["questions"], ROW_NUMBERS * size["entries"]) > max_sent:
         hits = _weigh(index.postings, wanted, n_postings, max_hot_terms)
         rows = _document_rows(hits, index.norms, "term")
@@ -285,7 +290,7 @@ def _texts_sent(units: DataFrame, index: TextIndex, n_postings: int, max_hot: in
     if len(wanted) <= MAX_PUSHED_TERMS:
         postings = postings.filter(F.col("term").isin([term for term, _, _ in wanted]))
     slots = spark.createDataFrame([(*w, i) for i, w in enumerate(wanted)], "term string, df bigint, idf double, slot int")
-    hits = _weigh(postings, slots, n_postings if len(wanted) > max_hot else 0, max_hot)
+    hits = _weigh(postings, slots, n_postings, max_hot)
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

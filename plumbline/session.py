@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Set at session start on a cluster; shuffle partitions are the upper bound AQE coalesces from.
+# Set at session start. Shuffle partitions are set from the number of cores on a cluster, see `build_session`.
 CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -28,13 +28,19 @@ _shipped_to: set[str] = set()
 
 
 def build_session(app: str = "plumbline", master: str | None = None, conf: Mapping[str, str] | None = None) -> SparkSession:
-    """Create or get a session with the library's settings; `conf` overrides them."""
+    """Create or get a session with the library's settings; `conf` overrides them.
+
+    On a cluster shuffles start with four partitions per core, which AQE merges to its advisory size or splits where skewed.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**CLUSTER_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    context = spark.sparkContext
+    if not context.master.startswith("local") and context.getConf().get("spark.sql.shuffle.partitions") is None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(200, 4 * context.defaultParallelism)))
     ship_package(spark)
     return spark
 
