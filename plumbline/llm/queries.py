@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact
+from plumbline.llm import bpe, exact, rules
 from plumbline.llm.frames import table
 
 
+def op2_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    judged = rules.judge(table(spark, directory, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", *rules.MEASURES, "base_failed", F.array_join("broken_rules", ",").alias("broken_rules"), "kept",
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.digests(table(spark, directory, "documents"))
 
@@ -19,11 +27,62 @@ def op9_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
+# The thresholds are written out here, so that the SQL does not depend on the table under test.
+RULES_SQL = r"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    words AS (
+        SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i
+        FROM (SELECT r, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs)
+    ),
+    seen AS (
+        SELECT r, i, word, lag(word) OVER by_place AS before, list(word) OVER (by_place ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS eight
+        FROM words WINDOW by_place AS (PARTITION BY r ORDER BY i)
+    ),
+    windows AS (SELECT *, CASE WHEN len(eight) = 8 THEN count(*) OVER (PARTITION BY r, eight) ELSE 0 END AS times FROM seen),
+    covered AS (
+        SELECT r, i, word, before, max(CASE WHEN times > 1 THEN 1 ELSE 0 END)
+               OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS hit
+        FROM windows
+    ),
+    by_word AS (
+        SELECT r, count(*) AS n_words, sum(length(word))::BIGINT AS word_chars, sum(hit)::BIGINT AS n_repeat_words,
+               count(*) FILTER (WHERE word = before) AS n_adjacent,
+               count(*) FILTER (WHERE list_contains(string_split('{stop}', ' '), lower(word))) AS n_stop_words
+        FROM covered GROUP BY r
+    ),
+    lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+    by_line AS (
+        SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+    ),
+    measured AS (
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+               coalesce(n_stop_words, 0) AS n_stop_words, coalesce(n_adjacent, 0) AS n_adjacent
+        FROM docs LEFT JOIN by_word USING (r) LEFT JOIN by_line USING (r)
+    ),
+    ratios AS (SELECT *, greatest(n_words, 1) AS w, greatest(n_lines, 1) AS l FROM measured),
+    judged AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               concat_ws(',', CASE WHEN word_chars / w < 2 OR word_chars / w > 20 THEN 'word_length' END,
+                         CASE WHEN n_symbols / w > 0.1 THEN 'symbols' END, CASE WHEN n_stop_words / w < 0.01 THEN 'stop_words' END,
+                         CASE WHEN n_dup_lines / l > 0.5 THEN 'repeated_lines' END,
+                         CASE WHEN n_adjacent / w > 0.3 THEN 'repeated_neighbours' END) AS broken_rules
+        FROM ratios
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, n_adjacent, base_failed, broken_rules,
+           NOT base_failed AND broken_rules = '' AS kept
+    FROM judged
+""".replace("{stop}", " ".join(rules.STOP_WORDS))
+
 ORACLES = {
+    "op2_quality_rules": RULES_SQL,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
