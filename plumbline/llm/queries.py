@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact, rules
+from plumbline.llm import bpe, exact, rules, simhash
 from plumbline.llm.frames import table
 
 
@@ -18,6 +18,10 @@ def op2_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, directory: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, directory, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.digests(table(spark, directory, "documents"))
 
@@ -28,6 +32,7 @@ def op9_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_simhash": op3_simhash,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
