@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact, rules, simhash
+from plumbline.llm import bpe, exact, mixing, rules, simhash
 from plumbline.llm.frames import table
 
 
+def op1_source_mix(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.mix(table(spark, directory, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     judged = rules.judge(table(spark, directory, "documents").select("doc_id", "text"))
     return judged.select(
@@ -31,6 +35,7 @@ def op9_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
     "op5_byte_bpe": op5_byte_bpe,
