@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact, mixing, rules, simhash
+from plumbline.llm import bpe, exact, mixing, rules, simhash, toxicity
 from plumbline.llm.frames import table
 
 
@@ -30,6 +30,10 @@ def op5_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.digests(table(spark, directory, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return exact.decisions(table(spark, directory, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_toxicity": op6_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
