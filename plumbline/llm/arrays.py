@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 # Bytes of text that one slice of a batch holds at most; a longer text forms a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Words beyond this many bytes are hashed one by one.
 LONG_WORD = 64
 

@@ -35,7 +35,7 @@ KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
 KIND[0x30:0x3A] = 2
 
 # Pieces that a worker remembers, about 40 bytes each.
-KNOWN = 1_000_000
+KNOWN = 250_000
 
 PACKED = "n_tokens:bigint,packed_ids:binary"
 LISTS = "ids:array<bigint>,starts:array<int>,ends:array<int>"

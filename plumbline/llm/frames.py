@@ -11,7 +11,7 @@ from plumbline.sources.tables import materialize
 
 # Rows and bytes of one Arrow batch: with few long texts the bytes bound the memory of a Python worker.
 BATCH_ROWS = 4096
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
