@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact, mixing, rules, simhash, toxicity
+from plumbline.llm import bpe, exact, mixing, quality, rules, simhash, toxicity
 from plumbline.llm.frames import table
 
 
@@ -34,6 +34,10 @@ def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.toxicity(table(spark, directory, "documents"), table(spark, directory, "labels"))
 
 
+def op7_quality_mil(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.quality(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return exact.decisions(table(spark, directory, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_quality_mil": op7_quality_mil,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
