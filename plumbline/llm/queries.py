@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact, mixing, quality, rules, simhash, toxicity
+from plumbline.llm import bpe, exact, html, mixing, quality, rules, simhash, toxicity
 from plumbline.llm.frames import table
 
 
@@ -42,6 +42,10 @@ def op9_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return exact.decisions(table(spark, directory, "documents"))
 
 
+def op10_html_text(spark: SparkSession, directory: str) -> DataFrame:
+    return html.extract(table(spark, directory, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_quality_mil": op7_quality_mil,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 # The thresholds are written out here, so that the SQL does not depend on the table under test.
