@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, exact, html, mixing, quality, rules, simhash, toxicity
+from plumbline.llm import bpe, chat, exact, html, mixing, quality, rules, simhash, toxicity
 from plumbline.llm.frames import table
 
 
@@ -38,6 +38,10 @@ def op7_quality_mil(spark: SparkSession, directory: str) -> DataFrame:
     return quality.quality(table(spark, directory, "documents"), table(spark, directory, "labels"))
 
 
+def op8_chat_format(spark: SparkSession, directory: str) -> DataFrame:
+    return chat.format_chats(table(spark, directory, "conversations"))
+
+
 def op9_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return exact.decisions(table(spark, directory, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_quality_mil": op7_quality_mil,
+    "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_html_text": op10_html_text,
 }
@@ -113,4 +118,23 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_chat_format": r"""
+        WITH told AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations GROUP BY ALL
+        ),
+        whole AS (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM told GROUP BY conv_id
+        ),
+        merged AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM whole GROUP BY turns),
+        prefixes AS (
+            SELECT DISTINCT list_slice(turns, 1, k) AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM merged)
+        ),
+        kept AS (SELECT * FROM merged ANTI JOIN prefixes USING (turns)),
+        lines AS (
+            SELECT *, list_aggregate(
+                list_transform(turns, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', '') AS text
+            FROM kept
+        )
+        SELECT conv_id, len(turns) AS n_turns, n_copies, text, length(text) AS n_chars FROM lines
+    """,
 }
