@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, chat, exact, html, mixing, quality, rules, simhash, toxicity
+from plumbline.llm import bpe, chat, exact, html, lm, mixing, quality, rules, simhash, toxicity
 from plumbline.llm.frames import table
 
 
@@ -26,6 +26,10 @@ def op3_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, directory, "documents"))
 
 
+def op4_language_model(spark: SparkSession, directory: str) -> DataFrame:
+    return lm.language_scores(table(spark, directory, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.digests(table(spark, directory, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
+    "op4_language_model": op4_language_model,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_quality_mil": op7_quality_mil,
