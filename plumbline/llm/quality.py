@@ -140,7 +140,7 @@ def gradients(model: Model, owner: np.ndarray, f: dict[str, np.ndarray], error:
 def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int = 3) -> Model:
     model = start(np.random.default_rng(seed))
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         share = min(max(share, 1e-3), 1 - 1e-3)
         return model | {"output": np.zeros(HIDDEN), "bias": np.log([share / (1 - share)])}
     pieces = [t.encode() for t in texts]
@@ -183,7 +183,7 @@ def scored(documents: DataFrame, model: Model, *, text: str = "text") -> DataFra
 
 def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Fit on the bounded sample of `labelled.sample`."""
-    return fit_in_task(sample(documents, labels, label, id_col=id_col, text=text), fit)
+    return fit_in_task(sample(documents, labels, label, id_col=id_col, text=text), fit) or fit([], np.array([]))
 
 
 def quality(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:

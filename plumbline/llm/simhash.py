@@ -218,8 +218,9 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the least node of the component of each node that has a link. Alternates large-star and small-star steps.
+    """(node, root) for each node that has a link and is not itself the least of its component, which is the root.
 
+    Alternates large-star and small-star steps.
     A step sends for a node its neighbours' least one, never all pairs; with at most two rows per link a hot node's rows combine
     in the map tasks. Each round is written to the shared folder; the rounds grow with the logarithm of a component's diameter.
     """

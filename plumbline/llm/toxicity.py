@@ -28,10 +28,12 @@ BUCKET_BITS = 17
 DIMENSIONS = 8
 WINDOW = 24
 STRIDE = 12
-ROUNDS = 100
+ROUNDS = 60
 # Largest change of a number of the vectors in a round, and the factor of the last softmax over windows.
 STEP = 2.0
 SHARPEST = 4.0
+# Occurrences that a bucket's own ones are added to before its gradient is divided by them.
+DOUBT = 150.0
 THRESHOLD = 0.5
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -112,6 +114,8 @@ class Bags:
             slots.append(buckets(layout.data, n)[gather(starts - 1, length)])
             owners.append(np.repeat(np.arange(len(first)), length))
         self.slots, self.owners = np.concatenate(slots), np.concatenate(owners)
+        often = np.bincount(self.kind, minlength=len(first)).astype(np.float64)
+        self.support = np.bincount(self.slots, often[self.owners], minlength=1 << BUCKET_BITS)
 
     def window_means(self, table: np.ndarray) -> np.ndarray:
         word = np.bincount(self.owners, table[self.slots], minlength=len(self.grams)) / self.grams
@@ -139,7 +143,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int =
     size = 1 << BUCKET_BITS
     model = {"vectors": np.zeros((size, DIMENSIONS)), "weights": random.normal(0, 1, (2, DIMENSIONS)), "bias": np.zeros(2)}
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         share = min(max(share, 1e-3), 1 - 1e-3)
         return model | {"bias": np.log([1 - share, share])}
     pieces = [f" {t} ".encode() for t in texts]
@@ -158,7 +162,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int =
         part /= np.bincount(owner, part, minlength=count)[owner]
         z = np.bincount(owner, part * value, minlength=count) + model["bias"][1] - model["bias"][0]
         error = (sigmoid(z) - labels) * weight
-        pull = bags.pulled(part * error[owner])
+        pull = bags.pulled(part * error[owner]) / (bags.support + DOUBT)
         steep = pull @ model["vectors"]
         slow = 1 - 0.9 * step / rounds
         for name, gradient, rate in (
