@@ -268,5 +268,5 @@ def one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text: str = "te
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*[F.col(c) for c in columns]))
     # Equal fingerprints meet in the map tasks first, so that no class gathers all its texts in one task.
     first = rows.groupBy(F.col("_fp").alias("fp")).agg(F.min_by(F.struct(*columns), order).alias("_stay"), F.min(order).alias("_order"))
-    stay = first.join(named, "fp").groupBy("component_id").agg(F.min_by("_stay", "_order").alias("_stay"))
+    stay = first.join(named, "fp", "left").groupBy("component_id").agg(F.min_by("_stay", "_order").alias("_stay"))
     return stay.select("_stay.*")
