@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     analyze.add_argument("--events", required=True)
     analyze.add_argument("--date", required=True)
     analyze.add_argument("--reports", required=True)
+    analyze.add_argument("--format", default="parquet", help="format of the event table")
 
     schema = commands.add_parser("schema", help="check the newest schema change; fails if it is breaking")
     schema.add_argument("--snapshots", required=True)
@@ -49,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     quality.add_argument("--events", required=True)
     quality.add_argument("--date", required=True)
     quality.add_argument("--incidents")
+    quality.add_argument("--format", default="parquet", help="format of the event table")
 
     refresh = commands.add_parser("catalog", help="profile tables into the next catalog version")
     refresh.add_argument("--table", action="append", required=True, metavar="NAME=PATH")
@@ -66,8 +68,8 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def _events(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    return spark.read.format(fmt).load(path)
 
 
 def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
@@ -79,11 +81,11 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
         split.split_once(split.flagged_stream(messages), args.events, args.checkpoint, trigger=trigger, fmt=args.sink).awaitTermination()
         return None
     if args.command == "analyze":
-        return jobs.analyze_anomalies(_events(spark, args.events), args.date, args.reports)
+        return jobs.analyze_anomalies(_events(spark, args.events, args.format), args.date, args.reports)
     if args.command == "schema":
         return jobs.check_schema(sn.schema_versions(spark, args.snapshots, args.name), args.key)
     if args.command == "quality":
-        return jobs.check_quality(_events(spark, args.events), args.date, "transactions", incidents_path=args.incidents).actions
+        return jobs.check_quality(_events(spark, args.events, args.format), args.date, "transactions", incidents_path=args.incidents).actions
     if args.command == "catalog":
         paths = _pairs(args.table)
         frames = {name: spark.read.parquet(path) for name, path in paths.items()}
@@ -98,7 +100,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
 def main() -> None:
     result = run(build_session(), sys.argv[1:])
     if result is not None:
-        result.show(100, truncate=False)
+        for row in result.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator():  # every row, as JSON lines
+            print(row[0])
 
 
 if __name__ == "__main__":

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import iso_utc, lookup, minutes_between, percent, share
+from plumbline.operators.remediate import POLICY
 from plumbline.operators.rules import anomalous
-from plumbline.schemas import ANALYSIS_BATCH, ANALYSIS_CAP, ANOMALY_LIMIT, STALE_MINUTES
+from plumbline.schemas import ANALYSIS_BATCH, ANOMALY_LIMIT, STALE_MINUTES, TOP_ANOMALIES
 from plumbline.session import as_date, as_timestamp
+from plumbline.sources.tables import join_null_safe, number_rows
 
 # The rules of `transaction_rules`, in their order.
 TYPES = ["null_user", "extreme_amount", "negative_amount", "invalid_currency", "future_ts", "schema_drift"]
@@ -29,14 +31,8 @@ ROOT_CAUSES = {
     "schema_drift": "payload keys differ from the expected set",
 }
 
-REMEDIES = {
-    "null_user": "reject",
-    "extreme_amount": "filter",
-    "negative_amount": "impute",
-    "invalid_currency": "filter",
-    "future_ts": "impute",
-    "schema_drift": "alert upstream",
-}
+# What the policy does with records of each type.
+REMEDIES = {name: " or ".join(action for condition, action in POLICY if f"flag_{name}" in condition) for name in TYPES}
 
 # Upper bounds (exclusive) of an anomaly type's share of all events.
 IMPACT_BOUNDS = [(0.01, "low"), (0.05, "medium"), (0.20, "high")]
@@ -52,9 +48,9 @@ def by_type(flagged: DataFrame) -> DataFrame:
     return anomalous(flagged).select("*", F.explode(type_names()).alias("anomaly_type"))
 
 
-def of_day(events: DataFrame, run_date: str | date) -> DataFrame:
-    """The events of one run date; on a table partitioned by `date_part` only that partition is read."""
-    return events.filter(F.col("date_part") == as_date(run_date))
+def of_day(events: DataFrame, run_date: str | date | None) -> DataFrame:
+    """The events of one run date, None for those without one; on a table partitioned by `date_part` only that partition is read."""
+    return events.filter(F.col("date_part").isNull() if run_date is None else F.col("date_part") == as_date(run_date))
 
 
 def count_types(flagged: DataFrame, keys: Sequence[str] = (), *extra: Column) -> DataFrame:
@@ -90,7 +86,7 @@ def worst_first() -> list[Column]:
     return [F.col("anomaly_score").desc(), F.col("event_id").asc()]
 
 
-def top_anomalies(flagged: DataFrame, n: int = ANALYSIS_CAP) -> DataFrame:
+def top_anomalies(flagged: DataFrame, n: int = TOP_ANOMALIES) -> DataFrame:
     """The n highest scores; ties are broken by event id. Each task keeps n rows, so nothing is sorted whole."""
     return anomalous(flagged).orderBy(*worst_first()).limit(n)
 
@@ -100,21 +96,26 @@ def not_analyzed(anomalies: DataFrame, ledger: DataFrame) -> DataFrame:
     return anomalies.join(ledger.select("event_id"), "event_id", "left_anti")
 
 
-def ranked_by_day(flagged: DataFrame, cap: int = ANALYSIS_CAP) -> DataFrame:
-    """The worst `cap` anomalies of every date with their rank.
+def ranked_by_day(flagged: DataFrame, cap: int | None = None) -> DataFrame:
+    """All anomalies with their rank within the date, worst first; with `cap` only the worst ones of every date.
 
-    The cap is applied before the shuffle as well (WindowGroupLimit), so a date that holds most rows sends `cap` rows per
-    task. What exceeds the cap is due in a later run: see `not_analyzed`.
+    Ranks come from numbers over all dates, so a date that holds most rows is ranked by many tasks. A cap is applied before the
+    shuffle (WindowGroupLimit); what exceeds it is due in a later run: see `not_analyzed`.
     """
-    rank = F.row_number().over(Window.partitionBy("date_part").orderBy(*worst_first()))
-    return anomalous(flagged).select("*", rank.alias("rank")).filter(F.col("rank") <= cap)
+    found = anomalous(flagged)
+    if cap is not None:
+        rank = F.row_number().over(Window.partitionBy("date_part").orderBy(*worst_first()))
+        return found.select("*", rank.cast("bigint").alias("rank")).filter(F.col("rank") <= cap)
+    numbered = number_rows(found, ["date_part", *worst_first()], "_at")
+    first = numbered.groupBy("date_part").agg(F.min("_at").alias("_first"))
+    return join_null_safe(numbered, first, ["date_part"]).withColumn("rank", F.col("_at") - F.col("_first") + 1).drop("_at", "_first")
 
 
 def batch_number(size: int = ANALYSIS_BATCH) -> Column:
     return F.floor((F.col("rank") - 1) / size).cast("int")
 
 
-def analysis_batches(flagged: DataFrame, *, size: int = ANALYSIS_BATCH, cap: int = ANALYSIS_CAP) -> DataFrame:
+def analysis_batches(flagged: DataFrame, *, size: int = ANALYSIS_BATCH, cap: int | None = None) -> DataFrame:
     """(date, batch) with its size, first and last id, and the ids in rank order. A batch has at most `size` rows."""
     rows = ranked_by_day(flagged, cap).select("date_part", batch_number(size).alias("batch"), "rank", "event_id")
     members = F.array_sort(F.collect_list(F.struct("rank", "event_id")))
@@ -148,7 +149,7 @@ def anomaly_groups(flagged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per key and anomaly type: count, share, cause, impact, remedy and example ids."""
     counts = count_types(flagged, keys).filter("n > 0")
     found = examples(flagged, keys)
-    return counts.join(found, [*keys, "anomaly_type"], "left").select(
+    return join_null_safe(counts, found, [*keys, "anomaly_type"], "left").select(
         *keys, "anomaly_type",
         F.col("n").alias("anomaly_count"),
         percent(F.col("n"), F.col("events")).alias("share_pct"),
@@ -165,7 +166,7 @@ def patterns(flagged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     Events are counted once by (country, hour); both dimensions are sums over that small table.
     """
     cells = count_types(
-        flagged.select("*", F.format_string("%02d", F.hour("event_ts")).alias("hour_of_day")), [*keys, "country", "hour_of_day"],
+        flagged.select("*", F.date_format("event_ts", "HH").alias("hour_of_day")), [*keys, "country", "hour_of_day"],
     ).filter("n > 0")
     pairs = F.array(
         F.struct(F.lit("country").alias("dimension"), F.col("country").alias("value")),
@@ -174,9 +175,9 @@ def patterns(flagged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     group = [*keys, "anomaly_type", "dimension"]
     counts = cells.select(*keys, "anomaly_type", "n", F.inline(pairs)).groupBy(*group, "value").agg(F.sum("n").alias("n"))
     totals = counts.groupBy(*group).agg(
-        F.sum("n").alias("total"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top_value"),
+        F.sum("n").alias("total"), F.min_by("value", F.struct(-F.col("n"), F.col("value").isNull(), F.col("value"))).alias("top_value"),
     )
-    joined = counts.join(totals, group).select(
+    joined = join_null_safe(counts, totals, group).select(
         *group, "value", "n", share(F.col("n"), F.col("total")).alias("ratio"), F.col("value").eqNullSafe(F.col("top_value")).alias("is_dominant"),
     )
     insight = F.when(
@@ -201,8 +202,9 @@ def last_regular_time() -> Column:
     return F.max(F.when(~F.col("flag_future_ts"), F.col("event_ts"))).alias("last_event_ts")
 
 
-def minutes_to_day_end(ts: Column) -> Column:
-    return minutes_between(ts, F.date_add(F.col("date_part"), 1).cast("timestamp"))
+def minutes_of_silence(ts: Column, as_of: str | datetime | Column | None) -> Column:
+    """Minutes from an event time to `as_of`, for a past date to its end."""
+    return minutes_between(ts, F.least(F.date_add(F.col("date_part"), 1).cast("timestamp"), as_timestamp(as_of)))
 
 
 def daily_report(flagged: DataFrame, *, analyzed_at: str | datetime | Column | None = None, limit: int = ANOMALY_LIMIT,
@@ -218,10 +220,10 @@ def daily_report(flagged: DataFrame, *, analyzed_at: str | datetime | Column | N
         F.sum("anomalies").alias("anomalies"),
         F.max("last_event_ts").alias("last_event_ts"),
         F.max("n").alias("top_n"),
-        F.min_by("country", F.struct(-F.col("n"), F.col("country"))).alias("top_country"),
+        F.min_by("country", F.struct(-F.col("n"), F.col("country").isNull(), F.col("country"))).alias("top_country"),
     ).filter("count > 0")
     insight = F.when(F.col("top_n") * 2 >= F.col("count"), F.concat(F.lit("mostly country "), F.col("top_country")))
-    described = groups.join(examples(flagged, ["date_part"]), ["date_part", "anomaly_type"], "left").select(
+    described = join_null_safe(groups, examples(flagged, ["date_part"]), ["date_part", "anomaly_type"], "left").select(
         "date_part", "events", "anomalies", "last_event_ts", "count", "anomaly_type",
         F.struct(
             "anomaly_type", "count",
@@ -239,7 +241,7 @@ def daily_report(flagged: DataFrame, *, analyzed_at: str | datetime | Column | N
         F.min_by("anomaly_type", F.struct(-F.col("count"), F.col("anomaly_type"))).alias("top_type"),
         F.array_sort(F.collect_list("grp")).alias("anomaly_groups"),  # at most one entry per type
     )
-    age = minutes_to_day_end(F.col("last_event_ts"))
+    age = minutes_of_silence(F.col("last_event_ts"), analyzed_at)
     summary = F.concat(
         F.col("anomalies").cast("string"), F.lit(" of "), F.col("events").cast("string"),
         F.lit(" events are anomalous; most frequent: "), F.col("top_type"), F.lit("."),

@@ -42,32 +42,41 @@ def observed_versions(messages: DataFrame, table: str, *, version: str = "versio
     """The schema that the payloads of each version really have.
 
     Every message is parsed once; (version, key, type) is counted in the map tasks, so the shuffle carries a few rows per key.
-    A key is nullable if some payload of the version lacks it or holds null. The first key of a payload counts the payload.
+    A key is nullable if some payload of the version lacks it or holds null. The first key of an object counts it, and so does the
+    one row of an object without keys. What is no JSON object is no record; it counts in `unreadable_count`.
     """
     spark = messages.sparkSession
-    parsed = messages.select(version, at, F.try_parse_json(F.col(value)).alias("payload"))
+    known = F.json_object_keys(F.col(value)).isNotNull()
+    parsed = messages.select(version, at, F.when(known, F.try_parse_json(F.col(value))).alias("payload"))
     cells = parsed.lateralJoin(spark.tvf.variant_explode(F.col("payload").outer()).alias("cell"))
-    counts = cells.select(version, at, "pos", F.col("key").alias("name"), _json_type(F.col("cell.value")).alias("type"))
+    head = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    counts = cells.select(
+        version, at, F.col("key").alias("name"), _json_type(F.col("cell.value")).alias("type"), (head & F.col("payload").isNotNull()).alias("head"),
+        F.col("payload").isNull().alias("unreadable"),
+    )
     counts = counts.groupBy(version, "name", "type").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("pos") == 0).alias("heads"), F.max(at).alias("at"),
+        F.count(F.lit(1)).alias("n"), F.count_if("head").alias("heads"), F.count_if("unreadable").alias("unreadable"), F.max(at).alias("at"),
     )
     named = F.col("type") != "void"
     keys = counts.groupBy(version, "name").agg(
         F.sum(F.when(named, F.col("n")).otherwise(0)).alias("present"),
         F.sum("heads").alias("heads"),
+        F.sum("unreadable").alias("unreadable"),
         F.max("at").alias("at"),
         F.array_sort(F.collect_set(F.when(named, F.col("type")))).alias("kinds"),
     )
     rows = keys.groupBy(version).agg(
         F.sum("heads").alias("record_count"),
+        F.sum("unreadable").alias("unreadable_count"),
         F.max("at").alias("committed_at"),
-        F.array_sort(F.collect_list(F.struct("name", _common_type(F.col("kinds")).alias("type"), "present"))).alias("seen"),
+        F.array_sort(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", _common_type(F.col("kinds")).alias("type"), "present")))).alias("seen"),
     )
     columns = F.transform("seen", lambda c: F.struct(
         c["name"].alias("name"), c["type"].alias("type"), (c["present"] < F.col("record_count")).alias("nullable"),
     ))
     return rows.select(
         F.lit(table).alias("table_name"), F.col(version).cast("bigint").alias("version"), "committed_at", "record_count", columns.alias("columns"),
+        "unreadable_count",
     )
 
 

@@ -16,8 +16,10 @@ from pyspark.sql import types as T
 
 from plumbline.functions.scalars import embedded_json, is_json, iso_utc
 from plumbline.operators.anomalies import batch_number, ranked_by_day, type_names
-from plumbline.schemas import ANALYSIS_BATCH, ANALYSIS_CAP, ENRICHMENT_BATCH, GROUP_DDL
+from plumbline.operators.drift import history
+from plumbline.schemas import ANALYSIS_BATCH, ENRICHMENT_BATCH, GROUP_DDL, HISTORY_VERSIONS
 from plumbline.session import as_timestamp
+from plumbline.sources.tables import join_null_safe
 
 logger = logging.getLogger(__name__)
 
@@ -59,13 +61,18 @@ def _record(columns: Sequence[str | Column]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def anomaly_prompts(flagged: DataFrame, *, size: int = ANALYSIS_BATCH, cap: int = ANALYSIS_CAP) -> DataFrame:
-    """One prompt per date and batch of the worst anomalies; a batch holds at most `size` records."""
+def anomaly_prompts(flagged: DataFrame, *, size: int = ANALYSIS_BATCH, cap: int | None = None) -> DataFrame:
+    """One prompt per date and batch of anomalies, worst first; a batch holds at most `size` records."""
+    return ranked_prompts(ranked_by_day(flagged, cap), size=size)
+
+
+def ranked_prompts(ranked: DataFrame, *, size: int = ANALYSIS_BATCH) -> DataFrame:
+    """The same for rows that have their `rank` already."""
     record = _record([
         "event_id", "user_id", "product_id", "amount", "currency", "event_type", iso_utc(F.col("event_ts")).alias("timestamp"), "country",
         "payment_method", F.array_join(type_names(), ",").alias("anomaly_type"),
     ])
-    rows = ranked_by_day(flagged, cap).select("date_part", batch_number(size).alias("batch"), "rank", record.alias("record"))
+    rows = ranked.select("date_part", batch_number(size).alias("batch"), "rank", record.alias("record"))
     batches = rows.groupBy("date_part", "batch").agg(
         F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("rank", "record"))).alias("members"),
     )
@@ -83,9 +90,9 @@ def enrichment_prompts(transactions: DataFrame, columns: Sequence[str], *, size:
     return grouped.select("batch", "n", _prompt(ENRICHMENT_TASK, F.array_join("records", "\n")).alias("prompt"))
 
 
-def schema_prompts(drifts: DataFrame, versions: DataFrame) -> DataFrame:
-    """One prompt per drift: the change, then the known versions of the table, newest first."""
-    known = versions.groupBy("table_name").agg(F.sort_array(F.collect_list(F.struct("version", "committed_at", "columns")), asc=False).alias("h"))
+def schema_prompts(drifts: DataFrame, versions: DataFrame, n: int = HISTORY_VERSIONS) -> DataFrame:
+    """One prompt per drift: the change, then the newest n versions of the table, newest first."""
+    known = history(versions, n).groupBy("table_name").agg(F.sort_array(F.collect_list(F.struct("version", "committed_at", "columns")), asc=False).alias("h"))
     change = _record([c for c in drifts.columns if c != "table_name"])
     return drifts.join(known, "table_name").select(
         "table_name", "to_version",
@@ -138,7 +145,8 @@ def answer(prompts: DataFrame, fn: Callable[[list[str]], list[str | None]], *, s
 def combine_reports(answers: DataFrame, analyzed_at: str | datetime | Column | None = None) -> DataFrame:
     """One report row per date from the parsed answers (date_part, batch, n, and the columns of `parse_reports`).
 
-    All readable batches count: groups of one type are added up, and the worst health of a batch is the health of the date.
+    Groups of one type are added up, and the worst health of a batch is the health of the date. All batches count: those without a
+    readable answer are in `anomaly_count` and `unread_batches`, and a date without any readable answer has an unknown health.
     """
     worst = F.create_map(*[F.lit(x) for pair in [("healthy", 0), ("degraded", 1), ("critical", 2)] for x in pair])
     readable = answers.filter("parse_ok")
@@ -149,29 +157,35 @@ def combine_reports(answers: DataFrame, analyzed_at: str | datetime | Column | N
         .select("date_part", F.struct("anomaly_type", "count", "g.*").alias("g"))
         .groupBy("date_part").agg(F.array_sort(F.collect_list("g")).alias("anomaly_groups"))
     )
-    days = readable.groupBy("date_part").agg(
+    asked = readable.select("date_part", F.explode("recommended_actions").alias("step")).distinct()
+    steps = asked.groupBy("date_part").agg(F.array_sort(F.collect_list("step")).alias("recommended_actions"))
+    when_read = lambda c: F.when(F.col("parse_ok"), F.col(c))
+    days = answers.groupBy("date_part").agg(
         F.sum("n").alias("anomaly_count"),
-        F.max_by("overall_pipeline_health", F.try_element_at(worst, F.col("overall_pipeline_health"))).alias("pipeline_health"),
-        F.min_by("executive_summary", "batch").alias("executive_summary"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("recommended_actions")))).alias("recommended_actions"),
+        F.count_if(~F.col("parse_ok")).alias("unread_batches"),
+        F.max_by(when_read("overall_pipeline_health"), F.try_element_at(worst, when_read("overall_pipeline_health"))).alias("overall_pipeline_health"),
+        F.min_by(when_read("executive_summary"), F.when(F.col("parse_ok"), F.col("batch"))).alias("executive_summary"),
     )
-    joined = days.join(groups, "date_part", "left").withColumnRenamed("pipeline_health", "overall_pipeline_health")
-    document = _record(["anomaly_groups", "overall_pipeline_health", "executive_summary", "recommended_actions"])
+    joined = join_null_safe(join_null_safe(days, groups, ["date_part"], "left"), steps, ["date_part"], "left")
+    document = _record(["anomaly_groups", "overall_pipeline_health", "executive_summary", "recommended_actions", "unread_batches"])
     return joined.select(
-        F.col("date_part").alias("run_date"), iso_utc(as_timestamp(analyzed_at)).alias("analyzed_at"), "anomaly_count",
-        F.col("overall_pipeline_health").alias("pipeline_health"), "executive_summary", document.alias("full_report"),
+        F.col("date_part").alias("run_date"), iso_utc(as_timestamp(analyzed_at)).alias("analyzed_at"), "anomaly_count", "unread_batches",
+        F.coalesce("overall_pipeline_health", F.lit("unknown")).alias("pipeline_health"), "executive_summary", document.alias("full_report"),
     )
 
 
 def parse_objects(answers: DataFrame, ddl: str, *, text: str = "text") -> DataFrame:
-    """The JSON object inside each answer as typed columns; `parse_ok` is false and the columns NULL if there is none."""
+    """The JSON object inside each answer as typed columns.
+
+    `parse_ok` is false and the columns are NULL if there is no object, or none of the expected fields in it.
+    """
     inner = embedded_json(F.col(text), "object")
     kept = [c for c in answers.columns if c != text]
+    fields = T.StructType.fromDDL(ddl).fieldNames()
     return (
         answers.select(*kept, inner.alias("_json"))
-        .select(*kept, "_json", is_json(F.col("_json")).alias("parse_ok"))
-        .select(*kept, "parse_ok", F.when(F.col("parse_ok"), F.from_json("_json", ddl)).alias("_answer"))
-        .select(*kept, "parse_ok", "_answer.*")
+        .select(*kept, F.when(is_json(F.col("_json")), F.from_json("_json", ddl)).alias("_answer"))
+        .select(*kept, F.coalesce(*[F.col(f"_answer.{f}").isNotNull() | F.lit(None) for f in fields], F.lit(False)).alias("parse_ok"), "_answer.*")
     )
 
 

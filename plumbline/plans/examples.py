@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,3 +96,17 @@ def service_answers(enriched: DataFrame) -> DataFrame:
     return enriched.select("event_id", "currency", "payment_method", "country", answer.alias("answer")).select(
         F.col("event_id").alias("answer_id"), text.alias("text"),
     )
+
+
+def explain_batches(prompts: list[str]) -> list[str]:
+    """A stand-in for a text service: groups the records of each prompt by type; batches of three records it cannot explain."""
+    answers = []
+    for prompt in prompts:
+        types = Counter(json.loads(line)["anomaly_type"] for line in prompt.splitlines() if line.startswith("{"))
+        report = {
+            "anomaly_groups": [{"anomaly_type": t, "count": n} for t, n in sorted(types.items())],
+            "overall_pipeline_health": "critical" if any("," in t for t in types) else "degraded",
+            "recommended_actions": sorted({t.split(",")[0] for t in types}),
+        }
+        answers.append("I cannot tell." if types.total() == 3 else f"Report: {json.dumps(report)}")
+    return answers

@@ -1,12 +1,12 @@
 """Scheduled jobs: daily anomaly analysis, schema check, quality check and catalog refresh.
 
-Every job writes by run date with dynamic partition overwrite, or as a new snapshot, so a repeated run replaces its own
-output and leaves the rest alone.
+Every job writes the folder of its run date (and run), or a new snapshot, so a repeated run replaces its own output, with nothing
+if it finds nothing, and leaves the rest alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -17,48 +17,81 @@ from plumbline.operators import anomalies as an
 from plumbline.operators import catalog as ca
 from plumbline.operators import drift as dr
 from plumbline.operators import health as he
+from plumbline.operators import messages as me
 from plumbline.operators import profile as pr
 from plumbline.operators import search as se
 from plumbline.operators.remediate import remediate
 from plumbline.operators.rules import anomalous
-from plumbline.schemas import ANALYSIS_CAP, ANOMALY_LIMIT, STALE_MINUTES, TOP_K
-from plumbline.session import as_date
+from plumbline.schemas import ANALYSIS_BATCH, ANOMALY_LIMIT, STALE_MINUTES, TOP_K
+from plumbline.session import as_date, path_exists
 from plumbline.sources import snapshots as sn
-from plumbline.sources.tables import materialize
+from plumbline.sources.tables import join_null_safe, materialize
 
 
 class BreakingSchemaChange(ValueError):
     """The newest version of a table breaks its readers."""
 
 
-def _replace_run(df: DataFrame, path: str, run_date: str | date) -> DataFrame:
-    rows = df if "run_date" in df.columns else df.select(as_date(run_date).alias("run_date"), "*")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)
-    return df.sparkSession.read.schema(rows.schema).parquet(path).filter(F.col("run_date") == as_date(run_date))
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+LEDGER_DDL = "event_id STRING, run_id STRING"
 
 
-def analyze_anomalies(flagged: DataFrame, run_date: str | date, reports_path: str, *, ledger: DataFrame | None = None,
-                      ledger_path: str | None = None, analyzed_at: str | datetime | Column | None = None,
-                      cap: int = ANALYSIS_CAP) -> DataFrame:
-    """Write and return the report row of a day (none if the day has no anomalies).
+def _run_folder(path: str, run_date: str | date | None) -> str:
+    return f"{path}/run_date={NO_DATE if run_date is None else run_date}"
 
-    The ids of the worst `cap` anomalies not in `ledger` are recorded under `ledger_path`; what exceeds the cap is taken next
-    time. Pass earlier runs as `ledger`, without the run at hand.
+
+def _replace(df: DataFrame, folder: str) -> DataFrame:
+    """Write one partition folder anew; an empty result empties it."""
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _replace_run(df: DataFrame, path: str, run_date: str | date | None) -> DataFrame:
+    day = F.lit(None).cast("date") if run_date is None else as_date(run_date)
+    stored = _replace(df.drop("run_date"), _run_folder(path, run_date))
+    return stored.select(day.alias("run_date"), "*")
+
+
+def analyze_anomalies(flagged: DataFrame, run_date: str | date | None, reports_path: str, *,
+                      analyzed_at: str | datetime | Column | None = None) -> DataFrame:
+    """Write and return the report row of a day over all of its anomalies (none if the day has no anomalies)."""
+    return _replace_run(an.daily_report(an.of_day(flagged, run_date), analyzed_at=analyzed_at), reports_path, run_date)
+
+
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """(event_id, run_id) of all records explained so far."""
+    if not path_exists(spark, ledger_path):
+        return spark.createDataFrame([], LEDGER_DDL)
+    return spark.read.schema(LEDGER_DDL).parquet(ledger_path)
+
+
+def explain_anomalies(flagged: DataFrame, run_date: str | date | None, run_id: str, fn: Callable[[list[str]], list[str | None]],
+                      reports_path: str, ledger_path: str, *, size: int = ANALYSIS_BATCH, cap: int | None = None, prompts_per_call: int = 1,
+                      analyzed_at: str | datetime | Column | None = None) -> DataFrame:
+    """Send the anomalies of a day that no other run explained to a text service, batch by batch, and write one report of its answers.
+
+    The ledger gets a folder per run, so earlier runs stay; records of batches without a readable answer are not in it and are due
+    again. A run of the same name replaces its own report and ledger entries.
     """
-    day = an.of_day(flagged, run_date)
-    report = _replace_run(an.daily_report(day, analyzed_at=analyzed_at), reports_path, run_date)
-    if ledger_path is not None:
-        due = anomalous(day) if ledger is None else an.not_analyzed(anomalous(day), ledger)
-        _replace_run(an.ranked_by_day(due, cap).select("event_id", "rank"), ledger_path, run_date)
+    spark = flagged.sparkSession
+    taken = read_ledger(spark, ledger_path).filter(F.col("run_id") != run_id)
+    due = an.not_analyzed(anomalous(an.of_day(flagged, run_date)), taken)
+    ranked = materialize(an.ranked_by_day(due, cap), "ranked")
+    answers = me.answer(me.ranked_prompts(ranked, size=size), fn, size=prompts_per_call)
+    parsed = materialize(me.parse_reports(answers), "answers")
+    report = _replace(me.combine_reports(parsed, analyzed_at).drop("run_date"), f"{_run_folder(reports_path, run_date)}/run_id={run_id}")
+    batch = ranked.select("date_part", an.batch_number(size).alias("batch"), "event_id")
+    read = join_null_safe(batch, parsed.filter("parse_ok").select("date_part", "batch"), ["date_part", "batch"], "left_semi")
+    _replace(read.select("event_id"), f"{ledger_path}/run_id={run_id}")
     return report
 
 
 def check_schema(versions: DataFrame, key_columns: Sequence[str] = ()) -> DataFrame:
     """Verdicts on the newest change of each table; raises if one is breaking. No row means no drift."""
     verdicts = dr.verdicts(dr.newest_drift(versions), key_columns)
-    broken = verdicts.filter("is_breaking_change").select("severity", "stakeholder_message").first()
-    if broken is not None:
-        raise BreakingSchemaChange(f"{broken['severity']}: {broken['stakeholder_message']}")
+    broken = verdicts.filter("is_breaking_change").orderBy("table_name").select("severity", "stakeholder_message").collect()  # one per table
+    if broken:
+        raise BreakingSchemaChange("; ".join(f"{r['severity']}: {r['stakeholder_message']}" for r in broken))
     return verdicts
 
 
@@ -73,6 +106,7 @@ class QualityCheck:
     table_stats: DataFrame | None
     remediation: DataFrame | None
     incidents: DataFrame | None
+    freshness: DataFrame
 
 
 def check_quality(flagged: DataFrame, run_date: str | date, pipeline: str, *, incidents_path: str | None = None,
@@ -80,7 +114,7 @@ def check_quality(flagged: DataFrame, run_date: str | date, pipeline: str, *, in
                   stale_minutes: int = STALE_MINUTES) -> QualityCheck:
     """Freshness and anomaly summary of a day; stats and remediation if it has too many anomalies, an incident if stale."""
     day = an.of_day(flagged, run_date)
-    daily = materialize(he.health_of_day(flagged, run_date, limit=limit, stale_minutes=stale_minutes), "health")
+    daily = materialize(he.health_of_day(flagged, run_date, as_of, limit=limit, stale_minutes=stale_minutes), "health")
     verdict = daily.first()  # the one row
     over = verdict["is_over"]
     incidents = None
@@ -96,6 +130,7 @@ def check_quality(flagged: DataFrame, run_date: str | date, pipeline: str, *, in
         table_stats=pr.null_rates(day, pipeline) if over else None,
         remediation=remediate(anomalous(day), as_of) if over else None,
         incidents=incidents,
+        freshness=he.freshness({pipeline: (flagged, "event_ts")}, as_of, stale_minutes=stale_minutes),
     )
 
 

@@ -2,8 +2,24 @@
 
 from __future__ import annotations
 
-from plumbline.operators.anomalies import REMEDIES, ROOT_CAUSES, TYPES
-from plumbline.operators.messages import ANOMALY_TASK
+TYPES = ["null_user", "extreme_amount", "negative_amount", "invalid_currency", "future_ts", "schema_drift"]
+ROOT_CAUSES = {
+    "null_user": "producer sent no user id or the message could not be decoded",
+    "extreme_amount": "amount is above the accepted limit",
+    "negative_amount": "amount is below zero",
+    "invalid_currency": "currency is missing or not an accepted code",
+    "future_ts": "event time lies after the processing time",
+    "schema_drift": "payload keys differ from the expected set",
+}
+REMEDIES = {
+    "null_user": "reject", "extreme_amount": "filter", "negative_amount": "reject or impute", "invalid_currency": "filter",
+    "future_ts": "impute", "schema_drift": "alert_upstream",
+}
+ANOMALY_TASK = (
+    "Explain the data-quality anomalies below. Group them by anomaly_type. Give for every group the ROOT CAUSE, the BUSINESS IMPACT "
+    "(low, medium, high, critical), a remediation, example ids, and any pattern across records. Answer with one JSON object holding "
+    "anomaly_groups, overall_pipeline_health, executive_summary and recommended_actions."
+)
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
@@ -54,17 +70,16 @@ def impact(part: str, whole: str) -> str:
 
 FLAG_LIST = ", ".join(f"flag_{name}" for name in TYPES)
 
-RANKED = f"""ranked AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY date_part ORDER BY anomaly_score DESC, event_id) AS rank FROM flagged WHERE is_anomaly
-  ) WHERE rank <= 200
+RANKED = """ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY date_part ORDER BY anomaly_score DESC, event_id) AS rank FROM flagged WHERE is_anomaly
 )"""
 
 HEALTH = """daily AS (
-  SELECT date_part, count(*) FILTER (WHERE is_anomaly) AS anomaly_count, max(event_ts) FILTER (WHERE NOT flag_future_ts) AS last_event_ts
-  FROM flagged GROUP BY date_part
+  SELECT date_part, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+    max(event_ts) FILTER (WHERE event_ts <= TIMESTAMP '2024-01-30 12:00:00') AS last_event_ts
+  FROM flagged WHERE date_part IS NULL OR date_part <= DATE '2024-01-30' GROUP BY date_part
 ), aged AS (
-  SELECT *, date_sub('minute', last_event_ts, CAST(date_part + 1 AS TIMESTAMP)) AS age_minutes FROM daily
+  SELECT *, date_sub('minute', last_event_ts, least(TIMESTAMP '2024-01-30 12:00:00', CAST(date_part + 1 AS TIMESTAMP))) AS age_minutes FROM daily
 ), health AS (
   SELECT *, anomaly_count > 20 AS is_over, coalesce(age_minutes >= 10, true) AS is_stale,
     CASE WHEN anomaly_count > 20 AND coalesce(age_minutes >= 10, true) THEN 'critical'
@@ -272,9 +287,8 @@ ORACLES: dict[str, str] = {
         SELECT date_part, anomaly_type, count(*) AS anomaly_count FROM typed GROUP BY date_part, anomaly_type""",
     "top_anomalies": f"""WITH {TXN}
         SELECT event_id, anomaly_score, date_part FROM flagged WHERE is_anomaly ORDER BY anomaly_score DESC, event_id LIMIT 200""",
-    "unanalyzed_anomalies": f"""WITH {TXN}, {RANKED}
-        SELECT event_id, date_part, anomaly_score FROM flagged WHERE is_anomaly
-          AND event_id NOT IN (SELECT event_id FROM ranked WHERE date_part <= DATE '2024-01-15')""",
+    "unanalyzed_anomalies": f"""WITH {TXN}
+        SELECT event_id, date_part, anomaly_score FROM flagged WHERE is_anomaly AND date_part > DATE '2024-01-15'""",
     "anomaly_batches": f"""WITH {TXN}, {RANKED}
         SELECT date_part, CAST(floor((rank - 1) / 20) AS INT) AS batch, count(*) AS n,
           arg_min(event_id, rank) AS first_event_id, arg_max(event_id, rank) AS last_event_id
@@ -325,16 +339,19 @@ ORACLES: dict[str, str] = {
           CAST(to_json({{'anomaly_groups': anomaly_groups, 'overall_pipeline_health': overall_pipeline_health,
             'executive_summary': executive_summary, 'recommended_actions': recommended_actions}}) AS VARCHAR) AS full_report
         FROM final""",
-    "freshness": " UNION ALL ".join(
-        f"""SELECT '{t}' AS table_name, max(CAST({c} AS TIMESTAMP)) AS last_updated, date_sub('minute', max(CAST({c} AS TIMESTAMP)), {AS_OF}) AS age_minutes,
-        CASE WHEN date_sub('minute', max(CAST({c} AS TIMESTAMP)), {AS_OF}) >= 30 THEN 'stale' ELSE 'fresh' END AS freshness_status FROM {t}"""
-        for t, c in [("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate")]
+    "freshness": f"WITH {TXN} " + " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, last_updated, date_sub('minute', last_updated, {AS_OF}) AS age_minutes,
+        CASE WHEN date_sub('minute', last_updated, {AS_OF}) >= 30 THEN 'stale' ELSE 'fresh' END AS freshness_status
+        FROM (SELECT max(CAST({c} AS TIMESTAMP)) FILTER (WHERE CAST({c} AS TIMESTAMP) <= {AS_OF}) AS last_updated FROM {relation})"""
+        for t, c, relation in [("events", "ts", "events"), ("orders", "o_orderdate", "orders"), ("lineitem", "l_shipdate", "lineitem"), ("transactions", "event_ts", "txn")]
     ),
+    "freshness_by_commit": """SELECT 'orders' AS table_name, TIMESTAMP '2024-01-01' AS last_updated, CAST(20 AS BIGINT) AS age_minutes, 'fresh' AS freshness_status
+        FROM orders LIMIT 1""",
     "health_daily": f"WITH {TXN}, {HEALTH} SELECT * FROM health",
     "incidents": f"""WITH {TXN}, {HEALTH}
-        SELECT 'INC-20240131000000-' || strftime(date_part, '%Y%m%d') AS incident_id, '2024-01-31T00:00:00.000000+00:00' AS created_at,
+        SELECT 'INC-20240131000000-' || strftime(date_part, '%Y%m%d') || '-transactions' AS incident_id, '2024-01-31T00:00:00.000000+00:00' AS created_at,
           'medium' AS severity,
-          'no regular event for ' || coalesce(CAST(age_minutes AS VARCHAR) || ' minutes', 'an unknown time') || ' before the end of ' || CAST(date_part AS VARCHAR) AS summary,
+          'no event for ' || coalesce(CAST(age_minutes AS VARCHAR) || ' minutes', 'an unknown time') || ' on ' || coalesce(CAST(date_part AS VARCHAR), 'an unknown date') AS summary,
           'data-engineering-team' AS assigned_to, 'open' AS status, 'transactions' AS pipeline
         FROM health WHERE is_stale""",
     "dq_actions": f"""WITH {TXN}, {HEALTH}
@@ -427,6 +444,15 @@ ORACLES: dict[str, str] = {
           SELECT date_part, batch, count(*) AS n, '{ANOMALY_TASK}' || chr(10) || chr(10) || CAST(count(*) AS VARCHAR) || ' records:' || chr(10) || chr(10)
             || string_agg(record, chr(10) ORDER BY rank) AS prompt FROM rec GROUP BY date_part, batch)
         SELECT date_part, batch, n, length(prompt) AS prompt_chars, md5(prompt) AS prompt_md5, n + 1 AS parts FROM p""",
+    "explained_reports": f"""WITH {TXN}, {RANKED}, named AS (
+          SELECT date_part, floor((rank - 1) / 20) AS batch, concat_ws(',', {", ".join(f"CASE WHEN flag_{t} THEN '{t}' END" for t in TYPES)}) AS types FROM ranked
+        ), b AS (
+          SELECT *, count(*) OVER (PARTITION BY date_part, batch) = 3 AS unread FROM named
+        )
+        SELECT date_part AS run_date, count(*) AS anomaly_count, count(DISTINCT batch) FILTER (WHERE unread) AS unread_batches,
+          CASE WHEN bool_and(unread) THEN 'unknown' WHEN bool_or(types LIKE '%,%') FILTER (WHERE NOT unread) THEN 'critical' ELSE 'degraded' END AS pipeline_health,
+          CAST(count(DISTINCT types) FILTER (WHERE NOT unread) AS INT) AS group_count
+        FROM b GROUP BY date_part""",
     "parse_responses": f"""WITH {TXN}, {ENRICHED}
         SELECT event_id AS answer_id, ok AS parse_ok, CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN fraud_risk END AS fraud_risk,
           CASE WHEN ok THEN geo_risk_flag END AS geo_risk_flag, CASE WHEN ok THEN enrichment_confidence END AS enrichment_confidence,

@@ -17,18 +17,20 @@ from plumbline.operators import profile as pr
 from plumbline.operators import search as se
 from plumbline.operators.remediate import remediate
 from plumbline.operators.rules import Rule, anomalous, apply_rules, clean
-from plumbline.plans.examples import enrich_frame, evolving_messages, service_answers
+from plumbline.plans.examples import enrich_frame, evolving_messages, explain_batches, service_answers
 from plumbline.plans.transactions import AS_OF, load_decoded, load_flagged, load_transactions, messages, project
 from plumbline.session import new_work_path
 from plumbline.sources import snapshots as sn
 from plumbline.sources.events import decode, drop_repeats
-from plumbline.sources.tables import materialize, merge_rows, read_table, spread
+from plumbline.sources.tables import materialize, merge_rows, read_table
 from plumbline.streaming import split
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "2024-01-15"
 FLAGS = [f"flag_{name}" for name in an.TYPES]
+# A moment inside a day: earlier dates are judged at their end, this one at the moment, later ones not at all.
+HEALTH_AS_OF = "2024-01-30 12:00:00"
 # With the default limits no date of the small tables is over or stale; these reach every branch.
 HEALTH_LIMITS = {"limit": 20, "stale_minutes": 10}
 
@@ -120,9 +122,9 @@ def top_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unanalyzed_anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    """The ledger holds what the daily runs up to RUN_DATE took: the worst of each date up to the cap."""
-    found = materialize(anomalous(load_flagged(spark, sf)).select("event_id", "date_part", "anomaly_score", "is_anomaly"), "anomalies")
-    ledger = an.ranked_by_day(found).filter(F.col("date_part") <= F.to_date(F.lit(RUN_DATE))).select("event_id")
+    """The ledger holds what the daily runs up to RUN_DATE took: all anomalies of these dates."""
+    found = materialize(anomalous(load_flagged(spark, sf)).select("event_id", "date_part", "anomaly_score"), "anomalies")
+    ledger = found.filter(F.col("date_part") <= F.to_date(F.lit(RUN_DATE))).select("event_id")
     return an.not_analyzed(found, ledger).select("event_id", "date_part", "anomaly_score")
 
 
@@ -148,12 +150,18 @@ def freshness(spark: SparkSession, sf: str) -> DataFrame:
         "events": (read_table(spark, sf, "events"), "ts"),
         "orders": (read_table(spark, sf, "orders"), "o_orderdate"),
         "lineitem": (read_table(spark, sf, "lineitem"), "l_shipdate"),
+        "transactions": (load_transactions(spark, sf), "event_ts"),  # with events dated in the future
     }
     return he.freshness(tables, AS_OF)
 
 
+def freshness_by_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """Age of the snapshots of orders by their last commit before a moment between two commits."""
+    return he.freshness({"orders": (sn.history(spark, _snapshots(spark, sf)), "committed_at")}, "2024-01-01 00:20:00")
+
+
 def health_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return he.health_daily(load_flagged(spark, sf), **HEALTH_LIMITS)
+    return he.health_daily(load_flagged(spark, sf), HEALTH_AS_OF, **HEALTH_LIMITS)
 
 
 def incidents(spark: SparkSession, sf: str) -> DataFrame:
@@ -299,13 +307,13 @@ def vector_topk_l2(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_topk_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     hits = se.tfidf_top_k(
-        read_table(spark, sf, "benchmark"), spread(read_table(spark, sf, "documents"), "doc_id"), question_id="item_id", document_id="doc_id",
+        read_table(spark, sf, "benchmark"), read_table(spark, sf, "documents"), question_id="item_id", document_id="doc_id",
     )
     return hits.select("question_id", "document_id", "rank", F.round("score", 4).alias("relevance"))
 
 
 def _versions(spark: SparkSession, sf: str) -> DataFrame:
-    return dr.observed_versions(evolving_messages(spread(read_table(spark, sf, "events"), "event_id")), "payloads")
+    return dr.observed_versions(evolving_messages(read_table(spark, sf, "events")), "payloads")
 
 
 def schema_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -377,6 +385,14 @@ def prompt_batches(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def explained_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Every anomaly through prompts, a service's answers, and one combined report per date."""
+    answers = me.answer(me.anomaly_prompts(load_flagged(spark, sf)), explain_batches)
+    reports = me.combine_reports(materialize(me.parse_reports(answers), "answers"), AS_OF)
+    groups = F.json_array_length(F.get_json_object("full_report", "$.anomaly_groups"))
+    return reports.select("run_date", "anomaly_count", "unread_batches", "pipeline_health", F.coalesce(groups, F.lit(0)).alias("group_count"))
+
+
 def parse_responses(spark: SparkSession, sf: str) -> DataFrame:
     answers = service_answers(en.enrich(load_transactions(spark, sf)))
     return me.parse_objects(answers, me.ENRICHMENT_ANSWER_DDL).select("answer_id", "parse_ok", "event_id", "fraud_risk", "geo_risk_flag", "enrichment_confidence", "reasoning")
@@ -393,6 +409,6 @@ QUERIES: dict[str, Query] = {
         vector_topk_cosine, vector_topk_l2, text_topk_tfidf,
         schema_history, schema_drift_pair, schema_drift_history, schema_drift_severity, schema_merge, snapshot_as_of, snapshot_rollback,
         table_history,
-        freshness, health_daily, incidents, dq_actions, alert_routing, prompt_batches, parse_responses,
+        freshness, freshness_by_commit, health_daily, incidents, dq_actions, alert_routing, prompt_batches, explained_reports, parse_responses,
     ]
 }

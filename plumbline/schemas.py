@@ -23,7 +23,7 @@ DRIFT_LABEL = "schema_drift"
 
 # Batch sizes, caps and thresholds.
 ANALYSIS_BATCH = 20
-ANALYSIS_CAP = 200
+TOP_ANOMALIES = 200
 ENRICHMENT_BATCH = 25
 ANOMALY_LIMIT = 50
 STALE_MINUTES = 30

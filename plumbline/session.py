@@ -27,10 +27,15 @@ _local_base: str | None = None
 _shipped_to: set[str] = set()
 
 
-def build_session(app: str = "plumbline", master: str | None = None, conf: Mapping[str, str] | None = None) -> SparkSession:
+SHUFFLE_BYTES = 128 << 20
+
+
+def build_session(app: str = "plumbline", master: str | None = None, conf: Mapping[str, str] | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Create or get a session with the library's settings; `conf` overrides them.
 
-    On a cluster shuffles start with four partitions per core, which AQE merges to its advisory size or splits where skewed.
+    On a cluster shuffles start with a partition per SHUFFLE_BYTES of input if that is given, and at least four per core; AQE merges
+    them to its advisory size and splits what is skewed.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -40,7 +45,7 @@ def build_session(app: str = "plumbline", master: str | None = None, conf: Mappi
     spark = builder.getOrCreate()
     context = spark.sparkContext
     if not context.master.startswith("local") and context.getConf().get("spark.sql.shuffle.partitions") is None:
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(200, 4 * context.defaultParallelism)))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(200, 4 * context.defaultParallelism, (input_bytes or 0) // SHUFFLE_BYTES)))
     ship_package(spark)
     return spark
 
@@ -81,6 +86,11 @@ def new_work_path(spark: SparkSession, name: str) -> str:
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def drop_work(spark: SparkSession) -> bool:
     """Delete the intermediate tables of this application, once no result that reads them is needed any more."""
     jvm = spark.sparkContext._jvm

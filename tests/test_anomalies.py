@@ -29,6 +29,9 @@ def test_cap_keeps_the_worst_and_the_ledger_yields_the_rest(flagged):
     found = anomalous(day).count()
     first = an.ranked_by_day(day, 5).select("event_id", "anomaly_score")
     rest = an.not_analyzed(anomalous(day), first)
+    every = an.ranked_by_day(day)
+    assert sorted(r["rank"] for r in every.select("rank").collect()) == list(range(1, found + 1))
+    assert sorted(r[0] for r in every.filter("rank <= 5").select("event_id").collect()) == sorted(r[0] for r in first.select("event_id").collect())
     assert first.count() == 5
     assert rest.count() == found - 5
     assert first.agg(F.min("anomaly_score")).first()[0] >= rest.agg(F.max("anomaly_score")).first()[0]
@@ -109,16 +112,50 @@ def test_routes(spark):
 
 
 def test_daily_job_can_be_repeated(spark, flagged, tmp_path):
-    reports, ledger = f"{tmp_path}/reports", f"{tmp_path}/ledger"
+    reports = f"{tmp_path}/reports"
     for day in ("2099-01-01", "2024-01-15", "2024-01-15"):
-        jobs.analyze_anomalies(flagged, day, reports, ledger_path=ledger, analyzed_at=AS_OF, cap=1)
+        jobs.analyze_anomalies(flagged, day, reports, analyzed_at=AS_OF)
     assert spark.read.parquet(reports).groupBy("run_date").count().collect() in (
         [(date(2099, 1, 1), 1), (date(2024, 1, 15), 1)], [(date(2024, 1, 15), 1), (date(2099, 1, 1), 1)])
-    assert spark.read.parquet(ledger).count() == 2
-    again = jobs.analyze_anomalies(flagged, "2099-01-01", reports, ledger=spark.read.parquet(ledger), ledger_path=f"{tmp_path}/l2")
-    assert again.count() == 1
-    seen, due = spark.read.parquet(ledger), spark.read.parquet(f"{tmp_path}/l2")
-    assert seen.join(due, "event_id", "left_semi").isEmpty()
+    assert jobs.analyze_anomalies(flagged.filter("NOT is_anomaly"), "2024-01-15", reports).isEmpty()  # a rerun that finds nothing
+    assert [r[0] for r in spark.read.parquet(reports).select("run_date").collect()] == [date(2099, 1, 1)]
+
+
+def test_runs_of_a_day_leave_nothing_due(spark, flagged, tmp_path):
+    reports, ledger, day = f"{tmp_path}/reports", f"{tmp_path}/ledger", "2099-01-01"
+    found = {r[0] for r in anomalous(an.of_day(flagged, day)).select("event_id").collect()}
+    down = True
+
+    def service(prompts):
+        if down and "record" in prompts[0]:
+            raise RuntimeError("down")
+        return ['{"overall_pipeline_health": "healthy", "anomaly_groups": []}' for _ in prompts]
+
+    def run(name, **options):
+        return jobs.explain_anomalies(flagged, day, name, service, reports, ledger, size=3, **options).first()
+
+    failed = run("a", cap=5)
+    assert (failed["anomaly_count"], failed["unread_batches"], failed["pipeline_health"]) == (5, 2, "unknown")
+    assert jobs.read_ledger(spark, ledger).isEmpty()
+    down = False
+    assert run("b", cap=5)["anomaly_count"] == 5
+    assert run("b", cap=5)["anomaly_count"] == 5  # the same run again takes its own records again
+    assert run("c")["anomaly_count"] == len(found) - 5
+    assert run("d") is None
+    seen = [r[0] for r in jobs.read_ledger(spark, ledger).select("event_id").collect()]
+    assert sorted(seen) == sorted(found)
+    assert spark.read.parquet(reports).filter("run_id IN ('b', 'c')").agg(F.sum("anomaly_count")).first()[0] == len(found)
+
+
+def test_null_dates_and_times_count(spark):
+    rows = [("a", None, "US", None), ("b", None, "US", None), ("c", None, None, None), (None, None, None, None)]
+    frame = spark.createDataFrame(rows, "event_id string, event_ts timestamp, country string, date_part date")
+    flags = frame.select("*", *[F.lit(t == "null_user").alias(f"flag_{t}") for t in an.TYPES], F.lit(True).alias("is_anomaly"), F.lit(1.0).alias("anomaly_score"))
+    assert an.patterns(flags, ["date_part"]).agg(F.sum("n")).first()[0] == 8
+    assert an.patterns(flags).filter("dimension = 'hour'").first()["value"] is None
+    report = an.daily_report(flags, analyzed_at=AS_OF).first()
+    assert json.loads(report["full_report"])["anomaly_groups"][0]["example_event_ids"] == ["a", "b"]
+    assert an.of_day(flags, None).count() == 4
 
 
 def test_day_without_anomalies_has_no_report(spark, flagged, tmp_path):
@@ -130,7 +167,7 @@ def test_quality_check(flagged, tmp_path):
     assert check.health.first()["pipeline_health"] == "critical"
     assert check.actions.first()["actions"] == [
         "check_freshness", "summarize_anomalies", "collect_table_stats", "prepare_remediation", "open_incident", "report_critical"]
-    assert check.incidents.first()["incident_id"] == "INC-20240131000000-20990101"
+    assert check.incidents.first()["incident_id"] == "INC-20240131000000-20990101-transactions"
     assert check.table_stats.count() > 10
     assert check.remediation.count() == 14
     calm = jobs.check_quality(flagged, "2024-01-15", "transactions", stale_minutes=600)
@@ -142,9 +179,20 @@ def test_quality_check(flagged, tmp_path):
 def test_a_day_without_events_is_stale(flagged):
     check = jobs.check_quality(flagged, "2031-05-05", "transactions", as_of=AS_OF)
     assert check.health.first()["pipeline_health"] == "degraded"
-    assert check.incidents.first()["summary"] == "no regular event for an unknown time before the end of 2031-05-05"
+    assert check.incidents.first()["summary"] == "no event for an unknown time on 2031-05-05"
 
 
 def test_report_columns(spark, flagged):
     wanted = [(f.name, f.dataType) for f in spark.createDataFrame([], REPORT_DDL).schema]
     assert [(f.name, f.dataType) for f in an.daily_report(flagged).schema] == wanted
+
+
+def test_a_day_in_progress_is_judged_at_the_moment(spark):
+    rows = [("2024-05-01 09:59:00", "2024-05-01"), ("2024-04-30 23:50:00", "2024-04-30"), ("2099-01-01 00:00:00", "2099-01-01"), ("2024-05-01 11:00:00", "2024-05-01")]
+    frame = spark.createDataFrame(rows, "t string, d string").selectExpr("CAST(t AS timestamp) AS event_ts", "CAST(d AS date) AS date_part", "false AS is_anomaly")
+    days = {str(r["date_part"]): (r["age_minutes"], r["is_stale"]) for r in he.health_daily(frame, "2024-05-01 10:00:00").collect()}
+    assert days == {"2024-05-01": (1, False), "2024-04-30": (10, False)}
+    fresh = he.freshness({"t": (frame, "event_ts")}, "2024-05-01 10:00:00").first()
+    assert (fresh["age_minutes"], fresh["freshness_status"]) == (1, "fresh")
+    one, two = (he.incidents(he.health_of_day(frame, "2024-05-02", "2024-05-02 10:00:00"), p, "2024-05-02 10:00:00").first() for p in ("a", "b"))
+    assert one["incident_id"] != two["incident_id"]

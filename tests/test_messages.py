@@ -65,7 +65,7 @@ ANSWERS = [
 def test_objects(spark):
     rows = me.parse_verdicts(spark.createDataFrame(ANSWERS, "id int, text string")).collect()
     got = {r["id"]: (r["parse_ok"], r["severity"]) for r in rows}
-    assert got == {1: (True, "low"), 2: (True, None), 3: (False, None), 4: (False, None), 5: (False, None), 6: (False, None), 7: (False, None)}
+    assert got == {1: (True, "low"), 2: (False, None), 3: (False, None), 4: (False, None), 5: (False, None), 6: (False, None), 7: (False, None)}
     assert rows[0]["recommended_actions"] == ["a"]
 
 
@@ -97,13 +97,17 @@ def test_report_through_a_service(flagged):
     answers = me.answer(prompts, service)
     assert answers.columns == ["date_part", "batch", "n", "text"]
     parsed = me.parse_reports(answers).cache()
-    readable = {r["date_part"]: r["n"] for r in parsed.filter("parse_ok").groupBy("date_part").agg(F.sum("n").alias("n")).collect()}
+    by_day = parsed.groupBy("date_part").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("parse_ok"), F.col("n"))).alias("read"), F.count_if(~F.col("parse_ok")).alias("unread"))
+    wanted = {r["date_part"]: r for r in by_day.collect()}
     reports = {r["run_date"]: r for r in me.combine_reports(parsed, "2024-01-31 00:00:00").collect()}
-    assert {d: r["anomaly_count"] for d, r in reports.items()} == readable
+    assert {d: (r["anomaly_count"], r["unread_batches"]) for d, r in reports.items()} == {d: (r["n"], r["unread"]) for d, r in wanted.items()}
     for day, row in reports.items():
         report = json.loads(row["full_report"])
-        assert [g["count"] for g in report["anomaly_groups"]] == [readable[day]]
-        assert report["recommended_actions"] == ["a", "b"]
+        if wanted[day]["read"] is None:
+            assert row["pipeline_health"] == "unknown" and report["anomaly_groups"] is None
+        else:
+            assert [g["count"] for g in report["anomaly_groups"]] == [wanted[day]["read"]]
+            assert report["recommended_actions"] == ["a", "b"]
 
 
 def test_worst_health_wins_and_failed_calls_are_null(spark):
@@ -116,5 +120,5 @@ def test_worst_health_wins_and_failed_calls_are_null(spark):
     parsed = me.parse_reports(me.answer(prompts, service))
     assert parsed.filter("NOT parse_ok").count() == 1
     row = me.combine_reports(parsed).first()
-    assert (row["pipeline_health"], row["anomaly_count"]) == ("degraded", 40)
+    assert (row["pipeline_health"], row["anomaly_count"], row["unread_batches"]) == ("degraded", 45, 1)
     assert json.loads(row["full_report"])["anomaly_groups"][0]["count"] == 4

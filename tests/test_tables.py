@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import catalog as ca
 from plumbline.operators import profile as pr
@@ -12,7 +13,7 @@ from plumbline.operators import search as se
 from plumbline.plans import jobs
 from plumbline.session import shared_base
 from plumbline.sources import snapshots as sn
-from plumbline.sources.tables import append, materialize, merge_rows, read_merged, spread
+from plumbline.sources.tables import append, join_null_safe, materialize, merge_rows, number_rows, read_merged
 
 TABLE = "id bigint, x double, n int, s string"
 
@@ -125,19 +126,36 @@ def test_work_tables_lie_in_the_shared_folder(spark, table):
     copy = materialize(table, "copy")
     assert copy.inputFiles()[0].removeprefix("file://").startswith(shared_base(spark))
     assert sorted(copy.collect(), key=str) == sorted(table.collect(), key=str)
-    assert spread(table.coalesce(1), "id").rdd.getNumPartitions() == 4
-    assert spread(table.repartition(9), "id").rdd.getNumPartitions() == 9
+
+
+def test_numbers_follow_the_order_over_many_partitions(spark):
+    rows = spark.range(5000).selectExpr("pmod(xxhash64(id), 700) AS k", "id").repartition(13)
+    numbered = number_rows(rows, [F.col("k").desc(), "id"], "n")
+    got = [(r["k"], r["id"]) for r in numbered.orderBy("n").collect()]
+    assert got == sorted(((r["k"], r["id"]) for r in rows.collect()), key=lambda x: (-x[0], x[1]))
+    assert [r["n"] for r in numbered.select("n").orderBy("n").collect()] == list(range(5000))
+    assert number_rows(rows.limit(0), ["id"], "n").count() == 0
+
+
+def test_null_keys_meet(spark):
+    left, right = spark.createDataFrame([(1, "a"), (None, "b")], "k int, x string"), spark.createDataFrame([(None, "z")], "k int, y string")
+    assert sorted(map(tuple, join_null_safe(left, right, ["k"], "left").collect()), key=str) == [(1, "a", None), (None, "b", "z")]
 
 
 def test_snapshots(spark, table, tmp_path):
     path = f"{tmp_path}/s"
     sn.publish(table.limit(1), path, 1, committed_at="2024-01-01 00:00:00")
     sn.publish(table, path, 2, committed_at="2024-01-02 00:00:00")
-    sn.publish(table, path, 2, committed_at="2024-01-02 00:00:00")  # repeated after a failure
+    with pytest.raises(ValueError, match="version 2 of .* exists"):
+        sn.publish(table.limit(2), path, 2)
+    folders = len(list((tmp_path / "s" / "data").iterdir()))
     assert sn.read_as_of(spark, path, 1).count() == 1
     assert sn.read_as_of(spark, path).count() == 4
     assert sn.read_as_of(spark, path, at="2024-01-01 23:00:00").count() == 1
     assert sn.rollback(spark, path, 1) == 3
+    assert len(list((tmp_path / "s" / "data").iterdir())) == folders  # one manifest row, no data
+    with pytest.raises(ValueError, match="no such snapshot"):
+        sn.rollback(spark, path, 7)
     assert sn.read_as_of(spark, path).count() == 1
     assert [(r["version"], r["operation"], r["row_count"]) for r in sn.history(spark, path, 2).collect()] == [(3, "rollback to 1", 1), (2, "write", 4)]
     with pytest.raises(ValueError, match="no such snapshot"):
