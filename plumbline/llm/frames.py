@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.sources.tables import materialize
-
 # Rows and bytes of one Arrow batch: with few long texts the bytes bound the memory of a Python worker.
 BATCH_ROWS = 4096
 BATCH_BYTES = 8 << 20
@@ -28,25 +24,3 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def let(value: Column, body) -> Column:
     """Evaluate `value` once and use it many times in `body`: a column expression alone would be repeated for each use."""
     return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def numbered(df: DataFrame, order: Sequence[Column | str], number: str) -> DataFrame:
-    """Add 0, 1, 2, … in the given order without sorting in one task.
-
-    The rows are range-partitioned, numbered inside each partition, and shifted by the sizes of the partitions before.
-    The numbered rows are written to the shared folder, so that a lost task cannot number them another way.
-    """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    low = F.monotonically_increasing_id()
-    placed = materialize(
-        ranged.withColumn("_part", F.shiftright(low, 33)).withColumn("_place", F.expr("monotonically_increasing_id() & 8589934591")), "numbered",
-    )
-    sizes = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # one row per partition
-    before, shifts = 0, []
-    for part in sorted(sizes):
-        shifts.append((part, before))
-        before += sizes[part]
-    if not shifts:
-        return placed.withColumn(number, F.col("_place")).drop("_part", "_place")
-    offsets = F.create_map(*[F.lit(x).cast("bigint") for pair in shifts for x in pair])
-    return placed.withColumn(number, F.element_at(offsets, F.col("_part")) + F.col("_place")).drop("_part", "_place")

@@ -19,9 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.frames import numbered
 from plumbline.llm.rules import split_words
-from plumbline.sources.tables import materialize
+from plumbline.sources.tables import materialize, number_rows
 
 BLOCK_WORDS = 16
 MAX_REPEATS = 3
@@ -119,7 +118,7 @@ def laid_out(
 ) -> DataFrame:
     rows = materialize(sizes(documents, id_col=id_col, source=source, text=text, carry=carry), "sizes")
     counted = rows.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    ranked = numbered(counted, [F.col("_source").asc_nulls_last()], "rank")
+    ranked = number_rows(counted, [F.col("_source").asc_nulls_last()], "rank")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
     targets = with_target(ranked.withColumn("weight", weight), max_repeats)
     total = targets.agg(F.sum("target")).first()[0] or 0
