@@ -181,7 +181,7 @@ def patterns(flagged: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         *group, "value", "n", share(F.col("n"), F.col("total")).alias("ratio"), F.col("value").eqNullSafe(F.col("top_value")).alias("is_dominant"),
     )
     insight = F.when(
-        F.col("is_dominant") & (F.col("ratio") >= 0.5), F.concat_ws(" ", F.lit("mostly"), F.col("dimension"), F.col("value")),
+        F.col("is_dominant") & (F.col("ratio") >= 0.5), F.concat(F.lit("mostly "), F.col("dimension"), F.lit(" "), F.col("value")),
     )
     return joined.select(*group, "value", "n", F.round(F.col("ratio") * 100, 2).alias("share_pct"), "is_dominant", insight.alias("pattern_insight"))
 

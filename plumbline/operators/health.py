@@ -78,7 +78,7 @@ def health_of_day(flagged: DataFrame, run_date: str | date, as_of: str | datetim
 def incidents(daily: DataFrame, pipeline: str, created_at: str | datetime | Column | None = None) -> DataFrame:
     """One open incident per stale date. Date and pipeline are part of the id, so ids of one second do not collide."""
     created = as_timestamp(created_at)
-    day = F.date_format("date_part", "yyyyMMdd")
+    day = F.coalesce(F.date_format("date_part", "yyyyMMdd"), F.lit("undated"))
     age = F.coalesce(F.concat(F.col("age_minutes").cast("string"), F.lit(" minutes")), F.lit("an unknown time"))
     return daily.filter("is_stale").select(
         F.concat_ws("-", F.lit("INC"), F.date_format(created, "yyyyMMddHHmmss"), day, F.lit(pipeline)).alias("incident_id"),
@@ -115,7 +115,7 @@ def route(verdict: Column) -> Column:
 def alerts(daily: DataFrame) -> DataFrame:
     chosen = route(F.col("pipeline_health"))
     text = F.concat(
-        F.lit("["), F.upper("pipeline_health"), F.lit("] "), F.col("date_part").cast("string"), F.lit(": "),
+        F.lit("["), F.upper("pipeline_health"), F.lit("] "), F.coalesce(F.col("date_part").cast("string"), F.lit("undated")), F.lit(": "),
         F.col("anomaly_count").cast("string"), F.lit(" anomalies"),
     )
     return daily.select("date_part", "pipeline_health", chosen.alias("route"), F.when(chosen != ROUTE_HEALTHY, text).alias("alert_text"))

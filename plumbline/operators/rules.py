@@ -41,11 +41,12 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], *, prefix: str = "flag_",
 
 
 def transaction_rules(as_of: str | datetime | Column | None = None) -> list[Rule]:
-    """The six rules for transaction events. Drift makes a record anomalous but adds nothing to its score."""
+    """The six rules for transaction events. Drift, malformed messages included, makes a record anomalous but adds nothing to its score."""
     drifted = (
         truth(F.size("unexpected_keys") > 0)
         | truth(F.size("missing_keys") > 0)
         | truth(F.col("_anomaly_type") == DRIFT_LABEL)
+        | F.col("malformed")
     )
     return [
         Rule("null_user", F.col("user_id").isNull()),

@@ -28,15 +28,25 @@ TXN = f"""txn AS (
     'EVT-' || CAST(event_id AS VARCHAR) AS event_id,
     CASE WHEN event_id % 97 = 0 THEN NULL ELSE 'USR-' || CAST(user_id AS VARCHAR) END AS user_id,
     'PRD-' || json_extract_string(props, '$.k') AS product_id,
-    CASE WHEN event_id % 89 = 0 THEN value + 50000 WHEN event_id % 83 = 0 THEN -value ELSE value END AS amount,
-    CASE WHEN event_id % 79 = 0 THEN 'XYZ' WHEN event_id % 13 = 0 THEN 'JPY' WHEN user_id % 5 IN (0, 4) THEN 'USD'
+    CASE WHEN event_id % 127 = 0 THEN NULL WHEN event_id % 89 = 0 THEN value + 50000 WHEN event_id % 83 = 0 THEN -value ELSE value END AS amount,
+    CASE WHEN event_id % 113 = 0 THEN NULL WHEN event_id % 79 = 0 THEN 'XYZ' WHEN event_id % 13 = 0 THEN 'JPY' WHEN user_id % 5 IN (0, 4) THEN 'USD'
          WHEN user_id % 5 = 1 THEN 'GBP' ELSE 'EUR' END AS currency,
     CASE WHEN event_type IN ('purchase', 'signup') THEN 'purchase' WHEN event_type = 'error' THEN 'refund' ELSE 'cart_add' END AS event_type,
-    CASE WHEN event_id % 73 = 0 THEN TIMESTAMP '2099-01-01 00:00:00' ELSE CAST(ts AS TIMESTAMP) END AS event_ts,
+    CASE WHEN event_id % 109 = 0 THEN NULL WHEN event_id % 73 = 0 THEN TIMESTAMP '2099-01-01 00:00:00' ELSE CAST(ts AS TIMESTAMP) END AS event_ts,
     CASE user_id % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'UK' WHEN 2 THEN 'DE' WHEN 3 THEN 'FR' ELSE 'CA' END AS country,
     CASE WHEN event_id % 71 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'card' WHEN event_id % 3 = 1 THEN 'paypal' ELSE 'crypto' END AS payment_method,
-    event_id % 71 = 0 AS drifted
+    event_id % 71 = 0 AS drifted,
+    CASE WHEN event_id % 71 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'undecodable' WHEN event_id % 103 = 0 THEN 'amount_as_text'
+         WHEN event_id % 107 = 0 THEN 'two_objects' END AS defect
   FROM events
+), decoded AS (
+  SELECT n, drifted, defect IS NOT NULL AND NOT (defect = 'amount_as_text' AND amount IS NULL) AS malformed, defect, event_type AS sent_type,
+    CASE WHEN readable THEN event_id END AS event_id, CASE WHEN readable THEN user_id END AS user_id,
+    CASE WHEN readable THEN product_id END AS product_id, CASE WHEN readable AND defect IS DISTINCT FROM 'amount_as_text' THEN amount END AS amount,
+    CASE WHEN readable THEN currency END AS currency, CASE WHEN readable THEN event_type END AS event_type,
+    CASE WHEN readable THEN event_ts END AS event_ts, CASE WHEN readable THEN country END AS country,
+    CASE WHEN readable THEN payment_method END AS payment_method
+  FROM (SELECT *, defect IS DISTINCT FROM 'undecodable' AS readable FROM txn)
 ), flags AS (
   SELECT *, CAST(event_ts AS DATE) AS date_part,
     user_id IS NULL AS flag_null_user,
@@ -44,8 +54,8 @@ TXN = f"""txn AS (
     coalesce(amount < 0, false) AS flag_negative_amount,
     coalesce(currency NOT IN ('USD', 'EUR', 'GBP', 'JPY', 'CAD', 'AUD'), true) AS flag_invalid_currency,
     coalesce(event_ts > {AS_OF}, false) AS flag_future_ts,
-    drifted AS flag_schema_drift
-  FROM txn
+    drifted OR malformed AS flag_schema_drift
+  FROM decoded
 ), flagged AS (
   SELECT *,
     flag_null_user OR flag_extreme_amount OR flag_negative_amount OR flag_invalid_currency OR flag_future_ts OR flag_schema_drift AS is_anomaly,
@@ -71,7 +81,7 @@ def impact(part: str, whole: str) -> str:
 FLAG_LIST = ", ".join(f"flag_{name}" for name in TYPES)
 
 RANKED = """ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY date_part ORDER BY anomaly_score DESC, event_id) AS rank FROM flagged WHERE is_anomaly
+  SELECT *, row_number() OVER (PARTITION BY date_part ORDER BY anomaly_score DESC, event_id NULLS FIRST) AS rank FROM flagged WHERE is_anomaly
 )"""
 
 HEALTH = """daily AS (
@@ -137,7 +147,7 @@ def described(table: str, version: int) -> str:
 
 ENRICHED = """points AS (
   SELECT *, TRY_CAST(regexp_extract(product_id, '^PRD-([0-9]+)$', 1) AS INT) AS k,
-    (country, currency) NOT IN (('US', 'USD'), ('UK', 'GBP'), ('DE', 'EUR'), ('FR', 'EUR'), ('CA', 'USD')) AS geo_risk_flag
+    coalesce((country, currency) NOT IN (('US', 'USD'), ('UK', 'GBP'), ('DE', 'EUR'), ('FR', 'EUR'), ('CA', 'USD')), true) AS geo_risk_flag
   FROM txn
 ), enriched AS (
   SELECT *,
@@ -286,15 +296,15 @@ ORACLES: dict[str, str] = {
     "anomaly_summary_by_type": f"""WITH {TXN}, {TYPED}
         SELECT date_part, anomaly_type, count(*) AS anomaly_count FROM typed GROUP BY date_part, anomaly_type""",
     "top_anomalies": f"""WITH {TXN}
-        SELECT event_id, anomaly_score, date_part FROM flagged WHERE is_anomaly ORDER BY anomaly_score DESC, event_id LIMIT 200""",
+        SELECT event_id, anomaly_score, date_part FROM flagged WHERE is_anomaly ORDER BY anomaly_score DESC, event_id NULLS FIRST LIMIT 200""",
     "unanalyzed_anomalies": f"""WITH {TXN}
-        SELECT event_id, date_part, anomaly_score FROM flagged WHERE is_anomaly AND date_part > DATE '2024-01-15'""",
+        SELECT event_id, date_part, anomaly_score FROM flagged WHERE is_anomaly AND (date_part > DATE '2024-01-15' OR date_part IS NULL)""",
     "anomaly_batches": f"""WITH {TXN}, {RANKED}
         SELECT date_part, CAST(floor((rank - 1) / 20) AS INT) AS batch, count(*) AS n,
-          arg_min(event_id, rank) AS first_event_id, arg_max(event_id, rank) AS last_event_id
+          list(event_id ORDER BY rank)[1] AS first_event_id, list(event_id ORDER BY rank)[-1] AS last_event_id
         FROM ranked GROUP BY date_part, floor((rank - 1) / 20)""",
     "anomaly_groups": f"""WITH {TXN}, {TYPED}, total AS (SELECT count(*) AS events FROM flagged), g AS (
-          SELECT anomaly_type, count(*) AS n, array_to_string(list_sort(list(event_id))[1:2], ',') AS example_event_ids FROM typed GROUP BY anomaly_type)
+          SELECT anomaly_type, count(*) AS n, array_to_string(list_sort(list(event_id) FILTER (WHERE event_id IS NOT NULL))[1:2], ',') AS example_event_ids FROM typed GROUP BY anomaly_type)
         SELECT anomaly_type, n AS anomaly_count, round(100 * CAST(n AS DOUBLE) / events, 2) AS share_pct,
           {case('anomaly_type', ROOT_CAUSES)} AS root_cause, {impact('n', 'events')} AS business_impact,
           {case('anomaly_type', REMEDIES)} AS remediation, example_event_ids
@@ -315,25 +325,25 @@ ORACLES: dict[str, str] = {
             row_number() OVER (PARTITION BY date_part, anomaly_type ORDER BY count(*) DESC, country) AS r
           FROM typed GROUP BY date_part, anomaly_type, country
         ), g AS (
-          SELECT date_part, anomaly_type, count(*) AS n, list_sort(list(event_id))[1:2] AS ids FROM typed GROUP BY ALL
+          SELECT date_part, anomaly_type, count(*) AS n, list_sort(list(event_id) FILTER (WHERE event_id IS NOT NULL))[1:2] AS ids FROM typed GROUP BY ALL
         ), groups AS (
           SELECT g.date_part, g.anomaly_type, g.n, events, {{'anomaly_type': g.anomaly_type, 'count': n,
             'root_cause': {case('g.anomaly_type', ROOT_CAUSES)}, 'business_impact': {impact('n', 'events')},
             'remediation': {case('g.anomaly_type', REMEDIES)}, 'example_event_ids': ids,
             'pattern_insight': CASE WHEN 2 * k >= n THEN 'mostly country ' || country END}} AS grp,
             {case('g.anomaly_type', REMEDIES)} AS remedy
-          FROM g JOIN days USING (date_part) JOIN countries c ON c.date_part = g.date_part AND c.anomaly_type = g.anomaly_type AND r = 1
+          FROM g JOIN days ON days.date_part IS NOT DISTINCT FROM g.date_part JOIN countries c ON c.date_part IS NOT DISTINCT FROM g.date_part AND c.anomaly_type = g.anomaly_type AND r = 1
         ), rep AS (
           SELECT date_part, list(grp ORDER BY anomaly_type) AS anomaly_groups, first(anomaly_type ORDER BY n DESC, anomaly_type) AS top_type,
             list_sort(list(DISTINCT remedy)) AS recommended_actions FROM groups GROUP BY date_part
         ), final AS (
-          SELECT date_part, anomalies, anomaly_groups,
-            CASE WHEN anomalies > 50 AND coalesce(date_sub('minute', last_ts, CAST(date_part + 1 AS TIMESTAMP)) >= 30, true) THEN 'critical'
-              WHEN anomalies > 50 OR coalesce(date_sub('minute', last_ts, CAST(date_part + 1 AS TIMESTAMP)) >= 30, true) THEN 'degraded'
+          SELECT rep.date_part, anomalies, anomaly_groups,
+            CASE WHEN anomalies > 50 AND coalesce(date_sub('minute', last_ts, CAST(rep.date_part + 1 AS TIMESTAMP)) >= 30, true) THEN 'critical'
+              WHEN anomalies > 50 OR coalesce(date_sub('minute', last_ts, CAST(rep.date_part + 1 AS TIMESTAMP)) >= 30, true) THEN 'degraded'
               ELSE 'healthy' END AS overall_pipeline_health,
             CAST(anomalies AS VARCHAR) || ' of ' || CAST(events AS VARCHAR) || ' events are anomalous; most frequent: ' || top_type || '.' AS executive_summary,
             recommended_actions
-          FROM rep JOIN days USING (date_part))
+          FROM rep JOIN days ON days.date_part IS NOT DISTINCT FROM rep.date_part)
         SELECT date_part AS run_date, '2024-01-31T00:00:00.000000+00:00' AS analyzed_at, anomalies AS anomaly_count,
           overall_pipeline_health AS pipeline_health, executive_summary,
           CAST(to_json({{'anomaly_groups': anomaly_groups, 'overall_pipeline_health': overall_pipeline_health,
@@ -349,7 +359,7 @@ ORACLES: dict[str, str] = {
         FROM orders LIMIT 1""",
     "health_daily": f"WITH {TXN}, {HEALTH} SELECT * FROM health",
     "incidents": f"""WITH {TXN}, {HEALTH}
-        SELECT 'INC-20240131000000-' || strftime(date_part, '%Y%m%d') || '-transactions' AS incident_id, '2024-01-31T00:00:00.000000+00:00' AS created_at,
+        SELECT 'INC-20240131000000-' || coalesce(strftime(date_part, '%Y%m%d'), 'undated') || '-transactions' AS incident_id, '2024-01-31T00:00:00.000000+00:00' AS created_at,
           'medium' AS severity,
           'no event for ' || coalesce(CAST(age_minutes AS VARCHAR) || ' minutes', 'an unknown time') || ' on ' || coalesce(CAST(date_part AS VARCHAR), 'an unknown date') AS summary,
           'data-engineering-team' AS assigned_to, 'open' AS status, 'transactions' AS pipeline
@@ -362,7 +372,7 @@ ORACLES: dict[str, str] = {
     "alert_routing": f"""WITH {TXN}, {HEALTH}
         SELECT date_part, pipeline_health,
           CASE pipeline_health WHEN 'critical' THEN 'send_critical_alert' WHEN 'degraded' THEN 'send_degraded_alert' ELSE 'pipeline_healthy' END AS route,
-          CASE WHEN pipeline_health <> 'healthy' THEN '[' || upper(pipeline_health) || '] ' || CAST(date_part AS VARCHAR) || ': '
+          CASE WHEN pipeline_health <> 'healthy' THEN '[' || upper(pipeline_health) || '] ' || coalesce(CAST(date_part AS VARCHAR), 'undated') || ': '
             || CAST(anomaly_count AS VARCHAR) || ' anomalies' END AS alert_text
         FROM health""",
     "stream_split": f"""WITH {TXN}
@@ -432,7 +442,7 @@ ORACLES: dict[str, str] = {
           CASE WHEN removed IS NOT NULL OR narrowed IS NOT NULL THEN 'SELECT * FROM payloads VERSION AS OF ' || from_version END AS rollback_sql
         FROM v""",
     "schema_merge": f"""WITH {TXN}
-        SELECT event_id, amount, date_part, CASE WHEN date_part < DATE '2024-01-15' THEN NULL ELSE payment_method END AS payment_method FROM flagged""",
+        SELECT event_id, amount, CAST(event_ts AS DATE) AS date_part, CASE WHEN CAST(event_ts AS DATE) < DATE '2024-01-15' THEN NULL ELSE payment_method END AS payment_method FROM txn""",
     "snapshot_as_of": union([SNAPSHOT.format(v=1, where=OLD_ORDERS), SNAPSHOT.format(v=2, where="")]),
     "snapshot_rollback": SNAPSHOT.format(v=3, where=OLD_ORDERS),
     "prompt_batches": f"""WITH {TXN}, {RANKED}, rec AS (
@@ -441,9 +451,9 @@ ORACLES: dict[str, str] = {
             'country': country, 'payment_method': payment_method, 'anomaly_type': concat_ws(',', {", ".join(f"CASE WHEN flag_{t} THEN '{t}' END" for t in TYPES)})}}) AS VARCHAR) AS record
           FROM ranked
         ), p AS (
-          SELECT date_part, batch, count(*) AS n, '{ANOMALY_TASK}' || chr(10) || chr(10) || CAST(count(*) AS VARCHAR) || ' records:' || chr(10) || chr(10)
+          SELECT date_part, batch, count(*) AS n, count(*) FILTER (WHERE record LIKE '%"event_id":"EVT-%') AS known, '{ANOMALY_TASK}' || chr(10) || chr(10) || CAST(count(*) AS VARCHAR) || ' records:' || chr(10) || chr(10)
             || string_agg(record, chr(10) ORDER BY rank) AS prompt FROM rec GROUP BY date_part, batch)
-        SELECT date_part, batch, n, length(prompt) AS prompt_chars, md5(prompt) AS prompt_md5, n + 1 AS parts FROM p""",
+        SELECT date_part, batch, n, length(prompt) AS prompt_chars, md5(prompt) AS prompt_md5, known + 1 AS parts FROM p""",
     "explained_reports": f"""WITH {TXN}, {RANKED}, named AS (
           SELECT date_part, floor((rank - 1) / 20) AS batch, concat_ws(',', {", ".join(f"CASE WHEN flag_{t} THEN '{t}' END" for t in TYPES)}) AS types FROM ranked
         ), b AS (
@@ -457,11 +467,12 @@ ORACLES: dict[str, str] = {
         SELECT event_id AS answer_id, ok AS parse_ok, CASE WHEN ok THEN event_id END AS event_id, CASE WHEN ok THEN fraud_risk END AS fraud_risk,
           CASE WHEN ok THEN geo_risk_flag END AS geo_risk_flag, CASE WHEN ok THEN enrichment_confidence END AS enrichment_confidence,
           CASE WHEN ok THEN 'fits {{usual}} values' END AS reasoning
-        FROM (SELECT *, currency <> 'XYZ' AND payment_method IS NOT NULL AS ok FROM enriched)""",
+        FROM (SELECT *, currency IS DISTINCT FROM 'XYZ' AND payment_method IS NOT NULL AS ok FROM enriched)""",
     "anomaly_summary_by_label": f"""WITH {TXN}
         SELECT CASE {" ".join(f"WHEN flag_{t} THEN '{t}'" for t in TYPES)} END AS anomaly_type, count(*) AS anomaly_count
         FROM flagged WHERE is_anomaly AND date_part = DATE '2024-01-15' GROUP BY ALL""",
-    "distinct_events": f"WITH {TXN} SELECT event_id, event_type, amount FROM txn",
+    "distinct_events": f"""WITH {TXN} SELECT event_id, event_type, amount FROM decoded
+        UNION ALL SELECT event_id, event_type, amount FROM decoded WHERE defect = 'undecodable' AND sent_type = 'refund'""",
     "table_history": f"""SELECT * FROM (VALUES (CAST(1 AS BIGINT), TIMESTAMP '2024-01-01', 'write'), (2, TIMESTAMP '2024-01-02', 'write'),
           (3, TIMESTAMP '2024-01-03', 'rollback to 1')) v(version, committed_at, operation),
         LATERAL (SELECT count(*) FILTER (WHERE v.version = 2 OR o_orderdate < TIMESTAMP '2000-01-01') AS row_count, CAST(4 AS INT) AS column_count FROM orders) c""",

@@ -222,7 +222,7 @@ def enrich_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_rates(spark: SparkSession, sf: str) -> DataFrame:
-    transactions = load_transactions(spark, sf).drop("drifted")
+    transactions = load_transactions(spark, sf).drop("drifted", "defect")
     tables = {"transactions": transactions, "documents": read_table(spark, sf, "documents"), "orders": read_table(spark, sf, "orders")}
     return pr.over_tables(pr.null_rates, tables)
 
@@ -340,9 +340,8 @@ def schema_drift_severity(spark: SparkSession, sf: str) -> DataFrame:
 def schema_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Events before mid-month as an older generation without `payment_method`, later ones with it."""
     rows = load_transactions(spark, sf).select("event_id", "amount", "payment_method", F.to_date("event_ts").alias("date_part"))
-    split_day = F.to_date(F.lit(RUN_DATE))
-    old = rows.filter(F.col("date_part") < split_day).drop("payment_method")
-    return merge_rows(old, rows.filter(F.col("date_part") >= split_day))
+    early = F.coalesce(F.col("date_part") < F.to_date(F.lit(RUN_DATE)), F.lit(False))
+    return merge_rows(rows.filter(early).drop("payment_method"), rows.filter(~early))
 
 
 def _snapshots(spark: SparkSession, sf: str) -> str:

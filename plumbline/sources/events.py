@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.scalars import truth
 from plumbline.schemas import ALLOWED_KEYS, EVENT_DDL, REQUIRED_KEYS
 from plumbline.session import as_timestamp
 
@@ -52,16 +53,20 @@ def missing_keys(keys: Column) -> Column:
 
 
 def decode(messages: DataFrame, *, value: str = "value", ingest_ts: str | datetime | Column | None = None) -> DataFrame:
-    """Parse each message once into the event columns plus time, date and payload-key columns.
+    """The event columns of each message, plus time, date and payload-key columns.
 
-    A message that is no JSON object yields a row of NULLs, so that it reaches the anomaly side and is not lost. Keys are
-    read from the text itself: a fixed schema would silently drop the ones it does not know.
+    A message that is no single JSON object, and one whose amount is no number, is `malformed`: it keeps its text in `raw_value` and
+    reaches the anomaly side, so nothing is lost or taken for clean. What cannot be read is NULL; of several objects in one message
+    the first is read. Keys are read from the text itself: a fixed schema would silently drop the ones it does not know.
     """
     text = F.col(value).cast("string")
     # As a one-row generator the parsing is not merged into later filters, which would repeat it for every field they use.
-    record = F.struct(F.from_json(text, EVENT_DDL).alias("d"), payload_keys(text).alias("keys"))
-    parsed = messages.select(F.inline_outer(F.array(record))).select("d.*", "keys")
+    one_value = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    record = F.struct(F.from_json(text, EVENT_DDL).alias("d"), payload_keys(text).alias("keys"), one_value.alias("one"), text.alias("text"))
+    parsed = messages.select(F.inline_outer(F.array(record))).select("d.*", "keys", "one", "text")
     event_ts = F.try_to_timestamp(F.col("timestamp"))
+    lost_amount = F.when(F.col("amount").isNull(), F.get_json_object("text", "$.amount").isNotNull())
+    malformed = ~truth(F.col("one")) | F.col("keys").isNull() | truth(lost_amount)
     return parsed.select(
         *[F.col(name) for name in ALLOWED_KEYS],
         event_ts.alias("event_ts"),
@@ -69,6 +74,8 @@ def decode(messages: DataFrame, *, value: str = "value", ingest_ts: str | dateti
         F.to_date(event_ts).alias("date_part"),
         unexpected_keys(F.col("keys")).alias("unexpected_keys"),
         missing_keys(F.col("keys")).alias("missing_keys"),
+        malformed.alias("malformed"),
+        F.when(malformed, F.col("text")).alias("raw_value"),
     )
 
 

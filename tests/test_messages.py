@@ -13,13 +13,13 @@ from tests.test_drift import VERSIONS, frame
 
 def test_anomaly_prompts(flagged):
     rows = me.anomaly_prompts(flagged).collect()
-    assert sum(r["n"] for r in rows) == 73
+    assert sum(r["n"] for r in rows) == 108
     row = next(r for r in rows if str(r["date_part"]) == "2099-01-01")
     assert "ROOT CAUSE" in row["prompt"]
     assert "BUSINESS IMPACT" in row["prompt"]
-    assert "14 records:" in row["prompt"]
+    assert "13 records:" in row["prompt"]
     records = [json.loads(line) for line in row["prompt"].splitlines() if line.startswith("{")]
-    assert len(records) == 14
+    assert len(records) == 13
     assert all("future_ts" in r["anomaly_type"] for r in records)
 
 

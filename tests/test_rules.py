@@ -84,7 +84,7 @@ def test_split_is_complete_and_disjoint(spark, flagged):
     good, bad = clean(flagged), anomalous(flagged)
     assert good.count() + bad.count() == flagged.count() == 1000
     assert good.join(bad, "event_id", "left_semi").isEmpty()
-    assert bad.count() == 73
+    assert bad.count() == 108
 
 
 def test_no_null_flags_and_score_counts_five(flagged):
@@ -151,3 +151,17 @@ def test_missing_keys_are_drift(spark):
     records = [{k: v for k, v in NORMAL.items() if k != gone} | {"_anomaly_type": gone} for gone in NORMAL if gone not in ("user_id", "currency")]
     rows = flag(spark, *map(json.dumps, records)).collect()
     assert all({t for t in TYPES if r[f"flag_{t}"]} == {"schema_drift"} for r in rows)
+
+
+def test_malformed_messages_are_anomalies_and_keep_their_text(spark):
+    whole = json.dumps(NORMAL)
+    texts = [
+        "not json", "", None, "[1]", "7", whole + " junk", whole + " " + whole, whole + "," + whole, json.dumps({**NORMAL, "amount": "12.5 EUR"}),
+        json.dumps({**NORMAL, "amount": [1]}), whole[:-1],
+    ]
+    rows = flag(spark, *texts).collect()
+    assert len(rows) == len(texts)
+    assert all(r["malformed"] and r["flag_schema_drift"] and r["is_anomaly"] for r in rows)
+    assert sorted(r["raw_value"] or "" for r in rows) == sorted(t or "" for t in texts)
+    fine = flag(spark, whole, json.dumps({**NORMAL, "amount": None}), f"  {whole}\n").collect()
+    assert not any(r["malformed"] or r["raw_value"] for r in fine)
