@@ -23,7 +23,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plumbline.functions.text import term_counts
 from plumbline.functions.topk import BestK
 from plumbline.schemas import TOP_K
-from plumbline.session import new_work_path
 from plumbline.sources.tables import materialize
 
 # Questions sent to every task: at most this many numbers (8 bytes each).
@@ -34,8 +33,10 @@ ROW_NUMBERS = 20
 MAX_HOT_TERMS = 100_000
 # Numbers in one block of scores or products inside a task.
 BLOCK_NUMBERS = 4_000_000
-# Rows of either side that one cell of the shuffled form holds, and texts of questions that it scores at a time.
-CELL_ROWS = 50_000
+# Numbers of either side that one cell of the shuffled form holds, and texts of questions that it scores at a time. A row counts as
+# its list's length and ROW_NUMBERS more; a term of a text counts as TERM_NUMBERS.
+CELL_NUMBERS = 4_000_000
+TERM_NUMBERS = 4
 CELL_QUESTIONS = 64
 # With at most this many question terms the scan of the postings filters by them.
 MAX_PUSHED_TERMS = 1_000
@@ -104,10 +105,10 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
     asked = materialize(asked, "questions")  # measured first, then sent or shuffled: computed once
     searched = documents.select(F.col(document_id).alias("document_id"), F.col(vector).alias("vector"))
     searched = searched.filter("document_id IS NOT NULL AND vector IS NOT NULL")
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("numbers")).first()
+    size = asked.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("numbers")).first()
     out = _best_schema(asked, searched)
     if size["numbers"] > max_sent:
-        return _rank(_nearest_shuffled(asked, searched, size["n"], k, metric, out), k)
+        return _rank(_nearest_shuffled(asked, searched, k, metric, out), k)
     arrow = to_arrow_schema(out)
     sent = asked.toArrow()  # at most max_sent numbers
     ids = sent.column("question_id").to_pylist()
@@ -123,11 +124,12 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
     return _rank(searched.mapInArrow(run, out), k)
 
 
-def _grid(asked: DataFrame, searched: DataFrame, n_asked: int, n_searched: int) -> tuple[DataFrame, DataFrame]:
+def _grid(asked: DataFrame, searched: DataFrame, lists: str, per_entry: int) -> tuple[DataFrame, DataFrame]:
     """Both sides keyed by (i, j): questions are hashed to rows and documents to columns of a grid, so every pair meets in one
-    cell. Hashing is by id, so cells are even whatever the content; a cell holds at most about CELL_ROWS of each side."""
-    rows = max(1, -(-n_asked // CELL_ROWS))
-    columns = max(1, -(-n_searched // CELL_ROWS))
+    cell. Hashing is by id, so cells are even whatever the content; a cell holds about CELL_NUMBERS of each side, so that long
+    documents make more cells and not larger ones."""
+    size = F.coalesce(F.sum(F.size(lists).cast("bigint") * per_entry + ROW_NUMBERS), F.lit(0))
+    rows, columns = (max(1, -(-side.agg(size).first()[0] // CELL_NUMBERS)) for side in (asked, searched))
 
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
@@ -137,10 +139,10 @@ def _grid(asked: DataFrame, searched: DataFrame, n_asked: int, n_searched: int)
     return left, right
 
 
-def _nearest_shuffled(asked: DataFrame, searched: DataFrame, n_asked: int, k: int, metric: str, out: T.StructType) -> DataFrame:
+def _nearest_shuffled(asked: DataFrame, searched: DataFrame, k: int, metric: str, out: T.StructType) -> DataFrame:
     """Each cell of the grid scores its share of both sides and sends on k rows per question."""
     arrow = to_arrow_schema(out)
-    left, right = _grid(asked, searched, n_asked, searched.count())
+    left, right = _grid(asked, searched, "vector", 1)
 
     def cell(questions: pa.Table, documents: pa.Table) -> pa.Table:
         ids = questions.column("question_id").to_pylist()
@@ -185,33 +187,41 @@ def open_index(spark: SparkSession, path: str) -> TextIndex:
     return TextIndex(*(spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "norms")))
 
 
-def index_texts(documents: DataFrame, path: str, *, document_id: str = "document_id", text: str = "text", by_term: bool = True,
-                max_hot_terms: int = MAX_HOT_TERMS) -> TextIndex:
+def _terms(postings: DataFrame, n_documents: int) -> DataFrame:
+    frequencies = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return frequencies.select("term", "df", F.log(F.lit(float(n_documents)) / F.col("df")).alias("idf"))
+
+
+def _norms(weighted: DataFrame) -> DataFrame:
+    return weighted.groupBy("document_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+
+
+def _searched(documents: DataFrame, document_id: str, text: str) -> DataFrame:
+    return documents.select(F.col(document_id).alias("document_id"), F.col(text).alias("text")).filter("document_id IS NOT NULL")
+
+
+def index_once(documents: DataFrame, *, document_id: str = "document_id", text: str = "text", max_hot_terms: int = MAX_HOT_TERMS) -> TextIndex:
+    """The index of documents that are asked once: only the postings are written, terms and norms are part of the search's plan."""
+    searched = _searched(documents, document_id, text)
+    postings = materialize(term_counts(searched, "document_id", "text"), "postings")
+    terms = _terms(postings, searched.count())
+    return TextIndex(postings, terms, _norms(_weigh(postings, terms, postings.count(), max_hot_terms)))
+
+
+def index_texts(documents: DataFrame, path: str, *, document_id: str = "document_id", text: str = "text", max_hot_terms: int = MAX_HOT_TERMS) -> TextIndex:
     """Count the terms of all documents that have an id (ids must be unique) and write the index to a folder, replacing what is there.
 
-    With `by_term` the postings are laid out by term, so that a search reads only the parts that hold its terms; a range of one
-    hot term is spread over several files. Leave it out for an index that is used once.
+    The postings are laid out by term, so that a search reads only the parts that hold its terms; a range of one hot term is spread
+    over several files.
     """
     spark = documents.sparkSession
-    searched = documents.select(F.col(document_id).alias("document_id"), F.col(text).alias("text")).filter("document_id IS NOT NULL")
-    counted = term_counts(searched, "document_id", "text")
-    stored = f"{path}/postings"
-    if by_term:
-        postings = materialize(counted, "postings")
-        postings.repartitionByRange("term", "document_id").sortWithinPartitions("term").write.mode("overwrite").parquet(stored)
-    else:
-        counted.write.mode("overwrite").parquet(stored)
-        postings = spark.read.parquet(stored)
+    searched = _searched(documents, document_id, text)
+    postings = materialize(term_counts(searched, "document_id", "text"), "postings")
+    postings.repartitionByRange("term", "document_id").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
     # `postings` lie by document here, so the sums per document below are combined in the map tasks.
-
-    frequencies = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(float(searched.count())) / F.col("df"))
-    frequencies.select("term", "df", idf.alias("idf")).write.mode("overwrite").parquet(f"{path}/terms")
+    _terms(postings, searched.count()).write.mode("overwrite").parquet(f"{path}/terms")
     terms = spark.read.parquet(f"{path}/terms")
-
-    n_postings = terms.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-    weighted = _weigh(postings, terms, n_postings, max_hot_terms)
-    weighted.groupBy("document_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).write.mode("overwrite").parquet(f"{path}/norms")
+    _norms(_weigh(postings, terms, postings.count(), max_hot_terms)).write.mode("overwrite").parquet(f"{path}/norms")
     return open_index(spark, path)
 
 
@@ -236,17 +246,16 @@ def search_texts(index: TextIndex, questions: DataFrame, *, k: int = TOP_K, ques
     n_postings = index.terms.agg(F.sum("df")).first()[0] if size["terms"] > max_hot_terms else 0
     if max(size["terms"] * size["questions"], ROW_NUMBERS * size["entries"]) > max_sent:
         hits = _weigh(index.postings, wanted, n_postings, max_hot_terms)
-        rows = _document_rows(hits, index.norms, "term")
-        return _rank(_texts_shuffled(units, rows, size["questions"], k, out), k)
+        rows = materialize(_document_rows(hits, index.norms, "term"), "rows")  # measured first, then shuffled
+        return _rank(_texts_shuffled(units, rows, k, out), k)
     return _rank(_texts_sent(units, index, n_postings, max_hot_terms, k, out), k)
 
 
 def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, question_id: str = "question_id",
                 document_id: str = "document_id", question_text: str = "text", document_text: str = "text",
                 max_sent: int = MAX_SENT_NUMBERS, max_hot_terms: int = MAX_HOT_TERMS) -> DataFrame:
-    """Index and search in one go, for documents that are asked once: see `index_texts` and `search_texts`."""
-    path = new_work_path(documents.sparkSession, "index")
-    index = index_texts(documents, path, document_id=document_id, text=document_text, by_term=False, max_hot_terms=max_hot_terms)
+    """Index and search in one go, for documents that are asked once: see `index_once` and `search_texts`."""
+    index = index_once(documents, document_id=document_id, text=document_text, max_hot_terms=max_hot_terms)
     return search_texts(index, questions, k=k, question_id=question_id, text=question_text, max_sent=max_sent, max_hot_terms=max_hot_terms)
 
 
@@ -306,12 +315,12 @@ def _texts_sent(units: DataFrame, index: TextIndex, n_postings: int, max_hot: in
     return _document_rows(hits, index.norms, "slot").mapInArrow(run, out)
 
 
-def _texts_shuffled(units: DataFrame, rows: DataFrame, n_asked: int, k: int, out: T.StructType) -> DataFrame:
+def _texts_shuffled(units: DataFrame, rows: DataFrame, k: int, out: T.StructType) -> DataFrame:
     """Each cell of the grid scores its share of questions and documents, some questions at a time."""
     arrow = to_arrow_schema(out)
     asked = units.groupBy("question_id").agg(F.collect_list(F.struct("term", "u")).alias("s"))
     asked = asked.select("question_id", F.col("s.term").alias("keys"), F.col("s.u").alias("units"))
-    left, right = _grid(asked, rows, n_asked, rows.count())
+    left, right = _grid(asked, rows, "keys", TERM_NUMBERS)
 
     def cell(questions: pa.Table, documents: pa.Table) -> pa.Table:
         ids = questions.column("question_id").to_pylist()
@@ -349,8 +358,7 @@ def search_catalog(catalog: DataFrame, questions: DataFrame, *, k: int = TOP_K,
     Pass the index of the catalog's documents if there is one; without it the documents are indexed for this call.
     """
     if index is None:
-        path = new_work_path(catalog.sparkSession, "index")
-        index = index_texts(catalog, path, document_id="table_name", text="document", by_term=False)
+        index = index_once(catalog, document_id="table_name", text="document")
     hits = search_texts(index, questions, k=k).withColumnRenamed("document_id", "table_name")
     sources = catalog.select("table_name", "table_path", "row_count", "document")
     asked = questions.select("question_id", F.col("text").alias("question"))

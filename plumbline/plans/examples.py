@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,37 +49,32 @@ def evolving_messages(events: DataFrame) -> DataFrame:
     return rows.select("version", "event_ts", F.concat(F.lit("{"), parts, F.lit("}")).alias("value"))
 
 
-def _judge(amount, payment, kind, country, currency, product) -> tuple:
-    number = int(product[4:]) if isinstance(product, str) and product[:4] == "PRD-" and product[4:].isdigit() else -1
-    risky = (country, currency) not in USUAL_PAIRS
-    known = amount == amount and amount is not None
-    reasons = []
-    if known and amount > 100:
-        reasons.append("amount above 200" if amount > 200 else "amount above 100")
-    if payment is None or payment == "crypto":
-        reasons.append("no payment method" if payment is None else "paid with crypto")
-    if risky:
-        reasons.append("unusual country and currency")
-    points = (known and amount > 100) + (known and amount > 200) + 2 * (payment == "crypto") + (payment is None) + risky
-    risk = "unknown" if not known else "high" if points >= 4 else "medium" if points >= 2 else "low"
-    intent = "planned_purchase"
-    if kind is None:
-        intent = "unknown"
-    elif kind == "refund":
-        intent = "refund_request"
-    elif kind == "purchase" and 90 <= number <= 99:
-        intent = "subscription"
-    elif kind == "purchase" and known and amount < 20:
-        intent = "impulse_buy"
-    category = next((name for low, high, name in CATEGORIES if low <= number <= high), "unknown")
-    present = known + (country is not None) + (payment is not None) + (product is not None)
-    return risk, intent, category, risky, present / 4, "; ".join(reasons)
-
-
 def enrich_frame(rows: pd.DataFrame) -> pd.DataFrame:
-    """The enrichment rules on a chunk of at most a few dozen rows, standing in for a user's partition function."""
-    inputs = (rows[c].tolist() for c in ["amount", "payment_method", "event_type", "country", "currency", "product_id"])
-    return pd.DataFrame([_judge(*row) for row in zip(*inputs, strict=True)], columns=[name for name, _, _ in ENRICHMENT_DEFAULTS])
+    """The enrichment rules over the columns of a chunk, standing in for a user's partition function."""
+    amount = rows["amount"].to_numpy(dtype=float)
+    payment, kind = rows["payment_method"], rows["event_type"]
+    known, unpaid, crypto = ~np.isnan(amount), payment.isna().to_numpy(), (payment == "crypto").to_numpy()
+    above, far_above = known & (amount > 100), known & (amount > 200)
+    pairs = rows["country"].fillna("").astype(str) + "/" + rows["currency"].fillna("").astype(str)
+    risky = ~pairs.isin(["/".join(p) for p in USUAL_PAIRS]).to_numpy()
+    number = rows["product_id"].astype(object).str.extract(r"^PRD-([0-9]+)$")[0].astype(float).fillna(-1).to_numpy()
+    points = above.astype(int) + far_above + 2 * crypto + unpaid + risky
+    bought = (kind == "purchase").to_numpy()
+    text = np.where(far_above, "amount above 200", np.where(above, "amount above 100", "")).astype(object)
+    for reason in (np.where(crypto, "paid with crypto", np.where(unpaid, "no payment method", "")), np.where(risky, "unusual country and currency", "")):
+        text = text + np.where((text != "") & (reason != ""), "; ", "").astype(object) + reason.astype(object)
+    values = [
+        np.select([~known, points >= 4, points >= 2], ["unknown", "high", "medium"], "low"),
+        np.select(
+            [kind.isna().to_numpy(), (kind == "refund").to_numpy(), bought & (number >= 90) & (number <= 99), bought & known & (amount < 20)],
+            ["unknown", "refund_request", "subscription", "impulse_buy"], "planned_purchase",
+        ),
+        np.select([(number >= low) & (number <= high) for low, high, _ in CATEGORIES], [name for _, _, name in CATEGORIES], "unknown"),
+        risky,
+        (known.astype(int) + rows["country"].notna().to_numpy() + ~unpaid + rows["product_id"].notna().to_numpy()) / 4,
+        text,
+    ]
+    return pd.DataFrame({name: value for (name, _, _), value in zip(ENRICHMENT_DEFAULTS, values, strict=True)})
 
 
 def service_answers(enriched: DataFrame) -> DataFrame:

@@ -258,7 +258,12 @@ OLD_ORDERS = "WHERE o_orderdate < TIMESTAMP '2000-01-01'"
 
 ORACLES: dict[str, str] = {
     "decode_events": f"""WITH {TXN}
-        SELECT event_id, user_id, product_id, amount, currency, event_type, event_ts, country, payment_method, date_part FROM flagged""",
+        SELECT event_id, user_id, product_id, amount, currency, event_type, event_ts, country, payment_method, date_part,
+          {AS_OF} AS ingest_ts, malformed, CAST(CASE defect WHEN 'undecodable' THEN 6 + length('EVT-' || n)
+            WHEN 'two_objects' THEN 2 * json_chars + 1 WHEN 'amount_as_text' THEN CASE WHEN malformed THEN json_chars + 6 END END AS INT) AS raw_chars
+        FROM flagged JOIN (SELECT n, length(CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'product_id': product_id, 'amount': amount,
+            'currency': currency, 'event_type': event_type, 'timestamp': coalesce(strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), 'at noon'),
+            'country': country, 'payment_method': payment_method}}) AS VARCHAR)) AS json_chars FROM txn) USING (n)""",
     "payload_key_drift": f"""WITH {TXN}
         SELECT event_id, 'unexpected_field' AS unexpected, 'payment_method' AS missing FROM flagged WHERE drifted""",
     "quality_flags": f"WITH {TXN} SELECT event_id, {FLAG_LIST}, is_anomaly, anomaly_score FROM flagged",
@@ -478,3 +483,4 @@ ORACLES: dict[str, str] = {
         LATERAL (SELECT count(*) FILTER (WHERE v.version = 2 OR o_orderdate < TIMESTAMP '2000-01-01') AS row_count, CAST(4 AS INT) AS column_count FROM orders) c""",
 }
 ORACLES["stream_two_tables"] = ORACLES["stream_split"]
+ORACLES["stream_distinct"] = ORACLES["distinct_events"]

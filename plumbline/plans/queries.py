@@ -43,7 +43,7 @@ def _stored(spark: SparkSession, sf: str) -> DataFrame:
 
 def decode_events(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["event_id", "user_id", "product_id", "amount", "currency", "event_type", "event_ts", "country", "payment_method", "date_part"]
-    return load_decoded(spark, sf).select(*columns)
+    return load_decoded(spark, sf).select(*columns, "ingest_ts", "malformed", F.length("raw_value").alias("raw_chars"))
 
 
 def payload_key_drift(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,6 +200,17 @@ def stream_two_tables(spark: SparkSession, sf: str) -> DataFrame:
     return sides[0].unionByName(sides[1]).groupBy("side", "date_part").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream in which refunds are delivered twice, each event kept once within the watermark."""
+    schema = read_table(spark, sf, "events").schema
+    rows = project(spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*"))
+    twice = F.explode(F.sequence(F.lit(1), F.when(F.col("event_type") == "refund", 2).otherwise(1)))
+    once = drop_repeats(decode(messages(rows.select("*", twice)), ingest_ts=AS_OF), watermark="1 hour")
+    target = new_work_path(spark, "stream-distinct")
+    split.write_sink(once, f"{target}/table", f"{target}/checkpoint", trigger=None).awaitTermination()
+    return spark.read.schema(once.schema).parquet(f"{target}/table").select("event_id", "event_type", "amount")
+
+
 ENRICHED = ["event_id", *[name for name, _, _ in en.ENRICHMENT_DEFAULTS]]
 
 
@@ -209,16 +220,17 @@ def enrich_transactions(spark: SparkSession, sf: str) -> DataFrame:
 
 def enrich_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     inputs = load_transactions(spark, sf).select("event_id", "product_id", "amount", "currency", "event_type", "country", "payment_method")
-    return en.enrich_partitions(inputs, enrich_frame, on_error="raise").select(*ENRICHED)
+    return en.enrich_partitions(inputs, enrich_frame, batch_size=2000, on_error="raise").select(*ENRICHED)
 
 
 def enrich_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Two rounds of enrichments for overlapping parts of the events; the second round wins, the rest gets defaults."""
     records = load_transactions(spark, sf).select("event_id", "amount", "event_type")
     given = en.enrich(load_transactions(spark, sf))
-    first = given.filter(F.col("event_type") == "purchase").select(*ENRICHED, F.lit(1).alias("round"))
-    second = given.filter(F.col("payment_method") == "crypto").withColumn("enrichment_reasoning", F.lit("second round"))
-    return en.merge_enrichments(records, first.unionByName(second.select(*ENRICHED, F.lit(2).alias("round"))), "round")
+    first = F.when(F.col("event_type") == "purchase", F.struct(F.lit(1).alias("round"), F.col("enrichment_reasoning")))
+    second = F.when(F.col("payment_method") == "crypto", F.struct(F.lit(2).alias("round"), F.lit("second round").alias("enrichment_reasoning")))
+    others = [c for c in ENRICHED if c != "enrichment_reasoning"]
+    return en.merge_enrichments(records, given.select(*others, F.inline(F.array_compact(F.array(first, second)))), "round")
 
 
 def null_rates(spark: SparkSession, sf: str) -> DataFrame:
@@ -403,7 +415,7 @@ QUERIES: dict[str, Query] = {
         decode_events, payload_key_drift, quality_flags, clean_events, anomaly_events, rules_on_customer, rules_on_orders,
         remediated_events, anomaly_summary_day, anomaly_summary_by_type, anomaly_summary_by_label, distinct_events, top_anomalies, unanalyzed_anomalies,
         anomaly_batches, anomaly_groups, anomaly_patterns, anomaly_report_daily,
-        stream_split, stream_two_tables, enrich_transactions, enrich_partitioned, enrich_merge,
+        stream_split, stream_two_tables, stream_distinct, enrich_transactions, enrich_partitioned, enrich_merge,
         null_rates, numeric_profile, sample_values, catalog_tables, catalog_columns, catalog_documents, catalog_describe, catalog_upsert, catalog_search,
         vector_topk_cosine, vector_topk_l2, text_topk_tfidf,
         schema_history, schema_drift_pair, schema_drift_history, schema_drift_severity, schema_merge, snapshot_as_of, snapshot_rollback,

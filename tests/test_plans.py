@@ -15,7 +15,7 @@ from plumbline.sources.events import decode
 from plumbline.sources.tables import append
 from tests.conftest import DATA
 
-STREAMS = {"stream_split", "stream_two_tables"}
+STREAMS = {"stream_split", "stream_two_tables", "stream_distinct"}
 
 
 def plan(df):

@@ -38,7 +38,7 @@ def brute(questions, documents, k, metric):
 @pytest.mark.parametrize("max_sent", [10**6, 0])
 @pytest.mark.parametrize("k", [3, 100])
 def test_nearest_equals_brute_force(spark, monkeypatch, metric, max_sent, k):
-    monkeypatch.setattr(se, "CELL_ROWS", 7)
+    monkeypatch.setattr(se, "CELL_NUMBERS", 150)
     (questions, qs), (documents, ds) = vectors(spark, 10, 1), vectors(spark, 40, 2)
     hits = se.nearest(questions, documents, k=k, metric=metric, question_id="id", document_id="id", max_sent=max_sent)
     got = sorted((r["question_id"], r["document_id"], r["rank"], round(r["score"], 6)) for r in hits.collect())
@@ -102,7 +102,7 @@ def test_term_counts(spark):
 @pytest.mark.parametrize("max_sent", [10**6, 0])
 @pytest.mark.parametrize("max_hot_terms", [10**6, 3])
 def test_tfidf_equals_brute_force(spark, monkeypatch, max_sent, max_hot_terms):
-    monkeypatch.setattr(se, "CELL_ROWS", 7)
+    monkeypatch.setattr(se, "CELL_NUMBERS", 150)
     monkeypatch.setattr(se, "CELL_QUESTIONS", 2)
     documents, rows = texts(spark, 25, 5)
     questions, asked = texts(spark, 6, 6, words=8)
