@@ -35,6 +35,8 @@ SEED = 42
 BLOCKS = (11, 11, 11, 11, 10, 10)
 # Fingerprints of one tile of a hot key.
 TILE = 8192
+# Parts in which the links of a node are dealt.
+SALTS = 8
 # Comparisons of one fingerprint with 64 others that are in work at a time.
 AT_ONCE = 1 << 16
 
@@ -217,6 +219,13 @@ def links(distinct: DataFrame) -> DataFrame:
     return spread.mapInArrow(compare_keys, "a bigint, b bigint")
 
 
+def told(links_of: DataFrame, least: DataFrame) -> DataFrame:
+    """Join links (u, v) with what is known of u. The salt deals the links of a hot node to several tasks, and keeps the partitions
+    of the join apart from those of the aggregation before it, so that Spark may split them further."""
+    salted = least.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return links_of.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "_salt"]).drop("_salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node that has a link and is not itself the least of its component, which is the root.
 
@@ -230,10 +239,10 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star: greater neighbours of a node link to the least one of the node and its neighbours.
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = told(both, least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: a node and its smaller neighbours link to the least of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = told(large, low).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "links")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
