@@ -2,8 +2,8 @@
 
 A text is cut where letters, digits and other marks meet, and where a single space or line break stands between two other
 characters. The split pattern of the vocabulary has a boundary there in any context, so equal pieces have equal tokens; each
-distinct piece is encoded once by the tokenizers library, and numpy puts the ids of a text together. Decoding looks up the bytes of each id through the byte table of
-the vocabulary. A character that is split over tokens is restored by joining bytes before they are read as UTF-8.
+distinct piece is encoded once by the tokenizers library, and numpy puts the ids of a text together. Decoding looks up the bytes of
+each id through the byte table of the vocabulary. A character that is split over tokens is restored by joining bytes before they are read as UTF-8.
 
 Null text: empty, no tokens. Empty text: no tokens. Repeated rows: each is encoded. Strings that look like special tokens are
 ordinary text. Columns of the input stay; columns with the name of a result are replaced.
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.arrays import SPACE, distinct_runs, gather, hash_runs, text_slices

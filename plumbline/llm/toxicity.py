@@ -165,12 +165,10 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int =
         pull = bags.pulled(part * error[owner]) / (bags.support + DOUBT)
         steep = pull @ model["vectors"]
         slow = 1 - 0.9 * step / rounds
-        for name, gradient, rate in (
-            ("vectors", pull[:, None] * slope, STEP), ("weights", np.stack([-steep, steep]), 0.02), ("bias", np.array([-error.sum(), error.sum()]), None),
-        ):
-            scale = rate * slow / max(np.abs(gradient).max(), 1e-12) if rate else 1.0
-            if rate and error.any():
-                scale = min(scale, rate * slow / 1e-7)
+        moves = {"vectors": (pull[:, None] * slope, STEP), "weights": (np.stack([-steep, steep]), 0.02)}
+        steps = {k: (g, rate * slow / max(np.abs(g).max(), 1e-7)) for k, (g, rate) in moves.items()}
+        steps["bias"] = (np.array([-error.sum(), error.sum()]), 1.0)
+        for name, (gradient, scale) in steps.items():
             speed[name] = 0.8 * speed[name] - 0.2 * scale * gradient
             model[name] = model[name] + speed[name]
     return model
