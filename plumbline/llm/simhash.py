@@ -251,12 +251,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, id_col: str) -> DataFrame:
-    """(fp, component_id) of each distinct fingerprint."""
+    """(fp, component_id, root) of each distinct fingerprint; the root fingerprint tells components apart whatever their ids."""
     nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
     roots = components(links(nodes.select("fp")))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(named, "root").select("fp", "component_id")
+    return rooted.join(named, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -277,5 +277,5 @@ def one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text: str = "te
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*[F.col(c) for c in columns]))
     # Equal fingerprints meet in the map tasks first, so that no class gathers all its texts in one task.
     first = rows.groupBy(F.col("_fp").alias("fp")).agg(F.min_by(F.struct(*columns), order).alias("_stay"), F.min(order).alias("_order"))
-    stay = first.join(named, "fp", "left").groupBy("component_id").agg(F.min_by("_stay", "_order").alias("_stay"))
+    stay = first.join(named, "fp", "left").groupBy("root").agg(F.min_by("_stay", "_order").alias("_stay"))
     return stay.select("_stay.*")

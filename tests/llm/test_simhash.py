@@ -99,6 +99,17 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert sorted(r["doc_id"] for r in one.collect()) == sorted({c for *_, c in want})
 
 
+def test_one_of_each_goes_by_links_and_not_by_ids(spark):
+    draw = random.Random(9)
+    texts = [" ".join(f"w{draw.randrange(5000)}" for _ in range(60)) for _ in range(12)]
+    rows = [(None, t) for t in texts[:6]] + [(None, texts[0])] + [(7, t) for t in texts[6:10]] + [(8, texts[10]), (None, texts[10])]
+    assert len(set(classes_of([plain_fingerprint(t) for _, t in rows]))) == 11
+    one = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = {(None, t) for t in texts[:6]} | {(7, t) for t in texts[6:10]} | {(8, texts[10])}
+    got = [tuple(r) for r in one.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_tiles_of_a_hot_key_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE", 16)
     base = 0x0123456789ABCDEF
