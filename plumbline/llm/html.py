@@ -41,43 +41,69 @@ RAW = frozenset("iframe math noembed noframes noscript script style svg template
 DROPPED = frozenset("aside button dialog footer form head header menu nav search select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-# Words in a class or id that mark what is not the article.
+# Class names and ids that mark what is not the article, each compared as a whole: has-sidebar or article-header mark nothing.
 MARKS = frozenset(
     "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disclaimer footer gdpr header menu modal nav navbar navigation newsletter notice overlay pagination popup promo promoted related "
-    "replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split()
+    "replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget "
+    "ad-banner ad-container ad-slot ad-unit ad-wrapper author-comments comment-area comment-form comment-list comment-section comments-area "
+    "comments-list comments-section cookie-banner cookie-bar cookie-consent cookie-notice footer-nav main-menu main-nav main-navigation "
+    "nav-bar nav-links nav-menu newsletter-form newsletter-signup post-navigation promo-box related-articles related-links related-posts "
+    "reader-comments search-box search-form share-bar share-buttons share-links side-bar site-footer site-header site-nav site-navigation "
+    "social-links social-share sponsored-content user-comments widget-area".split()
 )
+# What marks an element: its class, id or role, or a form, which may stand around a whole page; or another name.
+NAMED, BUILT = 1, 2
 
 TAG_END = re.compile(r"""(?>[^>"']+|"[^"]*"|'[^']*')*+>""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
-WORD = re.compile(r"[a-z]+")
+# Open elements that a start tag closes, and what may stand open inside these.
+SIBLINGS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt")}
+LOOSE = frozenset(("address", "div", "p"))
 
-def marked(tag: str, attributes: str) -> bool:
-    """Whether an element is none of the article by its name, role, class or id."""
+
+def marked(tag: str, attributes: str) -> int:
+    """NAMED or BUILT if an element is none of the article by its role, class or id, or by its own name; else 0."""
     if tag in DROPPED:
-        return True
+        return NAMED if tag == "form" else BUILT
     if "=" not in attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
     for name, value in ATTRIBUTE.findall(attributes):
         value = value.strip("\"'").lower()
-        if name.lower() in ("class", "id") and not MARKS.isdisjoint(WORD.findall(value)) or name.lower() == "role" and value in ROLES:
-            return True
-    return False
+        if name.lower() in ("class", "id") and not MARKS.isdisjoint(value.replace("_", "-").split()) or name.lower() == "role" and value in ROLES:
+            return NAMED
+    return 0
+
+
+def close_siblings(stack: list[tuple[str, bool, int, bool]], tag: str) -> None:
+    """Close what the start of a block ends: an open p, and for li, dd and dt the one before in the same list."""
+    if stack and stack[-1][0] == "p":
+        stack.pop()
+    if tag in SIBLINGS:
+        k = len(stack) - 1
+        while k >= 0 and stack[k][0] in LOOSE:
+            k -= 1
+        if k >= 0 and stack[k][0] in SIBLINGS[tag]:
+            del stack[k:]
 
 
-def blocks(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, in an article, marked as none of it) of the blocks in page order. Raw text, comments and head are left out."""
-    found: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # (tag, in an article, marked) of open elements
-    inside, off, hidden = False, False, False
+def blocks(page: str) -> list[tuple[str, bool, int, bool]]:
+    """(text, in an article, mark as none of it, in an article that stands inside a marked element) of the blocks in page order.
+
+    Raw text, comments and head are left out. A mark does not reach into an article or main element, but a name like aside does reach
+    into an article.
+    """
+    found: list[tuple[str, bool, int, bool]] = []
+    stack: list[tuple[str, bool, int, bool]] = []  # (tag, in an article, mark, in a marked element's article) of open elements
+    inside, off, second, hidden = False, 0, False, False
     parts: list[str] = []
 
     def close() -> None:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            found.append((text, inside, off))
+            found.append((text, inside, off, second))
 
     at, end = 0, len(page)
     while at < end:
@@ -123,13 +149,15 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
                 at = end if stop < 0 else stop + 1
             continue
         elif tag not in VOID:
-            if tag in BLOCKS and stack and stack[-1][0] in ("p", "li", "dd", "dt"):
-                stack.pop()
+            if tag in BLOCKS:
+                close_siblings(stack, tag)
             bad = marked(tag, attributes)
-            if bad or tag in NESTED:
-                above = stack[-1] if stack else ("", False, False)
-                stack.append((tag, above[1] or (tag in ("article", "main") and not above[2]), above[2] or bad))
-        inside, off = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            _, within, mark, nested = stack[-1] if stack else ("", False, 0, False)
+            opens = not within and (tag == "main" or tag == "article" and mark < BUILT)
+            # Inside a marked element those of its own name are followed too, so that their end tags do not end it.
+            if bad or tag in NESTED or mark and any(s[0] == tag for s in stack):
+                stack.append((tag, within or opens, 0 if opens else max(mark, bad), nested or opens and mark > 0))
+        inside, off, second = stack[-1][1:] if stack else (False, 0, False)
         hidden = any(s[0] == "head" for s in stack[:3])
     close()
     return found
@@ -138,8 +166,11 @@ def blocks(page: str) -> list[tuple[str, bool, bool]]:
 def parsed(page: str) -> tuple[str | None, list[str], list[bool]]:
     """(text of the article, or None without one; the other blocks; whether each of these is marked)."""
     found = blocks(page)
-    article = [text for text, inside, off in found if inside and not off]
-    rest = [(text, off) for text, inside, off in found if off or not inside]
+    # Articles inside marked elements (comments may be such) are the text where there are no others.
+    nested = not any(inside and not off and not second for _, inside, off, second in found)
+    chosen = [inside and not off and second == nested for _, inside, off, second in found]
+    article = [b[0] for b, own in zip(found, chosen, strict=True) if own]
+    rest = [(b[0], b[1] or b[2] > 0) for b, own in zip(found, chosen, strict=True) if not own]
     return ("\n".join(article) if article else None), [t for t, _ in rest], [off for _, off in rest]
 
 

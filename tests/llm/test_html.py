@@ -24,6 +24,17 @@ MENU = "Home page of the great site with news and more for everyone today"
     ("<article><table><tr><td>1<td>2<tr><td>3</table></article>", "1 2\n3"),
     ("<p>open <b>bold", "open bold"), ("", ""), ("   ", ""), ("<", "<"), ("<!-- never closed <p>x", ""), ("<script>never closed", ""),
     ("<article>" + "<b>" * 3000 + "deep", "deep"),
+    ("<div class='layout has-sidebar'><article>kept</article></div>", "kept"),
+    ("<div id='page-with-header'><main>kept</main></div>", "kept"),
+    ("<div class='sidebar layout'><article>kept</article><p>no</div>", "kept"),
+    ("<form><div><article>kept</article></div><p>no</form>", "kept"),
+    ("<article>kept</article><div class='comments'><article>no</article></div>", "kept"),
+    ("<p>kept<aside><article>no</article></aside>", "kept"),
+    ("<article><div class='article-header'><h1>Title</h1></div><section class='social-science'>two</section></article>", "Title\ntwo"),
+    ("<article><ul><li class='comment'><p>no</p>no<li>one<li>two</ul></article>", "one\ntwo"),
+    ("<article><ul><li class='comment'><ul><li>no</li>no</ul>no</li><li>one</ul></article>", "one"),
+    ("<article><dl><dd class='ad'><div>no</div>no<dt>one<dd>two</dl></article>", "one\ntwo"),
+    ("<article><p class='ad'>no<div>one</div></article>", "one"),
 ])
 def test_pages(spark, page, text):
     article, rest, marked = html.parsed(page)
