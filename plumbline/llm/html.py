@@ -288,15 +288,16 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html
     host = F.lower(F.coalesce(F.regexp_extract("_url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     cut = source.withColumn("_p", parser()("_html")).select(
         F.monotonically_increasing_id().alias("row"), "_id", "_url", host.alias("host"), F.col("_p.article").isNull().alias("open"),
-        F.col("_p.blocks").alias("blocks"), F.col("_p.marked").alias("marked"),
+        F.expr("filter(_p.blocks, (b, i) -> not _p.marked[i])").alias("kept"),
     )
-    streams = materialize(cut.withColumn("text", F.array_join("blocks", "\n")), "streams")
+    # The runs of a page and of its host are taken from the same blocks, so that both go over the gap of a marked one.
+    streams = materialize(cut.withColumn("text", F.array_join("kept", "\n")), "streams")
     shards = streams.select("host", F.xxhash64("text").alias("stream"), "text").repartitionByRange("host", "stream").sortWithinPartitions("host")
     runs = shards.mapInArrow(shard_runs, "host string, run bigint, least bigint, most bigint")
     repeated = runs.groupBy("host", "run").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least <> most")
 
-    undecided = streams.filter("open").withColumn("kept", F.expr("filter(blocks, (b, i) -> not marked[i])"))
-    own = undecided.select("row", "host", F.array_join("kept", "\n").alias("text")).mapInArrow(
+    undecided = streams.filter("open")
+    own = undecided.select("row", "host", "text").mapInArrow(
         page_runs, "row bigint, host string, place int, run bigint",
     )
     covered = own.join(repeated.select("host", "run"), ["host", "run"], "left_semi").groupBy("row").agg(F.collect_list("place").alias("places"))

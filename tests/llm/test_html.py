@@ -61,6 +61,13 @@ def test_repeated_runs_of_a_host_go(spark):
     assert html.extract(frame.limit(0)).count() == 0
 
 
+def test_short_blocks_beside_a_marked_one_go(spark):
+    page = "<body><div>short notice of five words</div><nav>menu {0}</nav><div>and a short footer</div><p>own text {0}</body>"
+    rows = [(i, f"http://h.example.com/{i}", page.format(i)) for i in range(3)]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"own text {i}") for i in range(3)]
+
+
 def test_suffix_array_orders_runs():
     draw = np.random.default_rng(1)
     for n in (1, 5, 8, 300):
