@@ -1,13 +1,12 @@
 """Main text of web pages: page structure, and a suffix array over the pages of each host.
 
 A page is cut into blocks in page order. Blocks inside an article or main element are its text, without the menus, forms, notices,
-comments and the like inside it. All other visible text of a host's pages forms its token stream. The stream is cut into shards;
-a suffix array of each shard (sorted by prefix doubling, up to MIN_RUN tokens) lists the runs of MIN_RUN tokens, and runs that two
-different pages of the host share, in whatever shards, are boilerplate. Pages without an article or main element keep the blocks
-that such runs do not cover from end to end.
+comments and the like inside it; a page without such an element has its unmarked blocks. The pages are cut into slices. A suffix
+array of each slice (sorted by prefix doubling, up to MIN_RUN tokens) lists the runs of MIN_RUN tokens, and runs that two different
+texts of a host share, in whatever slices, are boilerplate. Every page loses the blocks that such runs cover from end to end.
 
-The suffix array alone cannot decide: an article that two pages of a host carry is a long repeated run, and an advert shown once
-is not. So repeats never remove text from inside an article, and pages of equal streams count as one page.
+Articles are held against the articles of their host, so that a headline on an index page does not remove itself from its article.
+Equal articles count as one; of near copies, repeated runs cover the most part, and such an article keeps all its blocks.
 
 Null and empty pages have an empty text. A page without a host in its url belongs to the host "". Broken markup: an element that
 is never closed ends with its parent; a stray end tag is ignored; a character reference that is none stays as it is.
@@ -18,11 +17,15 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.llm.arrays import hash_runs, mixed, text_slices, words
 from plumbline.llm.frames import bound_batches
@@ -30,6 +33,15 @@ from plumbline.sources.tables import materialize
 
 # Tokens of a run that counts as long.
 MIN_RUN = 8
+# Characters of text of one slice of pages.
+SLICE_BYTES = 1 << 18
+# Buckets in which the runs of all slices meet: at least BUCKETS, each with the runs of about BUCKET_BYTES of text.
+BUCKETS = 256
+BUCKET_BYTES = 16 << 20
+# An article of which repeated runs cover more than this share is a copy of another and stays whole.
+COPIED = 0.5
+# What articles and other text are told apart by, before the host.
+ARTICLE, OTHER = "a ", "o "
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -174,24 +186,26 @@ def parsed(page: str) -> tuple[str | None, list[str], list[bool]]:
     return ("\n".join(article) if article else None), [t for t, _ in rest], [off for _, off in rest]
 
 
-def parser():
-    @F.arrow_udf("struct<article:string,blocks:array<string>,marked:array<boolean>>")
-    def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.struct([("article", pa.string()), ("blocks", pa.list_(pa.string())), ("marked", pa.list_(pa.bool_()))])
-        for pages in batches:
-            rows = [dict(zip(("article", "blocks", "marked"), parsed(p or ""), strict=True)) for p in pages.to_pylist()]
-            yield pa.array(rows, type=kind)
-
-    return parse
-
-
-def articles():
-    @F.arrow_udf("string")
-    def article(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for pages in batches:
-            yield pa.array([parsed(p or "")[0] for p in pages.to_pylist()], type=pa.string())
-
-    return article
+def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (id, url, host, page): (id, url, host, slice, no article?, the blocks to judge, other unmarked text, bytes of the blocks)."""
+    number, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        slices, opens, kept, others, sizes = [], [], [], [], []
+        for page in batch.column(3).to_pylist():
+            article, rest, marks = parsed(page or "")
+            other = [t for t, off in zip(rest, marks, strict=True) if not off]
+            kept.append(other if article is None else article.split("\n"))
+            opens.append(article is None)
+            others.append("\n".join(other) if article is not None and other else None)
+            sizes.append(sum(map(len, kept[-1])))
+            if size > SLICE_BYTES:
+                number, size = number + 1, 0
+            slices.append(number)
+            size += sizes[-1]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(1), batch.column(2), pa.array(slices, type=pa.int64()), pa.array(opens, type=pa.bool_()),
+            pa.array(kept, type=pa.list_(pa.string())), pa.array(others, type=pa.string()), pa.array(sizes, type=pa.int64()),
+        ], ["_id", "_url", "host", "slice", "open", "kept", "other", "size"])
 
 
 def run_hashes(tokens: np.ndarray) -> np.ndarray:
@@ -243,66 +257,117 @@ def shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from runs(batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2))
 
 
-def page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, host, place, run) of every run of MIN_RUN tokens of each page, from rows (row, host, text)."""
-    for batch in batches:
-        ids, hosts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-        for first, data, offsets in text_slices(batch.column(2)):
-            starts, ends, rows = words(data, offsets)
-            tokens = hash_runs(data, starts, ends)
-            value = run_hashes(tokens)
-            inside = np.flatnonzero(rows[:len(value)] == rows[MIN_RUN - 1:]) if len(value) else np.empty(0, dtype=np.int64)
-            page = rows[inside]
-            place = inside - np.searchsorted(rows, page, side="left")
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids[page + first]), pa.array([hosts[i] for i in (page + first).tolist()], type=pa.string()),
-                pa.array(place.astype(np.int32)), pa.array(value[inside].view(np.int64)),
-            ], ["row", "host", "place", "run"])
+def host_keys(hosts: pa.Array) -> np.ndarray:
+    """A hash of each host, which keeps equal runs of different hosts apart."""
+    coded = hosts.dictionary_encode()
+    names = np.array([xxhash.xxh64_intdigest(h or "") for h in coded.dictionary.to_pylist()], dtype=np.uint64)
+    return names[coded.indices.to_numpy(zero_copy_only=False)]
+
 
+def packed_runs(buckets: int):
+    """From (slice, host, stream, text): the runs of each slice, packed into one row per bucket of runs.
 
-def unique_runs():
-    @F.arrow_udf("string")
-    def keep(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for many, places in batches:
-            texts = []
-            for parts, covered in zip(many.to_pylist(), places.to_pylist(), strict=True):
-                sizes = [len(p.encode().split()) for p in parts]
-                hit = np.zeros(sum(sizes) + MIN_RUN, dtype=bool)
-                for at in covered or ():
-                    hit[at:at + MIN_RUN] = True
-                stops = np.cumsum(sizes).tolist()
-                texts.append("\n".join(p for p, n, e in zip(parts, sizes, stops, strict=True) if not hit[e - n:e].all()))
-            yield pa.array(texts, type=pa.string())
+    A run comes once per slice, or twice if the slice has it in different streams. Streams are told apart by 32 bits.
+    """
 
-    return keep
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slices = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), len(slices)] if len(slices) else [0]
+            for first, end in pairwise(edges):
+                for found in shard_runs(iter([batch.slice(first, end - first).select(["host", "stream", "text"])])):
+                    key = mixed(found.column(1).to_numpy().view(np.uint64) ^ host_keys(found.column(0)))
+                    least, most = (found.column(i).to_numpy().astype(np.uint32) for i in (2, 3))
+                    many = least != most
+                    key, stream = np.concatenate([key, key[many]]), np.concatenate([least, most[many]])
+                    bucket = (key % np.uint64(buckets)).astype(np.int32)
+                    order = np.lexsort((key, stream, bucket))
+                    key, stream, bucket = key[order], stream[order], bucket[order]
+                    heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+                    ends = np.append(heads[1:], len(key))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(bucket[heads]), pa.array(np.repeat(slices[first], len(heads))),
+                        pa.array([key[i:j].tobytes() for i, j in zip(heads, ends, strict=True)], type=pa.binary()),
+                        pa.array([stream[i:j].tobytes() for i, j in zip(heads, ends, strict=True)], type=pa.binary()),
+                    ], ["bucket", "slice", "keys", "streams"])
+
+    return pack
+
+
+def unpacked(packed: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(packed.to_pylist()), dtype=kind)
+
+
+def repeated_runs(bucket: pa.Table) -> pa.Table:
+    """(slice, keys): for each slice those of its runs in the bucket that two different streams have, in whatever slices."""
+    keys, streams = unpacked(bucket["keys"], np.uint64), unpacked(bucket["streams"], np.uint32)
+    owners = np.repeat(bucket["slice"].to_numpy(), [len(k) // 8 for k in bucket["keys"].to_pylist()])
+    order = np.lexsort((streams, keys))
+    keys, streams, owners = keys[order], streams[order], owners[order]
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    ends = np.append(heads[1:], len(keys))
+    hit = np.repeat(streams[heads] != streams[ends - 1], ends - heads)
+    keys, owners = keys[hit], owners[hit]
+    order = np.argsort(owners, kind="stable")
+    keys, owners = keys[order], owners[order]
+    heads = np.flatnonzero(np.append(True, owners[1:] != owners[:-1])) if len(owners) else np.empty(0, dtype=np.int64)
+    ends = np.append(heads[1:], len(keys))
+    packed = [keys[i:j].tobytes() for i, j in zip(heads, ends, strict=False)]
+    return pa.table({"slice": pa.array(owners[heads], type=pa.int64()), "keys": pa.array(packed, type=pa.binary())})
+
+
+def uncovered(pages: pa.Table, answers: pa.Table) -> pa.Table:
+    """(id, url, text) of the pages of a slice without the blocks that its repeated runs cover from end to end."""
+    repeated = np.unique(unpacked(answers["keys"], np.uint64))
+    kept, opens = pages["kept"].to_pylist(), pages["open"].to_pylist()
+    texts = ["\n".join(parts) for parts in kept]
+    if len(repeated):
+        hosts = host_keys(pages["space"].combine_chunks())
+        for first, data, offsets in text_slices(pa.array(texts, type=pa.large_string())):
+            starts, ends, rows = words(data, offsets)
+            value = run_hashes(hash_runs(data, starts, ends))
+            at = np.flatnonzero(rows[:len(value)] == rows[MIN_RUN - 1:]) if len(value) else np.empty(0, dtype=np.int64)
+            at = at[np.isin(mixed(value[at] ^ hosts[rows[at] + first]), repeated)]
+            step = np.bincount(at, minlength=len(rows) + MIN_RUN) - np.bincount(at + MIN_RUN, minlength=len(rows) + MIN_RUN)
+            hit = np.cumsum(step) > 0
+            for row in np.unique(rows[at]).tolist():
+                low, high = np.searchsorted(rows, [row, row + 1])
+                own, page = hit[low:high], row + first
+                if not opens[page] and own.sum() > COPIED * len(own):
+                    continue
+                stops = np.cumsum([len(p.encode().split()) for p in kept[page]])
+                sizes = np.diff(stops, prepend=0)
+                texts[page] = "\n".join(p for p, n, e in zip(kept[page], sizes, stops, strict=True) if not own[e - n:e].all())
+    return pa.table({"_id": pages["_id"], "_url": pages["_url"], "text": pa.array(texts, type=pa.string())})
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: the id, url, text, n_chars.
 
-    Pages are parsed once for the hosts' streams, which are written to the shared folder without the articles, and once for the
-    articles, so that no article is shuffled.
+    Pages are parsed once and written to the shared folder as slices of blocks. Only packed runs go to the buckets, and each slice
+    gets back those of its own runs that are repeated.
     """
     bound_batches(pages.sparkSession)
-    source = pages.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"), F.col(html).alias("_html"))
-    host = F.lower(F.coalesce(F.regexp_extract("_url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    cut = source.withColumn("_p", parser()("_html")).select(
-        F.monotonically_increasing_id().alias("row"), "_id", "_url", host.alias("host"), F.col("_p.article").isNull().alias("open"),
-        F.expr("filter(_p.blocks, (b, i) -> not _p.marked[i])").alias("kept"),
-    )
-    # The runs of a page and of its host are taken from the same blocks, so that both go over the gap of a marked one.
-    streams = materialize(cut.withColumn("text", F.array_join("kept", "\n")), "streams")
-    shards = streams.select("host", F.xxhash64("text").alias("stream"), "text").repartitionByRange("host", "stream").sortWithinPartitions("host")
-    runs = shards.mapInArrow(shard_runs, "host string, run bigint, least bigint, most bigint")
-    repeated = runs.groupBy("host", "run").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least <> most")
-
-    undecided = streams.filter("open")
-    own = undecided.select("row", "host", "text").mapInArrow(
-        page_runs, "row bigint, host string, place int, run bigint",
+    host = F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
+    source = pages.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"), host.alias("host"), F.col(html).alias("_html"))
+    kinds = [T.StructField(n, source.schema[n].dataType) for n in ("_id", "_url")]
+    columns = [("host", T.StringType()), ("slice", T.LongType()), ("open", T.BooleanType()), ("kept", T.ArrayType(T.StringType()))]
+    columns += [("other", T.StringType()), ("size", T.LongType())]
+    schema = T.StructType([*kinds, *[T.StructField(*c) for c in columns]])
+    cut = materialize(source.mapInArrow(parse_pages, schema), "streams")
+
+    # Articles are held against articles, other text against other text.
+    space = F.concat(F.when(F.col("open"), F.lit(OTHER)).otherwise(F.lit(ARTICLE)), "host")
+    told = F.array(
+        F.struct(space.alias("host"), F.array_join("kept", "\n").alias("text")),
+        F.struct(F.concat(F.lit(OTHER), "host").alias("host"), F.col("other").alias("text")),
     )
-    covered = own.join(repeated.select("host", "run"), ["host", "run"], "left_semi").groupBy("row").agg(F.collect_list("place").alias("places"))
-    other = undecided.join(covered, "row", "left").select("_id", "_url", unique_runs()("kept", "places").alias("text"))
-    direct = source.select("_id", "_url", articles()("_html").alias("text")).filter(F.col("text").isNotNull())
-    return direct.unionByName(other).select(
-        F.col("_id").alias(id_col), F.col("_url").alias(url), "text", F.char_length("text").cast("bigint").alias("n_chars"),
+    streams = cut.select("slice", F.explode(told).alias("s")).select("slice", "s.host", F.xxhash64("s.text").alias("stream"), "s.text")
+    total = cut.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    packed = streams.filter("text <> ''").mapInArrow(
+        packed_runs(max(BUCKETS, total // BUCKET_BYTES)), "bucket int, slice bigint, keys binary, streams binary",
     )
+    answers = packed.groupBy("bucket").applyInArrow(repeated_runs, "slice bigint, keys binary")
+    judged = cut.select("_id", "_url", "slice", "open", "kept", space.alias("space")).groupBy("slice").cogroup(answers.groupBy("slice"))
+    text = judged.applyInArrow(uncovered, T.StructType([*kinds, T.StructField("text", T.StringType())]))
+    return text.select(F.col("_id").alias(id_col), F.col("_url").alias(url), "text", F.char_length("text").cast("bigint").alias("n_chars"))

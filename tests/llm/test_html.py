@@ -68,6 +68,23 @@ def test_short_blocks_beside_a_marked_one_go(spark):
     assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"own text {i}") for i in range(3)]
 
 
+@pytest.mark.parametrize("size", [html.SLICE_BYTES, 40])
+def test_repeated_runs_of_articles_go(spark, monkeypatch, size):
+    monkeypatch.setattr(html, "SLICE_BYTES", size)
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    notice = "Please share this text with all of your friends today"
+    page = lambda i, text: f"<nav>m</nav><article><h1>{own(i)[:60]}</h1><div>{notice}</div><p>{text}</p></article>"
+    rows = [(i, f"http://h.example.com/{i}", page(i, own(i))) for i in range(4)]
+    rows += [(4, "http://h.example.com/copy", page(0, own(0))), (5, "http://alone.example.com/", page(5, own(5)))]
+    rows += [(6, "http://h.example.com/", f"<div>{own(1)}</div>")]  # an index page that repeats an article
+    near = [own(7) + f" end {k}" for k in range(2)]
+    rows += [(7 + k, "http://near.example.com/", f"<article><p>{own(7)}</p><p>{near[k]}</p></article>") for k in range(2)]
+    text = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [text[i] for i in range(4)] == [f"{own(i)[:60]}\n{own(i)}" for i in range(4)] and text[4] == text[0]
+    assert text[5] == f"{own(5)[:60]}\n{notice}\n{own(5)}"  # no other page of that host
+    assert text[6] == own(1) and [text[7 + k] for k in range(2)] == [f"{own(7)}\n{near[k]}" for k in range(2)]
+
+
 def test_suffix_array_orders_runs():
     draw = np.random.default_rng(1)
     for n in (1, 5, 8, 300):
