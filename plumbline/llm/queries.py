@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, chat, exact, html, lm, mixing, quality, rules, simhash, toxicity
+from plumbline.llm import bpe, chat, exact, html, lines, lm, merkle, mixing, phrases, quality, rules, simhash, toxicity
 from plumbline.llm.frames import table
 
 
@@ -54,6 +54,26 @@ def op10_html_text(spark: SparkSession, directory: str) -> DataFrame:
     return html.extract(table(spark, directory, "pages"))
 
 
+def op11_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return phrases.collocations(table(spark, directory, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    cleaned = lines.deduplicated(table(spark, directory, "documents"))
+    return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proven = merkle.manifest(table(spark, directory, "documents"), found={"text": text})
+    siblings = F.array_join(F.transform("proof", lambda step: F.concat(step["before"], step["after"])), "")
+    folded = merkle.folded(F.col("found_leaf"), F.col("proof"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -65,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_html_text": op10_html_text,
+    "op11_collocations": op11_collocations,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 # The thresholds are written out here, so that the SQL does not depend on the table under test.
@@ -116,7 +139,110 @@ RULES_SQL = r"""
     FROM judged
 """.replace("{stop}", " ".join(rules.STOP_WORDS))
 
+PHRASES_SQL = r"""
+    WITH pieces AS (
+        SELECT row_number() OVER () AS p, lang, piece FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents)
+    ),
+    split AS (SELECT p, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+    grams AS (SELECT lang, k, list_slice(w, i, i + k - 1) AS g FROM starts, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
+    f AS (SELECT lang, k, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+    longer AS (SELECT lang, a, k, unnest([list_slice(g, 1, k - 1), list_slice(g, 2, k)]) AS g FROM f WHERE k > 2),
+    stay AS (SELECT * FROM f WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM longer AS b WHERE b.lang = f.lang AND b.g = f.g AND b.a >= f.a)),
+    cuts AS (SELECT lang, k, g, a, unnest(range(1, k)) AS c FROM stay),
+    scored AS (
+        SELECT cuts.lang, cuts.g, cuts.a, c, h.a AS l, t.a AS r, n,
+               (1000::HUGEINT * cuts.a * n // (h.a::HUGEINT * t.a))::BIGINT AS score
+        FROM cuts JOIN total USING (lang)
+        JOIN f AS h ON h.lang = cuts.lang AND h.g = list_slice(cuts.g, 1, c)
+        JOIN f AS t ON t.lang = cuts.lang AND t.g = list_slice(cuts.g, c + 1, cuts.k)
+    ),
+    least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+    named AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM least)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM named QUALIFY rank <= 2000
+"""
+
+LINES_SQL = r"""
+    WITH docs AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+    lines AS (SELECT row, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM docs),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+    ),
+    told AS (
+        SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+    ),
+    judged AS (SELECT keyed.*, told.key IS NOT NULL AND doc_id <> first AS gone FROM keyed LEFT JOIN told USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY row, doc_id
+"""
+
+# Trees are numbered from 1 in the order of their sources; tree 0 has their roots as leaves.
+MERKLE_SQL = r"""
+    WITH RECURSIVE marked AS (
+        SELECT *, list_reduce(
+            list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT),
+            lambda c, b: list_reduce(range(8), lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(c, b)),
+            4294967295
+        ) & 1 AS odd FROM documents
+    ),
+    framed AS (
+        SELECT doc_id, source, {now} AS leaf_text, {found} AS found_text FROM marked
+    ),
+    leaves AS (
+        SELECT doc_id, sha256(leaf_text) AS leaf, sha256(found_text) AS found, dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+        FROM framed
+    ),
+    low AS (
+        SELECT tree, 0 AS level, i, n, leaf AS digest FROM leaves
+        UNION ALL
+        SELECT tree, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM low WHERE n > 1
+        GROUP BY tree, level, i // 3, n
+    ),
+    roots AS (SELECT tree, digest AS subroot FROM low WHERE n = 1),
+    high AS (
+        SELECT 0 AS tree, 0 AS level, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, subroot AS digest FROM roots
+        UNION ALL
+        SELECT tree, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM high WHERE n > 1
+        GROUP BY tree, level, i // 3, n
+    ),
+    nodes AS (
+        SELECT tree, level, i, n, coalesce(string_agg(digest, '' ORDER BY i) OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+               coalesce(string_agg(digest, '' ORDER BY i) OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+        FROM (SELECT * FROM low UNION ALL SELECT * FROM high) WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, i // 3 ORDER BY i)
+    ),
+    walk AS (
+        SELECT doc_id, tree AS own, tree, 0 AS level, i, n, found AS digest, '' AS proof FROM leaves
+        UNION ALL
+        SELECT doc_id, own, CASE WHEN w.n = 1 THEN 0 ELSE w.tree END, CASE WHEN w.n = 1 THEN 0 ELSE w.level + 1 END,
+               CASE WHEN w.n = 1 THEN w.own - 1 ELSE w.i // 3 END,
+               CASE WHEN w.n = 1 THEN (SELECT count(*) FROM roots) ELSE (w.n + 2) // 3 END,
+               CASE WHEN w.n = 1 THEN w.digest ELSE sha256(before || w.digest || after) END,
+               CASE WHEN w.n = 1 THEN proof ELSE proof || before || after END
+        FROM walk AS w LEFT JOIN nodes ON nodes.tree = w.tree AND nodes.level = w.level AND nodes.i = w.i AND w.n > 1
+        WHERE w.n > 1 OR w.tree > 0
+    )
+    SELECT walk.doc_id, leaf, subroot, high.digest AS root, sha256(proof) AS proof_sha256, walk.digest AS folded_root,
+           walk.digest = high.digest AS verified
+    FROM walk JOIN leaves USING (doc_id) JOIN roots ON roots.tree = leaves.tree, high
+    WHERE walk.tree = 0 AND walk.n = 1 AND high.n = 1
+"""
+FRAMED = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+NOW = " || ".join(FRAMED.format(name) for name in ("doc_id", "source", "lang", "n_chars"))
+TAMPERED = "(CASE WHEN odd = 1 THEN replace(text, chr(10), '') ELSE text END)"
+MERKLE_SQL = MERKLE_SQL.replace("{now}", f"{NOW} || {FRAMED.format('text')}").replace("{found}", f"{NOW} || {FRAMED.format(TAMPERED)}")
+
 ORACLES = {
+    "op11_collocations": PHRASES_SQL,
+    "op12_line_dedup": LINES_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
     "op2_quality_rules": RULES_SQL,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
