@@ -8,7 +8,8 @@ and the greatest bytes of each chunk agree. The comparison combines in the map t
 chunk. Texts whose fingerprints agree but whose bytes differ are grouped by the bytes themselves, so results are exact.
 
 Null and empty texts are equal to each other. Of equal texts the row with the largest id stays; a null id counts as the least.
-Of several rows with that id, one stays, chosen by the hash of the row; rows that are equal in every column are the same.
+Of several rows with that id, one stays, chosen by the hash of the row; rows that are equal in every column are the same. All columns
+pass through `unique` unchanged, whatever their names; an empty table gives an empty result. Texts may have any length.
 """
 
 from __future__ import annotations
@@ -95,17 +96,17 @@ def fingerprinter(primes: tuple[int, ...]):
     return fingerprint
 
 
-def content(text: str) -> Column:
-    return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+def content(text: Column) -> Column:
+    return F.coalesce(text.cast("binary"), F.lit(b""))
 
 
-def with_fingerprint(rows: DataFrame, text: str, primes: tuple[int, ...]) -> DataFrame:
+def with_fingerprint(rows: DataFrame, text: Column, primes: tuple[int, ...]) -> DataFrame:
     """Add the fingerprint, KEY without _odd."""
     marked = rows.withColumn("_f", fingerprinter(primes)(content(text)))
     return marked.withColumns({"_h1": F.col("_f.h1"), "_h2": F.col("_f.h2"), "_size": F.octet_length(content(text))}).drop("_f")
 
 
-def clashes(prints: DataFrame, documents: DataFrame, text: str, primes: tuple[int, ...]) -> DataFrame:
+def clashes(prints: DataFrame, texts: DataFrame, primes: tuple[int, ...]) -> DataFrame:
     """Fingerprints that different texts share, found by comparing the texts of each shared fingerprint chunk by chunk.
 
     A salt in the join keeps its partitions apart from those of the comparison, so that a hot fingerprint can be split and its
@@ -113,8 +114,8 @@ def clashes(prints: DataFrame, documents: DataFrame, text: str, primes: tuple[in
     """
     shared = prints.groupBy(PRINT).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select(PRINT)
     salted = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    texts = with_fingerprint(documents.select(text), text, primes).select(*PRINT, content(text).alias("_bytes"))
-    met = texts.withColumn("_salt", F.floor(F.rand(7) * SALTS).cast("int")).join(salted, [*PRINT, "_salt"], "left_semi")
+    told = with_fingerprint(texts.select("_text"), F.col("_text"), primes).select(*PRINT, content(F.col("_text")).alias("_bytes"))
+    met = told.withColumn("_salt", F.floor(F.rand(7) * SALTS).cast("int")).join(salted, [*PRINT, "_salt"], "left_semi")
     last = F.greatest(F.ceil(F.col("_size") / COMPARE_CHUNK).cast("int"), F.lit(1)) - 1
     chunks = met.select(*PRINT, "_bytes", F.explode(F.sequence(F.lit(0), last)).alias("_at")).select(
         *PRINT, "_at", F.substring("_bytes", F.col("_at") * COMPARE_CHUNK + 1, F.lit(COMPARE_CHUNK)).alias("_chunk"),
@@ -136,11 +137,11 @@ def decisions(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text
     """One row per document: the id, keep_id, group_size, kept, text_sha256."""
     slim = documents.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
     prints = materialize(
-        with_fingerprint(slim, "_text", primes).select(
-            "_id", *PRINT, F.sha2(content("_text"), 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row"),
+        with_fingerprint(slim, F.col("_text"), primes).select(
+            "_id", *PRINT, F.sha2(content(F.col("_text")), 256).alias("text_sha256"), F.monotonically_increasing_id().alias("_row"),
         ), "fingerprints",
     )
-    rows = refined(prints, materialize(clashes(prints, slim, "_text", primes), "clashes"), F.col("text_sha256"))
+    rows = refined(prints, materialize(clashes(prints, slim, primes), "clashes"), F.col("text_sha256"))
     groups = rows.groupBy(*PRINT, "_odd").agg(F.count("*").alias("group_size"), F.max(F.struct("_id", "_row")).alias("_last"))
     return rows.join(groups, [*PRINT, "_odd"]).select(
         F.col("_id").alias(id_col), F.col("_last._id").alias("keep_id"), "group_size",
@@ -151,10 +152,12 @@ def decisions(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text
 def unique(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text", primes: tuple[int, ...] = PRIMES) -> DataFrame:
     """The row that stays of each group, with all its columns. Copies meet in the map tasks before they are shuffled."""
     slim = documents.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    prints = materialize(with_fingerprint(slim, "_text", primes).select(PRINT), "fingerprints")
-    clashing = materialize(clashes(prints, slim, "_text", primes), "clashes")
-    columns = documents.columns
-    rows = refined(with_fingerprint(documents, text, primes), clashing, F.sha2(content(text), 256))
-    order = F.struct(F.col(id_col), F.xxhash64(*[F.col(c) for c in columns]))
-    stay = rows.groupBy(*PRINT, "_odd").agg(F.max_by(F.struct(*[F.col(c) for c in columns]), order).alias("_stay"))
-    return stay.select("_stay.*")
+    prints = materialize(with_fingerprint(slim, F.col("_text"), primes).select(PRINT), "fingerprints")
+    clashing = materialize(clashes(prints, slim, primes), "clashes")
+    # The columns travel in one struct, so that none can have the name of a column added here.
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
+    own_text = F.col("_row")[text]
+    rows = refined(with_fingerprint(whole, own_text, primes), clashing, F.sha2(content(own_text), 256))
+    order = F.struct(F.col("_row")[id_col], F.xxhash64("_row"))
+    stay = rows.groupBy(*PRINT, "_odd").agg(F.max_by("_row", order).alias("_row"))
+    return stay.select("_row.*")

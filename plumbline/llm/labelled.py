@@ -26,15 +26,17 @@ def sample(
 ) -> DataFrame:
     """(id, label, text) of the rows to learn from: of each label those with the least hashes of their ids, none held out.
 
-    An id with several labels has the greatest; ids without a label (0 or 1) are left out. Ids are chosen before texts are read.
+    An id with several labels has the greatest; ids without a label (0 or 1) are left out. Ids are chosen among those with a text within
+    the bound, so that long texts make no gaps; of several such texts of one id the one with the least hash counts.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("id")).agg(
         F.max(label).cast("int").alias("label"),
     )
-    chosen = [known.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(rows) for v in (0, 1)]
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = texts.filter(F.char_length("text") <= chars)
-    return texts.join(chosen[0].union(chosen[1]), "id").select("id", "label", "text").dropDuplicates(["id"])
+    texts = texts.filter(F.char_length("text") <= chars).withColumn("hash", F.xxhash64("text"))
+    fitting = known.join(texts.groupBy("id").agg(F.min("hash").alias("hash")), "id")
+    chosen = [fitting.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(rows) for v in (0, 1)]
+    return texts.join(chosen[0].union(chosen[1]), ["id", "hash"]).select("id", "label", "text").dropDuplicates(["id"])
 
 
 def fit_in_task(rows: DataFrame, fit: Callable[[list[str], np.ndarray], Model]) -> Model:

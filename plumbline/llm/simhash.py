@@ -11,7 +11,11 @@ of its members is lost. Components of the remaining links come from repeated joi
 around it; every round is written to the shared folder.
 
 Null and empty texts have the fingerprint zero and link like any other. Equal texts have equal fingerprints and are one node.
-A null id counts as greater than any number; a component of null ids only has a null id.
+A null id counts as greater than any number; a component of null ids only has a null id. An empty table gives an empty result. Other
+columns are not read by `near_duplicates`; all columns pass through `one_of_each` unchanged, whatever their names.
+
+With keys of 20 to 22 bits a key holds n / 2 ** 22 of n distinct fingerprints or more, so beyond some 10 ** 9 of them comparing grows with
+their square; more blocks (BLOCKS) make longer keys and more tables.
 """
 
 from __future__ import annotations
@@ -67,20 +71,20 @@ def simhash(text: bytes) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def simhash_column(text: str) -> Column:
+def simhash_column(text: Column) -> Column:
     @F.arrow_udf("bigint")
     def fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             values = np.fromiter((simhash(t.as_py()) for t in texts), dtype=np.uint64, count=len(texts))
             yield pa.array(values.view(np.int64))
 
-    return fingerprint(F.coalesce(F.col(text).cast("binary"), F.lit(b"")))
+    return fingerprint(F.coalesce(text.cast("binary"), F.lit(b"")))
 
 
 def fingerprints(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, fp): the fingerprint as a signed 64-bit number."""
     bound_batches(documents.sparkSession)
-    return documents.select(F.col(id_col), simhash_column(text).alias("fp"))
+    return documents.select(F.col(id_col), simhash_column(F.col(text)).alias("fp"))
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -251,12 +255,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, id_col: str) -> DataFrame:
-    """(fp, component_id, root) of each distinct fingerprint; the root fingerprint tells components apart whatever their ids."""
+    """(fp, component_id, root) of each distinct fingerprint; the root fingerprint tells components apart whatever their ids.
+
+    Only fingerprints with a link are joined with their root; the salt deals those of a hot root to several tasks.
+    """
     nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
-    roots = components(links(nodes.select("fp")))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(named, "root").select("fp", "component_id", "root")
+    roots = materialize(components(links(nodes.select("fp"))).withColumnRenamed("node", "fp"), "roots")
+    linked = roots.join(nodes, "fp")
+    below = linked.groupBy("root").agg(F.min("least").alias("below"))
+    named = below.join(nodes.select(F.col("fp").alias("root"), "least"), "root").select("root", F.least("below", "least").alias("component_id"))
+    named = materialize(named, "components")
+    salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    inner = linked.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"])
+    outer = nodes.join(roots, "fp", "left_anti").join(named.withColumnRenamed("root", "fp"), "fp", "left")
+    return inner.select("fp", "component_id", "root").unionByName(
+        outer.select("fp", F.coalesce("component_id", "least").alias("component_id"), F.col("fp").alias("root")),
+    )
 
 
 def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -268,14 +282,22 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text: str =
 
 
 def one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, that with the least id, with all its columns; ties are broken by the hash of the row."""
-    prints = materialize(fingerprints(documents, id_col=id_col, text=text), "simhash")
-    named = materialize(classes(prints, id_col), "classes")
-    columns = documents.columns
+    """One row of each component, that with the least id, with all its columns; ties are broken by the hash of the row.
+
+    Fingerprints are computed once, and the rows that stay are chosen among ids and hashes of rows; texts move only once, to meet these.
+    """
     bound_batches(documents.sparkSession)
-    rows = documents.withColumn("_fp", simhash_column(text))
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(*[F.col(c) for c in columns]))
-    # Equal fingerprints meet in the map tasks first, so that no class gathers all its texts in one task.
-    first = rows.groupBy(F.col("_fp").alias("fp")).agg(F.min_by(F.struct(*columns), order).alias("_stay"), F.min(order).alias("_order"))
-    stay = first.join(named, "fp", "left").groupBy("root").agg(F.min_by("_stay", "_order").alias("_stay"))
-    return stay.select("_stay.*")
+    # The columns travel in one struct, so that none can have the name of a column added here.
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    nulls = F.array(*[F.col("row")[c].isNull() for c in documents.columns])  # hashes pass over nulls
+    hashes = [F.xxhash64(F.lit(seed), "row", nulls).alias(f"h{seed}") for seed in (1, 2)]
+    known = whole.select(F.col("row")[id_col].alias("id"), *hashes, "row")
+    slim = materialize(known.select("id", "h1", "h2", simhash_column(F.col("row")[text]).alias("fp")), "simhash")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")
+    # Equal fingerprints meet in the map tasks first.
+    first = slim.groupBy("fp").agg(F.min(order).alias("first"))
+    stay = first.join(classes(slim, "id"), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.h1", "first.h2")
+    stay = materialize(stay.withColumnsRenamed({"id": "_id", "h1": "_h1", "h2": "_h2"}), "stay")
+    equal = known.groupBy("id", "h1", "h2").agg(F.first("row").alias("row"))
+    met = F.col("id").eqNullSafe(F.col("_id")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
+    return equal.join(stay, met, "left_semi").select("row.*")

@@ -14,7 +14,7 @@ TEXTS = ["a", "b", "", None, "c" * 200_000, "c" * 199_999 + "d", "same words her
 
 
 def frame_of(spark, rows):
-    return spark.createDataFrame(rows, "doc_id long, text string, _h1 string, kept string")
+    return spark.createDataFrame([(*r, f"h2 {r[0]}", 5, "odd", "f") for r in rows], "doc_id long, text string, _h1 string, kept string, _h2 string, _size int, _odd string, _f string")
 
 
 def some_rows():
@@ -47,8 +47,10 @@ def test_equals_grouping(spark, primes):
 def test_unique_keeps_columns_and_one_of_each(spark, primes):
     rows = some_rows()
     kept = exact.unique(frame_of(spark, rows), primes=primes)
-    assert kept.columns == ["doc_id", "text", "_h1", "kept"]
+    assert kept.columns == frame_of(spark, rows).columns
     found = kept.collect()
+    given = {tuple(r) for r in frame_of(spark, rows).collect()}
+    assert all(tuple(r) in given for r in found)
     assert sorted(r["text"] or "" for r in found) == sorted({t or "" for _, t, *_ in rows})
     for r in found:
         assert r["doc_id"] == max((i for i, t, *_ in rows if (t or "") == (r["text"] or "") and i is not None), default=None)

@@ -90,12 +90,15 @@ def test_near_duplicates_equal_all_pairs(spark):
         (i if i is not None else -1, format(p, "016x"), min(rows[j][0] for j in range(len(rows)) if label[j] == k and rows[j][0] is not None))
         for (i, *_), p, k in zip(rows, prints, label, strict=True)
     )
-    frame = spark.createDataFrame(rows, "doc_id long, text string, fp string, component_id string")
+    frame = spark.createDataFrame(
+        [(*r, "mine", r[0]) for r in rows], "doc_id long, text string, fp string, component_id string, row string, _fp long",
+    )
     got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(frame).collect())
     assert got == want
     assert len({c for *_, c in want}) < len(want) - 10
     one = simhash.one_of_each(frame)
     assert one.columns == frame.columns
+    assert {tuple(r) for r in one.collect()} <= {tuple(r) for r in frame.collect()}
     assert sorted(r["doc_id"] for r in one.collect()) == sorted({c for *_, c in want})
 
 
@@ -123,3 +126,18 @@ def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(frame).count() == 0
     assert simhash.one_of_each(frame).count() == 0
+
+
+def test_rows_that_differ_in_nulls_only_are_not_confused(spark):
+    rows = [(None, "a b c d e", "en", None), (None, "a b c d e", None, "en"), (None, "a b c d e", None, "en"), (4, None, None, None), (4, "", "x", None)]
+    one = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(one) == 2 and {tuple(r) for r in one} <= set(rows)
+
+
+def test_members_of_a_hot_root_meet_it_in_several_tasks(spark):
+    base = 0x0123456789ABCDEF
+    prints = [(k, base ^ (1 << k)) for k in range(60)] + [(100, base), (101, 77)]
+    frame = spark.createDataFrame(prints, "id long, fp long")
+    rows = {r["fp"]: (r["component_id"], r["root"]) for r in simhash.classes(frame, "id").collect()}
+    least = min(p for i, p in prints if i <= 100)
+    assert all(rows[p] == ((0, least) if i <= 100 else (101, 77)) for i, p in prints)
