@@ -1,15 +1,24 @@
 """Main text of web pages: page structure, and a suffix array over the pages of each host.
 
 A page is cut into blocks in page order. Blocks inside an article or main element are its text, without the menus, forms, notices,
-comments and the like inside it; a page without such an element has its unmarked blocks. The pages are cut into slices. A suffix
-array of each slice (sorted by prefix doubling, up to MIN_RUN tokens) lists the runs of MIN_RUN tokens, and runs that two different
-texts of a host share, in whatever slices, are boilerplate. Every page loses the blocks that such runs cover from end to end.
+comments and the like inside it; a page without such an element has its unmarked blocks. The token streams of a host's pages are
+concatenated, slice by slice, and a suffix array of each slice lists the runs that many pages share. A run of MIN_RUN or more tokens
+that at least SHARE of the host's distinct pages have, and MIN_PAGES or more, is boilerplate. Every page loses the blocks that such runs
+cover from end to end and keeps the others whole.
 
-Articles are held against the articles of their host, so that a headline on an index page does not remove itself from its article.
-Equal articles count as one; of near copies, repeated runs cover the most part, and such an article keeps all its blocks.
+Any longer run that recurs is made of runs of MIN_RUN tokens that recur as often, and these cover the same tokens. The suffix array is
+therefore sorted by the first MIN_RUN tokens, and runs of that length are what slices count and compare. Slices are of one host each; as
+pages are dealt by a hash of their text, a run that half of a host's pages have is frequent in nearly every slice. A slice reports the
+runs that a share of SHARE / 2 of its pages have, so a count is never too high, and next to nothing of a page leaves its slice.
+
+Articles are held against the articles of their host, other text against other text, so that a headline on an index page does not remove
+itself from its article. Pages with equal text count as one. Where repeated runs cover more than COPIED of an article (or COPIED_OPEN of a
+page without one, a paragraph of PARAGRAPH tokens among it), the page is a copy of others and stays whole. A passage that a few pages quote stays everywhere.
 
 Null and empty pages have an empty text. A page without a host in its url belongs to the host "". Broken markup: an element that
-is never closed ends with its parent; a stray end tag is ignored; a character reference that is none stays as it is.
+is never closed ends with its parent; a stray end tag is ignored; a character reference that is none stays as it is. Repeated rows
+and ids have a row each. A page of any length is one row and, beyond SLICE_BYTES, does not share a slice with more than the next ones.
+Columns beside id, url and html are not read, so their names cannot clash; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -21,8 +30,6 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,15 +40,22 @@ from plumbline.sources.tables import materialize
 
 # Tokens of a run that counts as long.
 MIN_RUN = 8
-# Characters of text of one slice of pages.
-SLICE_BYTES = 1 << 18
-# Buckets in which the runs of all slices meet: at least BUCKETS, each with the runs of about BUCKET_BYTES of text.
-BUCKETS = 256
-BUCKET_BYTES = 16 << 20
-# An article of which repeated runs cover more than this share is a copy of another and stays whole.
+# A run is boilerplate on this share of the host's distinct pages, and on so many pages.
+SHARE = 0.5
+MIN_PAGES = 3
+# Bytes of text of one slice, and pages that it has at least where the host has them.
+SLICE_BYTES = 1 << 20
+SLICE_PAGES = 32
+# A page of which boilerplate would cover more than this share is a copy of others and stays whole. Without an article, menus may be most of
+# a page, so there a whole paragraph of so many tokens must be among it.
 COPIED = 0.5
+COPIED_OPEN = 0.8
+PARAGRAPH = 20
 # What articles and other text are told apart by, before the host.
 ARTICLE, OTHER = "a ", "o "
+# Numbers of boilerplate runs that are sent to all tasks; beyond that they meet the pages in a salted join.
+SENT_RUNS = 1_000_000
+SALTS = 16
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -58,32 +72,44 @@ MARKS = frozenset(
     "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disclaimer footer gdpr header menu modal nav navbar navigation newsletter notice overlay pagination popup promo promoted related "
     "replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget "
-    "ad-banner ad-container ad-slot ad-unit ad-wrapper author-comments comment-area comment-form comment-list comment-section comments-area "
-    "comments-list comments-section cookie-banner cookie-bar cookie-consent cookie-notice footer-nav main-menu main-nav main-navigation "
-    "nav-bar nav-links nav-menu newsletter-form newsletter-signup post-navigation promo-box related-articles related-links related-posts "
-    "reader-comments search-box search-form share-bar share-buttons share-links side-bar site-footer site-header site-nav site-navigation "
-    "social-links social-share sponsored-content user-comments widget-area".split()
+    "author-comments comment-section comments-section main-menu main-nav main-navigation post-navigation reader-comments related-articles "
+    "related-posts side-bar site-footer site-header site-nav site-navigation sponsored-content user-comments".split()
 )
-# What marks an element: its class, id or role, or a form, which may stand around a whole page; or another name.
-NAMED, BUILT = 1, 2
+# With these a mark forms longer names that mark as well: newsletter-box, cookie-notice-bar.
+SHAPES = frozenset("area bar box buttons container form icons links list message panel slot strip unit wrapper".split())
+# What marks an element: its class, id or role, or a form, which may stand around a whole page; another name; or that it is not shown.
+NAMED, BUILT, HIDDEN = 1, 2, 3
 
 TAG_END = re.compile(r"""(?>[^>"']+|"[^"]*"|'[^']*')*+>""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+UNSEEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.IGNORECASE)
+COMMENT_END = re.compile("--!?>")
 # Open elements that a start tag closes, and what may stand open inside these.
 SIBLINGS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt")}
 LOOSE = frozenset(("address", "div", "p"))
 
 
-def marked(tag: str, attributes: str) -> int:
-    """NAMED or BUILT if an element is none of the article by its role, class or id, or by its own name; else 0."""
-    if tag in DROPPED:
+def marking(name: str) -> bool:
+    """Whether a class name or id marks: as a whole, or as marks and shapes joined by hyphens."""
+    parts = name.split("-")
+    return name in MARKS or len(parts) > 1 and all(p in MARKS or p in SHAPES for p in parts) and not MARKS.isdisjoint(parts)
+
+
+def marked(tag: str, attributes: str, in_article: bool) -> int:
+    """HIDDEN, BUILT or NAMED if an element is none of the article by not being shown, by its own name, or by role, class or id; else 0.
+
+    The header of an article holds its title and does not count.
+    """
+    if attributes and UNSEEN.search(attributes):
+        return HIDDEN
+    if tag in DROPPED and not (tag == "header" and in_article):
         return NAMED if tag == "form" else BUILT
     if "=" not in attributes or tag in ("html", "body", "article", "main"):
         return 0
     for name, value in ATTRIBUTE.findall(attributes):
         value = value.strip("\"'").lower()
-        if name.lower() in ("class", "id") and not MARKS.isdisjoint(value.replace("_", "-").split()) or name.lower() == "role" and value in ROLES:
+        if name.lower() in ("class", "id") and any(map(marking, value.replace("_", "-").split())) or name.lower() == "role" and value in ROLES:
             return NAMED
     return 0
 
@@ -103,7 +129,7 @@ def close_siblings(stack: list[tuple[str, bool, int, bool]], tag: str) -> None:
 def blocks(page: str) -> list[tuple[str, bool, int, bool]]:
     """(text, in an article, mark as none of it, in an article that stands inside a marked element) of the blocks in page order.
 
-    Raw text, comments and head are left out. A mark does not reach into an article or main element, but a name like aside does reach
+    Raw text, comments, head and what is not shown are left out. A mark does not reach into an article or main element, but a name like aside does reach
     into an article.
     """
     found: list[tuple[str, bool, int, bool]] = []
@@ -127,8 +153,8 @@ def blocks(page: str) -> list[tuple[str, bool, int, bool]]:
         if tag_at == end:
             break
         if page.startswith("<!--", tag_at):
-            stop = page.find("-->", tag_at + 4)
-            at = end if stop < 0 else stop + 3
+            stop = COMMENT_END.search(page, tag_at + 4)
+            at = stop.end() if stop else end
             continue
         closing = page.startswith("/", tag_at + 1)
         name = NAME.match(page, tag_at + 1 + closing)
@@ -163,14 +189,14 @@ def blocks(page: str) -> list[tuple[str, bool, int, bool]]:
         elif tag not in VOID:
             if tag in BLOCKS:
                 close_siblings(stack, tag)
-            bad = marked(tag, attributes)
+            bad = marked(tag, attributes, any(s[0] == "article" for s in stack))
             _, within, mark, nested = stack[-1] if stack else ("", False, 0, False)
-            opens = not within and (tag == "main" or tag == "article" and mark < BUILT)
+            opens = not within and max(mark, bad) < HIDDEN and (tag == "main" or tag == "article" and mark < BUILT)
             # Inside a marked element those of its own name are followed too, so that their end tags do not end it.
             if bad or tag in NESTED or mark and any(s[0] == tag for s in stack):
                 stack.append((tag, within or opens, 0 if opens else max(mark, bad), nested or opens and mark > 0))
         inside, off, second = stack[-1][1:] if stack else (False, 0, False)
-        hidden = any(s[0] == "head" for s in stack[:3])
+        hidden = off == HIDDEN or any(s[0] == "head" for s in stack[:3])
     close()
     return found
 
@@ -187,25 +213,19 @@ def parsed(page: str) -> tuple[str | None, list[str], list[bool]]:
 
 
 def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (id, url, host, page): (id, url, host, slice, no article?, the blocks to judge, other unmarked text, bytes of the blocks)."""
-    number, size = TaskContext.get().partitionId() << 32, 0
+    """From (id, url, host, page): (id, url, host, no article?, the blocks to judge, other unmarked text)."""
     for batch in batches:
-        slices, opens, kept, others, sizes = [], [], [], [], []
+        opens, kept, others = [], [], []
         for page in batch.column(3).to_pylist():
             article, rest, marks = parsed(page or "")
             other = [t for t, off in zip(rest, marks, strict=True) if not off]
-            kept.append(other if article is None else article.split("\n"))
             opens.append(article is None)
+            kept.append(other if article is None else article.split("\n"))
             others.append("\n".join(other) if article is not None and other else None)
-            sizes.append(sum(map(len, kept[-1])))
-            if size > SLICE_BYTES:
-                number, size = number + 1, 0
-            slices.append(number)
-            size += sizes[-1]
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), batch.column(2), pa.array(slices, type=pa.int64()), pa.array(opens, type=pa.bool_()),
-            pa.array(kept, type=pa.list_(pa.string())), pa.array(others, type=pa.string()), pa.array(sizes, type=pa.int64()),
-        ], ["_id", "_url", "host", "slice", "open", "kept", "other", "size"])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(opens, pa.bool_()), pa.array(kept, pa.list_(pa.string())), pa.array(others, pa.string())],
+            ["_id", "_url", "host", "open", "kept", "other"],
+        )
 
 
 def run_hashes(tokens: np.ndarray) -> np.ndarray:
@@ -227,147 +247,135 @@ def suffix_array(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.argsort(rank, kind="stable"), rank
 
 
-def shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, run, least and greatest stream that has it) of each shard, from rows (host, stream, text) sorted by host."""
-
-    def runs(hosts: list[str], streams: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-        for first, data, offsets in text_slices(texts):
-            starts, ends, rows = words(data, offsets)
-            tokens = hash_runs(data, starts, ends)
-            if len(tokens) < MIN_RUN:
-                continue
-            page = rows + first
-            names = np.unique(np.array(hosts, dtype=object)[first:first + len(offsets) - 1], return_inverse=True)
-            order, rank = suffix_array(mixed(tokens ^ mixed(names[1][rows].astype(np.uint64) + np.uint64(1))))
-            whole = order[(order + MIN_RUN <= len(tokens))]
-            whole = whole[page[whole] == page[whole + MIN_RUN - 1]]
-            if not len(whole):
-                continue
-            new = np.ones(len(whole), dtype=bool)
-            new[1:] = rank[whole[1:]] != rank[whole[:-1]]
-            heads = np.flatnonzero(new)
-            value = streams[page[whole]]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([hosts[i] for i in page[whole[heads]].tolist()], type=pa.string()),
-                pa.array(run_hashes(tokens)[whole[heads]].view(np.int64)),
-                pa.array(np.minimum.reduceat(value, heads)), pa.array(np.maximum.reduceat(value, heads)),
-            ], ["host", "run", "least", "most"])
-
+def shared_runs(tokens: np.ndarray, page: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, pages) of the runs of MIN_RUN tokens that at least `least` pages have. `page` tells the page of each token."""
+    if len(tokens) < MIN_RUN:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    order, rank = suffix_array(tokens)
+    order = order[order + MIN_RUN <= len(tokens)]
+    order = order[page[order] == page[order + MIN_RUN - 1]]
+    # Equal runs are neighbours in the suffix array; by place, and so by page, among themselves.
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = rank[order[1:]] != rank[order[:-1]]
+    other_page = np.ones(len(order), dtype=bool)
+    other_page[1:] = page[order[1:]] != page[order[:-1]]
+    heads = np.flatnonzero(new)
+    if not len(heads):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    pages = np.add.reduceat((new | other_page).astype(np.int64), heads)
+    many = pages >= least
+    return run_hashes(tokens)[order[heads[many]]], pages[many]
+
+
+def slice_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(space, pages, runs, counts) of each slice, from rows (space, stream, text) sorted by space and stream."""
+
+    def told(space: str, texts: list[str]) -> pa.RecordBatch:
+        least = max(2, int(np.ceil(SHARE / 2 * len(texts))))
+        hashes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        if len(texts) > 1:
+            for _, data, offsets in text_slices(pa.array(texts, pa.large_string()), limit=1 << 62):
+                starts, ends, rows = words(data, offsets)
+                hashes, counts = shared_runs(hash_runs(data, starts, ends), rows, least)
+        return pa.RecordBatch.from_arrays([
+            pa.array([space]), pa.array([len(texts)], pa.int64()), pa.array([hashes.view(np.int64)], pa.list_(pa.int64())),
+            pa.array([counts], pa.list_(pa.int64())),
+        ], ["space", "pages", "runs", "counts"])
+
+    space, stream, texts, size = None, None, [], 0
     for batch in batches:
-        yield from runs(batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2))
-
-
-def host_keys(hosts: pa.Array) -> np.ndarray:
-    """A hash of each host, which keeps equal runs of different hosts apart."""
-    coded = hosts.dictionary_encode()
-    names = np.array([xxhash.xxh64_intdigest(h or "") for h in coded.dictionary.to_pylist()], dtype=np.uint64)
-    return names[coded.indices.to_numpy(zero_copy_only=False)]
+        for now, own, text in zip(*(batch.column(c).to_pylist() for c in ("space", "stream", "text")), strict=True):
+            if texts and (now != space or size >= SLICE_BYTES and len(texts) >= SLICE_PAGES and own != stream):
+                yield told(space, texts)
+                texts, size, stream = [], 0, None
+            if now != space or own != stream or not texts:  # equal texts of a host come together and count as one
+                texts.append(text)
+                size += len(text)
+            space, stream = now, own
+    if texts:
+        yield told(space, texts)
+
+
+def boilerplate(streams: DataFrame) -> DataFrame:
+    """(space, runs): the boilerplate of each host, from (space, text)."""
+    marked_streams = streams.withColumn("stream", F.xxhash64("text"))
+    dealt = marked_streams.repartitionByRange("space", "stream").sortWithinPartitions("space", "stream")
+    told = materialize(dealt.select("space", "stream", "text").mapInArrow(
+        slice_runs, "space string, pages bigint, runs array<bigint>, counts array<bigint>",
+    ), "runs")
+    totals = told.groupBy("space").agg(F.sum("pages").alias("n")).filter(F.col("n") >= MIN_PAGES)
+    rows = told.select("space", F.inline(F.arrays_zip(F.col("runs").alias("run"), F.col("counts").alias("count"))))
+    counted = rows.groupBy("space", "run").agg(F.sum("count").alias("count")).filter(F.col("count") >= MIN_PAGES)
+    frequent = counted.join(totals, "space").filter(F.col("count") >= SHARE * F.col("n"))
+    return frequent.groupBy("space").agg(F.collect_list("run").alias("runs"))
+
+
+def left_over(kept: list[str], runs: np.ndarray, is_open: bool) -> str:
+    """The text of a page without the blocks that its boilerplate covers from end to end."""
+    whole = "\n".join(kept)
+    data = np.frombuffer(whole.encode(), np.uint8)
+    starts, ends, _ = words(data, np.array([0, len(data)]))
+    value = run_hashes(hash_runs(data, starts, ends))
+    at = np.flatnonzero(np.isin(value, runs))
+    if not len(at):
+        return whole
+    step = np.bincount(at, minlength=len(starts) + MIN_RUN) - np.bincount(at + MIN_RUN, minlength=len(starts) + MIN_RUN)
+    covered = np.cumsum(step)[:len(starts)] > 0
+    stops = np.cumsum([len(p.encode()) + 1 for p in kept])
+    edges = np.searchsorted(starts, np.concatenate([[0], stops])).tolist()
+    gone = [bool(covered[a:b].all()) for a, b in pairwise(edges)]
+    longest = max((b - a for (a, b), out in zip(pairwise(edges), gone, strict=True) if out), default=0)
+    if covered.mean() > (COPIED_OPEN if is_open else COPIED) and (longest >= PARAGRAPH or not is_open):
+        return whole
+    return "\n".join(p for p, out in zip(kept, gone, strict=True) if not out)
+
+
+def uncovered(known: dict[str, np.ndarray] | None):
+    """(id, url, text) of pages; their boilerplate is looked up by space, or comes with them as `runs`."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            spaces, kept, opens = (batch.column(c).to_pylist() for c in ("space", "kept", "open"))
+            for row, (space, blocks_of, is_open) in enumerate(zip(spaces, kept, opens, strict=True)):
+                if known is None:
+                    own = batch.column("runs")[row]
+                    runs = own.values.to_numpy().view(np.uint64) if own.is_valid else None
+                else:
+                    runs = known.get(space)
+                texts.append("\n".join(blocks_of) if runs is None else left_over(blocks_of, runs, is_open))
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_url"), pa.array(texts, pa.string())], ["_id", "_url", "text"])
 
+    return cut
 
-def packed_runs(buckets: int):
-    """From (slice, host, stream, text): the runs of each slice, packed into one row per bucket of runs.
 
-    A run comes once per slice, or twice if the slice has it in different streams. Streams are told apart by 32 bits.
-    """
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slices = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), len(slices)] if len(slices) else [0]
-            for first, end in pairwise(edges):
-                for found in shard_runs(iter([batch.slice(first, end - first).select(["host", "stream", "text"])])):
-                    key = mixed(found.column(1).to_numpy().view(np.uint64) ^ host_keys(found.column(0)))
-                    least, most = (found.column(i).to_numpy().astype(np.uint32) for i in (2, 3))
-                    many = least != most
-                    key, stream = np.concatenate([key, key[many]]), np.concatenate([least, most[many]])
-                    bucket = (key % np.uint64(buckets)).astype(np.int32)
-                    order = np.lexsort((key, stream, bucket))
-                    key, stream, bucket = key[order], stream[order], bucket[order]
-                    heads = np.flatnonzero(np.diff(bucket, prepend=-1))
-                    ends = np.append(heads[1:], len(key))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(bucket[heads]), pa.array(np.repeat(slices[first], len(heads))),
-                        pa.array([key[i:j].tobytes() for i, j in zip(heads, ends, strict=True)], type=pa.binary()),
-                        pa.array([stream[i:j].tobytes() for i, j in zip(heads, ends, strict=True)], type=pa.binary()),
-                    ], ["bucket", "slice", "keys", "streams"])
-
-    return pack
-
-
-def unpacked(packed: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(packed.to_pylist()), dtype=kind)
-
-
-def repeated_runs(bucket: pa.Table) -> pa.Table:
-    """(slice, keys): for each slice those of its runs in the bucket that two different streams have, in whatever slices."""
-    keys, streams = unpacked(bucket["keys"], np.uint64), unpacked(bucket["streams"], np.uint32)
-    owners = np.repeat(bucket["slice"].to_numpy(), [len(k) // 8 for k in bucket["keys"].to_pylist()])
-    order = np.lexsort((streams, keys))
-    keys, streams, owners = keys[order], streams[order], owners[order]
-    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    ends = np.append(heads[1:], len(keys))
-    hit = np.repeat(streams[heads] != streams[ends - 1], ends - heads)
-    keys, owners = keys[hit], owners[hit]
-    order = np.argsort(owners, kind="stable")
-    keys, owners = keys[order], owners[order]
-    heads = np.flatnonzero(np.append(True, owners[1:] != owners[:-1])) if len(owners) else np.empty(0, dtype=np.int64)
-    ends = np.append(heads[1:], len(keys))
-    packed = [keys[i:j].tobytes() for i, j in zip(heads, ends, strict=False)]
-    return pa.table({"slice": pa.array(owners[heads], type=pa.int64()), "keys": pa.array(packed, type=pa.binary())})
-
-
-def uncovered(pages: pa.Table, answers: pa.Table) -> pa.Table:
-    """(id, url, text) of the pages of a slice without the blocks that its repeated runs cover from end to end."""
-    repeated = np.unique(unpacked(answers["keys"], np.uint64))
-    kept, opens = pages["kept"].to_pylist(), pages["open"].to_pylist()
-    texts = ["\n".join(parts) for parts in kept]
-    if len(repeated):
-        hosts = host_keys(pages["space"].combine_chunks())
-        for first, data, offsets in text_slices(pa.array(texts, type=pa.large_string())):
-            starts, ends, rows = words(data, offsets)
-            value = run_hashes(hash_runs(data, starts, ends))
-            at = np.flatnonzero(rows[:len(value)] == rows[MIN_RUN - 1:]) if len(value) else np.empty(0, dtype=np.int64)
-            at = at[np.isin(mixed(value[at] ^ hosts[rows[at] + first]), repeated)]
-            step = np.bincount(at, minlength=len(rows) + MIN_RUN) - np.bincount(at + MIN_RUN, minlength=len(rows) + MIN_RUN)
-            hit = np.cumsum(step) > 0
-            for row in np.unique(rows[at]).tolist():
-                low, high = np.searchsorted(rows, [row, row + 1])
-                own, page = hit[low:high], row + first
-                if not opens[page] and own.sum() > COPIED * len(own):
-                    continue
-                stops = np.cumsum([len(p.encode().split()) for p in kept[page]])
-                sizes = np.diff(stops, prepend=0)
-                texts[page] = "\n".join(p for p, n, e in zip(kept[page], sizes, stops, strict=True) if not own[e - n:e].all())
-    return pa.table({"_id": pages["_id"], "_url": pages["_url"], "text": pa.array(texts, type=pa.string())})
-
-
-def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html: str = "html", sent_runs: int = SENT_RUNS) -> DataFrame:
     """One row per page: the id, url, text, n_chars.
 
-    Pages are parsed once and written to the shared folder as slices of blocks. Only packed runs go to the buckets, and each slice
-    gets back those of its own runs that are repeated.
+    Pages are parsed once and written to the shared folder as blocks. Their text is dealt to the slices of its host once; what comes back
+    to the pages is the boilerplate of each host.
     """
     bound_batches(pages.sparkSession)
     host = F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     source = pages.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"), host.alias("host"), F.col(html).alias("_html"))
     kinds = [T.StructField(n, source.schema[n].dataType) for n in ("_id", "_url")]
-    columns = [("host", T.StringType()), ("slice", T.LongType()), ("open", T.BooleanType()), ("kept", T.ArrayType(T.StringType()))]
-    columns += [("other", T.StringType()), ("size", T.LongType())]
+    columns = [("host", T.StringType()), ("open", T.BooleanType()), ("kept", T.ArrayType(T.StringType())), ("other", T.StringType())]
     schema = T.StructType([*kinds, *[T.StructField(*c) for c in columns]])
-    cut = materialize(source.mapInArrow(parse_pages, schema), "streams")
+    cut = materialize(source.mapInArrow(parse_pages, schema), "blocks")
 
     # Articles are held against articles, other text against other text.
     space = F.concat(F.when(F.col("open"), F.lit(OTHER)).otherwise(F.lit(ARTICLE)), "host")
     told = F.array(
-        F.struct(space.alias("host"), F.array_join("kept", "\n").alias("text")),
-        F.struct(F.concat(F.lit(OTHER), "host").alias("host"), F.col("other").alias("text")),
-    )
-    streams = cut.select("slice", F.explode(told).alias("s")).select("slice", "s.host", F.xxhash64("s.text").alias("stream"), "s.text")
-    total = cut.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    packed = streams.filter("text <> ''").mapInArrow(
-        packed_runs(max(BUCKETS, total // BUCKET_BYTES)), "bucket int, slice bigint, keys binary, streams binary",
+        F.struct(space.alias("space"), F.array_join("kept", "\n").alias("text")),
+        F.struct(F.concat(F.lit(OTHER), "host").alias("space"), F.col("other").alias("text")),
     )
-    answers = packed.groupBy("bucket").applyInArrow(repeated_runs, "slice bigint, keys binary")
-    judged = cut.select("_id", "_url", "slice", "open", "kept", space.alias("space")).groupBy("slice").cogroup(answers.groupBy("slice"))
-    text = judged.applyInArrow(uncovered, T.StructType([*kinds, T.StructField("text", T.StringType())]))
+    found = materialize(boilerplate(cut.select(F.inline(told)).filter("text <> ''")), "boilerplate")
+    rows = cut.select("_id", "_url", space.alias("space"), "open", "kept")
+    if (found.agg(F.sum(F.size("runs") + 10)).first()[0] or 0) <= sent_runs:
+        known = {r["space"]: np.array(r["runs"], np.int64).view(np.uint64) for r in found.collect()}  # at most sent_runs numbers
+    else:
+        known, salt = None, F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)).cast("int")
+        spread = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", salt).join(spread, ["space", "salt"], "left")
+    text = rows.mapInArrow(uncovered(known), T.StructType([*kinds, T.StructField("text", T.StringType())]))
     return text.select(F.col("_id").alias(id_col), F.col("_url").alias(url), "text", F.char_length("text").cast("bigint").alias("n_chars"))
