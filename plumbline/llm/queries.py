@@ -251,21 +251,27 @@ ORACLES = {
     """,
     "op8_chat_format": r"""
         WITH told AS (
-            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations GROUP BY ALL
+            SELECT DISTINCT conv_id, NULL AS row, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+            UNION ALL
+            SELECT NULL, row_number() OVER (), turn, coalesce(role, ''), coalesce(text, '') FROM conversations WHERE conv_id IS NULL
         ),
         whole AS (
-            SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM told GROUP BY conv_id
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS LAST, role, text) AS turns FROM told GROUP BY conv_id, row
         ),
         merged AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM whole GROUP BY turns),
         prefixes AS (
             SELECT DISTINCT list_slice(turns, 1, k) AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM merged)
         ),
         kept AS (SELECT * FROM merged ANTI JOIN prefixes USING (turns)),
+        parts AS (
+            SELECT conv_id, n_copies, len(turns) AS n_turns, part, list_slice(turns, 1000 * part - 999, 1000 * part) AS turns
+            FROM (SELECT *, unnest(range(1, (len(turns) + 999) // 1000 + 1)) AS part FROM kept)
+        ),
         lines AS (
             SELECT *, list_aggregate(
                 list_transform(turns, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), 'string_agg', '') AS text
-            FROM kept
+            FROM parts
         )
-        SELECT conv_id, len(turns) AS n_turns, n_copies, text, length(text) AS n_chars FROM lines
+        SELECT conv_id, part, n_turns, n_copies, text, length(text) AS n_chars FROM lines
     """,
 }
