@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import truth
-from plumbline.schemas import ALLOWED_KEYS, EVENT_DDL, REQUIRED_KEYS
+from plumbline.schemas import ALLOWED_KEYS, EVENT_FIELDS, REQUIRED_KEYS
 from plumbline.session import as_timestamp
 
+# Follows a message's value while it is parsed.
+END_MARK = "end of message"
+
 
 def read_messages(spark: SparkSession, fmt: str = "kafka", *, path: str | None = None, schema: str | None = None,
                   options: Mapping[str, str] | None = None) -> DataFrame:
@@ -30,9 +33,9 @@ def read_messages(spark: SparkSession, fmt: str = "kafka", *, path: str | None =
     return reader.load(path) if path else reader.load()
 
 
-def payload_keys(value: Column) -> Column:
-    """Top-level keys of a JSON object; NULL for anything else."""
-    return F.json_object_keys(value)
+def payload_keys(payload: Column) -> Column:
+    """Top-level keys of a parsed object, in order of their names; NULL for anything else."""
+    return F.map_keys(F.try_variant_get(payload, "$", "map<string,variant>"))
 
 
 def _texts(names: list[str]) -> Column:
@@ -40,8 +43,8 @@ def _texts(names: list[str]) -> Column:
 
 
 def _if_unusual(keys: Column, found: Column) -> Column:
-    """Most payloads hold exactly the required keys in order; those need no set difference."""
-    return F.when(keys == _texts(REQUIRED_KEYS), _texts([])).otherwise(F.array_sort(found))
+    """Most payloads hold exactly the required keys; those need no set difference."""
+    return F.when(keys == _texts(sorted(REQUIRED_KEYS)), _texts([])).otherwise(F.array_sort(found))
 
 
 def unexpected_keys(keys: Column) -> Column:
@@ -57,23 +60,36 @@ def decode(messages: DataFrame, *, value: str = "value", ingest_ts: str | dateti
 
     A message that is no single JSON object, and one whose amount is no number, is `malformed`: it keeps its text in `raw_value` and
     reaches the anomaly side, so nothing is lost or taken for clean. What cannot be read is NULL; of several objects in one message
-    the first is read. Keys are read from the text itself: a fixed schema would silently drop the ones it does not know.
+    the first is read. An object that names a key twice, or is no strict JSON (single quotes, NaN), cannot be read.
+
+    Each message is parsed once, into a VARIANT: its fields, its keys and whether it is one value are taken from that, and fields that
+    a query does not use are not extracted. Keys come from the payload itself: a fixed schema would drop the ones it does not know.
     """
     text = F.col(value).cast("string")
+    # As the only value of a list, closed by a mark, because the parser ignores what follows a value. Only where that cannot be parsed,
+    # a second look reads the first value.
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
+
+    def record(values: Column) -> Column:
+        one = F.try_variant_get(values, "$[1]", "string") == END_MARK
+        payload = F.coalesce(F.try_variant_get(values, "$[0]", "variant"), F.try_parse_json(text))
+        return F.struct(payload.alias("payload"), one.alias("one"), text.alias("text"))
+
     # As a one-row generator the parsing is not merged into later filters, which would repeat it for every field they use.
-    one_value = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    record = F.struct(F.from_json(text, EVENT_DDL).alias("d"), payload_keys(text).alias("keys"), one_value.alias("one"), text.alias("text"))
-    parsed = messages.select(F.inline_outer(F.array(record))).select("d.*", "keys", "one", "text")
-    event_ts = F.try_to_timestamp(F.col("timestamp"))
-    lost_amount = F.when(F.col("amount").isNull(), F.get_json_object("text", "$.amount").isNotNull())
-    malformed = ~truth(F.col("one")) | F.col("keys").isNull() | truth(lost_amount)
+    parsed = messages.select(F.inline_outer(F.transform(F.array(listed), record)))
+    fields = {name: F.try_variant_get("payload", f"$.{name}", kind) for name, kind in EVENT_FIELDS}
+    amount_kind = F.schema_of_variant(F.try_variant_get("payload", "$.amount", "variant"))
+    is_number = amount_kind.isin("BIGINT", "DOUBLE") | amount_kind.startswith("DECIMAL")
+    keys = payload_keys(F.col("payload"))
+    malformed = ~truth(F.col("one")) | keys.isNull() | truth(~is_number & (amount_kind != "VOID"))
+    event_ts = F.try_to_timestamp(fields["timestamp"])
     return parsed.select(
-        *[F.col(name) for name in ALLOWED_KEYS],
+        *[(F.when(is_number, column) if name == "amount" else column).alias(name) for name, column in fields.items()],
         event_ts.alias("event_ts"),
         as_timestamp(ingest_ts).alias("ingest_ts"),
         F.to_date(event_ts).alias("date_part"),
-        unexpected_keys(F.col("keys")).alias("unexpected_keys"),
-        missing_keys(F.col("keys")).alias("missing_keys"),
+        unexpected_keys(keys).alias("unexpected_keys"),
+        missing_keys(keys).alias("missing_keys"),
         malformed.alias("malformed"),
         F.when(malformed, F.col("text")).alias("raw_value"),
     )

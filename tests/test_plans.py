@@ -40,7 +40,7 @@ def test_decoding_and_flags_are_row_local(spark):
 
     text = plan(flag_transactions(decode(messages(load_transactions(spark, DATA).coalesce(1))), "2024-01-31 00:00:00").coalesce(1))
     assert "Exchange" not in text
-    assert text.count("from_json(") == 1
+    assert text.count("parseJson(concat(") == 1
 
 
 def test_a_day_reads_one_partition_and_its_columns(stored):
