@@ -86,16 +86,30 @@ def new_work_path(spark: SparkSession, name: str) -> str:
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), named
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+    files, named = _file_system(spark, path)
+    return files.exists(named)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    files, named = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(named)] if files.exists(named) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    files, named = _file_system(spark, path)
+    return files.delete(named, True)
 
 
 def drop_work(spark: SparkSession) -> bool:
     """Delete the intermediate tables of this application, once no result that reads them is needed any more."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return delete_path(spark, _application_folder(spark))
 
 
 def as_timestamp(as_of: str | datetime | Column | None) -> Column:

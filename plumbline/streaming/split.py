@@ -21,7 +21,7 @@ def flagged_stream(messages: DataFrame, *, as_of: str | datetime | Column | None
     return flag_transactions(decode(messages, ingest_ts=as_of), as_of)
 
 
-def _with_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
+def with_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
     """A processing-time interval, or everything available now when `trigger` is None."""
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
 
@@ -45,7 +45,7 @@ def write_sink(events: DataFrame, path: str, checkpoint: str, *, where: Column |
         writer = writer.option("mergeSchema", "true")
     for key, value in (options or {}).items():
         writer = writer.option(key, value)
-    return _with_trigger(writer, trigger).start(path)
+    return with_trigger(writer, trigger).start(path)
 
 
 def split_once(flagged: DataFrame, path: str, checkpoint: str, *, trigger: str | None = TRIGGER, fmt: str = "parquet",
