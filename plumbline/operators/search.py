@@ -48,12 +48,12 @@ def centroids(vectors: DataFrame, by: str, vector: str) -> DataFrame:
     return vectors.groupBy(by).agg(vector_to_array(mean).alias(vector))
 
 
-def _rank(best: DataFrame, k: int) -> DataFrame:
+def ranked(best: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("question_id").orderBy(F.col("score").desc(), F.col("document_id"))
     return best.select("*", F.row_number().over(order).alias("rank")).filter(F.col("rank") <= k)
 
 
-def _best_schema(questions: DataFrame, documents: DataFrame) -> T.StructType:
+def best_schema(questions: DataFrame, documents: DataFrame) -> T.StructType:
     return T.StructType([
         T.StructField("question_id", questions.schema["question_id"].dataType),
         T.StructField("document_id", documents.schema["document_id"].dataType),
@@ -61,17 +61,17 @@ def _best_schema(questions: DataFrame, documents: DataFrame) -> T.StructType:
     ])
 
 
-def _best_batch(best: BestK, question_ids: list, schema: pa.Schema) -> pa.RecordBatch:
+def best_batch(best: BestK, question_ids: list, schema: pa.Schema) -> pa.RecordBatch:
     columns = best.rows(question_ids)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _unit(rows: np.ndarray) -> np.ndarray:
+def unit_rows(rows: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.where(norms == 0, 1.0, norms)
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
+def matrix_of(vectors: pa.Array) -> np.ndarray:
     """An Arrow column of equally long lists as a matrix."""
     lengths = pc.min_max(pc.list_value_length(vectors)).as_py()
     if lengths["min"] != lengths["max"]:
@@ -82,12 +82,12 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
 def _score_vectors(best: BestK, questions: np.ndarray, ids: np.ndarray, documents: np.ndarray, metric: str) -> None:
     """Add the scores of some documents, block by block. `l2` scores are negative distances."""
     if metric == "cosine":
-        questions = _unit(questions)
+        questions = unit_rows(questions)
     step = max(1, BLOCK_NUMBERS // max(1, len(questions) + questions.shape[1]))
     for start in range(0, len(ids), step):
         block = documents[start:start + step]
         if metric == "cosine":
-            scores = _unit(block) @ questions.T
+            scores = unit_rows(block) @ questions.T
         else:
             scores = np.column_stack([-np.sqrt(((block - q) ** 2).sum(axis=1)) for q in questions])
         best.add(scores, ids[start:start + step])
@@ -106,22 +106,22 @@ def nearest(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, metri
     searched = documents.select(F.col(document_id).alias("document_id"), F.col(vector).alias("vector"))
     searched = searched.filter("document_id IS NOT NULL AND vector IS NOT NULL")
     size = asked.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("numbers")).first()
-    out = _best_schema(asked, searched)
+    out = best_schema(asked, searched)
     if size["numbers"] > max_sent:
-        return _rank(_nearest_shuffled(asked, searched, k, metric, out), k)
+        return ranked(_nearest_shuffled(asked, searched, k, metric, out), k)
     arrow = to_arrow_schema(out)
     sent = asked.toArrow()  # at most max_sent numbers
     ids = sent.column("question_id").to_pylist()
-    matrix = _matrix(sent.column("vector").combine_chunks()) if ids else np.zeros((0, 0))
+    matrix = matrix_of(sent.column("vector").combine_chunks()) if ids else np.zeros((0, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestK(len(ids), k)
         for batch in batches:
             if len(batch) and len(ids):
-                _score_vectors(best, matrix, batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1)), metric)
-        yield _best_batch(best, ids, arrow)
+                _score_vectors(best, matrix, batch.column(0).to_numpy(zero_copy_only=False), matrix_of(batch.column(1)), metric)
+        yield best_batch(best, ids, arrow)
 
-    return _rank(searched.mapInArrow(run, out), k)
+    return ranked(searched.mapInArrow(run, out), k)
 
 
 def _grid(asked: DataFrame, searched: DataFrame, lists: str, per_entry: int) -> tuple[DataFrame, DataFrame]:
@@ -148,10 +148,10 @@ def _nearest_shuffled(asked: DataFrame, searched: DataFrame, k: int, metric: str
         ids = questions.column("question_id").to_pylist()
         best = BestK(len(ids), k)
         if len(questions) and len(documents):
-            asked_rows = _matrix(questions.column("vector").combine_chunks())
+            asked_rows = matrix_of(questions.column("vector").combine_chunks())
             names = documents.column("document_id").to_numpy(zero_copy_only=False)
-            _score_vectors(best, asked_rows, names, _matrix(documents.column("vector").combine_chunks()), metric)
-        return pa.Table.from_batches([_best_batch(best, ids, arrow)])
+            _score_vectors(best, asked_rows, names, matrix_of(documents.column("vector").combine_chunks()), metric)
+        return pa.Table.from_batches([best_batch(best, ids, arrow)])
 
     return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(cell, out)
 
@@ -168,7 +168,7 @@ class TextIndex:
     norms: DataFrame
 
 
-def _weigh(postings: DataFrame, terms: DataFrame, n_postings: int, max_hot: int) -> DataFrame:
+def weighed(postings: DataFrame, terms: DataFrame, n_postings: int, max_hot: int) -> DataFrame:
     """Join postings with (term, df, idf) without a hot key in the shuffle; a term that `terms` lacks is left out.
 
     Terms at or above the cut are few by construction and are sent to the tasks; each remaining term has fewer postings than
@@ -201,11 +201,12 @@ def _searched(documents: DataFrame, document_id: str, text: str) -> DataFrame:
 
 
 def index_once(documents: DataFrame, *, document_id: str = "document_id", text: str = "text", max_hot_terms: int = MAX_HOT_TERMS) -> TextIndex:
-    """The index of documents that are asked once: only the postings are written, terms and norms are part of the search's plan."""
+    """The index of documents that are asked once: postings and terms are written, as several passes read them; norms are part of the
+    search's plan, which reads them once."""
     searched = _searched(documents, document_id, text)
     postings = materialize(term_counts(searched, "document_id", "text"), "postings")
-    terms = _terms(postings, searched.count())
-    return TextIndex(postings, terms, _norms(_weigh(postings, terms, postings.count(), max_hot_terms)))
+    terms = materialize(_terms(postings, searched.count()), "terms")
+    return TextIndex(postings, terms, _norms(weighed(postings, terms, postings.count(), max_hot_terms)))
 
 
 def index_texts(documents: DataFrame, path: str, *, document_id: str = "document_id", text: str = "text", max_hot_terms: int = MAX_HOT_TERMS) -> TextIndex:
@@ -221,7 +222,7 @@ def index_texts(documents: DataFrame, path: str, *, document_id: str = "document
     # `postings` lie by document here, so the sums per document below are combined in the map tasks.
     _terms(postings, searched.count()).write.mode("overwrite").parquet(f"{path}/terms")
     terms = spark.read.parquet(f"{path}/terms")
-    _norms(_weigh(postings, terms, postings.count(), max_hot_terms)).write.mode("overwrite").parquet(f"{path}/norms")
+    _norms(weighed(postings, terms, postings.count(), max_hot_terms)).write.mode("overwrite").parquet(f"{path}/norms")
     return open_index(spark, path)
 
 
@@ -241,14 +242,14 @@ def search_texts(index: TextIndex, questions: DataFrame, *, k: int = TOP_K, ques
     size = units.agg(
         F.count_distinct("term").alias("terms"), F.count_distinct("question_id").alias("questions"), F.count(F.lit(1)).alias("entries"),
     ).first()
-    out = _best_schema(asked, index.norms)
+    out = best_schema(asked, index.norms)
     # Up to the limit all terms are sent; only beyond it the number of postings matters.
     n_postings = index.terms.agg(F.sum("df")).first()[0] if size["terms"] > max_hot_terms else 0
     if max(size["terms"] * size["questions"], ROW_NUMBERS * size["entries"]) > max_sent:
-        hits = _weigh(index.postings, wanted, n_postings, max_hot_terms)
-        rows = materialize(_document_rows(hits, index.norms, "term"), "rows")  # measured first, then shuffled
-        return _rank(_texts_shuffled(units, rows, k, out), k)
-    return _rank(_texts_sent(units, index, n_postings, max_hot_terms, k, out), k)
+        hits = weighed(index.postings, wanted, n_postings, max_hot_terms)
+        rows = materialize(document_rows(hits, index.norms, "term"), "rows")  # measured first, then shuffled
+        return ranked(_texts_shuffled(units, rows, k, out), k)
+    return ranked(_texts_sent(units, index, n_postings, max_hot_terms, k, out), k)
 
 
 def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, question_id: str = "question_id",
@@ -259,7 +260,7 @@ def tfidf_top_k(questions: DataFrame, documents: DataFrame, *, k: int = TOP_K, q
     return search_texts(index, questions, k=k, question_id=question_id, text=question_text, max_sent=max_sent, max_hot_terms=max_hot_terms)
 
 
-def _document_rows(hits: DataFrame, norms: DataFrame, key: str) -> DataFrame:
+def document_rows(hits: DataFrame, norms: DataFrame, key: str) -> DataFrame:
     """One row per document: its norm and the weights of the terms that the questions share with it."""
     shared = hits.groupBy("document_id").agg(F.collect_list(F.struct(key, "w")).alias("s"))
     return shared.join(norms, "document_id").select("document_id", "norm", F.col(f"s.{key}").alias("keys"), F.col("s.w").alias("weights"))
@@ -299,7 +300,7 @@ def _texts_sent(units: DataFrame, index: TextIndex, n_postings: int, max_hot: in
     if len(wanted) <= MAX_PUSHED_TERMS:
         postings = postings.filter(F.col("term").isin([term for term, _, _ in wanted]))
     slots = spark.createDataFrame([(*w, i) for i, w in enumerate(wanted)], "term string, df bigint, idf double, slot int")
-    hits = _weigh(postings, slots, n_postings, max_hot)
+    hits = weighed(postings, slots, n_postings, max_hot)
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,9 +311,9 @@ def _texts_sent(units: DataFrame, index: TextIndex, n_postings: int, max_hot: in
                 sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
                 keys, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (2, 3))
                 _score_texts(best, matrix, names, norms, sizes, keys, weights)
-        yield _best_batch(best, ids, arrow)
+        yield best_batch(best, ids, arrow)
 
-    return _document_rows(hits, index.norms, "slot").mapInArrow(run, out)
+    return document_rows(hits, index.norms, "slot").mapInArrow(run, out)
 
 
 def _texts_shuffled(units: DataFrame, rows: DataFrame, k: int, out: T.StructType) -> DataFrame:
@@ -326,7 +327,7 @@ def _texts_shuffled(units: DataFrame, rows: DataFrame, k: int, out: T.StructType
         ids = questions.column("question_id").to_pylist()
         best = BestK(len(ids), k)
         if not len(questions) or not len(documents):
-            return pa.Table.from_batches([_best_batch(best, ids, arrow)])
+            return pa.Table.from_batches([best_batch(best, ids, arrow)])
         names, norms = (documents.column(c).to_numpy(zero_copy_only=False) for c in ("document_id", "norm"))
         lists = documents.column("keys").combine_chunks()
         terms, weights = lists.flatten(), documents.column("weights").combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -343,7 +344,7 @@ def _texts_shuffled(units: DataFrame, rows: DataFrame, k: int, out: T.StructType
             kept = found >= 0
             sizes = np.bincount(owner[kept], minlength=len(names))
             _score_texts(best, matrix, names, norms, sizes, found[kept], weights[kept], first)
-        return pa.Table.from_batches([_best_batch(best, ids, arrow)])
+        return pa.Table.from_batches([best_batch(best, ids, arrow)])
 
     return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(cell, out)
 
