@@ -17,7 +17,7 @@ from plumbline.operators.remediate import POLICY
 from plumbline.operators.rules import anomalous
 from plumbline.schemas import ANALYSIS_BATCH, ANOMALY_LIMIT, STALE_MINUTES, TOP_ANOMALIES
 from plumbline.session import as_date, as_timestamp
-from plumbline.sources.tables import join_null_safe, number_rows
+from plumbline.sources.tables import join_null_safe, materialize, number_rows
 
 # The rules of `transaction_rules`, in their order.
 TYPES = ["null_user", "extreme_amount", "negative_amount", "invalid_currency", "future_ts", "schema_drift"]
@@ -99,14 +99,14 @@ def not_analyzed(anomalies: DataFrame, ledger: DataFrame) -> DataFrame:
 def ranked_by_day(flagged: DataFrame, cap: int | None = None) -> DataFrame:
     """All anomalies with their rank within the date, worst first; with `cap` only the worst ones of every date.
 
-    Ranks come from numbers over all dates, so a date that holds most rows is ranked by many tasks. A cap is applied before the
+    The anomalies are written before they are put in order, as finding the ranges reads them once more. Ranks come from numbers over all dates, so a date that holds most rows is ranked by many tasks. A cap is applied before the
     shuffle (WindowGroupLimit); what exceeds it is due in a later run: see `not_analyzed`.
     """
     found = anomalous(flagged)
     if cap is not None:
         rank = F.row_number().over(Window.partitionBy("date_part").orderBy(*worst_first()))
         return found.select("*", rank.cast("bigint").alias("rank")).filter(F.col("rank") <= cap)
-    numbered = number_rows(found, ["date_part", *worst_first()], "_at")
+    numbered = number_rows(materialize(found, "anomalies"), ["date_part", *worst_first()], "_at")
     first = numbered.groupBy("date_part").agg(F.min("_at").alias("_first"))
     return join_null_safe(numbered, first, ["date_part"]).withColumn("rank", F.col("_at") - F.col("_first") + 1).drop("_at", "_first")
 
@@ -117,7 +117,8 @@ def batch_number(size: int = ANALYSIS_BATCH) -> Column:
 
 def analysis_batches(flagged: DataFrame, *, size: int = ANALYSIS_BATCH, cap: int | None = None) -> DataFrame:
     """(date, batch) with its size, first and last id, and the ids in rank order. A batch has at most `size` rows."""
-    rows = ranked_by_day(flagged, cap).select("date_part", batch_number(size).alias("batch"), "rank", "event_id")
+    slim = flagged.select("date_part", "event_id", "anomaly_score", "is_anomaly")
+    rows = ranked_by_day(slim, cap).select("date_part", batch_number(size).alias("batch"), "rank", "event_id")
     members = F.array_sort(F.collect_list(F.struct("rank", "event_id")))
     batches = rows.groupBy("date_part", "batch").agg(F.count(F.lit(1)).alias("n"), members.alias("members"))
     ids = F.col("members.event_id")

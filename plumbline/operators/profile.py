@@ -89,7 +89,7 @@ def described_columns(df: DataFrame, table: str) -> DataFrame:
     meta = F.array(*[
         F.struct(
             F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col(f"c{i}").alias("non_null"),
+            F.lit(f.nullable).alias("nullable"), F.col(f"c{i}").alias("non_null"),
         )
         for i, f in enumerate(df.schema.fields)
     ])

@@ -49,6 +49,38 @@ def evolving_messages(events: DataFrame) -> DataFrame:
     return rows.select("version", "event_ts", F.concat(F.lit("{"), parts, F.lit("}")).alias("value"))
 
 
+def nested_messages(events: DataFrame) -> DataFrame:
+    """(version, event_ts, value): nested JSON payloads that change every four days.
+
+    Version 3 adds `user.tier`, 4 makes `items[].q` fractional, 5 adds `items[].note`, null for views, 6 sends `user.id` as text, 7 drops
+    `user.country` and 8 replaces `tags[]` by `meta.tags[]`.
+    """
+    ts = F.col("ts").cast("timestamp")
+    version = F.floor(F.date_diff(F.to_date(ts), F.to_date(F.lit("2024-01-01"))) / DAYS_PER_VERSION) + 1
+    k = F.get_json_object("props", "$.k").cast("int").cast("string")
+    user, kind, v = F.col("user_id").cast("string"), F.col("event_type"), F.col("version")
+
+    def text(column: Column) -> Column:
+        return F.concat(F.lit('"'), column, F.lit('"'))
+
+    person = F.concat_ws(
+        ",", F.concat(F.lit('"id":'), F.when(v < 6, user).otherwise(text(user))),
+        F.when(v < 7, F.concat(F.lit('"country":'), text(F.lit("DE")))),
+        F.when(v >= 3, F.concat(F.lit('"tier":'), text(kind))),
+    )
+    item = F.concat_ws(
+        ",", F.concat(F.lit('"q":'), k, F.when(v < 4, "").otherwise(".5")),
+        F.when(v >= 5, F.concat(F.lit('"note":'), F.when(kind == "view", "null").otherwise(text(k)))),
+    )
+    tags = F.concat(F.lit('"tags":['), text(kind), F.lit("]"))
+    value = F.concat(
+        F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user":{'), person, F.lit('},"items":[{'), item, F.lit("}],"),
+        F.when(v < 8, tags).otherwise(F.concat(F.lit('"meta":{'), tags, F.lit("}"))), F.lit("}"),
+    )
+    rows = events.select(version.cast("int").alias("version"), ts.alias("event_ts"), "event_id", "user_id", "event_type", "props")
+    return rows.select("version", "event_ts", value.alias("value"))
+
+
 def enrich_frame(rows: pd.DataFrame) -> pd.DataFrame:
     """The enrichment rules over the columns of a chunk, standing in for a user's partition function."""
     amount = rows["amount"].to_numpy(dtype=float)

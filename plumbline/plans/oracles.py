@@ -411,7 +411,7 @@ ORACLES: dict[str, str] = {
         f"SELECT '{t}' AS table_name, 'warehouse/{t}' AS table_path, count(*) AS row_count, CAST({len(FIELDS[t])} AS INT) AS column_count FROM {t}" for t in FIELDS
     ),
     "catalog_columns": union(
-        f"""SELECT '{t}' AS table_name, count(*) AS row_count, CAST({i} AS INT) AS position, '{c}' AS column_name, '{kind}' AS data_type, count({c}) AS non_null FROM {t}"""
+        f"""SELECT '{t}' AS table_name, count(*) AS row_count, CAST({i} AS INT) AS position, '{c}' AS column_name, '{kind}' AS data_type, true AS nullable, count({c}) AS non_null FROM {t}"""
         for t in FIELDS for i, (c, kind) in enumerate(FIELDS[t])
     ),
     "catalog_documents": f"SELECT table_name, document FROM ({union(document(t) for t in FIELDS)})",
@@ -483,4 +483,95 @@ ORACLES: dict[str, str] = {
         LATERAL (SELECT count(*) FILTER (WHERE v.version = 2 OR o_orderdate < TIMESTAMP '2000-01-01') AS row_count, CAST(4 AS INT) AS column_count FROM orders) c""",
 }
 ORACLES["stream_two_tables"] = ORACLES["stream_split"]
+ORACLES["stream_compacted"] = ORACLES["stream_split"]
 ORACLES["stream_distinct"] = ORACLES["distinct_events"]
+ORACLES["vector_topk_indexed"] = ORACLES["vector_topk_cosine"]
+
+ORACLES["anomaly_bursts"] = f"""WITH {TXN}, {TYPED}, e AS (
+    SELECT anomaly_type, event_ts, lag(event_ts) OVER (PARTITION BY anomaly_type ORDER BY event_ts) AS before FROM typed WHERE event_ts IS NOT NULL
+  ), numbered AS (
+    SELECT *, sum(CASE WHEN before IS NULL OR event_ts - before > INTERVAL 2 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY anomaly_type ORDER BY event_ts) AS run FROM e
+  ), runs AS (
+    SELECT anomaly_type, min(event_ts) AS burst_start, max(event_ts) AS burst_end, count(*) AS n FROM numbered GROUP BY anomaly_type, run
+  ), spans AS (
+    SELECT *, CAST(sum(n) OVER w AS BIGINT) AS total, epoch_us(max(burst_end) OVER w) - epoch_us(min(burst_start) OVER w) + 7200000000 AS span
+    FROM runs WINDOW w AS (PARTITION BY anomaly_type)
+  ), due AS (
+    SELECT *, CAST(total * (epoch_us(burst_end) - epoch_us(burst_start) + 7200000000) AS DOUBLE) / span AS expected FROM spans WHERE n >= 3
+  )
+  SELECT anomaly_type, burst_start, burst_end, n, CASE WHEN n > expected THEN round(n * ln(n / expected)
+    + CASE WHEN total > n THEN (total - n) * ln((total - n) / (total - expected)) ELSE 0.0 END, 6) ELSE 0.0 END AS score FROM due"""
+
+ITEM_FIELDS = ["country", "payment_method", "hour"]
+_SETS = [[f for k, f in enumerate([*ITEM_FIELDS, "types"]) if mask >> k & 1] for mask in range(16)]
+ORACLES["anomaly_itemsets"] = f"""WITH {TXN}, rec AS (
+    SELECT country, payment_method, strftime(event_ts, '%H') AS hour,
+      list_filter([{', '.join(f"CASE WHEN flag_{t} THEN '{t}' END" for t in TYPES)}], lambda x: x IS NOT NULL) AS list FROM flagged WHERE is_anomaly
+  ), whole AS (SELECT count(*) AS total FROM rec), typed_rec AS (SELECT * EXCLUDE (list), unnest(list) AS types FROM rec),
+  single AS (
+    {' UNION ALL '.join(f"SELECT '{f}' AS field, {f} AS value, count(*) AS n FROM {'typed_rec' if f == 'types' else 'rec'} GROUP BY {f}" for f in [*ITEM_FIELDS, 'types'])}
+  ), frequent AS (SELECT field, value, n FROM single, whole WHERE value IS NOT NULL AND n >= ceil(total * 0.02)),
+  sets AS (
+    {' UNION ALL '.join(
+        f"SELECT {len(s)} AS size, " + ", ".join(f"{f if f in s else 'NULL'} AS {f}" for f in [*ITEM_FIELDS, 'types'])
+        + f", count(*) AS n FROM {'typed_rec' if 'types' in s else 'rec'} WHERE " + " AND ".join(f"{f} IS NOT NULL" for f in s)
+        + f" GROUP BY {', '.join(s)}" for s in _SETS if len(s) > 1)}
+  )
+  SELECT CAST(size AS INT) AS size,
+    concat_ws(', ', 'country=' || sets.country, 'hour=' || sets.hour, 'payment_method=' || sets.payment_method, 'types=' || sets.types) AS items, sets.n AS n,
+    round(sets.n / total * 100, 2) AS support_pct,
+    round(sets.n / total / coalesce(c.n / total, 1.0) / coalesce(p.n / total, 1.0) / coalesce(h.n / total, 1.0) / coalesce(t.n / total, 1.0), 4) AS lift
+  FROM sets CROSS JOIN whole
+    LEFT JOIN frequent c ON c.field = 'country' AND c.value = sets.country
+    LEFT JOIN frequent p ON p.field = 'payment_method' AND p.value = sets.payment_method
+    LEFT JOIN frequent h ON h.field = 'hour' AND h.value = sets.hour
+    LEFT JOIN frequent t ON t.field = 'types' AND t.value = sets.types
+  WHERE sets.n >= ceil(total * 0.02)"""
+
+# What the payloads of each version hold, as their description says.
+PATHS = """records AS (
+    SELECT datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 4 + 1 AS version, max(CAST(ts AS TIMESTAMP)) AS committed_at, count(*) AS record_count,
+      bool_or(event_type = 'view') AS some_views, bool_or(event_type <> 'view') AS some_others FROM events GROUP BY ALL
+  ), named(path, type, since, until) AS (VALUES
+    ('event_id', 'bigint', 1, 99), ('user', 'struct', 1, 99), ('user.id', 'bigint', 1, 5), ('user.id', 'string', 6, 99), ('user.country', 'string', 1, 6),
+    ('user.tier', 'string', 3, 99), ('items', 'array', 1, 99), ('items[]', 'struct', 1, 99), ('items[].q', 'bigint', 1, 3), ('items[].q', 'double', 4, 99),
+    ('items[].note', 'string', 5, 99), ('tags', 'array', 1, 7), ('tags[]', 'string', 1, 7), ('meta', 'struct', 8, 99), ('meta.tags', 'array', 8, 99),
+    ('meta.tags[]', 'string', 8, 99)
+  ), paths AS (
+    SELECT CAST(version AS BIGINT) AS version, committed_at, record_count, path,
+      CASE WHEN path = 'items[].note' AND NOT some_others THEN 'void' ELSE type END AS type, path = 'items[].note' AND some_views AS nullable
+    FROM records JOIN named ON version BETWEEN since AND until
+  ), steps AS (
+    SELECT version AS to_version, lag(version) OVER (ORDER BY version) AS from_version FROM (SELECT DISTINCT version FROM paths)
+  ), both_sides AS (
+    SELECT from_version, to_version, path, type, nullable, 'a' AS side FROM paths JOIN steps ON version = from_version
+    UNION ALL SELECT from_version, to_version, path, type, nullable, 'b' FROM paths JOIN steps ON version = to_version WHERE from_version IS NOT NULL
+  ), met AS (
+    SELECT from_version, to_version, path, max(type) FILTER (WHERE side = 'a') AS t0, max(type) FILTER (WHERE side = 'b') AS t1,
+      bool_or(nullable) FILTER (WHERE side = 'a') AS n0, bool_or(nullable) FILTER (WHERE side = 'b') AS n1 FROM both_sides GROUP BY ALL
+  ), path_changes AS (
+    SELECT from_version, to_version, CASE WHEN t0 IS NULL THEN 'added' WHEN t1 IS NULL THEN 'removed' WHEN t0 <> t1 THEN 'type' ELSE 'nullability' END AS change,
+      path, CASE WHEN t0 <> t1 THEN t0 END AS from_type, CASE WHEN t0 <> t1 THEN t1 END AS to_type
+    FROM met WHERE t0 IS DISTINCT FROM t1 OR n0 IS DISTINCT FROM n1
+  )"""
+ORACLES["schema_paths"] = f"WITH {PATHS} SELECT * FROM paths WHERE version > (SELECT max(version) FROM paths) - 7"
+ORACLES["schema_path_changes"] = f"WITH {PATHS} SELECT * FROM path_changes"
+ORACLES["schema_path_verdicts"] = f"""WITH {PATHS}, counted AS (
+    SELECT from_version, to_version, count(*) FILTER (WHERE change = 'added') AS n_added, count(*) FILTER (WHERE change = 'removed') AS n_removed,
+      count(*) FILTER (WHERE change = 'type' AND from_type = 'bigint' AND to_type = 'double') AS n_widened,
+      count(*) FILTER (WHERE change = 'type' AND NOT (from_type = 'bigint' AND to_type = 'double')) AS n_narrowed,
+      count(*) FILTER (WHERE change IN ('removed', 'type') AND NOT (from_type IS NOT DISTINCT FROM 'bigint' AND to_type IS NOT DISTINCT FROM 'double')
+                       AND path IN ('event_id', 'user.id')) AS n_keys
+    FROM path_changes WHERE change <> 'nullability' GROUP BY ALL
+  )
+  SELECT * EXCLUDE (n_keys), n_removed + n_narrowed > 0 AS is_breaking_change,
+    CASE WHEN n_keys > 0 THEN 'critical' WHEN n_removed + n_narrowed > 0 THEN 'high' WHEN n_widened > 0 THEN 'medium' ELSE 'low' END AS severity FROM counted"""
+
+_NUMERIC = ("event_id", "user_id", "value")
+ORACLES["catalog_profiles"] = " UNION ALL ".join(
+    f"""SELECT 'events' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+      round((count(*) - count({c})) / count(*) * 100, 2) AS null_pct, {f'CAST(min({c}) AS DOUBLE)' if c in _NUMERIC else 'CAST(NULL AS DOUBLE)'} AS min,
+      {f'CAST(max({c}) AS DOUBLE)' if c in _NUMERIC else 'CAST(NULL AS DOUBLE)'} AS max, {f'round(avg({c}), 4)' if c in _NUMERIC else 'CAST(NULL AS DOUBLE)'} AS avg,
+      (SELECT string_agg(CAST({c} AS VARCHAR), ',' ORDER BY event_id) FROM (SELECT * FROM events ORDER BY event_id LIMIT 3)) AS samples FROM events"""
+    for c in ("event_id", "ts", "user_id", "event_type", "value", "props")
+)

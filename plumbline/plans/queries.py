@@ -9,21 +9,26 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import anomalies as an
 from plumbline.operators import catalog as ca
+from plumbline.operators import clusters as cl
+from plumbline.operators import dense as de
 from plumbline.operators import drift as dr
 from plumbline.operators import enrich as en
 from plumbline.operators import health as he
 from plumbline.operators import messages as me
+from plumbline.operators import paths as pa
 from plumbline.operators import profile as pr
+from plumbline.operators import refresh as re
 from plumbline.operators import search as se
+from plumbline.operators import vector_index as vi
 from plumbline.operators.remediate import remediate
 from plumbline.operators.rules import Rule, anomalous, apply_rules, clean
-from plumbline.plans.examples import enrich_frame, evolving_messages, explain_batches, service_answers
+from plumbline.plans.examples import enrich_frame, evolving_messages, explain_batches, nested_messages, service_answers
 from plumbline.plans.transactions import AS_OF, load_decoded, load_flagged, load_transactions, messages, project
 from plumbline.session import new_work_path
 from plumbline.sources import snapshots as sn
-from plumbline.sources.events import decode, drop_repeats
-from plumbline.sources.tables import materialize, merge_rows, read_table
-from plumbline.streaming import split
+from plumbline.sources.events import decode, drop_repeats, read_messages
+from plumbline.sources.tables import append, materialize, merge_rows, read_table
+from plumbline.streaming import batches, split, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,6 +146,15 @@ def anomaly_patterns(spark: SparkSession, sf: str) -> DataFrame:
     return an.patterns(load_flagged(spark, sf))
 
 
+def anomaly_bursts(spark: SparkSession, sf: str) -> DataFrame:
+    return cl.bursts(an.by_type(load_flagged(spark, sf)))
+
+
+def anomaly_itemsets(spark: SparkSession, sf: str) -> DataFrame:
+    found = anomalous(load_flagged(spark, sf)).withColumns({"types": an.type_names(), "hour": F.date_format("event_ts", "HH")})
+    return cl.itemsets(found, ["country", "payment_method", "hour"], support=0.02, several="types")
+
+
 def anomaly_report_daily(spark: SparkSession, sf: str) -> DataFrame:
     return an.daily_report(_stored(spark, sf), analyzed_at=AS_OF)
 
@@ -188,16 +202,55 @@ def stream_split(spark: SparkSession, sf: str) -> DataFrame:
     return sides[0].unionByName(sides[1]).groupBy("side", "date_part").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _per_side_and_date(tables: dict[str, DataFrame]) -> DataFrame:
+    sides = [table.select(F.lit(side).alias("side"), "date_part") for side, table in tables.items()]
+    return sides[0].unionByName(sides[1]).groupBy("side", "date_part").agg(F.count(F.lit(1)).alias("n"))
+
+
 def stream_two_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """The same split as two queries with a table and a checkpoint each."""
+    """Two tables from one query, each batch computed once and written once to either table."""
     schema = read_table(spark, sf, "events").schema
     source = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
     target = new_work_path(spark, "stream-two-tables")
     flagged = split.flagged_stream(messages(project(source)), as_of=AS_OF)
-    for query in split.split_in_two(flagged, f"{target}/clean", f"{target}/anomalies", f"{target}/checkpoint", trigger=None):
-        query.awaitTermination()
-    sides = [spark.read.parquet(f"{target}/{side}").select(F.lit(side).alias("side"), "date_part") for side in (split.CLEAN, split.ANOMALIES)]
-    return sides[0].unionByName(sides[1]).groupBy("side", "date_part").agg(F.count(F.lit(1)).alias("n"))
+    paths = {side: f"{target}/{side}" for side in (split.CLEAN, split.ANOMALIES)}
+    batches.split_by_batch(flagged, *paths.values(), f"{target}/checkpoint", trigger=None).awaitTermination()
+    return _per_side_and_date({side: batches.read_batches(spark, path, flagged.schema) for side, path in paths.items()})
+
+
+def _message_files(spark: SparkSession, sf: str, files: int) -> DataFrame:
+    """The messages of all events as a stream of text files, a file for each micro-batch."""
+    path = new_work_path(spark, "messages")
+    messages(load_transactions(spark, sf)).repartition(files).write.text(path)
+    return read_messages(spark, "text", path=path, options={"maxFilesPerTrigger": "1"})
+
+
+def stream_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per side and date of tables that six micro-batches wrote and a compaction gathered."""
+    target = new_work_path(spark, "stream-compacted")
+    flagged = split.flagged_stream(_message_files(spark, sf, 6), as_of=AS_OF)
+    paths = {side: f"{target}/{side}" for side in (split.CLEAN, split.ANOMALIES)}
+    batches.split_by_batch(flagged, *paths.values(), f"{target}/checkpoint", trigger=None).awaitTermination()
+    for path in paths.values():
+        batches.compact(spark, path)
+        batches.drop_covered(spark, path)
+    return _per_side_and_date({side: batches.read_batches(spark, path, flagged.schema) for side, path in paths.items()})
+
+
+def stream_latency(spark: SparkSession, sf: str) -> DataFrame:
+    """For each micro-batch, how long its oldest message waited until it was in its table."""
+    target = new_work_path(spark, "stream-latency")
+    arriving = watch.observe_arrivals(_message_files(spark, sf, 3), "_metadata.file_modification_time")
+    flagged = watch.observe_verdicts(split.flagged_stream(arriving, as_of=AS_OF))
+    times = watch.BatchTimes()
+    spark.streams.addListener(times)
+    try:
+        query = split.split_once(flagged, f"{target}/table", f"{target}/checkpoint", trigger=None)
+        watch.wait_for_all([query])
+        times.settle(query)
+    finally:
+        spark.streams.removeListener(times)
+    return times.table(spark).select("batch", "n_messages", "n_anomalies", "batch_seconds", "latency_seconds")
 
 
 def stream_distinct(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,6 +329,17 @@ def catalog_describe(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("table_name", "table_path", "row_count", F.array_join("columns.name", ",").alias("column_names"), "description")
 
 
+def catalog_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of the events by day, refreshed after each half of the month was added."""
+    target = new_work_path(spark, "profiles")
+    events = read_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    early = F.col("day") < F.to_date(F.lit(RUN_DATE))
+    for half in (early, ~early):
+        append(events.filter(half), f"{target}/table", partition_by=["day"])
+        re.refresh(spark.read.parquet(f"{target}/table"), f"{target}/profile", by="day", key="event_id")
+    return re.profile(spark, f"{target}/profile", "events").withColumn("samples", F.array_join("samples", ","))
+
+
 def catalog_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """A first catalog of the business tables, then a later run over all tables that share a name with it and the others."""
     old = _catalog(spark, sf, ["customer", "lineitem", "nation", "orders", "part", "region", "supplier"])
@@ -317,6 +381,14 @@ def vector_topk_l2(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("question_id", "document_id", "rank", F.round(-F.col("score"), 4).alias("distance"))
 
 
+def vector_topk_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same questions asked of an approximate index."""
+    questions, vectors = _vector_questions(spark, sf)
+    index = vi.build(vectors, new_work_path(spark, "vector-index"), document_id="vec_id", vector="embedding")
+    hits = vi.search(index, questions, question_id="label", vector="embedding")
+    return hits.select("question_id", "document_id", "rank", F.round("score", 4).alias("relevance"))
+
+
 def text_topk_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     hits = se.tfidf_top_k(
         read_table(spark, sf, "benchmark"), read_table(spark, sf, "documents"), question_id="item_id", document_id="doc_id",
@@ -324,6 +396,12 @@ def text_topk_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("question_id", "document_id", "rank", F.round("score", 4).alias("relevance"))
 
 
+def document_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Dense vectors of all documents."""
+    vectors, _ = de.document_vectors(read_table(spark, sf, "documents"), document_id="doc_id")
+    return vectors.select("document_id", F.size("vector").alias("numbers"), F.transform("vector", lambda x: F.round(x, 6)).alias("vector"))
+
+
 def _versions(spark: SparkSession, sf: str) -> DataFrame:
     return dr.observed_versions(evolving_messages(read_table(spark, sf, "events")), "payloads")
 
@@ -349,6 +427,23 @@ def schema_drift_severity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _paths(spark: SparkSession, sf: str) -> DataFrame:
+    return pa.observed_paths(nested_messages(read_table(spark, sf, "events")), "payloads")
+
+
+def schema_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return pa.newest_versions(materialize(_paths(spark, sf), "paths")).drop("table_name")
+
+
+def schema_path_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return pa.path_changes(materialize(_paths(spark, sf), "paths")).drop("table_name")
+
+
+def schema_path_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    changes = pa.path_changes(materialize(_paths(spark, sf), "paths"))
+    return pa.path_verdicts(changes, ["event_id", "user.id"]).drop("table_name")
+
+
 def schema_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Events before mid-month as an older generation without `payment_method`, later ones with it."""
     rows = load_transactions(spark, sf).select("event_id", "amount", "payment_method", F.to_date("event_ts").alias("date_part"))
@@ -414,11 +509,11 @@ QUERIES: dict[str, Query] = {
     for f in [
         decode_events, payload_key_drift, quality_flags, clean_events, anomaly_events, rules_on_customer, rules_on_orders,
         remediated_events, anomaly_summary_day, anomaly_summary_by_type, anomaly_summary_by_label, distinct_events, top_anomalies, unanalyzed_anomalies,
-        anomaly_batches, anomaly_groups, anomaly_patterns, anomaly_report_daily,
-        stream_split, stream_two_tables, stream_distinct, enrich_transactions, enrich_partitioned, enrich_merge,
-        null_rates, numeric_profile, sample_values, catalog_tables, catalog_columns, catalog_documents, catalog_describe, catalog_upsert, catalog_search,
-        vector_topk_cosine, vector_topk_l2, text_topk_tfidf,
-        schema_history, schema_drift_pair, schema_drift_history, schema_drift_severity, schema_merge, snapshot_as_of, snapshot_rollback,
+        anomaly_batches, anomaly_groups, anomaly_patterns, anomaly_bursts, anomaly_itemsets, anomaly_report_daily,
+        stream_split, stream_two_tables, stream_compacted, stream_latency, stream_distinct, enrich_transactions, enrich_partitioned, enrich_merge,
+        null_rates, numeric_profile, sample_values, catalog_tables, catalog_columns, catalog_documents, catalog_describe, catalog_profiles, catalog_upsert, catalog_search,
+        vector_topk_cosine, vector_topk_l2, vector_topk_indexed, text_topk_tfidf, document_vectors,
+        schema_history, schema_drift_pair, schema_drift_history, schema_drift_severity, schema_paths, schema_path_changes, schema_path_verdicts, schema_merge, snapshot_as_of, snapshot_rollback,
         table_history,
         freshness, freshness_by_commit, health_daily, incidents, dq_actions, alert_routing, prompt_batches, explained_reports, parse_responses,
     ]
