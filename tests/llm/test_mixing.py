@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import mixing
 
@@ -57,6 +59,53 @@ def targets_of(sizes):
         full |= more
 
 
+def plain_mix(spark, rows):
+    """(id, size, words taken, whole copies) of (id, source, size), with seats handed out one by one; only hashes come from Spark."""
+    rows = sorted(rows, key=str)
+    frame = spark.createDataFrame([(k, i, n) for k, (i, _, n) in enumerate(rows)], "k long, _id long, size long")
+    place = F.xxhash64(F.lit(mixing.SEED), F.col("_id"), F.col("size"))
+    hashed = {r["k"]: (r["place"], r["deal"]) for r in frame.select("k", place.alias("place"), F.xxhash64(place, F.lit(mixing.SEED)).alias("deal")).collect()}
+    sizes = {}
+    for _, source, n in rows:
+        sizes[source] = sizes.get(source, 0) + n
+    targets = targets_of(sizes)
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    blocks = dict(zip(names, one_by_one([targets[s] for s in names], round(float(sum(targets.values())) / mixing.BLOCK_WORDS)), strict=True))
+    out = []
+    for source in names:
+        own = [k for k, r in enumerate(rows) if r[1] == source]
+        count = min(-(-len(own) // mixing.SHARD_ROWS), mixing.MAX_SHARDS)
+        shards = {}
+        for k in own:
+            shards.setdefault(hashed[k][1] % count, []).append(k)
+        words = {s: sum(rows[k][2] for k in members) for s, members in sorted(shards.items())}
+        quotas = dict(zip(words, one_by_one(list(words.values()), blocks[source]), strict=True))
+        for shard, members in shards.items():
+            due = min(quotas[shard] * mixing.BLOCK_WORDS, words[shard] * mixing.MAX_REPEATS)
+            passes, rest = divmod(due, words[shard]) if words[shard] else (0, 0)
+            for k in sorted(members, key=lambda k: (hashed[k][0], rows[k][2], rows[k][0] is not None, rows[k][0] or 0)):
+                part = min(max(rest, 0), rows[k][2])
+                rest -= rows[k][2]
+                copies = passes + (2 * part >= rows[k][2]) if rows[k][2] else 0
+                out.append((rows[k][0], rows[k][2], passes * rows[k][2] + part, int(copies)))
+    return out
+
+
+@pytest.mark.parametrize("shard_rows", [mixing.SHARD_ROWS, 7])
+def test_every_document_is_taken_as_handed_out(spark, monkeypatch, shard_rows):
+    monkeypatch.setattr(mixing, "SHARD_ROWS", shard_rows)
+    rows = rows_of(random.Random(5))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, size string, target string")
+    plain = plain_mix(spark, [(i, s, len((t or "").encode().split())) for i, t, s, *_ in rows])
+    got = mixing.mix(frame).collect()
+    assert sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in got) == sorted((str(i), n, taken) for i, n, taken, _ in plain)
+    copies = Counter(str(r["doc_id"]) for r in mixing.mixed(frame).collect())
+    wanted = Counter()
+    for i, _, _, n in plain:
+        wanted[str(i)] += n
+    assert copies == +wanted
+
+
 def test_mix_meets_its_targets(spark):
     rows = rows_of(random.Random(2))
     size = lambda t: len((t or "").encode().split())

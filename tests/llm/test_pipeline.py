@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -10,12 +13,14 @@ from plumbline.llm import quality
 from plumbline.llm.frames import table
 from plumbline.llm.queries import ORACLES, QUERIES
 from tests.conftest import DATA
+from tests.llm.test_bpe import library  # noqa: F401
+from tests.llm.test_mixing import plain_mix
 from tests.llm.test_simhash import classes_of, plain_fingerprint
 from tools.check_oracle import compare, open_tables
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 
@@ -26,7 +31,7 @@ def test_query_equals_sql(spark, name):
     assert not problems and rows > 0
 
 
-def test_run_equals_plain_stages(spark):
+def test_run_equals_plain_stages(spark, library):
     documents = table(spark, DATA, "documents")
     verdict = {r["doc_id"]: r["predicted"] for r in quality.quality(documents, table(spark, DATA, "labels")).collect()}
     kept = [r for r in documents.collect() if verdict[r["doc_id"]]]
@@ -38,13 +43,13 @@ def test_run_equals_plain_stages(spark):
     stay = {r["doc_id"]: r for k, r in enumerate(unique) if label[k] == k}
     found = corpus_pipeline.run(spark, DATA).collect()
     assert found and all(r["restored"] for r in found)
-    assert {r["doc_id"] for r in found} <= set(stay)
-    count = {}
+    copies = {}
+    for i, _, _, n in plain_mix(spark, [(i, r["source"], len((r["text"] or "").encode().split())) for i, r in stay.items()]):
+        copies[i] = n
+    assert Counter(r["doc_id"] for r in found) == +Counter(copies)
     for r in found:
-        count[r["doc_id"]] = count.get(r["doc_id"], 0) + 1
-    assert max(count.values()) <= 3
-    words = {i: len(r["text"].split()) for i, r in stay.items()}
-    assert abs(sum(words[i] * n for i, n in count.items()) - sum(words.values())) <= 0.1 * sum(words.values())
+        ids = library.encode_ordinary(stay[r["doc_id"]]["text"] or "")
+        assert np.frombuffer(bytes(r["token_ids"]), "<u4").tolist() == ids and r["n_tokens"] == len(ids)
 
 
 def test_stages_keep_columns_and_bear_odd_rows(spark):
