@@ -30,6 +30,8 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -213,19 +215,24 @@ def parsed(page: str) -> tuple[str | None, list[str], list[bool]]:
 
 
 def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (id, url, host, page): (id, url, host, no article?, the blocks to judge, other unmarked text)."""
+    """From (id, url, host, page): (id, url, host, no article?, the blocks to judge, other unmarked text, hashes of both).
+
+    Texts are compressed page by page, as they are written once and shuffled once; blocks are lines.
+    """
+    pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
-        opens, kept, others = [], [], []
+        opens, texts = [], ([], [])
         for page in batch.column(3).to_pylist():
             article, rest, marks = parsed(page or "")
-            other = [t for t, off in zip(rest, marks, strict=True) if not off]
+            other = "\n".join(t for t, off in zip(rest, marks, strict=True) if not off)
             opens.append(article is None)
-            kept.append(other if article is None else article.split("\n"))
-            others.append("\n".join(other) if article is not None and other else None)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(opens, pa.bool_()), pa.array(kept, pa.list_(pa.string())), pa.array(others, pa.string())],
-            ["_id", "_url", "host", "open", "kept", "other"],
-        )
+            texts[0].append(other if article is None else article)
+            texts[1].append("" if article is None else other)
+        yield pa.RecordBatch.from_arrays([
+            *batch.columns[:3], pa.array(opens, pa.bool_()),
+            *[pa.array([pack(t.encode()) if t else None for t in column], pa.binary()) for column in texts],
+            *[pa.array([xxhash.xxh64_intdigest(t) - (1 << 63) for t in column], pa.int64()) for column in texts],
+        ], ["_id", "_url", "host", "open", "kept", "other", "kept_hash", "other_hash"])
 
 
 def run_hashes(tokens: np.ndarray) -> np.ndarray:
@@ -268,13 +275,13 @@ def shared_runs(tokens: np.ndarray, page: np.ndarray, least: int) -> tuple[np.nd
 
 
 def slice_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(space, pages, runs, counts) of each slice, from rows (space, stream, text) sorted by space and stream."""
+    """(space, pages, runs, counts) of each slice, from rows (space, stream, compressed text) sorted by space and stream."""
 
-    def told(space: str, texts: list[str]) -> pa.RecordBatch:
+    def told(space: str, texts: list[bytes]) -> pa.RecordBatch:
         least = max(2, int(np.ceil(SHARE / 2 * len(texts))))
         hashes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         if len(texts) > 1:
-            for _, data, offsets in text_slices(pa.array(texts, pa.large_string()), limit=1 << 62):
+            for _, data, offsets in text_slices(pa.array(texts, pa.large_binary()), limit=1 << 62):
                 starts, ends, rows = words(data, offsets)
                 hashes, counts = shared_runs(hash_runs(data, starts, ends), rows, least)
         return pa.RecordBatch.from_arrays([
@@ -282,9 +289,11 @@ def slice_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([counts], pa.list_(pa.int64())),
         ], ["space", "pages", "runs", "counts"])
 
+    unpack = zstandard.ZstdDecompressor().decompress
     space, stream, texts, size = None, None, [], 0
     for batch in batches:
         for now, own, text in zip(*(batch.column(c).to_pylist() for c in ("space", "stream", "text")), strict=True):
+            text = unpack(text)
             if texts and (now != space or size >= SLICE_BYTES and len(texts) >= SLICE_PAGES and own != stream):
                 yield told(space, texts)
                 texts, size, stream = [], 0, None
@@ -297,9 +306,8 @@ def slice_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def boilerplate(streams: DataFrame) -> DataFrame:
-    """(space, runs): the boilerplate of each host, from (space, text)."""
-    marked_streams = streams.withColumn("stream", F.xxhash64("text"))
-    dealt = marked_streams.repartitionByRange("space", "stream").sortWithinPartitions("space", "stream")
+    """(space, runs): the boilerplate of each host, from (space, stream, compressed text)."""
+    dealt = streams.repartitionByRange("space", "stream").sortWithinPartitions("space", "stream")
     told = materialize(dealt.select("space", "stream", "text").mapInArrow(
         slice_runs, "space string, pages bigint, runs array<bigint>, counts array<bigint>",
     ), "runs")
@@ -310,9 +318,8 @@ def boilerplate(streams: DataFrame) -> DataFrame:
     return frequent.groupBy("space").agg(F.collect_list("run").alias("runs"))
 
 
-def left_over(kept: list[str], runs: np.ndarray, is_open: bool) -> str:
+def left_over(whole: str, runs: np.ndarray, is_open: bool) -> str:
     """The text of a page without the blocks that its boilerplate covers from end to end."""
-    whole = "\n".join(kept)
     data = np.frombuffer(whole.encode(), np.uint8)
     starts, ends, _ = words(data, np.array([0, len(data)]))
     value = run_hashes(hash_runs(data, starts, ends))
@@ -321,6 +328,7 @@ def left_over(kept: list[str], runs: np.ndarray, is_open: bool) -> str:
         return whole
     step = np.bincount(at, minlength=len(starts) + MIN_RUN) - np.bincount(at + MIN_RUN, minlength=len(starts) + MIN_RUN)
     covered = np.cumsum(step)[:len(starts)] > 0
+    kept = whole.split("\n")
     stops = np.cumsum([len(p.encode()) + 1 for p in kept])
     edges = np.searchsorted(starts, np.concatenate([[0], stops])).tolist()
     gone = [bool(covered[a:b].all()) for a, b in pairwise(edges)]
@@ -334,16 +342,18 @@ def uncovered(known: dict[str, np.ndarray] | None):
     """(id, url, text) of pages; their boilerplate is looked up by space, or comes with them as `runs`."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             texts = []
             spaces, kept, opens = (batch.column(c).to_pylist() for c in ("space", "kept", "open"))
-            for row, (space, blocks_of, is_open) in enumerate(zip(spaces, kept, opens, strict=True)):
+            for row, (space, packed, is_open) in enumerate(zip(spaces, kept, opens, strict=True)):
+                text = unpack(packed).decode() if packed else ""
                 if known is None:
                     own = batch.column("runs")[row]
                     runs = own.values.to_numpy().view(np.uint64) if own.is_valid else None
                 else:
                     runs = known.get(space)
-                texts.append("\n".join(blocks_of) if runs is None else left_over(blocks_of, runs, is_open))
+                texts.append(text if runs is None else left_over(text, runs, is_open))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_url"), pa.array(texts, pa.string())], ["_id", "_url", "text"])
 
     return cut
@@ -359,17 +369,18 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url: str = "url", html
     host = F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     source = pages.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"), host.alias("host"), F.col(html).alias("_html"))
     kinds = [T.StructField(n, source.schema[n].dataType) for n in ("_id", "_url")]
-    columns = [("host", T.StringType()), ("open", T.BooleanType()), ("kept", T.ArrayType(T.StringType())), ("other", T.StringType())]
+    columns = [("host", T.StringType()), ("open", T.BooleanType()), ("kept", T.BinaryType()), ("other", T.BinaryType())]
+    columns += [("kept_hash", T.LongType()), ("other_hash", T.LongType())]
     schema = T.StructType([*kinds, *[T.StructField(*c) for c in columns]])
     cut = materialize(source.mapInArrow(parse_pages, schema), "blocks")
 
     # Articles are held against articles, other text against other text.
     space = F.concat(F.when(F.col("open"), F.lit(OTHER)).otherwise(F.lit(ARTICLE)), "host")
     told = F.array(
-        F.struct(space.alias("space"), F.array_join("kept", "\n").alias("text")),
-        F.struct(F.concat(F.lit(OTHER), "host").alias("space"), F.col("other").alias("text")),
+        F.struct(space.alias("space"), F.col("kept_hash").alias("stream"), F.col("kept").alias("text")),
+        F.struct(F.concat(F.lit(OTHER), "host").alias("space"), F.col("other_hash").alias("stream"), F.col("other").alias("text")),
     )
-    found = materialize(boilerplate(cut.select(F.inline(told)).filter("text <> ''")), "boilerplate")
+    found = materialize(boilerplate(cut.select(F.inline(told)).filter("text IS NOT NULL")), "boilerplate")
     rows = cut.select("_id", "_url", space.alias("space"), "open", "kept")
     if (found.agg(F.sum(F.size("runs") + 10)).first()[0] or 0) <= sent_runs:
         known = {r["space"]: np.array(r["runs"], np.int64).view(np.uint64) for r in found.collect()}  # at most sent_runs numbers

@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 from plumbline.llm import html
 
@@ -216,6 +217,7 @@ def test_shared_runs_equal_windows():
 def test_slices_count_pages_and_cut_by_host():
     same = "a b c d e f g h i"
     rows = [("s", 1, same), ("s", 1, same), ("s", 2, "x " + same), ("s", 3, "short one"), ("t", 1, same), ("u", 5, same), ("u", 6, same + " j")]
+    rows = [(s, n, zstandard.ZstdCompressor().compress(t.encode())) for s, n, t in rows]
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["space", "stream", "text"])
     for parts in ([batch], [batch.slice(0, 3), batch.slice(3)]):
         told = [r for b in html.slice_runs(iter(parts)) for r in b.to_pylist()]
