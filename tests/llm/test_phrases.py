@@ -59,10 +59,10 @@ def told(frame):
     return sorted(tuple(r) for r in frame.collect())
 
 
-@pytest.mark.parametrize("slice_bytes", [64, 1 << 20])
-def test_equals_plain_counts(spark, slice_bytes):
+@pytest.mark.parametrize(("slice_bytes", "sent_bits"), [(64, phrases.SENT_BITS), (1 << 20, 0)])
+def test_equals_plain_counts(spark, slice_bytes, sent_bits):
     rows = some_rows()
-    found = phrases.collocations(frame_of(spark, rows), min_count=8, slice_bytes=slice_bytes)
+    found = phrases.collocations(frame_of(spark, rows), min_count=8, slice_bytes=slice_bytes, sent_bits=sent_bits)
     assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert told(found) == plain_phrases(rows, 8)
     assert found.count() > 30
@@ -82,6 +82,37 @@ def test_long_texts_repeated_rows_and_empty_tables(spark):
     assert phrases.collocations(frame_of(spark, [("en", None)])).count() == 0
 
 
+def test_shared_counters_keep_too_much_and_lose_nothing(spark, monkeypatch):
+    rows = some_rows(60)
+    monkeypatch.setattr(phrases, "COUNTERS", 0)  # 1,024 counters a bucket, and one bucket
+    monkeypatch.setattr(phrases, "LEAST_BUCKETS", 1)
+    assert told(phrases.collocations(frame_of(spark, rows), min_count=4)) == plain_phrases(rows, 4)
+
+
+def test_judge_adds_up_slices():
+    import numpy as np
+    import pyarrow as pa
+
+    def entry(counters, counts):
+        planes = np.diff(counters, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+        return planes, np.array(counts, np.uint16).tobytes()
+
+    packed = [entry([3, 3, 70_000], [4, 4, 1]), entry([3, 9, 70_000], [2, 65_535, 9]), entry([], [])]
+    table = pa.table({"bucket": [0] * 3, "slice": [1, 2, 3], "deltas": [p for p, _ in packed], "counts": [c for _, c in packed]})
+    out = phrases.judge(1 << 17, 10)(table).to_pylist()
+    assert [(r["slice"], np.unpackbits(np.frombuffer(r["bits"], np.uint8)).tolist()[:3]) for r in out] == [(1, [1, 1, 1]), (2, [1, 1, 1]), (3, [])]
+    assert [r["bits"] for r in phrases.judge(1 << 17, 11)(table).to_pylist()][:2] == [b"\x00", b"\x40"]
+
+
+def test_equal_numbers_of_different_names_are_found(spark):
+    ddl = "lang string, ids array<bigint>, names array<string>, counts array<bigint>"
+    apart = spark.createDataFrame([("en", [1, 2], ["a", "b"], [5, 6]), ("en", [1], ["a"], [5]), ("de", [1], ["z"], [50])], ddl)
+    found = phrases.frequent_groups(phrases.exact_counts(apart, 6))
+    assert sorted(map(tuple, found.collect())) == [("de", 1, "z", 50), ("en", 1, "a", 10), ("en", 2, "b", 6)]
+    with pytest.raises(phrases.Clash):
+        phrases.frequent_groups(phrases.exact_counts(apart.union(spark.createDataFrame([("en", [2], ["c"], [1])], ddl)), 6))
+
+
 def test_scores_beyond_64_bits(spark):
     counts = [(10**12, 10**15, 10**12, 10**12 + 7), (10**13 + 1, 10**15 - 1, 10**14, 10**13 + 1), (100, 100, 100, 100)]
     frame = spark.createDataFrame(counts, "a long, n long, l long, r long")
