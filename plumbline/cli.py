@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import catalog as ca
+from plumbline.operators import refresh
 from plumbline.plans import jobs
 from plumbline.schemas import TOP_K, TRIGGER
 from plumbline.session import build_session
 from plumbline.sources import snapshots as sn
 from plumbline.sources.events import read_messages
-from plumbline.streaming import split
+from plumbline.streaming import batches, split
+from plumbline.streaming.watch import wait_for_all
 
 
 def _pairs(values: Sequence[str]) -> dict[str, str]:
@@ -30,11 +32,23 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--format", default="kafka")
     stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     stream.add_argument("--source", help="path of a file source")
-    stream.add_argument("--events", required=True, help="table to write")
+    tables = stream.add_mutually_exclusive_group(required=True)
+    tables.add_argument("--events", help="table to write, with both sides")
+    tables.add_argument("--clean-and-anomalies", nargs=2, metavar=("CLEAN", "ANOMALIES"), help="two tables to write, each batch once")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--trigger", default=TRIGGER, help="interval, or 'once' for all that is available")
     stream.add_argument("--sink", default="parquet")
 
+    compact = commands.add_parser("compact", help="gather the small files of a table that a stream writes batch by batch")
+    compact.add_argument("--table", required=True)
+    compact.add_argument("--drop", action="store_true", help="delete what compacted files stand for; no reader may use it any more")
+
+    profile = commands.add_parser("profile", help="refresh the stored profile of a partitioned table, and print it")
+    profile.add_argument("--table", required=True, metavar="NAME=PATH")
+    profile.add_argument("--profile", required=True)
+    profile.add_argument("--by", default="date_part", help="partition column")
+    profile.add_argument("--key", default="event_id", help="column that sample rows are ordered by")
+
     analyze = commands.add_parser("analyze", help="report the anomalies of a day")
     analyze.add_argument("--events", required=True)
     analyze.add_argument("--date", required=True)
@@ -52,10 +66,10 @@ def _parser() -> argparse.ArgumentParser:
     quality.add_argument("--incidents")
     quality.add_argument("--format", default="parquet", help="format of the event table")
 
-    refresh = commands.add_parser("catalog", help="profile tables into the next catalog version")
-    refresh.add_argument("--table", action="append", required=True, metavar="NAME=PATH")
-    refresh.add_argument("--catalog", required=True)
-    refresh.add_argument("--version", type=int, required=True)
+    versions = commands.add_parser("catalog", help="profile tables into the next catalog version")
+    versions.add_argument("--table", action="append", required=True, metavar="NAME=PATH")
+    versions.add_argument("--catalog", required=True)
+    versions.add_argument("--version", type=int, required=True)
 
     tables = commands.add_parser("tables", help="list the catalog, or describe one table")
     tables.add_argument("--catalog", required=True)
@@ -78,8 +92,21 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     if args.command == "stream":
         messages = read_messages(spark, args.format, path=args.source, options=_pairs(args.option))
         trigger = None if args.trigger == "once" else args.trigger
-        split.split_once(split.flagged_stream(messages), args.events, args.checkpoint, trigger=trigger, fmt=args.sink).awaitTermination()
+        flagged = split.flagged_stream(messages)
+        if args.events:
+            query = split.split_once(flagged, args.events, args.checkpoint, trigger=trigger, fmt=args.sink)
+        else:
+            query = batches.split_by_batch(flagged, *args.clean_and_anomalies, args.checkpoint, trigger=trigger, fmt=args.sink)
+        wait_for_all([query])
         return None
+    if args.command == "compact":
+        replaced = batches.compact(spark, args.table)
+        dropped = batches.drop_covered(spark, args.table) if args.drop else 0
+        return spark.createDataFrame([(args.table, replaced, dropped)], "table_path string, replaced_folders int, dropped_folders int")
+    if args.command == "profile":
+        (name, path), = _pairs([args.table]).items()
+        refresh.refresh(spark.read.parquet(path), args.profile, by=args.by, key=args.key)
+        return refresh.profile(spark, args.profile, name)
     if args.command == "analyze":
         return jobs.analyze_anomalies(_events(spark, args.events, args.format), args.date, args.reports)
     if args.command == "schema":

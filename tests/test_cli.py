@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline import cli
 from plumbline.plans import jobs
 from plumbline.plans.transactions import load_transactions, messages
 from plumbline.session import drop_work
 from plumbline.sources import snapshots as sn
-from plumbline.sources.tables import materialize
+from plumbline.sources.tables import append, materialize
+from plumbline.streaming import batches
 from tests.conftest import DATA
 
 
@@ -32,6 +34,19 @@ def test_end_to_end(spark, tmp_path):
     assert [r["table_name"] for r in hits] == ["reports"]
 
 
+def test_two_tables_compaction_and_profile(spark, tmp_path):
+    clean, bad = f"{tmp_path}/clean", f"{tmp_path}/bad"
+    for part in range(2):
+        rows = messages(load_transactions(spark, DATA).filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part))
+        rows.coalesce(1).write.mode("append").text(f"{tmp_path}/in")
+        cli.run(spark, ["stream", "--format", "text", "--source", f"{tmp_path}/in", "--clean-and-anomalies", clean, bad, "--checkpoint", f"{tmp_path}/cp", "--trigger", "once"])
+    assert cli.run(spark, ["compact", "--table", clean, "--drop"]).first()[1:] == (2, 2)
+    assert (batches.read_batches(spark, clean).count(), batches.read_batches(spark, bad).count()) == (892, 108)
+    append(batches.read_batches(spark, bad), f"{tmp_path}/days", partition_by=["date_part"])
+    found = cli.run(spark, ["profile", "--table", f"anomalies={tmp_path}/days", "--profile", f"{tmp_path}/profile"])
+    assert {r["column_name"]: r["row_count"] for r in found.collect()}["amount"] == 108
+
+
 def test_schema_command_fails_on_a_breaking_change(spark, tmp_path):
     path = f"{tmp_path}/s"
     sn.publish(spark.range(2).selectExpr("id", "id AS user_id"), path, 1)
