@@ -56,6 +56,8 @@ APART[[0x20, 0x09]] = True
 BUCKET_ENTRIES = 1 << 19
 LEAST_BUCKETS, MOST_BUCKETS = 32, 4096
 COUNTERS = 4
+# Groups that a task adds up before it sends them to the exact count.
+EXACT_ENTRIES = 1 << 20
 # Bytes of bits that are sent to all tasks.
 SENT_BITS = 16 << 20
 
@@ -173,7 +175,11 @@ def groups_of(row: dict[str, pa.Scalar], extend: bool, seed: int) -> Groups:
     left, right = np.divmod(pairs[1:], len(ids) + 1)
     left, right = ids[left - 1], ids[right - 1]
     names = pa.StructArray.from_arrays([pa.array(left.view(np.int64)), pa.array(right.view(np.int64))], ["l", "r"])
-    return Groups(back, mixed(mixed(left + np.uint64(seed + 1)) ^ right), names, counts[1:])
+    return Groups(back, pair_ids(left, right, seed), names, counts[1:])
+
+
+def pair_ids(left: np.ndarray, right: np.ndarray, seed: int) -> np.ndarray:
+    return mixed(mixed(left + np.uint64(seed + 1)) ^ right)
 
 
 def slots(ids: np.ndarray, lang: str, buckets: int, counters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -285,11 +291,102 @@ class Clash(Exception):
     """Two names have the same number."""
 
 
-def exact_counts(relation: DataFrame, min_count: int) -> DataFrame:
-    """(lang, id, name, a) of the frequent groups of a relation."""
-    rows = relation.select("lang", F.inline(F.arrays_zip(F.col("ids").alias("id"), F.col("names").alias("name"), F.col("counts").alias("count"))))
-    summed = rows.groupBy("lang", "id").agg(F.sum("count").alias("a"), F.min("name").alias("name"), F.max("name").alias("other"))
-    return summed.filter(F.col("a") >= min_count).select("lang", "id", "name", "a", (F.col("name") != F.col("other")).alias("clash"))
+def apart(names: pa.Array) -> np.ndarray:
+    """Whether each name differs from the one before."""
+    if not len(names):
+        return np.zeros(0, dtype=bool)
+    if pa.types.is_struct(names.type):
+        fields = [names.field(k).to_numpy(zero_copy_only=False) for k in range(2)]
+        differs = np.logical_or(*[f[1:] != f[:-1] for f in fields])
+    else:
+        differs = pc.not_equal(names.slice(1), names.slice(0, len(names) - 1)).to_numpy(zero_copy_only=False)
+    return np.concatenate([[True], differs])
+
+
+def numbers_of(names: pa.Array, seed: int) -> np.ndarray:
+    if pa.types.is_struct(names.type):
+        left, right = (names.field(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in range(2))
+        return pair_ids(left, right, seed)
+    return word_ids(names, seed)
+
+
+def summed(ids: np.ndarray, names: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The groups added up, by number; names that share one stay apart."""
+    order = np.argsort(ids, kind="stable")
+    ids, names, counts = ids[order], names.take(pa.array(order)), counts[order]
+    heads = np.flatnonzero(np.diff(ids, prepend=ids[:1] + np.uint64(1)).astype(bool) | apart(names))
+    return ids[heads], names.take(pa.array(heads)), np.add.reduceat(counts, heads) if len(heads) else counts
+
+
+def exact_parts(buckets: int, seed: int, limit: int = EXACT_ENTRIES):
+    """(bucket, lang, names, counts) of the groups of many slices, added up in the task and packed by bucket of their numbers."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[tuple[np.ndarray, pa.Array, np.ndarray]]] = {}
+        held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, parts in waiting.items():
+                ids, names, counts = summed(
+                    np.concatenate([p[0] for p in parts]), pa.concat_arrays([p[1] for p in parts]), np.concatenate([p[2] for p in parts]),
+                )
+                bucket = (mixed(ids) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                names, counts, bucket = names.take(pa.array(order)), counts[order], bucket[order]
+                heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+                ends = pa.array(np.append(heads, len(bucket)), pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bucket[heads]), pa.array([lang] * len(heads)), pa.ListArray.from_arrays(ends, names),
+                    pa.ListArray.from_arrays(ends, pa.array(counts)),
+                ], ["bucket", "lang", "names", "counts"])
+            waiting.clear()
+
+        for row in rows_of(batches):
+            ids = row["ids"].values.to_numpy(zero_copy_only=False).view(np.uint64)
+            waiting.setdefault(row["lang"].as_py(), []).append((ids, row["names"].values, row["counts"].values.to_numpy(zero_copy_only=False)))
+            held += len(ids)
+            if held >= limit:
+                yield from flush()
+                held = 0
+        yield from flush()
+
+    return pack
+
+
+def exact_sums(min_count: int, seed: int):
+    """(lang, id, name, a, clash) of the frequent groups of a bucket."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = []
+        for lang in pc.unique(table.column("lang")).to_pylist():
+            part = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
+            names, counts = (part.column(c).combine_chunks().flatten() for c in ("names", "counts"))
+            ids, names, counts = summed(numbers_of(names, seed), names, counts.to_numpy(zero_copy_only=False))
+            heads = np.flatnonzero(np.diff(ids, prepend=ids[:1] + np.uint64(1)))
+            total = np.add.reduceat(counts, heads) if len(heads) else counts
+            clash = np.diff(np.append(heads, len(ids))) > 1
+            stay = total >= min_count
+            place = heads[stay]
+            out.append(pa.table({
+                "lang": pa.array([lang] * len(place), pa.string()), "id": pa.array(ids[place].view(np.int64)), "name": names.take(pa.array(place)),
+                "a": pa.array(total[stay]), "clash": pa.array(clash[stay]),
+            }))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def exact_counts(relation: DataFrame, entries: int, min_count: int, seed: int) -> DataFrame:
+    """(lang, id, name, a, clash) of the frequent groups of a relation of `entries` groups in all slices.
+
+    Groups of the slices of a task are added up there, and come to their bucket in packed rows.
+    """
+    name = relation.schema["names"].dataType.elementType.simpleString()
+    buckets = max(LEAST_BUCKETS, entries // BUCKET_ENTRIES)
+    parts = relation.select("lang", "ids", "names", "counts").mapInArrow(
+        exact_parts(buckets, seed), f"bucket bigint, lang string, names array<{name}>, counts array<bigint>",
+    )
+    return parts.groupBy("bucket").applyInArrow(exact_sums(min_count, seed), f"lang string, id bigint, name {name}, a bigint, clash boolean")
 
 
 def frequent_groups(counted: DataFrame) -> DataFrame:
@@ -318,7 +415,8 @@ def relations(
         delete_path(spark, path)  # what it was made from is not needed any more
         relation, path = longer, kept_at
         entries = relation.agg(F.sum("beside")).first()[0] or 0
-        counted = exact_counts(relation, min_count)
+        kept = relation.agg(F.sum(F.size("ids"))).first()[0] or 0
+        counted = exact_counts(relation, kept, min_count, seed)
         if length == 1:
             found = counted.withColumns({"phrase": F.col("name"), "last": F.col("name"), "heads": none, "tails": none})
         else:

@@ -104,13 +104,20 @@ def test_judge_adds_up_slices():
     assert [r["bits"] for r in phrases.judge(1 << 17, 11)(table).to_pylist()][:2] == [b"\x00", b"\x40"]
 
 
-def test_equal_numbers_of_different_names_are_found(spark):
-    ddl = "lang string, ids array<bigint>, names array<string>, counts array<bigint>"
-    apart = spark.createDataFrame([("en", [1, 2], ["a", "b"], [5, 6]), ("en", [1], ["a"], [5]), ("de", [1], ["z"], [50])], ddl)
-    found = phrases.frequent_groups(phrases.exact_counts(apart, 6))
-    assert sorted(map(tuple, found.collect())) == [("de", 1, "z", 50), ("en", 1, "a", 10), ("en", 2, "b", 6)]
+def test_equal_numbers_of_different_names_are_found(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    ids, names, counts = phrases.summed(np.array([7, 2, 7, 2, 7], np.uint64), pa.array(["a", "b", "a", "c", "a"]), np.array([1, 2, 3, 4, 5]))
+    assert list(zip(ids.tolist(), names.to_pylist(), counts.tolist(), strict=True)) == [(2, "b", 2), (2, "c", 4), (7, "a", 9)]
+    ids, names, counts = phrases.summed(np.array([], np.uint64), pa.array([], pa.string()), np.array([], np.int64))
+    assert not len(ids) and not len(names) and not len(counts)
+    monkeypatch.setattr(phrases, "word_ids", lambda words, seed: np.array([len(w) for w in words.to_pylist()], np.uint64))
+    table = pa.table({"bucket": [0, 0, 0], "lang": ["en", "en", "de"], "names": [["a", "bb"], ["a", "cc", "ddd"], ["z"]], "counts": [[5, 4], [5, 3, 9], [50]]})
+    found = sorted((r["lang"], r["id"], r["a"], r["clash"]) for r in phrases.exact_sums(6, 0)(table).to_pylist())
+    assert found == [("de", 1, 50, False), ("en", 1, 10, False), ("en", 2, 7, True), ("en", 3, 9, False)]
     with pytest.raises(phrases.Clash):
-        phrases.frequent_groups(phrases.exact_counts(apart.union(spark.createDataFrame([("en", [2], ["c"], [1])], ddl)), 6))
+        phrases.frequent_groups(spark.createDataFrame([(1, True), (2, False)], "id long, clash boolean"))
 
 
 def test_scores_beyond_64_bits(spark):
