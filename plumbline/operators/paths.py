@@ -1,7 +1,8 @@
 """Nested schemas of JSON payloads, one row per version and path, and the changes between neighbouring versions.
 
-A path is `a.b[].c`: the field c of the objects in the list b of the object a. Every payload is parsed once and taken apart level by level
-in one pass; (version, path, type) is counted in the map tasks. Versions are never gathered into one row, so a version may have any
+A path is `a.b[].c`: the field c of the objects in the list b of the object a. Every payload is parsed once, to see that it is JSON, and
+reduced to its form: its text with one value in place of all of a type. Forms are counted in the map tasks, and each different form is taken
+apart level by level once; (version, path, type) is added up in the map tasks. Versions are never gathered into one row, so a version may have any
 number of paths, as payloads that are maps by key have.
 """
 
@@ -15,6 +16,13 @@ from pyspark.sql import functions as F
 from plumbline.operators.drift import WIDENING
 from plumbline.schemas import HISTORY_VERSIONS
 
+# What a form changes in valid JSON: strings that are no keys, booleans, plain numbers. Others stay as they are. Each match is replaced by MARK,
+# which valid JSON does not hold, and what its groups caught: a key, two quotes, the last letter of a boolean, the point of a fraction.
+MARK = "\x01"
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+VALUES = rf"""(?s)({STRING})(?=\s*:)|(")[^"\\]*+(?:\\.[^"\\]*+)*+(")|(?:tru|fals)(e)|(?<![0-9.eE+-])-?(?:0|[1-9][0-9]{{0,17}})(?:(\.)[0-9]{{1,18}})?(?![0-9.eE+-])"""
+CAUGHT = MARK + "$1$2$3$4$5"
+
 # Levels below the payload that are looked into; what is nested deeper counts as `struct` or `array`.
 DEPTH = 5
 
@@ -47,6 +55,14 @@ def _opened(cell: Column) -> Column:
     return F.when(cell["whole"], F.concat(own, inner)).otherwise(own)
 
 
+def json_form(text: Column) -> Column:
+    """A valid JSON text with `""`, true, 0 and 0.5 in place of its strings, booleans, integers and fractions; keys, lists and nulls stay."""
+    marked = F.regexp_replace(text, F.lit(VALUES), F.lit(CAUGHT))
+    for caught, value in (('"', '"'), ("e", "true"), (".", "0.5"), ("", "0")):
+        marked = F.replace(marked, F.lit(MARK + caught), F.lit(value))
+    return marked
+
+
 def observed_paths(messages: DataFrame, table: str, *, version: str = "version", at: str = "event_ts", value: str = "value",
                    depth: int = DEPTH) -> DataFrame:
     """(table_name, version, committed_at, record_count, path, type, nullable): what the payloads of each version really hold.
@@ -55,16 +71,19 @@ def observed_paths(messages: DataFrame, table: str, *, version: str = "version",
     is nullable if some object that could have it lacks it or holds null there, or if a list holds null. A payload that is no JSON
     object is no record. An object without any key has no row but counts as a record.
     """
-    parsed = messages.select(F.col(version).alias("version"), F.col(at).alias("at"), F.try_parse_json(F.col(value).cast("string")).alias("payload"))
+    told = messages.select(F.col(version).alias("version"), F.col(at).alias("at"), F.col(value).cast("string").alias("told"))
     # Generators keep the steps apart, so that no step is repeated for each use of its result.
+    told = told.select("version", "at", F.inline(F.array(F.struct("told")))).filter(F.try_parse_json("told").isNotNull())
+    forms = told.groupBy("version", json_form(F.col("told")).alias("form")).agg(F.count(F.lit(1)).alias("times"), F.max("at").alias("at"))
+    parsed = forms.select("version", "at", "times", F.try_parse_json("form").alias("payload"))
     start = F.struct(F.lit(None).cast("string").alias("path"), F.col("payload").alias("value"), F.lit(True).alias("whole"))
-    cells = parsed.select("version", "at", F.inline(F.array(start)))
+    cells = parsed.select("version", "at", "times", F.inline(F.array(start)))
     cells = cells.filter(F.try_variant_get("value", "$", "map<string,variant>").isNotNull())
     for _ in range(depth):
         cell = F.struct("path", "value", "whole")
-        cells = cells.select("version", "at", F.inline(F.transform(F.array(cell), _opened)[0]))
-    counts = cells.select("version", "at", "path", json_kind(F.col("value")).alias("type")).groupBy("version", "path", "type").agg(
-        F.count(F.lit(1)).alias("n"), F.max("at").alias("at"),
+        cells = cells.select("version", "at", "times", F.inline(F.transform(F.array(cell), _opened)[0]))
+    counts = cells.select("version", "at", "times", "path", json_kind(F.col("value")).alias("type")).groupBy("version", "path", "type").agg(
+        F.sum("times").alias("n"), F.max("at").alias("at"),
     )
     return _merged(counts, table)
 

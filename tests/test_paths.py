@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -36,6 +37,25 @@ def test_types_and_nullability_by_path(spark):
     assert "deep.e" not in told(observed(spark, {1: values}, depth=1))
 
 
+def test_forms_keep_paths_and_types_and_meet(spark):
+    texts = [
+        '{"a": "x\\\\\\" : 1", "1,2": -0, "b\\u0061 ":[ true ,false,null, 1.50, -12,"",{"q" :"s"}], "c":1e5, "d":123456789012345678901, "e":1.0, "f":9223372036854775807}',
+        '{"a":"\\u00e9\\n","true":{"0":0.5}} tail 1', '{"a":}', '{"a":01}', '{"a":1,}', '{"a":"\\x"}', '{1"a":}', '{"a":tru}', '{"a":1,"a":2}', "", " ", "null", "5", '"s"',
+        '["a"]', '{"a":-}', '{"a":1.}', '{"a":.5}', '{"a":1}}', '{"k":"' + "y\\n" * 9000 + '"}', '{"t":"two\nlines"}', '{"a":1.5.2}', '{"a":1-2}', None,
+    ]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = frame.filter("try_parse_json(t) is not null").selectExpr("i", "schema_of_variant(parse_json(t)) AS own", "t")
+    rows = found.withColumn("form", pa.json_form(F.col("t"))).selectExpr("i", "own", "form", "schema_of_variant(try_parse_json(form)) AS formed").collect()
+    fraction = lambda name: re.sub(r"DECIMAL\(\d+,\d+\)", "DOUBLE", name)
+    assert len(rows) > 6 and all(fraction(r["own"]) == fraction(r["formed"]) for r in rows)
+    # However many payloads, few forms are taken apart.
+    many = spark.range(5000).selectExpr("""concat('{"id":', id, ',"s":"t', id, '","x":[{"y":', id, '.25}],"b":', id % 2 = 0, '}') AS t""")
+    assert [r[0] for r in many.select(pa.json_form(F.col("t"))).distinct().collect()] == ['{"id":0,"s":"","x":[{"y":0.5}],"b":true}']
+    plan = pa.observed_paths(many.selectExpr("1 AS version", "null AS event_ts", "t AS value"), "t")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Aggregate"):]
+    assert "regexp_replace" in below and below.count("Generate") == 1
+
+
 def test_changes_and_verdicts(spark):
     first = {"id": 1, "b": {"c": 1, "d": [1]}, "s": 1}
     paths = observed(spark, {
