@@ -3,7 +3,8 @@
 Terms are hashed with a sign to SLOTS columns, so that the matrix has the same width for any vocabulary and no term is left out. The
 leading right singular vectors come from subspace iteration with a random start: a round is one pass over the documents, in which every task
 multiplies its rows with the current basis and adds up the products by slot. The basis (SLOTS x rank numbers) is what tasks get and what comes
-back; documents are never gathered. A new text needs the basis only.
+back; documents are never gathered. Terms are hashed once, before the rounds. Products are formed for BLOCK_ENTRIES entries at a time, so that
+the memory of a task depends neither on the length of documents nor on their number. A new text needs the basis only.
 """
 
 from __future__ import annotations
@@ -15,12 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.search import TextIndex, document_rows, index_once, weighed
+from plumbline.operators.search import TextIndex, index_once, weighed
 from plumbline.sources.tables import materialize
 
 SLOTS = 1 << 15
@@ -29,6 +28,8 @@ RANK = 32
 SPARE = 8
 ROUNDS = 4
 SEED = 5
+# Entries of rows that are multiplied at once.
+BLOCK_ENTRIES = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -38,9 +39,6 @@ class Basis:
     vectors: np.ndarray
     values: np.ndarray
 
-    def embed(self, columns: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        return products(self.vectors, columns, weights, sizes)
-
 
 def slots(terms: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(column, sign) of each term."""
@@ -53,25 +51,80 @@ def slots(terms: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 def products(basis: np.ndarray, columns: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Rows, given as runs of (column, weight), times the basis."""
     out = np.zeros((len(sizes), basis.shape[1]))
-    filled = np.flatnonzero(sizes)
-    if len(filled):
-        starts = np.cumsum(sizes[filled]) - sizes[filled]
-        out[filled] = np.add.reduceat(basis[columns] * weights[:, None], starts, axis=0)
+    add_runs(out, np.repeat(np.arange(len(sizes)), sizes), basis, columns, weights)
     return out
 
 
-def unpack(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(columns, weights, sizes) of unit rows from (…, norm, keys, weights)."""
+def add_runs(sums: np.ndarray, at: np.ndarray, values: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> None:
+    """Add weight times row of `values` to sums[at], for ascending `at`."""
+    for start in range(0, len(at), BLOCK_ENTRIES):  # a block fits into the cache
+        cut = slice(start, start + BLOCK_ENTRIES)
+        scaled = values[rows[cut]]
+        scaled *= weights[cut, None]
+        own = at[cut]
+        heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        sums[own[heads]] += np.add.reduceat(scaled, heads, axis=0)
+
+
+def unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(columns, weights, sizes) of unit rows from (…, norm, columns, weights)."""
     norm = batch.column("norm").to_numpy(zero_copy_only=False)
-    sizes = pc.list_value_length(batch.column("keys")).to_numpy(zero_copy_only=False).astype(np.int64)
-    columns, signs = slots(batch.column("keys").flatten(), width)
-    weights = batch.column("weights").flatten().to_numpy(zero_copy_only=False) * signs
+    sizes = pc.list_value_length(batch.column("columns")).to_numpy(zero_copy_only=False).astype(np.int64)
+    columns, weights = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("columns", "weights"))
     return columns, weights / np.repeat(np.where(norm > 0, norm, 1.0), sizes), sizes
 
 
+def _gathered(weighted: DataFrame, key: str, keys: str) -> DataFrame:
+    """(document_id, norm, keys, weights) of (document_id, key, w). The norm is that of the index, taken in the same pass."""
+    told = weighted.groupBy("document_id").agg(F.collect_list(F.struct(key, "w")).alias("s"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return told.select("document_id", "norm", F.col(f"s.{key}").alias(keys), F.col("s.w").alias("weights"))
+
+
 def rows_of(index: TextIndex, n_postings: int, max_hot: int) -> DataFrame:
     """(document_id, norm, keys, weights): the weighted terms of each document that has one."""
-    return document_rows(weighed(index.postings, index.terms, n_postings, max_hot), index.norms, "term")
+    return _gathered(weighed(index.postings, index.terms, n_postings, max_hot), "term", "keys")
+
+
+def hashed(terms: DataFrame, width: int) -> DataFrame:
+    """Add the slot and the sign of each term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot, sign = slots(batch.column("term"), width)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slot.astype(np.int32)), pa.array(sign)], [*batch.schema.names, "slot", "sign"])
+
+    return terms.select("term", "df", "idf").mapInArrow(run, "term string, df bigint, idf double, slot int, sign double")
+
+
+def hashed_rows(index: TextIndex, n_postings: int, max_hot: int, width: int) -> DataFrame:
+    """(document_id, norm, columns, weights): rows_of with signed slots for terms, so that no term is shuffled to its document or hashed twice."""
+    terms = materialize(hashed(index.terms, width), "slots")
+    signed = weighed(index.postings, terms, n_postings, max_hot).select("document_id", "slot", (F.col("w") * F.col("sign")).alias("w"))
+    return _gathered(signed, "slot", "columns")
+
+
+def _placed(place: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """(place, sums): the given rows of a table of sums."""
+    values = pa.array(sums.reshape(-1))
+    lists = pa.ListArray.from_arrays(np.arange(0, len(values) + 1, sums.shape[1], dtype=np.int32), values)
+    return pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), lists], ["place", "sums"])
+
+
+def _summed(places: int, rank: int):
+    """Add up the rows of each place that meet in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros((places, rank)), np.zeros(places, dtype=bool)
+        for batch in batches:
+            place = batch.column("place").to_numpy(zero_copy_only=False)
+            order = np.argsort(place, kind="stable")
+            add_runs(total, place[order], batch.column("sums").flatten().to_numpy(zero_copy_only=False).reshape(-1, rank), order, np.ones(len(order)))
+            seen[place] = True
+        found = np.flatnonzero(seen)
+        if len(found):
+            yield _placed(found, total[found])
+
+    return run
 
 
 def _round(rows: DataFrame, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,25 +134,17 @@ def _round(rows: DataFrame, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, gram = np.zeros((width, rank)), np.zeros((rank, rank))
         for batch in batches:
-            columns, weights, sizes = unpack(batch, width)
+            columns, weights, sizes = unpack(batch)
             image = products(basis, columns, weights, sizes)
             gram += image.T @ image
             # Entries are added up column by column: sorted by column, each is the product of a weight and its row's image.
             order = np.argsort(columns, kind="stable")
-            if len(order):
-                owner = np.repeat(np.arange(len(sizes)), sizes)[order]
-                at = columns[order]
-                heads = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-                sums[at[heads]] += np.add.reduceat(image[owner] * weights[order][:, None], heads, axis=0)
+            add_runs(sums, columns[order], image, np.repeat(np.arange(len(sizes)), sizes)[order], weights[order])
         touched = np.flatnonzero(sums.any(axis=1))
-        place = np.concatenate([touched, width + np.arange(rank)])
-        values = pa.array(np.concatenate([sums[touched], gram]).reshape(-1))
-        lists = pa.ListArray.from_arrays(np.arange(0, len(values) + 1, rank, dtype=np.int32), values)
-        yield pa.RecordBatch.from_arrays([pa.array(place), lists], ["place", "sums"])
-
-    parts = rows.select("norm", "keys", "weights").mapInArrow(run, "place bigint, sums array<double>")
-    added = parts.groupBy("place").agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("sums")))).alias("sums"))
-    found = added.toArrow()  # at most SLOTS + rank rows
+        yield _placed(np.concatenate([touched, width + np.arange(rank)]), np.concatenate([sums[touched], gram]))
+
+    parts = rows.select("norm", "columns", "weights").mapInArrow(run, "place bigint, sums array<double>")
+    found = parts.repartition("place").mapInArrow(_summed(width + rank, rank), parts.schema).toArrow()  # at most SLOTS + rank rows
     total = np.zeros((width + rank, rank))
     if len(found):
         total[found.column("place").to_numpy()] = np.stack(found.column("sums").to_numpy(zero_copy_only=False))
@@ -107,7 +152,7 @@ def _round(rows: DataFrame, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(rows: DataFrame, *, rank: int = RANK, width: int = SLOTS, rounds: int = ROUNDS) -> Basis:
-    """The leading singular vectors of stored rows (norm, keys, weights), scaled to length 1."""
+    """The leading singular vectors of stored rows (norm, columns, weights), scaled to length 1."""
     draw = np.random.default_rng(SEED)
     basis = np.linalg.qr(draw.normal(size=(width, min(width, rank + SPARE))))[0]
     for _ in range(rounds):
@@ -122,23 +167,23 @@ def fit(rows: DataFrame, *, rank: int = RANK, width: int = SLOTS, rounds: int =
 
 
 def embed(rows: DataFrame, basis: Basis) -> DataFrame:
-    """(document_id, vector) of rows (document_id, norm, keys, weights)."""
+    """(document_id, vector) of rows (document_id, norm, columns, weights)."""
     id_type = rows.schema["document_id"].dataType.simpleString()
-    width, rank = basis.vectors.shape
+    rank = basis.vectors.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            image = pa.array(basis.embed(*unpack(batch, width)).reshape(-1))
+            image = pa.array(products(basis.vectors, *unpack(batch)).reshape(-1))
             lists = pa.ListArray.from_arrays(np.arange(0, len(image) + 1, rank, dtype=np.int32), image)
             yield pa.RecordBatch.from_arrays([batch.column("document_id"), lists], ["document_id", "vector"])
 
-    return rows.select("document_id", "norm", "keys", "weights").mapInArrow(run, f"document_id {id_type}, vector array<double>")
+    return rows.select("document_id", "norm", "columns", "weights").mapInArrow(run, f"document_id {id_type}, vector array<double>")
 
 
 def document_vectors(documents: DataFrame, *, document_id: str = "document_id", text: str = "text", rank: int = RANK, width: int = SLOTS,
                      rounds: int = ROUNDS, max_hot_terms: int = 100_000) -> tuple[DataFrame, Basis]:
     """((document_id, vector) of the documents that have a weighted term, the basis)."""
     index = index_once(documents, document_id=document_id, text=text)
-    rows = materialize(rows_of(index, index.postings.count(), max_hot_terms), "rows")  # read once a round
+    rows = materialize(hashed_rows(index, index.postings.count(), max_hot_terms, width), "rows")  # read once a round
     basis = fit(rows, rank=rank, width=width, rounds=rounds)
     return embed(rows, basis), basis

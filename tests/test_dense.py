@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -47,6 +48,19 @@ def test_equals_numpy(spark):
     assert all(np.allclose(got[i], rows[i] @ basis.vectors, atol=1e-9) for i in ids)
 
 
+def test_products_hold_a_block_at_a_time():
+    draw = np.random.default_rng(3)
+    basis, sizes = draw.normal(size=(512, 8)), np.array([0, 300_000, 0, 3, 100_000])
+    columns, weights = draw.integers(0, 512, sizes.sum()), draw.normal(size=sizes.sum())
+    tracemalloc.start()
+    got = dense.products(basis, columns, weights, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    cuts = np.split(np.arange(sizes.sum()), np.cumsum(sizes)[:-1])
+    assert np.allclose(got, np.stack([weights[c] @ basis[columns[c]] for c in cuts]))
+    assert peak < sizes.sum() * 8 * 8 / 2  # less than a row of the basis for each entry
+
+
 def test_texts_without_a_common_word_meet(spark):
     frame = spark.createDataFrame(corpus(), "document_id long, text string")
     vectors, _ = dense.document_vectors(frame, rank=3, width=512)
