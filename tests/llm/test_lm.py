@@ -94,6 +94,33 @@ def test_probabilities_sum_to_one(spark):
     assert (total, distinct) == (sum(r["n"] for r in counts.collect()), counts.count())
 
 
+def test_words_within_a_class_are_trained(spark):
+    """Two words of equal ending and count follow each its own word: only a model of words, not of classes, tells them apart."""
+    draw = random.Random(7)
+    pairs = [("alba", "mestone"), ("corve", "gristone")]
+    text = lambda swap: " ".join(f"{a} {b}" for a, b in (draw.choice([(x[0], pairs[1 - i if swap else i][1]) for i, x in enumerate(pairs)]) for _ in range(20)))
+    filler = " ".join(f"w{k}x{k % 37}" for k in range(60))
+    rows = [(i, text(False) + " " + filler) for i in range(1, 400) if not held_out(i)]
+    tests = [(i, swap) for swap, i in zip([False, True] * 10, [i for i in range(400, 2000) if held_out(i)][:20], strict=True)]
+    frame = spark.createDataFrame(rows + [(i, text(swap)) for i, swap in tests], "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] / r["n_tokens"] for r in lm.language_scores(frame).collect()}
+    right, wrong = ([scores[i] for i, swap in tests if swap is kind] for kind in (False, True))
+    assert min(right) > max(wrong) + 0.05
+
+
+def test_leaves_and_branches_sum_to_one(spark):
+    texts = spark.createDataFrame([(t or "",) for _, t in fixture()], "text string")
+    model, counts, *_ = lm.learn(texts)
+    known = sum(r["n"] + lm.ADDED for r in counts.collect())
+    tree = np.arange(lm.LEAVES) // lm.CLASSES**lm.LEVELS > lm.TOP
+    single = (10**model.class_log)[:lm.TOP + 1].sum() - lm.ADDED * (lm.TOP + 1)
+    assert (10**model.leaf_log[tree]).sum() == pytest.approx(known - single + lm.ADDED * tree.sum())
+    t = lm.tokens(np.frombuffer(b"the cat ist ein unseen word", dtype=np.uint8), np.array([0, 27]))
+    steps = list(lm.branches(t, lm.features(t), lm.classes_of(model, t)))
+    assert len(steps) == lm.LEVELS and len(steps[0][0])
+    assert all(np.allclose(lm.softmax(model.weights, at).sum(axis=1), 1, atol=1e-5) for _, at, _ in steps)
+
+
 def test_empty_and_untrained(spark):
     frame = spark.createDataFrame([(i, "a b") for i in range(200) if held_out(i)], "doc_id long, text string")
     rows = lm.language_scores(frame).collect()
