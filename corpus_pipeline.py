@@ -42,9 +42,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode the texts, and decode the ids to prove that nothing is lost."""
+    """Encode the texts, and decode the ids to prove that nothing is lost.
+
+    The ids are written in between: in one stage, each task would hold a Python worker for either step, twice the memory.
+    """
     bound_batches(spark)
-    done = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), offsets=False))
+    done = bpe.decode(materialize(bpe.encode(docs.select("doc_id", "lang", "source", "text"), offsets=False), "encoded"))
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return done.select(
         "doc_id", "lang", "source", "n_tokens", F.col("packed_ids").alias("token_ids"), F.sha2("packed_ids", 256).alias("ids_sha256"),

@@ -61,3 +61,10 @@ def test_stages_keep_columns_and_bear_odd_rows(spark):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == docs.columns, name
             assert out.count() <= 3 * len(odd)
+
+
+def test_a_task_of_the_last_stage_holds_one_python_worker(spark):
+    docs = spark.createDataFrame([(1, "en", "a", "some text"), (2, "de", None, None)], "doc_id long, lang string, source string, text string")
+    done = corpus_pipeline.byte_bpe(spark, docs, DATA)
+    assert done._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["restored"] for r in done.collect()] == [True, True]
