@@ -127,3 +127,31 @@ def test_empty_and_untrained(spark):
     assert len(rows) == frame.count()
     assert all(r["train_tokens"] == 0 and r["base_score"] == pytest.approx(0) and r["score"] <= 0 for r in rows)
     assert lm.language_scores(frame.limit(0)).count() == 0
+
+
+def test_sums_equal_adding_token_by_token(spark):
+    texts = spark.createDataFrame([(t or "",) for _, t in fixture()[:40]], "text string")
+    model = lm.learn(texts)[0]
+    found = lm.added_up(texts.mapInArrow(lm.expectations(model), "row bigint, sums array<double>"))
+    want = np.zeros_like(found)
+    for r in texts.collect():
+        data = np.frombuffer(r["text"].encode(), dtype=np.uint8)
+        t = lm.tokens(data, np.array([0, len(data)]))
+        rows = lm.features(t)
+        parts = [np.column_stack([rows, np.full(len(rows), lm.TABLE_ROWS - 1)])] + [at for _, at, _ in lm.branches(t, rows, lm.classes_of(model, t))]
+        for at in (x for part in parts for x in part):
+            z = model.weights[at].astype(float).sum(axis=0)
+            for row in at:
+                want[row] += np.exp(z) / np.exp(z).sum()
+    assert np.allclose(found, want, rtol=1e-5, atol=1e-5)
+
+
+def test_tables_handed_in_grow_with_the_tokens_not_with_the_partitions(spark, monkeypatch):
+    tasks = []
+    add = lm.added_up
+    monkeypatch.setattr(lm, "added_up", lambda parts: (tasks.append(parts.rdd.getNumPartitions()), add(parts))[1])
+    texts = spark.createDataFrame([(t or "",) for _, t in fixture()], "text string")
+    cores = spark.sparkContext.defaultParallelism
+    lm.learn(texts.repartition(8 * cores))
+    assert len(tasks) == 1 + lm.ROUNDS and max(tasks) <= 2 * cores
+    assert lm.dealt(texts.repartition(8 * cores), 3 * cores * lm.TASK_TOKENS).rdd.getNumPartitions() == 3 * cores
